@@ -30,7 +30,7 @@ def unnest(df: DataFrame, col: str, keep: Sequence[str] | None = None, pos: str
     keep = [c for c in (keep if keep is not None else df.columns) if c != col]
     arr = F.coalesce(F.col(col), F.array(F.lit("")))
     if pos:
-        return df.select(*keep, F.posexplode(arr).alias(pos, col)).withColumn(pos, F.col(pos) + 1)
+        return df.select(*keep, F.posexplode(arr).alias(pos, col)).withColumn(pos, (F.col(pos) + 1).cast("long"))
     return df.select(*keep, F.explode(arr).alias(col))
 
 

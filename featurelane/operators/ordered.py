@@ -128,10 +128,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     vcol = value if isinstance(value, Column) else F.col(value)
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     numbered = number_within(base, keys, [F.col("_v")], "_pos", num_partitions)
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    if not keys:
-        counts = F.broadcast(counts)  # exactly one row
-    j = _key_join(numbered, counts, keys, [])
+    if keys:
+        counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        j = _key_join(numbered, counts, keys, [])
+    else:
+        # a global quantile needs one scalar: the number of non-null values
+        j = numbered.withColumn("_n", F.lit(numbered.count()).cast("long"))
     cuts = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1).cast("double") * F.lit(float(p))

@@ -86,10 +86,118 @@ def history_multi_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hist.select("o_custkey", "feature", "pos", "value", "cnt", _r(F.col("mean")).alias("mean_target"))
 
 
+
+# ---------------------------------------------------------------- splits
+
+def activity_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on events per user, ordered by (ts, event_id), 10% validation."""
+    from featurelane.operators.split import activity_split as split
+    t = Tables(spark, sf_dir)
+    out = split(t.events.select("event_id", "user_id", "ts"), "user_id", ["ts", "event_id"], valid=0.1)
+    return out.select("event_id", "user_id", "split")
+
+
+def chrono_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 on orders per customer, ordered by (o_orderdate, o_orderkey), 30% validation."""
+    from featurelane.operators.split import chrono_split as split
+    t = Tables(spark, sf_dir)
+    out = split(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
+                ["o_orderdate", "o_orderkey"], valid=0.3)
+    return out.select("o_orderkey", "o_custkey", "split")
+
+
+def latest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's 3 newest orders."""
+    from featurelane.operators.split import latest_n as latest
+    t = Tables(spark, sf_dir)
+    out = latest(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
+                 ["o_orderdate", "o_orderkey"], 3)
+    return out.select("o_orderkey", "o_custkey", "rn")
+
+
+def group_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distribution of events per user (describe)."""
+    from featurelane.operators.split import size_distribution
+    t = Tables(spark, sf_dir)
+    d = size_distribution(t.events.select("user_id"), "user_id")
+    return d.select(*[_r(F.col(c)).alias(c) for c in d.columns])
+
+
+# ------------------------------------------------------------ encoders
+
+def freq_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand ids by frequency in the lineitem log; transform the part table."""
+    from featurelane.operators import encoders as E
+    t = Tables(spark, sf_dir)
+    log = t.lineitem.select("l_partkey").join(t.part.select("p_partkey", "p_brand"),
+                                              F.col("l_partkey") == F.col("p_partkey"))
+    vocab = E.frequency_vocab(log, "p_brand")
+    return E.encode(t.part.select("p_partkey", "p_brand"), "p_brand", vocab, "brand_id")
+
+
+def sorted_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type ids by sorted label, over the part table."""
+    from featurelane.operators import encoders as E
+    t = Tables(spark, sf_dir)
+    parts = t.part.select("p_partkey", "p_type")
+    return E.encode(parts, "p_type", E.sorted_vocab(parts, "p_type"), "type_id")
+
+
+def array_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 + R6: frequency vocabulary over name tokens; element-wise encode, order kept."""
+    from featurelane.operators import encoders as E
+    t = Tables(spark, sf_dir)
+    parts = t.part.select("p_partkey", F.split("p_name", " ").alias("tokens"))
+    vocab = E.frequency_vocab(parts, "tokens", multivalent=True)
+    out = E.encode_array_long(parts, ["p_partkey"], "tokens", vocab, "token_id")
+    return out.select("p_partkey", "pos", F.col("tokens").alias("token"), "token_id")
+
+
+def decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 + E5: encode priorities, decode the ids back (unknown -> null)."""
+    from featurelane.operators import encoders as E
+    t = Tables(spark, sf_dir)
+    od = t.orders.select("o_orderkey", "o_orderpriority")
+    vocab = E.sorted_vocab(od, "o_orderpriority")
+    enc = E.encode(od, "o_orderpriority", vocab, "prio_id")
+    dec = E.decode(enc.withColumn("next_id", F.col("prio_id") + 1), "next_id", vocab, "next_label")
+    dec = E.decode(dec, "prio_id", vocab, "decoded")
+    return dec.select("o_orderkey", "prio_id", "decoded", "next_label")
+
+
+def standardize_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill median, (x - mean) / population std; negative balances count as missing."""
+    from featurelane.operators.encoders import fit_scaler
+    t = Tables(spark, sf_dir)
+    cust = t.customer.select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("acctbal"))
+    model = fit_scaler(cust, ["acctbal"], ddof=0)
+    return model.transform(cust).select("c_custkey", _r(F.col("acctbal")).alias("acctbal_z"))
+
+
+def standardize_samp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(x - mean) / sample std."""
+    from featurelane.operators.encoders import fit_scaler
+    t = Tables(spark, sf_dir)
+    parts = t.part.select("p_partkey", "p_retailprice", "p_size")
+    model = fit_scaler(parts, ["p_retailprice", "p_size"], ddof=1)
+    out = model.transform(parts)
+    return out.select("p_partkey", _r(F.col("p_retailprice")).alias("price_z"), _r(F.col("p_size")).alias("size_z"))
+
+
 QUERIES = {
     "history_user_item": history_user_item,
     "history_user_token": history_user_token,
     "pos_neg_items": pos_neg_items,
     "item_popularity": item_popularity,
     "history_multi_unpivot": history_multi_unpivot,
+    "activity_split": activity_split,
+    "chrono_split": chrono_split,
+    "latest_n": latest_n,
+    "group_sizes": group_sizes,
+    "freq_encode": freq_encode,
+    "sorted_encode": sorted_encode,
+    "array_encode": array_encode,
+    "decode": decode,
+    "standardize_pop": standardize_pop,
+    "standardize_samp": standardize_samp,
 }

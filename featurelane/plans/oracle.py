@@ -81,3 +81,92 @@ SELECT o_custkey, feature, row_number() OVER (PARTITION BY o_custkey, feature OR
        value, cnt, ROUND(mean, 6) AS mean_target
 FROM agg
 """
+
+ORACLE["activity_split"] = """
+WITH n AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id),
+q AS (SELECT CAST(floor(quantile_cont(n, 0.25)) AS BIGINT) AS lo,
+             CAST(floor(quantile_cont(n, 0.75)) AS BIGINT) AS hi FROM n),
+r AS (SELECT e.event_id, e.user_id, n.n,
+             row_number() OVER (PARTITION BY e.user_id ORDER BY e.ts DESC, e.event_id DESC) AS rd
+      FROM events e JOIN n ON e.user_id = n.user_id),
+k AS (SELECT r.*, least(r.n, q.hi) AS len FROM r, q WHERE r.n >= q.lo)
+SELECT event_id, user_id,
+       CASE WHEN len - rd + 1 <= floor(len * CAST(0.9 AS DOUBLE)) THEN 'train' ELSE 'valid' END AS split
+FROM k WHERE rd <= len
+"""
+
+ORACLE["chrono_split"] = """
+WITH r AS (SELECT o_orderkey, o_custkey,
+                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS ra,
+                  count(*) OVER (PARTITION BY o_custkey) AS n
+           FROM orders)
+SELECT o_orderkey, o_custkey,
+       CASE WHEN ra <= n - floor(n * CAST(0.3 AS DOUBLE)) THEN 'train' ELSE 'valid' END AS split
+FROM r
+"""
+
+ORACLE["latest_n"] = """
+SELECT o_orderkey, o_custkey, rn FROM (
+  SELECT o_orderkey, o_custkey,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn <= 3
+"""
+
+ORACLE["group_sizes"] = """
+WITH n AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id)
+SELECT ROUND(CAST(count(n) AS DOUBLE), 6) AS count, ROUND(avg(n), 6) AS mean, ROUND(stddev_samp(n), 6) AS std,
+       ROUND(CAST(min(n) AS DOUBLE), 6) AS min, ROUND(CAST(max(n) AS DOUBLE), 6) AS max,
+       ROUND(quantile_cont(n, 0.25), 6) AS q25, ROUND(quantile_cont(n, 0.5), 6) AS q50,
+       ROUND(quantile_cont(n, 0.75), 6) AS q75
+FROM n
+"""
+
+ORACLE["freq_encode"] = """
+WITH c AS (SELECT p.p_brand AS label, count(*) AS freq
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+           WHERE p.p_brand IS NOT NULL AND p.p_brand <> '' GROUP BY p.p_brand),
+v AS (SELECT label, row_number() OVER (ORDER BY freq DESC, label) AS idx FROM c)
+SELECT p.p_partkey, p.p_brand, CAST(COALESCE(v.idx, 0) AS INTEGER) AS brand_id
+FROM part p LEFT JOIN v ON p.p_brand = v.label
+"""
+
+ORACLE["sorted_encode"] = """
+WITH v AS (SELECT label, row_number() OVER (ORDER BY label) AS idx
+           FROM (SELECT DISTINCT p_type AS label FROM part WHERE p_type IS NOT NULL AND p_type <> ''))
+SELECT p.p_partkey, p.p_type, CAST(COALESCE(v.idx, 0) AS INTEGER) AS type_id
+FROM part p LEFT JOIN v ON p.p_type = v.label
+"""
+
+ORACLE["array_encode"] = """
+WITH toks AS (SELECT p_partkey, unnest(COALESCE(string_split(p_name, ' '), [''])) AS token,
+                     generate_subscripts(COALESCE(string_split(p_name, ' '), ['']), 1) AS pos
+              FROM part),
+c AS (SELECT token AS label, count(*) AS freq FROM toks WHERE token IS NOT NULL AND token <> '' GROUP BY token),
+v AS (SELECT label, row_number() OVER (ORDER BY freq DESC, label) AS idx FROM c)
+SELECT t.p_partkey, CAST(t.pos AS BIGINT) AS pos, t.token, CAST(COALESCE(v.idx, 0) AS INTEGER) AS token_id
+FROM toks t LEFT JOIN v ON t.token = v.label
+"""
+
+ORACLE["decode"] = """
+WITH v AS (SELECT label, row_number() OVER (ORDER BY label) AS idx
+           FROM (SELECT DISTINCT o_orderpriority AS label FROM orders
+                 WHERE o_orderpriority IS NOT NULL AND o_orderpriority <> '')),
+e AS (SELECT o.o_orderkey, CAST(COALESCE(v.idx, 0) AS INTEGER) AS prio_id
+      FROM orders o LEFT JOIN v ON o.o_orderpriority = v.label)
+SELECT e.o_orderkey, e.prio_id, d.label AS decoded, n.label AS next_label
+FROM e LEFT JOIN v d ON e.prio_id = d.idx LEFT JOIN v n ON e.prio_id + 1 = n.idx
+"""
+
+ORACLE["standardize_pop"] = """
+WITH c AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS x FROM customer),
+s AS (SELECT avg(x) AS m, stddev_pop(x) AS sd, quantile_cont(x, 0.5) AS med FROM c)
+SELECT c_custkey, ROUND((COALESCE(x, med) - m) / CASE WHEN sd IS NULL OR sd = 0 THEN 1 ELSE sd END, 6) AS acctbal_z
+FROM c, s
+"""
+
+ORACLE["standardize_samp"] = """
+WITH s AS (SELECT avg(p_retailprice) AS m1, stddev_samp(p_retailprice) AS s1,
+                  avg(p_size) AS m2, stddev_samp(p_size) AS s2 FROM part)
+SELECT p_partkey, ROUND((p_retailprice - m1) / s1, 6) AS price_z, ROUND((p_size - m2) / s2, 6) AS size_z
+FROM part, s
+"""
