@@ -184,6 +184,136 @@ def standardize_samp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("p_partkey", _r(F.col("p_retailprice")).alias("price_z"), _r(F.col("p_size")).alias("size_z"))
 
 
+
+# ---------------------------------------------------- cleaning and scalars (N*, F*, R*)
+
+def multivalue_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalise whole document texts into sorted pipe-separated values."""
+    from featurelane.functions.text import multivalue_clean as clean
+    t = Tables(spark, sf_dir)
+    docs = t.documents.select("doc_id", clean("text").alias("vals"))
+    docs = docs.select("doc_id", F.size("vals").alias("n_vals"), "vals")
+    out = H.unnest(docs, "vals", ["doc_id", "n_vals"], pos="pos")
+    return out.select("doc_id", "n_vals", "pos", F.col("vals").alias("val"))
+
+
+def entity_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 over whole raw pages: digest and length of the unescaped html."""
+    from featurelane.functions.text import html_unescape
+    t = Tables(spark, sf_dir)
+    u = t.pages.select("page_id", html_unescape("html").alias("u"))
+    return u.select("page_id", F.length("u").alias("n_chars"), F.md5("u").alias("md5"))
+
+
+def longest_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 longest multivalent elements (top-k is the feature)."""
+    from featurelane.functions.text import multivalue_clean as clean
+    t = Tables(spark, sf_dir)
+    el = t.documents.select(F.explode(clean("text")).alias("val"))
+    el = el.select(F.length("val").alias("n_chars"), F.md5("val").alias("md5"))
+    return el.orderBy(F.col("n_chars").desc(), F.col("md5")).limit(10)
+
+
+def code_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """code normaliser, fixed-position parts, two-digit year + median fill."""
+    from featurelane.functions.codes import code_norm, code_parts, two_digit_year
+    from featurelane.operators.clean import fill_median
+    t = Tables(spark, sf_dir)
+    c = t.customer.select("c_custkey", "c_acctbal", F.substring("c_name", 10, 9).alias("code"))
+    c = c.select("c_custkey", code_norm(F.col("c_acctbal").cast("string")).alias("acct_code"),
+                 *code_parts("code", {"cc": (1, 2), "xxx": (3, 3)}),
+                 two_digit_year(F.substring("code", 6, 2)).cast("double").alias("yy"))
+    c = fill_median(c, ["yy"])
+    return c.withColumn("yy", F.col("yy") - 1900)
+
+
+def bucket_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """left-closed bins with labels (age rule on p_size; balance bands)."""
+    from featurelane.functions.codes import age_buckets, bucket_labels as buckets
+    t = Tables(spark, sf_dir)
+    bins, labels = age_buckets()
+    parts = t.part.select("p_partkey", buckets("p_size", bins, labels).alias("size_catg"))
+    cust = t.customer.select(F.col("c_custkey").alias("p_partkey"),
+                             buckets("c_acctbal", [0, 1000, 5000], ["neg", "0-1k", "1k-5k", "5k+"]).alias("size_catg"))
+    return parts.withColumn("src", F.lit("part")).unionByName(cust.withColumn("src", F.lit("customer")))
+
+
+def date_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yyyymmdd -> epoch days, date parts, month / year starts, tenure years."""
+    from featurelane.functions import dates as D
+    t = Tables(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_orderdate",
+                        F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("ymd"))
+    o = o.select("o_orderkey", D.yyyymmdd_to_days("ymd").alias("days"), *D.date_parts("o_orderdate"))
+    o = o.withColumn("month_start", D.year_month_days("year", "month").cast("long"))
+    o = o.withColumn("year_start", D.year_week_days("year").cast("long"))
+    o = o.withColumn("tenure_years", D.years_half_even(D.days_between("days", F.lit(8035.0))))
+    return o
+
+
+def range_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes outside [6, 40] replaced by the median of the in-range sizes."""
+    from featurelane.operators.clean import range_median as fix
+    t = Tables(spark, sf_dir)
+    p = t.part.select("p_partkey", F.col("p_size").cast("double").alias("size"))
+    return fix(p, "size", 6, 40)
+
+
+def fill_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns with missing values filled by their exact medians (one pass)."""
+    from featurelane.operators.clean import fill_median as fill
+    t = Tables(spark, sf_dir)
+    p = t.part.select("p_partkey",
+                      F.when(F.col("p_size") >= 10, F.col("p_retailprice")).alias("price"),
+                      F.when(F.col("p_size") <= 45, F.col("p_size").cast("double")).alias("size"))
+    return fill(p, ["price", "size"])
+
+
+def _customer_gaps(t: Tables) -> DataFrame:
+    return t.customer.select("c_custkey",
+                             F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("seg"),
+                             F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("bal"),
+                             F.when(F.col("c_nationkey") != 0, F.col("c_nationkey")).alias("nat"))
+
+
+def fill_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema defaults -- '' for categoricals, median for numerics, 0 for ids."""
+    from featurelane.operators.clean import fill_defaults as fill
+    t = Tables(spark, sf_dir)
+    out = fill(_customer_gaps(t), {"seg": "", "bal": "median", "nat": 0})
+    return out.select("c_custkey", "seg", _r(F.col("bal")).alias("bal"), "nat")
+
+
+def missing_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of missing ('' or null) per column."""
+    from featurelane.operators.clean import missing_fraction as frac
+    t = Tables(spark, sf_dir)
+    out = frac(_customer_gaps(t), ["seg", "bal", "nat"])
+    return out.select(*[_r(F.col(c)).alias(c) for c in out.columns])
+
+
+def unnest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unnest name tokens, value_counts, with mean list length per token."""
+    t = Tables(spark, sf_dir)
+    parts = t.part.select("p_partkey", F.split("p_name", " ").alias("tokens"))
+    parts = parts.withColumn("n_tokens", F.size("tokens"))
+    flat = H.unnest(parts, "tokens", ["p_partkey", "n_tokens"])
+    return flat.groupBy(F.col("tokens").alias("token")).agg(
+        F.count(F.lit(1)).alias("cnt"), _r(F.avg("n_tokens")).alias("mean_len"))
+
+
+def interval_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order month inside the month list chosen by priority, only for open orders."""
+    from featurelane.functions.arrays import interval_flag as flag
+    t = Tables(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    interval = (F.when(F.col("o_orderpriority") == "1-URGENT", "Jan,Apr,Jul,Oct")
+                 .when(F.col("o_orderpriority") == "2-HIGH", "Feb,May,Aug,Nov")
+                 .when(F.col("o_orderpriority") == "3-MEDIUM", "Mar,Jun,Sept,Dec"))
+    promo = F.when(F.col("o_orderstatus") == "O", "1").otherwise("0")
+    return o.select("o_orderkey", flag(promo, F.month("o_orderdate"), interval).alias("promo_flag"))
+
+
 QUERIES = {
     "history_user_item": history_user_item,
     "history_user_token": history_user_token,
@@ -200,4 +330,16 @@ QUERIES = {
     "decode": decode,
     "standardize_pop": standardize_pop,
     "standardize_samp": standardize_samp,
+    "multivalue_clean": multivalue_clean,
+    "entity_unescape": entity_unescape,
+    "longest_elements": longest_elements,
+    "code_decode": code_decode,
+    "bucket_labels": bucket_labels,
+    "date_features": date_features,
+    "range_median": range_median,
+    "fill_median": fill_median,
+    "fill_defaults": fill_defaults,
+    "missing_fraction": missing_fraction,
+    "unnest_stats": unnest_stats,
+    "interval_flag": interval_flag,
 }

@@ -170,3 +170,127 @@ WITH s AS (SELECT avg(p_retailprice) AS m1, stddev_samp(p_retailprice) AS s1,
 SELECT p_partkey, ROUND((p_retailprice - m1) / s1, 6) AS price_z, ROUND((p_size - m2) / s2, 6) AS size_z
 FROM part, s
 """
+
+# Named entities (semicolon forms), '&amp;' last so nothing is unescaped twice.
+def _unescape(expr: str) -> str:
+    out = expr
+    for name, text in [("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("apos", "''"),
+                       ("nbsp", " "), ("reg", "®"), ("middot", "·"), ("hellip", "…"),
+                       ("mdash", "—"), ("ndash", "–"), ("lsquo", "‘"), ("rsquo", "’"),
+                       ("ldquo", "“"), ("rdquo", "”"), ("trade", "™"), ("euro", "€"),
+                       ("laquo", "«"), ("raquo", "»"), ("deg", "°"), ("times", "×"), ("amp", "&")]:
+        out = f"replace({out}, '&{name};', '{text}')"
+    return out
+
+
+def _clean(expr: str) -> str:
+    x = _unescape(f"COALESCE({expr}, '')")
+    x = rf"regexp_replace({x}, '[^.\p{{L}}\p{{N}}_|]+', ' ', 'g')"
+    x = rf"regexp_replace({x}, '^[ |]+|[ |]+$', '', 'g')"
+    return rf"list_sort(string_split_regex({x}, ' *\|+ *'))"
+
+
+ORACLE["multivalue_clean"] = f"""
+WITH d AS (SELECT doc_id, {_clean('text')} AS vals FROM documents)
+SELECT doc_id, CAST(len(vals) AS INTEGER) AS n_vals,
+       CAST(generate_subscripts(vals, 1) AS BIGINT) AS pos, unnest(vals) AS val
+FROM d
+"""
+
+ORACLE["entity_unescape"] = f"""
+WITH u AS (SELECT page_id, {_unescape('html')} AS u FROM pages)
+SELECT page_id, CAST(length(u) AS INTEGER) AS n_chars, md5(u) AS md5 FROM u
+"""
+
+ORACLE["longest_elements"] = f"""
+WITH e AS (SELECT unnest({_clean('text')}) AS val FROM documents)
+SELECT CAST(length(val) AS INTEGER) AS n_chars, md5(val) AS md5 FROM e
+ORDER BY n_chars DESC, md5 LIMIT 10
+"""
+
+ORACLE["code_decode"] = """
+WITH c AS (SELECT c_custkey, c_acctbal, substr(c_name, 10, 9) AS code FROM customer),
+d AS (SELECT c_custkey,
+             COALESCE(CAST(CAST(trunc(TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE)) AS BIGINT) AS VARCHAR), '') AS acct_code,
+             COALESCE(substr(code, 1, 2), '') AS cc, COALESCE(substr(code, 3, 3), '') AS xxx,
+             CAST(CASE WHEN TRY_CAST(substr(code, 6, 2) AS INTEGER) < 18 THEN 2000 + TRY_CAST(substr(code, 6, 2) AS INTEGER)
+                       WHEN TRY_CAST(substr(code, 6, 2) AS INTEGER) IS NOT NULL THEN 1900 + TRY_CAST(substr(code, 6, 2) AS INTEGER)
+                  END AS DOUBLE) AS yy
+      FROM c),
+m AS (SELECT quantile_cont(yy, 0.5) AS med FROM d)
+SELECT c_custkey, acct_code, cc, xxx, COALESCE(yy, med) - 1900 AS yy FROM d, m
+"""
+
+ORACLE["bucket_labels"] = """
+SELECT p_partkey,
+       CASE WHEN p_size IS NULL OR p_size < 6 THEN '' WHEN p_size < 10 THEN '6-10' WHEN p_size < 20 THEN '10-20'
+            WHEN p_size < 30 THEN '20-30' WHEN p_size < 40 THEN '30-40' WHEN p_size < 60 THEN '40-60'
+            WHEN p_size < 80 THEN '60-80' ELSE '' END AS size_catg, 'part' AS src
+FROM part
+UNION ALL
+SELECT c_custkey, CASE WHEN c_acctbal IS NULL OR c_acctbal < 0 THEN 'neg' WHEN c_acctbal < 1000 THEN '0-1k'
+                       WHEN c_acctbal < 5000 THEN '1k-5k' ELSE '5k+' END, 'customer'
+FROM customer
+"""
+
+ORACLE["date_features"] = """
+WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT o_orderkey, CAST(date_diff('day', DATE '1970-01-01', d) AS DOUBLE) AS days,
+       CAST(year(d) AS VARCHAR) AS year, CAST(month(d) AS VARCHAR) AS month, CAST(day(d) AS VARCHAR) AS day,
+       CAST(date_diff('day', DATE '1970-01-01', make_date(year(d), month(d), 1)) AS BIGINT) AS month_start,
+       CAST(date_diff('day', DATE '1970-01-01', make_date(year(d), 1, 1)) AS BIGINT) AS year_start,
+       round_even((date_diff('day', DATE '1970-01-01', d) - 8035.0) / 365.0, 0) AS tenure_years
+FROM o
+"""
+
+ORACLE["range_median"] = """
+WITH m AS (SELECT quantile_cont(p_size, 0.5) AS med FROM part WHERE p_size BETWEEN 6 AND 40)
+SELECT p_partkey, CASE WHEN p_size BETWEEN 6 AND 40 THEN CAST(p_size AS DOUBLE) ELSE med END AS size
+FROM part, m
+"""
+
+ORACLE["fill_median"] = """
+WITH p AS (SELECT p_partkey, CASE WHEN p_size >= 10 THEN p_retailprice END AS price,
+                  CASE WHEN p_size <= 45 THEN CAST(p_size AS DOUBLE) END AS size FROM part),
+m AS (SELECT quantile_cont(price, 0.5) AS mp, quantile_cont(size, 0.5) AS ms FROM p)
+SELECT p_partkey, COALESCE(price, mp) AS price, COALESCE(size, ms) AS size FROM p, m
+"""
+
+_GAPS = """
+g AS (SELECT c_custkey, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS seg,
+             CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS bal,
+             CASE WHEN c_nationkey <> 0 THEN c_nationkey END AS nat FROM customer)
+"""
+
+ORACLE["fill_defaults"] = f"""
+WITH {_GAPS}, m AS (SELECT quantile_cont(bal, 0.5) AS mb FROM g)
+SELECT c_custkey, COALESCE(seg, '') AS seg, ROUND(COALESCE(bal, mb), 6) AS bal, COALESCE(nat, 0) AS nat FROM g, m
+"""
+
+ORACLE["missing_fraction"] = f"""
+WITH {_GAPS}
+SELECT ROUND(avg(CASE WHEN seg IS NULL OR seg = '' THEN 1 ELSE 0 END), 6) AS seg,
+       ROUND(avg(CASE WHEN bal IS NULL OR CAST(bal AS VARCHAR) = '' THEN 1 ELSE 0 END), 6) AS bal,
+       ROUND(avg(CASE WHEN nat IS NULL OR CAST(nat AS VARCHAR) = '' THEN 1 ELSE 0 END), 6) AS nat
+FROM g
+"""
+
+ORACLE["unnest_stats"] = """
+WITH p AS (SELECT p_partkey, COALESCE(string_split(p_name, ' '), ['']) AS tokens FROM part)
+SELECT token, count(*) AS cnt, ROUND(avg(n_tokens), 6) AS mean_len
+FROM (SELECT unnest(tokens) AS token, len(tokens) AS n_tokens FROM p) GROUP BY token
+"""
+
+ORACLE["interval_flag"] = """
+WITH o AS (SELECT o_orderkey, CAST(month(o_orderdate) AS VARCHAR) AS m,
+                  CASE WHEN o_orderstatus = 'O' THEN '1' ELSE '0' END AS promo,
+                  CASE o_orderpriority WHEN '1-URGENT' THEN 'Jan,Apr,Jul,Oct' WHEN '2-HIGH' THEN 'Feb,May,Aug,Nov'
+                                       WHEN '3-MEDIUM' THEN 'Mar,Jun,Sept,Dec' END AS iv FROM orders)
+SELECT o_orderkey,
+       CASE WHEN promo = '1' AND COALESCE(list_contains(list_transform(string_split(iv, ','), lambda x:
+            CASE x WHEN 'Jan' THEN '1' WHEN 'Feb' THEN '2' WHEN 'Mar' THEN '3' WHEN 'Apr' THEN '4'
+                   WHEN 'May' THEN '5' WHEN 'Jun' THEN '6' WHEN 'Jul' THEN '7' WHEN 'Aug' THEN '8'
+                   WHEN 'Sept' THEN '9' WHEN 'Oct' THEN '10' WHEN 'Nov' THEN '11' WHEN 'Dec' THEN '12' END), m), false)
+            THEN '1' ELSE '0' END AS promo_flag
+FROM o
+"""
