@@ -314,6 +314,288 @@ def interval_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", flag(promo, F.month("o_orderdate"), interval).alias("promo_flag"))
 
 
+
+# ------------------------------------------------------------ joins
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _safe(name: str) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in name)
+
+
+def fat_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log x encoded user profile x encoded item profile."""
+    from featurelane.operators import encoders as E
+    from featurelane.operators.joins import fat_join
+    t = Tables(spark, sf_dir)
+    log = lineitem_log(t).select("l_orderkey", "l_linenumber", "o_custkey", "l_partkey", "target")
+    cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment",
+                             F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("acctbal"))
+    cust = E.encode(cust, "c_mktsegment", E.sorted_vocab(cust, "c_mktsegment"), "seg_id")
+    cust_scaler = E.fit_scaler(cust, ["acctbal"], ddof=0)          # users' numerics: users table
+    cust = cust_scaler.transform(cust).select("o_custkey", "seg_id", "acctbal")
+    part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_retailprice")
+    part = E.encode(part, "p_brand", E.sorted_vocab(part, "p_brand"), "brand_id")
+    part_scaler = E.fit_scaler(part, ["p_retailprice"], ddof=0)    # items' numerics: items table
+    part = part_scaler.transform(part).select("l_partkey", "brand_id", "p_retailprice")
+    fat = fat_join(log, cust, part, "o_custkey", "l_partkey")
+    z = lambda m, c: (m.stats[c]["median"] - m.stats[c]["mean"]) / m.stats[c]["std"]
+    fat = fat.na.fill({"seg_id": 0, "brand_id": 0, "acctbal": z(cust_scaler, "acctbal"),
+                       "p_retailprice": z(part_scaler, "p_retailprice")})
+    return fat.select("raw_o_custkey", "raw_l_partkey", "l_orderkey", "l_linenumber", "seg_id",
+                      _r(F.col("acctbal")).alias("acctbal_z"), "brand_id",
+                      _r(F.col("p_retailprice")).alias("price_z"), "target")
+
+
+def _part_counts(t: Tables) -> DataFrame:
+    from featurelane.operators.explore import value_counts
+    return value_counts(t.lineitem, "l_partkey")
+
+
+def semi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitems of the 20 most frequent parts (semi-join to a computed key list)."""
+    from featurelane.operators.explore import top_k
+    from featurelane.operators.joins import semi_join
+    t = Tables(spark, sf_dir)
+    top = top_k(_part_counts(t), [F.col("cnt").desc(), F.col("l_partkey")], 20).select("l_partkey")
+    return semi_join(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), top, "l_partkey")
+
+
+def semi_join_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``isin`` on two keys, ANDed (two semi-joins)."""
+    from featurelane.operators.joins import semi_join
+    t = Tables(spark, sf_dir)
+    parts = t.part.where(F.col("p_size") >= 40).select(F.col("p_partkey").alias("l_partkey"))
+    supps = t.supplier.where(F.col("s_acctbal") > 5000).select(F.col("s_suppkey").alias("l_suppkey"))
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return semi_join(semi_join(li, parts, "l_partkey"), supps, "l_suppkey")
+
+
+def having_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with at least 35 lineitems."""
+    from featurelane.operators.explore import having_count
+    t = Tables(spark, sf_dir)
+    return having_count(t.lineitem, ["l_partkey"], 35)
+
+
+def topk_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Popularity ranks 2..30 (``[1:30]``), ties by key."""
+    from pyspark.sql import Window
+    from featurelane.operators.explore import top_k
+    t = Tables(spark, sf_dir)
+    order = [F.col("cnt").desc(), F.col("l_partkey")]
+    top = top_k(_part_counts(t), order, 29, offset=1)
+    # ranking the 29 kept rows: a window over a bounded, already-limited set
+    return top.withColumn("rank", (F.row_number().over(Window.orderBy(*order)) + 1).cast("long"))
+
+
+def group_mean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order carries its customer's mean order value."""
+    from featurelane.operators.joins import group_stat_rows
+    t = Tables(spark, sf_dir)
+    out = group_stat_rows(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), ["o_custkey"],
+                          "o_totalprice", "cust_mean")
+    return out.select("o_orderkey", "o_custkey", _r(F.col("cust_mean")).alias("cust_mean"))
+
+
+# ----------------------------------------------------------------- exploration
+
+def _orders_customers(t: Tables) -> DataFrame:
+    od = t.orders.select("o_custkey", "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("target"),
+                         "o_orderstatus")
+    return od.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+
+
+def pivot_mean_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean target and row count per segment x priority (fixed ticks), empty -> 0."""
+    from featurelane.operators.explore import pivot_mean_count as pivot
+    t = Tables(spark, sf_dir)
+    pv = pivot(_orders_customers(t), "c_mktsegment", "o_orderpriority", "target", PRIORITIES)
+    cols = [F.col("c_mktsegment")]
+    for p in PRIORITIES:
+        cols += [_r(F.col(f"`{p}_mean`")).alias(f"mean_{_safe(p)}"), F.col(f"`{p}_count`").alias(f"count_{_safe(p)}")]
+    return pv.select(*cols)
+
+
+def facet_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count pivot of status x priority, one facet per segment."""
+    from featurelane.operators.explore import pivot_count
+    t = Tables(spark, sf_dir)
+    pv = pivot_count(_orders_customers(t), "o_orderstatus", "o_orderpriority", PRIORITIES, facet=["c_mktsegment"])
+    return pv.select("c_mktsegment", "o_orderstatus", *[F.col(f"`{p}`").alias(f"cnt_{_safe(p)}") for p in PRIORITIES])
+
+
+def _rounded(df: DataFrame, keys) -> DataFrame:
+    return df.select(*keys, *[_r(F.col(c)).alias(c) for c in df.columns if c not in keys])
+
+
+def describe_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grouped describe of quantity per return flag, plus sum."""
+    from featurelane.operators.explore import describe
+    t = Tables(spark, sf_dir)
+    return _rounded(describe(t.lineitem, "l_quantity", ["l_returnflag"]), ["l_returnflag"])
+
+
+def describe_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Describe of order value over the whole table."""
+    from featurelane.operators.explore import describe
+    t = Tables(spark, sf_dir)
+    return _rounded(describe(t.orders, "o_totalprice"), [])
+
+
+def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box-plot statistics of price per (flag, status)."""
+    from featurelane.operators.explore import box_stats as box
+    t = Tables(spark, sf_dir)
+    return _rounded(box(t.lineitem, ["l_returnflag", "l_linestatus"], "l_extendedprice"),
+                    ["l_returnflag", "l_linestatus", "n_outliers"])
+
+
+def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10 equal-width bins of price per return flag."""
+    from featurelane.operators.explore import histogram as hist
+    t = Tables(spark, sf_dir)
+    return _rounded(hist(t.lineitem, ["l_returnflag"], "l_extendedprice", 10), ["l_returnflag", "bin", "cnt"])
+
+
+def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pearson correlations of the lineitem measures (long form)."""
+    from featurelane.operators.explore import corr_matrix as corr
+    t = Tables(spark, sf_dir)
+    out = corr(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return out.select("col_a", "col_b", _r(F.col("corr")).alias("corr"))
+
+
+def trend_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line of part return rate on popularity rank, ranks 2..100."""
+    from featurelane.operators.explore import trend_line as line
+    from featurelane.operators.ordered import number_within
+    t = Tables(spark, sf_dir)
+    pop = H.entity_popularity(lineitem_log(t), "l_partkey", "target", "item")
+    ranked = number_within(pop, [], [F.col("item_clicks").desc(), F.col("l_partkey")], "rank")
+    out = line(ranked.where(F.col("rank").between(2, 100)), "item_pplrty", "rank")
+    return _rounded(out, ["n"])
+
+
+# ------------------------------------------------------- batches, hashing, pooling (W5, W6, E*, R8-R11)
+
+def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5/W6 + R6: encode whole conversation turns, 64-row batches, zero-pad per batch."""
+    from featurelane.operators import encoders as E
+    from featurelane.operators.multivalue import batches, pad_in_batch
+    t = Tables(spark, sf_dir)
+    conv = t.conversations.select("conv_id", "turn", F.split("text", " ").alias("toks"))
+    vocab = E.frequency_vocab(conv, "toks", multivalent=True)
+    enc = E.encode_array(conv, ["conv_id", "turn"], "toks", vocab, "ids")
+    padded = pad_in_batch(batches(enc, ["conv_id", "turn"], 64), "ids")
+    out = padded.select("conv_id", "turn", "batch_id", F.posexplode("ids").alias("pos", "token_id"))
+    return out.withColumn("pos", (F.col("pos") + 1).cast("long"))
+
+
+def hash_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash bucket, hashed cross, fixed one-hot, identity bucket (rows-only check)."""
+    from featurelane.operators import encoders as E
+    t = Tables(spark, sf_dir)
+    o = t.orders
+    return o.select("o_orderkey", E.hash_bucket("o_custkey", 2000).alias("cust_bucket"),
+                    E.hashed_cross(["o_orderpriority", "o_orderstatus"], 10000).alias("cross_bucket"),
+                    *E.one_hot_fixed("o_orderstatus", ["F", "O", "P"], "status"),
+                    E.identity_bucket(F.substring("o_orderpriority", 1, 1), 5).alias("prio_ident"))
+
+
+def _emb(t: Tables) -> DataFrame:
+    from featurelane.operators.pooling import vectors_long
+    return vectors_long(t.embeddings, "vec_id", "embedding")
+
+
+def _pool_weighted(t: Tables) -> DataFrame:
+    from featurelane.operators.pooling import weighted_pool
+    hist = H.value_stats(event_log(t), "user_id", "item", "target", ("count",))
+    return weighted_pool(hist, ["user_id"], "item", "cnt", _emb(t))
+
+
+def _pool_positive(t: Tables) -> DataFrame:
+    from featurelane.operators.pooling import mean_sqrt_pool
+    pos = event_log(t).where(F.col("target") == 1)
+    return mean_sqrt_pool(pos, ["user_id"], "item", _emb(t))
+
+
+def pooling_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count-weighted (L2-normalised) pooled item vector per user."""
+    out = _pool_weighted(Tables(spark, sf_dir))
+    return out.select("user_id", "dim", _r(F.col("x")).alias("x"))
+
+
+def pooling_mean_sqrt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of positive-item vectors / sqrt(list length) per user."""
+    out = _pool_positive(Tables(spark, sf_dir))
+    return out.select("user_id", "dim", _r(F.col("x")).alias("x"))
+
+
+def vector_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Element-wise product of the two pooled user vectors."""
+    from featurelane.operators.pooling import vector_product as prod
+    t = Tables(spark, sf_dir)
+    out = prod(_pool_weighted(t), _pool_positive(t), ["user_id"])
+    return out.select("user_id", "dim", _r(F.col("x")).alias("x"))
+
+
+# -------------------------------------------------------------------- metrics
+
+def metrics_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7/M8: price predicted by the part's mean price -- RMSPE, RMSE, MAE."""
+    from featurelane.operators.joins import group_stat_rows
+    from featurelane.operators.metrics import regression_metrics
+    t = Tables(spark, sf_dir)
+    pred = group_stat_rows(t.lineitem.select("l_partkey", "l_extendedprice"), ["l_partkey"], "l_extendedprice", "pred")
+    return _rounded(regression_metrics(pred, "l_extendedprice", "pred"), [])
+
+
+def _scored_docs(t: Tables) -> DataFrame:
+    return t.labels.select("doc_id", "quality").join(t.documents.select("doc_id", "n_chars"), "doc_id")
+
+
+def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC (rank formula, ties half) and log-loss of a standardised length logit."""
+    from featurelane.operators.encoders import fit_scaler
+    from featurelane.operators.metrics import auc, log_loss_from_logits
+    from featurelane.operators.split import _one_row_merge
+    t = Tables(spark, sf_dir)
+    d = _scored_docs(t)
+    z = fit_scaler(d, ["n_chars"], ddof=0, fill_median=False).transform(d, ["n_chars"], suffix="_z")
+    out = _one_row_merge(auc(d, "quality", "n_chars"), log_loss_from_logits(z, "quality", "n_chars_z"))
+    return _rounded(out, [])
+
+
+def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: ROC points, one per distinct score."""
+    from featurelane.operators.metrics import roc_points
+    out = roc_points(_scored_docs(Tables(spark, sf_dir)), "quality", "n_chars")
+    return _rounded(out, [])
+
+
+# ------------------------------------------------------------- series
+
+def series_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily order value per nation; last 30% of days predicted by the
+    nation's training mean; history and predictions unioned in date order."""
+    from featurelane.operators.ordered import number_within
+    from featurelane.operators.split import chrono_split
+    t = Tables(spark, sf_dir)
+    od = t.orders.select("o_custkey", "o_totalprice", F.unix_date(F.to_date("o_orderdate")).alias("day"))
+    cu = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    daily = od.join(cu, "o_custkey").groupBy("nation", "day").agg(F.sum("o_totalprice").alias("actual"))
+    split = chrono_split(daily, "nation", ["day"], valid=0.3)
+    train = split.where(F.col("split") == "train")
+    mean = train.groupBy("nation").agg(F.avg("actual").alias("pred"))
+    hist = train.select("nation", "day", "actual", F.lit(None).cast("double").alias("pred"))
+    pred = split.where(F.col("split") == "valid").join(mean, "nation", "left").select("nation", "day", "actual", "pred")
+    series = number_within(hist.unionByName(pred), ["nation"], ["day"], "pos")
+    return series.select("nation", "pos", "day", _r(F.col("actual")).alias("actual"), _r(F.col("pred")).alias("pred"),
+                         F.col("pred").isNull().alias("is_history"))
+
+
 QUERIES = {
     "history_user_item": history_user_item,
     "history_user_token": history_user_token,
@@ -342,4 +624,27 @@ QUERIES = {
     "missing_fraction": missing_fraction,
     "unnest_stats": unnest_stats,
     "interval_flag": interval_flag,
+    "fat_table": fat_table,
+    "semi_topk": semi_topk,
+    "semi_join_keys": semi_join_keys,
+    "having_counts": having_counts,
+    "topk_offset": topk_offset,
+    "group_mean_rows": group_mean_rows,
+    "pivot_mean_count": pivot_mean_count,
+    "facet_pivot": facet_pivot,
+    "describe_groups": describe_groups,
+    "describe_global": describe_global,
+    "box_stats": box_stats,
+    "histogram": histogram,
+    "corr_matrix": corr_matrix,
+    "trend_line": trend_line,
+    "pad_batches": pad_batches,
+    "hash_cross": hash_cross,
+    "pooling_weighted": pooling_weighted,
+    "pooling_mean_sqrt": pooling_mean_sqrt,
+    "vector_product": vector_product,
+    "metrics_regression": metrics_regression,
+    "roc_auc": roc_auc,
+    "roc_curve": roc_curve,
+    "series_compare": series_compare,
 }

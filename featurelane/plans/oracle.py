@@ -294,3 +294,211 @@ SELECT o_orderkey,
             THEN '1' ELSE '0' END AS promo_flag
 FROM o
 """
+
+ORACLE["fat_table"] = f"""
+WITH {_LINEITEM_LOG},
+c AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS acctbal FROM customer),
+cv AS (SELECT label, row_number() OVER (ORDER BY label) AS idx
+       FROM (SELECT DISTINCT c_mktsegment AS label FROM c WHERE c_mktsegment IS NOT NULL AND c_mktsegment <> '')),
+cs AS (SELECT avg(acctbal) AS m, stddev_pop(acctbal) AS sd, quantile_cont(acctbal, 0.5) AS med FROM c),
+cu AS (SELECT c.c_custkey, COALESCE(cv.idx, 0) AS seg_id, (COALESCE(c.acctbal, cs.med) - cs.m) / cs.sd AS acctbal_z
+       FROM c LEFT JOIN cv ON c.c_mktsegment = cv.label, cs),
+pv AS (SELECT label, row_number() OVER (ORDER BY label) AS idx
+       FROM (SELECT DISTINCT p_brand AS label FROM part WHERE p_brand IS NOT NULL AND p_brand <> '')),
+ps AS (SELECT avg(p_retailprice) AS m, stddev_pop(p_retailprice) AS sd, quantile_cont(p_retailprice, 0.5) AS med FROM part),
+pa AS (SELECT p.p_partkey, COALESCE(pv.idx, 0) AS brand_id, (COALESCE(p.p_retailprice, ps.med) - ps.m) / ps.sd AS price_z
+       FROM part p LEFT JOIN pv ON p.p_brand = pv.label, ps)
+SELECT log.o_custkey AS raw_o_custkey, log.l_partkey AS raw_l_partkey, log.l_orderkey, log.l_linenumber,
+       CAST(COALESCE(cu.seg_id, 0) AS INTEGER) AS seg_id,
+       ROUND(COALESCE(cu.acctbal_z, (SELECT (med - m) / sd FROM cs)), 6) AS acctbal_z,
+       CAST(COALESCE(pa.brand_id, 0) AS INTEGER) AS brand_id,
+       ROUND(COALESCE(pa.price_z, (SELECT (med - m) / sd FROM ps)), 6) AS price_z, log.target
+FROM log LEFT JOIN cu ON log.o_custkey = cu.c_custkey LEFT JOIN pa ON log.l_partkey = pa.p_partkey
+"""
+
+_PART_COUNTS = "pc AS (SELECT l_partkey, count(*) AS cnt FROM lineitem GROUP BY l_partkey)"
+
+ORACLE["semi_topk"] = f"""
+WITH {_PART_COUNTS}, top AS (SELECT l_partkey FROM pc ORDER BY cnt DESC, l_partkey LIMIT 20)
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey IN (SELECT l_partkey FROM top)
+"""
+
+ORACLE["semi_join_keys"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size >= 40)
+  AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)
+"""
+
+ORACLE["having_counts"] = """
+SELECT l_partkey, count(*) AS cnt FROM lineitem GROUP BY l_partkey HAVING count(*) >= 35
+"""
+
+ORACLE["topk_offset"] = f"""
+WITH {_PART_COUNTS}
+SELECT l_partkey, cnt, rank FROM (
+  SELECT l_partkey, cnt, row_number() OVER (ORDER BY cnt DESC, l_partkey) AS rank FROM pc)
+WHERE rank BETWEEN 2 AND 30
+"""
+
+ORACLE["group_mean_rows"] = """
+SELECT o_orderkey, o_custkey, ROUND(avg(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS cust_mean FROM orders
+"""
+
+_OC = """
+oc AS (SELECT o.o_orderpriority AS prio, o.o_orderstatus, CAST(o.o_orderstatus = 'F' AS INTEGER) AS target, c.c_mktsegment
+       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
+"""
+_PRIOS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _safe(name: str) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in name)
+
+
+ORACLE["pivot_mean_count"] = f"""
+WITH {_OC}
+SELECT c_mktsegment,
+       {", ".join(f"ROUND(COALESCE(avg(target) FILTER (WHERE prio = '{p}'), 0), 6) AS mean_{_safe(p)}, "
+                  f"count(*) FILTER (WHERE prio = '{p}') AS count_{_safe(p)}" for p in _PRIOS)}
+FROM oc GROUP BY c_mktsegment
+"""
+
+ORACLE["facet_pivot"] = f"""
+WITH {_OC}
+SELECT c_mktsegment, o_orderstatus,
+       {", ".join(f"count(*) FILTER (WHERE prio = '{p}') AS cnt_{_safe(p)}" for p in _PRIOS)}
+FROM oc GROUP BY c_mktsegment, o_orderstatus
+"""
+
+
+def _describe(x: str) -> str:
+    return ", ".join([f"ROUND(CAST(count({x}) AS DOUBLE), 6) AS count", f"ROUND(avg({x}), 6) AS mean",
+                      f"ROUND(stddev_samp({x}), 6) AS std", f"ROUND(min({x}), 6) AS min", f"ROUND(max({x}), 6) AS max",
+                      f"ROUND(sum({x}), 6) AS sum", f"ROUND(quantile_cont({x}, 0.25), 6) AS q25",
+                      f"ROUND(quantile_cont({x}, 0.5), 6) AS q50", f"ROUND(quantile_cont({x}, 0.75), 6) AS q75"])
+
+
+ORACLE["describe_groups"] = f"SELECT l_returnflag, {_describe('l_quantity')} FROM lineitem GROUP BY l_returnflag"
+
+ORACLE["describe_global"] = f"SELECT {_describe('o_totalprice')} FROM orders"
+
+ORACLE["box_stats"] = """
+WITH q AS (SELECT l_returnflag, l_linestatus, quantile_cont(l_extendedprice, 0.25) AS q1,
+                  quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.75) AS q3
+           FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag, l_linestatus),
+j AS (SELECT l.l_returnflag, l.l_linestatus, l.l_extendedprice AS x, q.q1, q.median, q.q3,
+             q.q1 - 1.5 * (q.q3 - q.q1) AS lo, q.q3 + 1.5 * (q.q3 - q.q1) AS hi
+      FROM lineitem l JOIN q ON l.l_returnflag = q.l_returnflag AND l.l_linestatus = q.l_linestatus
+      WHERE l.l_extendedprice IS NOT NULL)
+SELECT l_returnflag, l_linestatus, ROUND(first(q1), 6) AS q1, ROUND(first(median), 6) AS median,
+       ROUND(first(q3), 6) AS q3, ROUND(avg(x), 6) AS mean,
+       ROUND(min(x) FILTER (WHERE x >= lo), 6) AS whisker_lo, ROUND(max(x) FILTER (WHERE x <= hi), 6) AS whisker_hi,
+       CAST(sum(CASE WHEN x < lo OR x > hi THEN 1 ELSE 0 END) AS BIGINT) AS n_outliers
+FROM j GROUP BY l_returnflag, l_linestatus
+"""
+
+ORACLE["histogram"] = """
+WITH r AS (SELECT l_returnflag, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi
+           FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag),
+b AS (SELECT l.l_returnflag, r.lo, r.hi,
+             CAST(CASE WHEN r.hi = r.lo THEN 0
+                       ELSE least(floor((l.l_extendedprice - r.lo) / (r.hi - r.lo) * 10), 9) END AS INTEGER) AS bin
+      FROM lineitem l JOIN r ON l.l_returnflag = r.l_returnflag WHERE l.l_extendedprice IS NOT NULL)
+SELECT l_returnflag, bin, count(*) AS cnt, ROUND(first(lo), 6) AS lo, ROUND(first(hi), 6) AS hi
+FROM b GROUP BY l_returnflag, bin
+"""
+
+_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+ORACLE["corr_matrix"] = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, ROUND(corr({a}, {b}), 6) AS corr FROM lineitem"
+    for i, a in enumerate(_MEASURES) for b in _MEASURES[i + 1:])
+
+ORACLE["trend_line"] = f"""
+WITH {_LINEITEM_LOG},
+pop AS (SELECT l_partkey, CAST(count(target) AS DOUBLE) AS clicks, avg(target) AS pplrty FROM log GROUP BY l_partkey),
+r AS (SELECT pplrty, row_number() OVER (ORDER BY clicks DESC, l_partkey) AS rank FROM pop)
+SELECT ROUND(regr_slope(pplrty, rank), 6) AS slope, ROUND(regr_intercept(pplrty, rank), 6) AS intercept,
+       ROUND(regr_r2(pplrty, rank), 6) AS r2, CAST(regr_count(pplrty, rank) AS BIGINT) AS n
+FROM r WHERE rank BETWEEN 2 AND 100
+"""
+
+ORACLE["pad_batches"] = """
+WITH c AS (SELECT conv_id, turn, COALESCE(string_split(text, ' '), ['']) AS toks FROM conversations),
+cnt AS (SELECT tok AS label, count(*) AS freq FROM (SELECT unnest(toks) AS tok FROM c)
+        WHERE tok IS NOT NULL AND tok <> '' GROUP BY tok),
+v AS (SELECT label, row_number() OVER (ORDER BY freq DESC, label) AS idx FROM cnt),
+b AS (SELECT conv_id, turn, toks, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 64 AS batch_id FROM c),
+m AS (SELECT batch_id, max(len(toks)) AS ml FROM b GROUP BY batch_id),
+e AS (SELECT conv_id, turn, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM b),
+g AS (SELECT b.conv_id, b.turn, b.batch_id, unnest(range(1, m.ml + 1)) AS pos FROM b JOIN m ON b.batch_id = m.batch_id)
+SELECT g.conv_id, g.turn, g.batch_id, CAST(g.pos AS BIGINT) AS pos, CAST(COALESCE(v.idx, 0) AS INTEGER) AS token_id
+FROM g LEFT JOIN e ON g.conv_id = e.conv_id AND g.turn = e.turn AND g.pos = e.pos LEFT JOIN v ON e.tok = v.label
+"""
+
+_EMB = """
+e AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
+             CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+log AS (SELECT user_id, json_extract_string(props, '$.k') AS item,
+               CAST(event_type = 'purchase' AS INTEGER) AS target FROM events),
+h AS (SELECT user_id, item, CAST(count(target) AS DOUBLE) AS w FROM log WHERE item IS NOT NULL GROUP BY user_id, item),
+n AS (SELECT user_id, sqrt(sum(w * w)) AS norm FROM h GROUP BY user_id),
+pw AS (SELECT h.user_id, e.dim, sum(e.x * (h.w / n.norm)) AS x
+       FROM h JOIN n ON h.user_id = n.user_id JOIN e ON CAST(h.item AS BIGINT) = e.vec_id GROUP BY h.user_id, e.dim),
+ln AS (SELECT user_id, count(*) AS len FROM log WHERE target = 1 GROUP BY user_id),
+pp AS (SELECT s.user_id, s.dim, s.x / sqrt(ln.len) AS x FROM
+         (SELECT l.user_id, e.dim, sum(e.x) AS x FROM log l JOIN e ON CAST(l.item AS BIGINT) = e.vec_id
+          WHERE l.target = 1 GROUP BY l.user_id, e.dim) s JOIN ln ON s.user_id = ln.user_id)
+"""
+
+ORACLE["pooling_weighted"] = f"WITH {_EMB} SELECT user_id, dim, ROUND(x, 6) AS x FROM pw"
+ORACLE["pooling_mean_sqrt"] = f"WITH {_EMB} SELECT user_id, dim, ROUND(x, 6) AS x FROM pp"
+ORACLE["vector_product"] = f"""
+WITH {_EMB}
+SELECT COALESCE(pw.user_id, pp.user_id) AS user_id, COALESCE(pw.dim, pp.dim) AS dim,
+       ROUND(COALESCE(pw.x, 0) * COALESCE(pp.x, 0), 6) AS x
+FROM pw FULL JOIN pp ON pw.user_id = pp.user_id AND pw.dim = pp.dim
+"""
+
+ORACLE["metrics_regression"] = """
+WITH p AS (SELECT l_extendedprice AS y, avg(l_extendedprice) OVER (PARTITION BY l_partkey) AS pred FROM lineitem)
+SELECT ROUND(sqrt(avg(CASE WHEN y > 0 THEN ((y - pred) / y) * ((y - pred) / y) END)), 6) AS rmspe,
+       ROUND(sqrt(avg((y - pred) * (y - pred))), 6) AS rmse, ROUND(avg(abs(y - pred)), 6) AS mae
+FROM p
+"""
+
+_SCORED = """
+d AS (SELECT l.quality AS y, CAST(d.n_chars AS DOUBLE) AS s FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+st AS (SELECT s, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg, count(*) AS c FROM d GROUP BY s)
+"""
+
+ORACLE["roc_auc"] = f"""
+WITH {_SCORED},
+r AS (SELECT *, sum(c) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - c + (c + 1) / 2.0 AS ar FROM st),
+a AS (SELECT (sum(pos * ar) - sum(pos) * (sum(pos) + 1) / 2.0) / (sum(pos) * sum(neg)) AS auc FROM r),
+z AS (SELECT y, (s - avg(s) OVER ()) / stddev_pop(s) OVER () AS z FROM d),
+l AS (SELECT avg(greatest(z, 0) - z * y + ln(1 + exp(-abs(z)))) AS logloss FROM z)
+SELECT ROUND(a.auc, 6) AS auc, ROUND(l.logloss, 6) AS logloss FROM a, l
+"""
+
+ORACLE["roc_curve"] = f"""
+WITH {_SCORED}, t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM st)
+SELECT ROUND(s, 6) AS score,
+       ROUND(sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / t.P, 6) AS tpr,
+       ROUND(sum(neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / t.N, 6) AS fpr
+FROM st, t
+"""
+
+ORACLE["series_compare"] = """
+WITH daily AS (SELECT c.c_nationkey AS nation, CAST(date_diff('day', DATE '1970-01-01', CAST(o.o_orderdate AS DATE)) AS INTEGER) AS day,
+                      sum(o.o_totalprice) AS actual
+               FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY day) AS ra, count(*) OVER (PARTITION BY nation) AS n FROM daily),
+s AS (SELECT *, ra <= n - floor(n * CAST(0.3 AS DOUBLE)) AS is_train FROM r),
+m AS (SELECT nation, avg(actual) AS mean FROM s WHERE is_train GROUP BY nation),
+u AS (SELECT nation, day, actual, CAST(NULL AS DOUBLE) AS pred FROM s WHERE is_train
+      UNION ALL
+      SELECT s.nation, s.day, s.actual, m.mean FROM s LEFT JOIN m ON s.nation = m.nation WHERE NOT s.is_train)
+SELECT nation, row_number() OVER (PARTITION BY nation ORDER BY day) AS pos, day,
+       ROUND(actual, 6) AS actual, ROUND(pred, 6) AS pred, pred IS NULL AS is_history
+FROM u
+"""
