@@ -596,6 +596,147 @@ def series_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("pred").isNull().alias("is_history"))
 
 
+
+# ------------------------------------------------------------------ sources
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write customers as CSV (header, no index), read back with a declared
+    schema and per-column defaults for the fields left empty."""
+    from featurelane.sources import io
+    from featurelane.streaming.serve import work_dir
+    t = Tables(spark, sf_dir)
+    path = io.resolve(work_dir(spark, "csv"), "customer")
+    cust = _customer_gaps(t)
+    io.write_csv(cust, path)
+    schema = {"c_custkey": "bigint", "seg": "string", "bal": "double", "nat": "int"}
+    return io.read_csv(spark, path, schema, defaults={"seg": "", "bal": 0.0, "nat": 0})
+
+
+# ---------------------------------------------------------------- streaming
+
+def _profiles(t: Tables):
+    log = event_log(t)
+    users = H.entity_popularity(log, "user_id", "target", "user")
+    items = H.entity_popularity(log, "item", "target", "item")
+    return users, items
+
+
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event stream scored against saved user / item profiles (stateless)."""
+    from featurelane.streaming.serve import read_stream, run_append, score_stream
+    t = Tables(spark, sf_dir)
+    users, items = _profiles(t)
+    src = read_stream(spark, f"{sf_dir}/events.parquet", t.events.schema)
+    rec = src.select("event_id", "user_id", F.get_json_object("props", "$.k").alias("item"))
+    scored = score_stream(rec, [(users, "user_id"), (items, "item")],
+                          {"user_clicks": 0.0, "user_pplrty": 0.0, "item_clicks": 0.0, "item_pplrty": 0.0},
+                          lambda d: d.withColumn("score", (F.col("user_pplrty") + F.col("item_pplrty")) / 2))
+    out = run_append(scored, spark, "score")
+    return out.select("event_id", "user_id", "item", "user_clicks", "item_clicks",
+                      _r(F.col("score")).alias("score"))
+
+
+def stream_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running item counts over the event stream (complete-mode state)."""
+    from featurelane.streaming.serve import read_stream, vocab_counts_stream
+    t = Tables(spark, sf_dir)
+    src = read_stream(spark, f"{sf_dir}/events.parquet", t.events.schema)
+    return vocab_counts_stream(src.select(F.get_json_object("props", "$.k").alias("item")), "item", spark)
+
+
+def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON record payloads in, parsed and scored, JSON predictions out."""
+    from pyspark.sql.types import StructType
+    from featurelane.streaming.serve import json_records, read_stream, run_append, to_json_payload, work_dir
+    t = Tables(spark, sf_dir)
+    inbox = work_dir(spark, "inbox")
+    t.events.select(F.to_json(F.struct("event_id", "user_id", "value", "props")).alias("value")) \
+        .write.mode("overwrite").text(inbox)
+    schema = StructType.fromDDL("event_id bigint, user_id bigint, value double, props string")
+    src = read_stream(spark, inbox, StructType.fromDDL("value string"), fmt="text")
+    rec = json_records(src, schema, "value")
+    users, _ = _profiles(t)
+    scored = rec.join(users, "user_id", "left").na.fill({"user_pplrty": 0.0})
+    out = to_json_payload(scored, ["event_id", "user_pplrty"], "prediction")
+    res = run_append(out, spark, "json")
+    parsed = res.select(F.from_json("prediction", "event_id bigint, user_pplrty double").alias("p")).select("p.*")
+    return parsed.select("event_id", _r(F.col("user_pplrty")).alias("user_pplrty"))
+
+
+# --------------------------------------------------------------- models
+
+def _orders_features(t: Tables) -> DataFrame:
+    from featurelane.operators.encoders import fit_scaler
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus",
+                        F.log1p("o_totalprice").alias("y"),
+                        F.unix_date(F.to_date("o_orderdate")).cast("double").alias("days"),
+                        F.month("o_orderdate").cast("double").alias("month"),
+                        F.when(F.col("o_orderstatus") != "P", "1").otherwise("0").alias("open"))
+    return fit_scaler(o, ["days", "month"], ddof=1).transform(o)
+
+
+def ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ridge on the chronological train part; closed orders predict 0."""
+    from featurelane.operators.split import chrono_split
+    from featurelane.plans import models as M
+    t = Tables(spark, sf_dir)
+    o = chrono_split(_orders_features(t), "o_custkey", ["o_orderdate", "o_orderkey"], valid=0.3)
+    model = M.ridge(o.where(F.col("split") == "train"), "y", ["days", "month"], ["o_orderpriority", "o_orderstatus"])
+    return M.predict_sales(model, o, "open").select("o_orderkey", "split", "pred")
+
+
+def gbt_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: gradient-boosted trees on the dense order features."""
+    from featurelane.plans import models as M
+    o = _orders_features(Tables(spark, sf_dir))
+    model = M.gbt_regressor(o, "y", ["days", "month"], max_iter=10)
+    return model.transform(o).select("o_orderkey", _r(F.col("prediction")).alias("prediction"))
+
+
+def wide_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear model over hashed categoricals and a hashed cross."""
+    from featurelane.plans import models as M
+    o = _orders_features(Tables(spark, sf_dir)).withColumn(
+        "prio_x_status", F.concat_ws("_", "o_orderpriority", "o_orderstatus"))
+    model = M.wide_linear(o, "y", ["o_orderpriority", "o_orderstatus"], ["prio_x_status"], 10000)
+    return model.transform(o).select("o_orderkey", _r(F.col("prediction")).alias("prediction"))
+
+
+def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary classifier fitted on the fat table, every row scored."""
+    from featurelane.plans import models as M
+    fat = fat_table(spark, sf_dir)
+    model = M.classifier(fat, "target", ["seg_id", "acctbal_z", "brand_id", "price_z"])
+    return M.probability(model.transform(fat)).select("l_orderkey", "l_linenumber", _r(F.col("prob")).alias("prob"))
+
+
+def als_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: ALS user/item factors, their product stacked with profile features."""
+    from featurelane.plans import models as M
+    t = Tables(spark, sf_dir)
+    log = event_log(t).withColumn("item_id", F.col("item").cast("int"))
+    inter = log.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).cast("float").alias("n"))
+    uf, itf = M.als_factors(inter.withColumn("user_id", F.col("user_id").cast("int")), "user_id", "item_id", "n", 8)
+    users, _ = _profiles(t)
+    feats = M.hybrid_features(log.withColumn("user_id", F.col("user_id").cast("int")), uf, itf, "user_id", "item_id", 8)
+    feats = feats.join(users.withColumn("user_id", F.col("user_id").cast("int")), "user_id", "left")
+    model = M.classifier(feats, "target", [f"mf_{i}" for i in range(8)] + ["user_pplrty"])
+    return M.probability(model.transform(feats)).select("event_id", _r(F.col("prob")).alias("prob"))
+
+
+def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled ridge strengths on the fixed chronological split; best by RMSPE."""
+    from featurelane.operators.split import chrono_split
+    from featurelane.plans import models as M
+    t = Tables(spark, sf_dir)
+    o = chrono_split(_orders_features(t), "o_custkey", ["o_orderdate", "o_orderkey"], valid=0.3)
+    train, valid = o.where(F.col("split") == "train"), o.where(F.col("split") == "valid")
+    cands = [(p, M.ridge(train, "y", ["days", "month"], ["o_orderpriority", "o_orderstatus"], p["alpha"]))
+             for p in M.sample_params({"alpha": ("log", 0.01, 10.0)}, 3)]
+    best, _model, value = M.select_best(cands, valid, "y", "rmspe")
+    return spark.createDataFrame([(float(best["alpha"]), float(value))], "alpha double, rmspe double")
+
+
 QUERIES = {
     "history_user_item": history_user_item,
     "history_user_token": history_user_token,
@@ -647,4 +788,14 @@ QUERIES = {
     "roc_auc": roc_auc,
     "roc_curve": roc_curve,
     "series_compare": series_compare,
+    "csv_roundtrip": csv_roundtrip,
+    "stream_score": stream_score,
+    "stream_vocab": stream_vocab,
+    "stream_json": stream_json,
+    "ridge": ridge,
+    "gbt_sales": gbt_sales,
+    "wide_linear": wide_linear,
+    "score_batch": score_batch,
+    "als_hybrid": als_hybrid,
+    "model_search": model_search,
 }

@@ -502,3 +502,34 @@ SELECT nation, row_number() OVER (PARTITION BY nation ORDER BY day) AS pos, day,
        ROUND(actual, 6) AS actual, ROUND(pred, 6) AS pred, pred IS NULL AS is_history
 FROM u
 """
+
+ORACLE["csv_roundtrip"] = f"""
+WITH {_GAPS}
+SELECT c_custkey, COALESCE(seg, '') AS seg, COALESCE(bal, 0.0) AS bal, COALESCE(nat, 0) AS nat FROM g
+"""
+
+_PROFILES = """
+log AS (SELECT event_id, user_id, json_extract_string(props, '$.k') AS item,
+               CAST(event_type = 'purchase' AS INTEGER) AS target FROM events),
+u AS (SELECT user_id, CAST(count(target) AS DOUBLE) AS user_clicks, avg(target) AS user_pplrty FROM log GROUP BY user_id),
+i AS (SELECT item, CAST(count(target) AS DOUBLE) AS item_clicks, avg(target) AS item_pplrty FROM log GROUP BY item)
+"""
+
+ORACLE["stream_score"] = f"""
+WITH {_PROFILES}
+SELECT log.event_id, log.user_id, log.item, COALESCE(u.user_clicks, 0.0) AS user_clicks,
+       COALESCE(i.item_clicks, 0.0) AS item_clicks,
+       ROUND((COALESCE(u.user_pplrty, 0.0) + COALESCE(i.item_pplrty, 0.0)) / 2, 6) AS score
+FROM log LEFT JOIN u ON log.user_id = u.user_id LEFT JOIN i ON log.item = i.item
+"""
+
+ORACLE["stream_vocab"] = """
+SELECT label, count(*) AS freq FROM (SELECT json_extract_string(props, '$.k') AS label FROM events)
+WHERE label IS NOT NULL AND label <> '' GROUP BY label
+"""
+
+ORACLE["stream_json"] = f"""
+WITH {_PROFILES}
+SELECT e.event_id, ROUND(COALESCE(u.user_pplrty, 0.0), 6) AS user_pplrty
+FROM events e LEFT JOIN u ON e.user_id = u.user_id
+"""
