@@ -85,11 +85,16 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def camel_to_snake(name: str) -> str:
-    """Rename rule used to build P1 maps: ``CompetitionOpenSinceMonth`` -> ``competition_open_since_month``."""
+    """Rename rule used to build P1 maps: ``CompetitionOpenSinceMonth`` ->
+    ``competition_open_since_month``; digits stay glued to the next word
+    (``Promo2SinceWeek`` -> ``promo2since_week``)."""
     out = []
     for i, ch in enumerate(name):
-        if ch.isupper() and i and (not name[i - 1].isupper() or (i + 1 < len(name) and name[i + 1].islower())):
-            out.append("_")
+        if ch.isupper() and i:
+            prev = name[i - 1]
+            nxt = name[i + 1] if i + 1 < len(name) else ""
+            if prev.islower() or (prev.isupper() and nxt.islower()):
+                out.append("_")
         out.append(ch.lower())
     return "".join(out)
 

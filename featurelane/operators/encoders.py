@@ -91,11 +91,40 @@ def encode_array_long(df: DataFrame, row_key: Sequence[str], col: str, vocab: Da
 
 def encode_array(df: DataFrame, row_key: Sequence[str], col: str, vocab: DataFrame, out: str | None = None) -> DataFrame:
     """R6 nested: re-collect the encoded elements of each row in position order."""
-    out = out or col
-    long = encode_array_long(df, row_key, col, vocab, "_id")
-    nested = long.groupBy(*row_key).agg(F.sort_array(F.collect_list(F.struct("pos", "_id"))).alias("_a"))
-    nested = nested.select(*row_key, F.col("_a._id").alias(out))
-    return df.drop(out).join(nested, list(row_key), "left")
+    return encode_arrays(df, row_key, {col: vocab}, {col: out or col})
+
+
+def encode_arrays(df: DataFrame, row_key: Sequence[str], vocabs: dict[str, DataFrame],
+                  out_names: dict[str, str] | None = None) -> DataFrame:
+    """R6 / E16 for many array columns in one pass.
+
+    All array columns are stacked to ``(key, column, pos, label)``, joined once
+    against the union of their vocabularies, re-collected per ``(key, column)``
+    (one row's own elements) and pivoted back over the fixed column list; the
+    result is joined to ``df`` once.  ``row_key`` must identify a row.
+    """
+    keys = list(row_key)
+    cols = list(vocabs)
+    out_names = out_names or {}
+    # one vocabulary table; each column's vocabulary is tagged with the column name
+    voc = None
+    for c, v in vocabs.items():
+        tagged = v.select(F.lit(c).alias("_col"), F.col("label").alias("_lab"), F.col("idx").alias("_idx"))
+        voc = tagged if voc is None else voc.unionByName(tagged)
+    arrays = F.array(*[F.struct(F.lit(c).alias("_col"),
+                                F.coalesce(F.col(c).cast("array<string>"), F.array(F.lit(""))).alias("_a"))
+                       for c in cols])
+    long = (df.select(*keys, F.explode(arrays).alias("_s"))
+              .select(*keys, "_s._col", F.posexplode("_s._a").alias("_pos", "_lab")))
+    j = long.join(voc, ["_col", "_lab"], "left").withColumn("_idx", F.coalesce("_idx", F.lit(0)).cast("int"))
+    nested = j.groupBy(*keys, "_col").agg(F.sort_array(F.collect_list(F.struct("_pos", "_idx"))).alias("_l"))
+    nested = nested.withColumn("_ids", F.col("_l._idx"))
+    wide = nested.groupBy(*keys).pivot("_col", cols).agg(F.first("_ids"))
+    wide = wide.select(*keys, *[F.col(f"`{c}`").alias(f"_enc_{c}") for c in cols])
+    res = df.join(wide, keys, "left")
+    for c in cols:
+        res = res.withColumn(out_names.get(c, c), F.col(f"_enc_{c}"))
+    return res.drop(*[f"_enc_{c}" for c in cols if out_names.get(c, c) != f"_enc_{c}"])
 
 
 def encode_array_small(col: Column, vocab_labels: Sequence[str]) -> Column:

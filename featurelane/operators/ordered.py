@@ -8,6 +8,12 @@ composite key), then number or sum each slice locally and add the totals of
 the earlier slices of the same key.  Every step is a built-in aggregate, window
 over a small per-slice table, or join; nothing collects a group.
 
+Size check with a fallback: slicing costs a checkpoint write, so each call
+first measures the largest group (a partial aggregation -- cheap, and it never
+moves a group).  When no group exceeds ``spark.featurelane.maxGroupRows``
+(default 1,000,000 rows) a plain window is safe and is used; otherwise the
+sliced path runs.  A hot key therefore always takes the sliced path.
+
 Determinism: the slice id must be identical for the per-slice totals and for
 the rows they are added back to.  Two reads of a range exchange are not
 guaranteed to agree (Catalyst prunes the two branches differently, so the
@@ -66,14 +72,40 @@ def _sliced(df: DataFrame, keys: list[str], order_cols: list[Column],
     return cut_lineage(t)
 
 
+DEFAULT_MAX_GROUP_ROWS = 1_000_000
+
+
+def _max_group_rows(df: DataFrame, override: int | None) -> int:
+    if override is not None:
+        return int(override)
+    return int(df.sparkSession.conf.get("spark.featurelane.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the biggest key group (partial aggregation; 0 for an empty frame)."""
+    if not keys:
+        return df.count()
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
+    return int(row["m"] or 0)
+
+
+def _fits_one_task(df: DataFrame, keys: list[str], max_group_rows: int | None) -> bool:
+    limit = _max_group_rows(df, max_group_rows)
+    return limit > 0 and largest_group(df, keys) <= limit
+
+
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  name: str = "pos", num_partitions: int | None = None) -> DataFrame:
+                  name: str = "pos", num_partitions: int | None = None,
+                  max_group_rows: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based ``row_number() over (partition by keys order by order)``.
 
-    Skew-safe: a key's rows may span many range slices.  ``keys`` may be empty
-    (global numbering).
+    Skew-safe: a key larger than the group limit is cut into ordered slices.
+    ``keys`` may be empty (global numbering).
     """
     keys = list(keys)
+    if _fits_one_task(df, keys, max_group_rows):
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
     t = _sliced(df, keys, _cols(order), num_partitions)
     blocks = t.groupBy("_blk", *keys).agg(F.min("_mid").alias("_first"),
                                           F.count(F.lit(1)).alias("_cnt"))
@@ -86,7 +118,8 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                 values: dict[str, Column], num_partitions: int | None = None) -> DataFrame:
+                 values: dict[str, Column], num_partitions: int | None = None,
+                 max_group_rows: int | None = None) -> DataFrame:
     """Add cumulative sums (rows unbounded preceding .. current) of ``values``.
 
     Same slicing as :func:`number_within`; the local running sum is a window over
@@ -94,6 +127,12 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     """
     keys = list(keys)
     order_cols = _cols(order)
+    if _fits_one_task(df, keys, max_group_rows):
+        w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = df
+        for name, expr in values.items():
+            out = out.withColumn(name, F.sum(expr).over(w))
+        return out
     base = df
     for name, expr in values.items():
         base = base.withColumn(f"_v_{name}", expr)
@@ -115,7 +154,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``).
 
     One row per key group with one column per probability.  Nulls are skipped.
@@ -127,7 +166,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
     vcol = value if isinstance(value, Column) else F.col(value)
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    numbered = number_within(base, keys, [F.col("_v")], "_pos", num_partitions)
+    numbered = number_within(base, keys, [F.col("_v")], "_pos", num_partitions, max_group_rows)
     if keys:
         counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         j = _key_join(numbered, counts, keys, [])
