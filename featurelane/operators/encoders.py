@@ -22,7 +22,8 @@ from featurelane.operators.ordered import number_within
 def _labels(df: DataFrame, col: str | Column, multivalent: bool, outlier: str | None) -> DataFrame:
     c = F.col(col) if isinstance(col, str) else col
     if multivalent:
-        lab = df.select(F.explode(c).alias("label"))
+        # _outer + null filter: no inferred size() filter re-evaluating ``c`` in the scan
+        lab = df.select(F.explode_outer(c).alias("label"))
     else:
         lab = df.select(c.alias("label"))
     lab = lab.select(F.col("label").cast("string").alias("label")).where(F.col("label").isNotNull())
@@ -82,8 +83,8 @@ def encode_array_long(df: DataFrame, row_key: Sequence[str], col: str, vocab: Da
 
     Keeps order (``pos``, 1-based) and length; unknown elements -> 0.
     """
-    ex = df.select(*row_key, F.posexplode(F.coalesce(F.col(col), F.array(F.lit("")))).alias("pos", "label"))
-    ex = ex.withColumn("pos", (F.col("pos") + 1).cast("long"))
+    ex = df.select(*row_key, F.posexplode_outer(F.coalesce(F.col(col), F.array(F.lit("")))).alias("pos", "label"))
+    ex = ex.where(F.col("pos").isNotNull()).withColumn("pos", (F.col("pos") + 1).cast("long"))
     v = vocab.select(F.col("label").alias("_lab"), F.col("idx").alias("_idx"))
     j = ex.join(v, F.col("label") == F.col("_lab"), "left")
     return j.select(*row_key, "pos", F.col("label").alias(col), F.coalesce("_idx", F.lit(0)).cast("int").alias(out))
@@ -115,7 +116,8 @@ def encode_arrays(df: DataFrame, row_key: Sequence[str], vocabs: dict[str, DataF
                                 F.coalesce(F.col(c).cast("array<string>"), F.array(F.lit(""))).alias("_a"))
                        for c in cols])
     long = (df.select(*keys, F.explode(arrays).alias("_s"))
-              .select(*keys, "_s._col", F.posexplode("_s._a").alias("_pos", "_lab")))
+              .select(*keys, "_s._col", F.posexplode_outer("_s._a").alias("_pos", "_lab"))
+              .where(F.col("_pos").isNotNull()))
     j = long.join(voc, ["_col", "_lab"], "left").withColumn("_idx", F.coalesce("_idx", F.lit(0)).cast("int"))
     nested = j.groupBy(*keys, "_col").agg(F.sort_array(F.collect_list(F.struct("_pos", "_idx"))).alias("_l"))
     nested = nested.withColumn("_ids", F.col("_l._idx"))

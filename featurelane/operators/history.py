@@ -26,12 +26,19 @@ from featurelane.operators.ordered import number_within
 
 
 def unnest(df: DataFrame, col: str, keep: Sequence[str] | None = None, pos: str | None = None) -> DataFrame:
-    """Flatten a multivalent column: one row per element; null array -> one '' row."""
+    """Flatten a multivalent column: one row per element; null array -> one '' row.
+
+    Uses the ``_outer`` generator and drops the empty-array row afterwards:
+    a plain ``explode`` makes Catalyst infer ``size(arr) > 0`` and push it
+    into the scan, which evaluates an expensive array expression twice.
+    """
     keep = [c for c in (keep if keep is not None else df.columns) if c != col]
     arr = F.coalesce(F.col(col), F.array(F.lit("")))
+    p = pos or "_upos"
+    out = df.select(*keep, F.posexplode_outer(arr).alias(p, col)).where(F.col(p).isNotNull())
     if pos:
-        return df.select(*keep, F.posexplode(arr).alias(pos, col)).withColumn(pos, (F.col(pos) + 1).cast("long"))
-    return df.select(*keep, F.explode(arr).alias(col))
+        return out.withColumn(pos, (F.col(pos) + 1).cast("long"))
+    return out.drop(p)
 
 
 def value_stats(log: DataFrame, entity: str | Sequence[str], value: str, target: str,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelane.operators import history as H
-from featurelane.sources.tables import Tables
+from featurelane.sources.tables import Tables, spread
 
 R = 6  # decimals kept in float outputs
 
@@ -191,7 +191,7 @@ def multivalue_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalise whole document texts into sorted pipe-separated values."""
     from featurelane.functions.text import multivalue_clean as clean
     t = Tables(spark, sf_dir)
-    docs = t.documents.select("doc_id", clean("text").alias("vals"))
+    docs = spread(t.documents).select("doc_id", clean("text").alias("vals"))
     docs = docs.select("doc_id", F.size("vals").alias("n_vals"), "vals")
     out = H.unnest(docs, "vals", ["doc_id", "n_vals"], pos="pos")
     return out.select("doc_id", "n_vals", "pos", F.col("vals").alias("val"))
@@ -201,7 +201,7 @@ def entity_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 over whole raw pages: digest and length of the unescaped html."""
     from featurelane.functions.text import html_unescape
     t = Tables(spark, sf_dir)
-    u = t.pages.select("page_id", html_unescape("html").alias("u"))
+    u = spread(t.pages).select("page_id", html_unescape("html").alias("u"))
     return u.select("page_id", F.length("u").alias("n_chars"), F.md5("u").alias("md5"))
 
 
@@ -209,7 +209,7 @@ def longest_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 longest multivalent elements (top-k is the feature)."""
     from featurelane.functions.text import multivalue_clean as clean
     t = Tables(spark, sf_dir)
-    el = t.documents.select(F.explode(clean("text")).alias("val"))
+    el = spread(t.documents).select(F.explode_outer(clean("text")).alias("val")).where(F.col("val").isNotNull())
     el = el.select(F.length("val").alias("n_chars"), F.md5("val").alias("md5"))
     return el.orderBy(F.col("n_chars").desc(), F.col("md5")).limit(10)
 
@@ -485,7 +485,7 @@ def pad_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     from featurelane.operators import encoders as E
     from featurelane.operators.multivalue import batches, pad_in_batch
     t = Tables(spark, sf_dir)
-    conv = t.conversations.select("conv_id", "turn", F.split("text", " ").alias("toks"))
+    conv = spread(t.conversations).select("conv_id", "turn", F.split("text", " ").alias("toks"))
     vocab = E.frequency_vocab(conv, "toks", multivalent=True)
     enc = E.encode_array(conv, ["conv_id", "turn"], "toks", vocab, "ids")
     padded = pad_in_batch(batches(enc, ["conv_id", "turn"], 64), "ids")

@@ -8,6 +8,22 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned scan over the available cores.
+
+    A file written as one row group is read by one task, which then also runs
+    every narrow step after the scan (joins' probe side, explode, regex).  When
+    the scan has fewer partitions than the cluster has cores, a round-robin
+    ``repartition`` fixes that; a large table already has far more input splits
+    than cores and is left untouched (no extra shuffle at scale).  Projections
+    and filters still reach the scan below the repartition.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``spark.read.parquet(f"{sf_dir}/{name}.parquet")``."""
     if name not in TABLES:
