@@ -18,7 +18,14 @@ R = 6  # decimals kept in float outputs
 
 
 def _r(c):
-    return F.round(c, R)
+    """Round a float output to ``R`` decimals, the same way in every engine.
+
+    Sums of doubles differ in their last bits with the summation order, and a
+    mean such as x.xxxxxx5 then rounds up in one engine and down in another.
+    Snapping to 9 decimals as a DECIMAL first absorbs that noise; the final
+    rounding is then decimal HALF_UP, which SQL engines agree on.
+    """
+    return F.round(c.try_cast("decimal(38,9)"), R).cast("double")
 
 
 # ---------------------------------------------------------------- history (A1-A5)

@@ -533,3 +533,28 @@ WITH {_PROFILES}
 SELECT e.event_id, ROUND(COALESCE(u.user_pplrty, 0.0), 6) AS user_pplrty
 FROM events e LEFT JOIN u ON e.user_id = u.user_id
 """
+
+
+def _stable_round(sql: str) -> str:
+    """Rewrite every ``ROUND(expr, 6)`` as decimal rounding (same rule as the Spark side)."""
+    out, i, key = [], 0, "ROUND("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(key):k - 1]
+        head, sep, digits = inner.rpartition(",")
+        if sep and digits.strip() == "6":
+            out.append(f"CAST(ROUND(TRY_CAST({_stable_round(head)} AS DECIMAL(38,9)), 6) AS DOUBLE)")
+        else:
+            out.append(key + _stable_round(inner) + ")")
+        i = k
+
+
+ORACLE = {k: _stable_round(v) for k, v in ORACLE.items()}
