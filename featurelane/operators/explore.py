@@ -120,3 +120,26 @@ def pivot_count(df: DataFrame, row: str, col: str, ticks: Sequence[str] | None =
                 facet: Sequence[str] = ()) -> DataFrame:
     """``size().pivot`` -- row counts per cell, empty -> 0."""
     return df.groupBy(*facet, row).pivot(col, list(ticks) if ticks is not None else None).count().na.fill(0)
+
+
+def vocabulary_sizes(df: DataFrame, cols: Sequence[str], multivalent: Sequence[str] = (),
+                     outlier: str | None = "") -> DataFrame:
+    """Distinct labels per categorical column (arrays counted by element),
+    null and the outlier excluded; one stacked pass, long form ``(feature, n_unique)``."""
+    parts = []
+    for c in list(cols) + list(multivalent):
+        v = F.explode_outer(F.col(c).cast("array<string>")) if c in multivalent else F.col(c).cast("string")
+        parts.append(df.select(F.lit(c).alias("feature"), v.alias("label")))
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    stacked = stacked.where(F.col("label").isNotNull())
+    if outlier is not None:
+        stacked = stacked.where(F.col("label") != F.lit(outlier))
+    return stacked.groupBy("feature").agg(F.count_distinct("label").alias("n_unique"))
+
+
+def numeric_tick_order(df: DataFrame, col: str, name: str = "tick") -> DataFrame:
+    """Order string codes numerically ('2' before '10'); non-numbers last, by text."""
+    from featurelane.operators.ordered import number_within
+    return number_within(df, [], [F.col(col).try_cast("bigint").asc_nulls_last(), F.col(col)], name)

@@ -745,6 +745,36 @@ def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+
+def vocab_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vocabulary size per categorical of the fat log (tokens counted by element)."""
+    from featurelane.operators.explore import vocabulary_sizes
+    t = Tables(spark, sf_dir)
+    log = lineitem_log(t).join(t.part.select("p_partkey", "p_brand", "p_type", F.split("p_name", " ").alias("tokens")),
+                               F.col("l_partkey") == F.col("p_partkey"), "left")
+    return vocabulary_sizes(log, ["l_linestatus", "o_orderpriority", "p_brand", "p_type"], ["tokens"])
+
+
+def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct users of the log (the base list histories are aligned to)."""
+    return lineitem_log(Tables(spark, sf_dir)).select("o_custkey").distinct()
+
+
+def tick_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation codes as strings, counted, ordered numerically."""
+    from featurelane.operators.explore import numeric_tick_order, value_counts
+    t = Tables(spark, sf_dir)
+    codes = value_counts(t.customer.select(F.col("c_nationkey").cast("string").alias("code")), "code")
+    return numeric_tick_order(codes, "code")
+
+
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: 100 lineitems drawn without replacement with a fixed seed (sampling is the feature)."""
+    from featurelane.operators.explore import random_sample
+    t = Tables(spark, sf_dir)
+    return random_sample(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice"), 100, seed=42)
+
+
 # ------------------------------------------------------------ end-to-end flows (A, B)
 
 def interaction_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -886,6 +916,10 @@ QUERIES = {
     "score_batch": score_batch,
     "als_hybrid": als_hybrid,
     "model_search": model_search,
+    "vocab_sizes": vocab_sizes,
+    "distinct_users": distinct_users,
+    "tick_order": tick_order,
+    "sample_rows": sample_rows,
     "interaction_flow": interaction_flow,
     "sales_flow": sales_flow,
 }

@@ -535,6 +535,26 @@ FROM events e LEFT JOIN u ON e.user_id = u.user_id
 """
 
 
+ORACLE["vocab_sizes"] = f"""
+WITH {_LINEITEM_LOG},
+j AS (SELECT log.*, p.p_brand, p.p_type, string_split(p.p_name, ' ') AS tokens
+      FROM log LEFT JOIN part p ON log.l_partkey = p.p_partkey),
+s AS (SELECT 'l_linestatus' AS feature, l_linestatus AS label FROM j
+      UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM j
+      UNION ALL SELECT 'p_brand', p_brand FROM j
+      UNION ALL SELECT 'p_type', p_type FROM j
+      UNION ALL SELECT 'tokens', unnest(tokens) FROM j)
+SELECT feature, count(DISTINCT label) AS n_unique FROM s WHERE label IS NOT NULL AND label <> '' GROUP BY feature
+"""
+
+ORACLE["distinct_users"] = f"WITH {_LINEITEM_LOG} SELECT DISTINCT o_custkey FROM log"
+
+ORACLE["tick_order"] = """
+WITH c AS (SELECT CAST(c_nationkey AS VARCHAR) AS code, count(*) AS cnt FROM customer GROUP BY 1)
+SELECT code, cnt, row_number() OVER (ORDER BY TRY_CAST(code AS BIGINT) NULLS LAST, code) AS tick FROM c
+"""
+
+
 def _stable_round(sql: str) -> str:
     """Rewrite every ``ROUND(expr, 6)`` as decimal rounding (same rule as the Spark side)."""
     out, i, key = [], 0, "ROUND("
