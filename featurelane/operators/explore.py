@@ -50,9 +50,12 @@ def describe(df: DataFrame, value: str | Column, keys: Sequence[str] = ()) -> Da
     keys = list(keys)
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     base = df.select(*keys, v.alias("_x"))
+    # the sum is accumulated as a DECIMAL: exact, so it does not depend on the
+    # order in which partitions are added (a double sum of 1e5 prices does)
     mom = base.groupBy(*keys).agg(F.count("_x").cast("double").alias("count"), F.avg("_x").alias("mean"),
                                   F.stddev_samp("_x").alias("std"), F.min("_x").alias("min"),
-                                  F.max("_x").alias("max"), F.sum("_x").alias("sum"))
+                                  F.max("_x").alias("max"),
+                                  F.sum(F.col("_x").cast("decimal(38,10)")).cast("double").alias("sum"))
     qs = exact_quantiles(base, keys, "_x", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
     if keys:
         return _key_join(mom, qs, keys, [])

@@ -592,7 +592,8 @@ def series_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     od = t.orders.select("o_custkey", "o_totalprice", F.unix_date(F.to_date("o_orderdate")).alias("day"))
     cu = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
-    daily = od.join(cu, "o_custkey").groupBy("nation", "day").agg(F.sum("o_totalprice").alias("actual"))
+    daily = od.join(cu, "o_custkey").groupBy("nation", "day").agg(
+        F.sum(F.col("o_totalprice").cast("decimal(38,10)")).cast("double").alias("actual"))  # exact sum
     split = chrono_split(daily, "nation", ["day"], valid=0.3)
     train = split.where(F.col("split") == "train")
     mean = train.groupBy("nation").agg(F.avg("actual").alias("pred"))
@@ -688,7 +689,8 @@ def ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     from featurelane.plans import models as M
     t = Tables(spark, sf_dir)
     o = chrono_split(_orders_features(t), "o_custkey", ["o_orderdate", "o_orderkey"], valid=0.3)
-    model = M.ridge(o.where(F.col("split") == "train"), "y", ["days", "month"], ["o_orderpriority", "o_orderstatus"])
+    model = M.ridge(o.where(F.col("split") == "train"), "y", ["days", "month"], ["o_orderpriority", "o_orderstatus"],
+                    categories=o)  # E14: dummies over train and valid categories
     return M.predict_sales(model, o, "open").select("o_orderkey", "split", "pred")
 
 

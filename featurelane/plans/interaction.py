@@ -71,7 +71,12 @@ def _hist_block(log: DataFrame, entity: str, col: str, target: str, prefix: str,
 
 
 def prepare_users(train: DataFrame, users: DataFrame, items: DataFrame, spec: InteractionSpec) -> DataFrame:
-    """A1/A3/A4 per user, left-joined to the user profile, N4 defaults."""
+    """A1/A3/A4 per user, left-joined to the user profile, N4 defaults.
+
+    The arrays gathered per user come from the split's training part, which W1
+    has already cut to at most int(q75) rows per user -- a bound that holds
+    however hot a user is in the raw log.
+    """
     log = train.join(items, spec.item, "left")
     u, t = spec.user, spec.target
     out = users

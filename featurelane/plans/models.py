@@ -22,22 +22,28 @@ from featurelane.operators.metrics import auc, regression_metrics
 
 
 def ridge(train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str],
-          alpha: float = 0.5) -> PipelineModel:
+          alpha: float = 0.5, categories: DataFrame | None = None) -> PipelineModel:
     """M1: ridge ``||y - Xw||^2 + alpha ||w||^2`` on scaled numerics + dummies.
 
     Spark's normal-equation solver scales the penalty by the label's population
-    std and by n, hence ``regParam = alpha * std_pop(y) / n``.
+    std and by n, hence ``regParam = alpha * std_pop(y) / n``.  ``categories``
+    (e.g. train union valid, labels only) fixes the dummy columns, so both
+    parts share one encoding; by default the training rows define it.
     """
     st = train.agg(F.stddev_pop(label).alias("s"), F.count(F.lit(1)).alias("n")).first()
     reg = alpha * (st["s"] or 1.0) / max(st["n"], 1)
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep") for c in categorical]
+    source = categories if categories is not None else train
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep").fit(source.select(c))
+           for c in categorical]
+    indexed = PipelineModel(stages=idx).transform(train)
     ohe = OneHotEncoder(inputCols=[f"{c}__i" for c in categorical], outputCols=[f"{c}__v" for c in categorical],
                         dropLast=False, handleInvalid="keep")
     vec = VectorAssembler(inputCols=list(numeric) + [f"{c}__v" for c in categorical], outputCol="features",
                           handleInvalid="keep")
     lr = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=0.0, regParam=reg,
                           standardization=False, solver="normal")
-    return Pipeline(stages=[*idx, ohe, vec, lr]).fit(train)
+    rest = Pipeline(stages=[ohe, vec, lr]).fit(indexed)
+    return PipelineModel(stages=[*idx, *rest.stages])
 
 
 def wide_linear(train: DataFrame, label: str, hashed: Sequence[str], crosses: Sequence[str],

@@ -197,8 +197,26 @@ SELECT doc_id, CAST(len(vals) AS INTEGER) AS n_vals,
 FROM d
 """
 
+# Single left-to-right pass, as on the Spark side: split around entity matches,
+# decode each match (named, legacy names without ';', decimal), glue back.
+_ENTITY = r"&(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;?)"
+_NAMED = [("amp", "&"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("apos", "''"),
+          ("nbsp", " "), ("reg", "®"), ("middot", "·"), ("hellip", "…"), ("mdash", "—"), ("ndash", "–"),
+          ("lsquo", "‘"), ("rsquo", "’"), ("ldquo", "“"), ("rdquo", "”"), ("trade", "™"), ("euro", "€"),
+          ("laquo", "«"), ("raquo", "»"), ("deg", "°"), ("times", "×")]
+_LEGACY = ("amp", "lt", "gt", "quot", "copy")
+_CASES = " ".join([f"WHEN e = '&{n};' THEN '{t}'" for n, t in _NAMED] +
+                  [f"WHEN e = '&{n}' THEN '{t}'" for n, t in _NAMED if n in _LEGACY])
+
 ORACLE["entity_unescape"] = f"""
-WITH u AS (SELECT page_id, {_unescape('html')} AS u FROM pages)
+WITH p AS (SELECT page_id, regexp_split_to_array(html, '{_ENTITY}') AS parts,
+                  regexp_extract_all(html, '{_ENTITY}') AS ents FROM pages),
+d AS (SELECT page_id, parts,
+             list_transform(ents, lambda e: CASE {_CASES}
+                 WHEN regexp_matches(e, '^&#[0-9]+;$') THEN chr(CAST(substr(e, 3, length(e) - 3) AS INTEGER))
+                 ELSE e END) AS dec FROM p),
+u AS (SELECT page_id, array_to_string(list_transform(list_zip(parts, list_concat(dec, [''])),
+                                                     lambda z: z[1] || COALESCE(z[2], '')), '') AS u FROM d)
 SELECT page_id, CAST(length(u) AS INTEGER) AS n_chars, md5(u) AS md5 FROM u
 """
 
@@ -374,7 +392,8 @@ FROM oc GROUP BY c_mktsegment, o_orderstatus
 def _describe(x: str) -> str:
     return ", ".join([f"ROUND(CAST(count({x}) AS DOUBLE), 6) AS count", f"ROUND(avg({x}), 6) AS mean",
                       f"ROUND(stddev_samp({x}), 6) AS std", f"ROUND(min({x}), 6) AS min", f"ROUND(max({x}), 6) AS max",
-                      f"ROUND(sum({x}), 6) AS sum", f"ROUND(quantile_cont({x}, 0.25), 6) AS q25",
+                      f"ROUND(CAST(sum(CAST({x} AS DECIMAL(38,10))) AS DOUBLE), 6) AS sum",
+                      f"ROUND(quantile_cont({x}, 0.25), 6) AS q25",
                       f"ROUND(quantile_cont({x}, 0.5), 6) AS q50", f"ROUND(quantile_cont({x}, 0.75), 6) AS q75"])
 
 
@@ -490,7 +509,7 @@ FROM st, t
 
 ORACLE["series_compare"] = """
 WITH daily AS (SELECT c.c_nationkey AS nation, CAST(date_diff('day', DATE '1970-01-01', CAST(o.o_orderdate AS DATE)) AS INTEGER) AS day,
-                      sum(o.o_totalprice) AS actual
+                      CAST(sum(CAST(o.o_totalprice AS DECIMAL(38,10))) AS DOUBLE) AS actual
                FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY day) AS ra, count(*) OVER (PARTITION BY nation) AS n FROM daily),
 s AS (SELECT *, ra <= n - floor(n * CAST(0.3 AS DOUBLE)) AS is_train FROM r),
