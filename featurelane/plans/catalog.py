@@ -714,7 +714,8 @@ def wide_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary classifier fitted on the fat table, every row scored."""
     from featurelane.plans import models as M
-    fat = fat_table(spark, sf_dir)
+    from featurelane.session import cut_lineage
+    fat = cut_lineage(fat_table(spark, sf_dir))  # stage end: fit and scoring read it once each
     model = M.classifier(fat, "target", ["seg_id", "acctbal_z", "brand_id", "price_z"])
     return M.probability(model.transform(fat)).select("l_orderkey", "l_linenumber", _r(F.col("prob")).alias("prob"))
 

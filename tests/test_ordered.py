@@ -58,3 +58,39 @@ def test_small_groups_take_the_window_path(spark):
 def test_hot_key_detected(spark):
     from featurelane.operators.ordered import largest_group
     assert largest_group(_skewed(spark), ["k"]) == 1040  # a third of the rows plus k = 0 from id % 50
+
+
+def test_hot_key_is_cut_into_slices(spark):
+    """The sliced path spreads one key that holds a third of the rows over many tasks."""
+    from featurelane.operators.ordered import _sliced
+    df = _skewed(spark)
+    t = _sliced(df, ["k"], [F.col("v"), F.col("id")], 8)
+    per_slice = {r["_blk"]: r["n"] for r in t.where("k = 0").groupBy("_blk").agg(F.count("*").alias("n")).collect()}
+    assert len(per_slice) >= 3                       # the hot key spans several slices
+    assert max(per_slice.values()) < 1040 * 0.75     # no slice holds most of it
+
+
+def test_split_is_a_partition(spark):
+    from featurelane.operators.split import activity_split, chrono_split
+    df = _skewed(spark)
+    c = chrono_split(df, "k", ["v", "id"], valid=0.3)
+    assert c.count() == df.count() and c.select("id").distinct().count() == df.count()
+    a = activity_split(df, "k", ["v", "id"], valid=0.1)
+    assert a.select("id").distinct().count() == a.count()
+    assert set(r[0] for r in a.select("split").distinct().collect()) <= {"train", "valid"}
+
+
+def test_unnest_count_is_sum_of_sizes(spark):
+    from featurelane.operators.history import unnest
+    df = spark.range(200).select("id", F.sequence(F.lit(0), F.col("id") % 5).alias("a"))
+    df = df.withColumn("a", F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("a").cast("array<string>")))
+    want = df.select(F.sum(F.coalesce(F.size("a"), F.lit(1)))).first()[0]
+    assert unnest(df, "a", ["id"], pos="p").count() == want
+
+
+def test_padded_lengths_equal_per_batch(spark):
+    from featurelane.operators.multivalue import batches, pad_in_batch
+    df = spark.range(50).select("id", F.sequence(F.lit(0), F.col("id") % 9).alias("a"))
+    out = pad_in_batch(batches(df, ["id"], 8), "a")
+    lens = out.groupBy("batch_id").agg(F.countDistinct(F.size("a")).alias("n")).collect()
+    assert all(r["n"] == 1 for r in lens) and len(lens) == 7
