@@ -720,6 +720,27 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.probability(model.transform(fat)).select("l_orderkey", "l_linenumber", _r(F.col("prob")).alias("prob"))
 
 
+
+def classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4/M9: classifier fitted on the activity-split training part of the fat
+    table, AUC on training and validation rows (the reference's hold-out check)."""
+    from featurelane.operators.metrics import auc
+    from featurelane.operators.split import _one_row_merge, activity_split
+    from featurelane.plans import models as M
+    from featurelane.session import cut_lineage
+    fat = fat_table(spark, sf_dir)
+    t = Tables(spark, sf_dir)
+    order = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    fat = fat.join(order, ["l_orderkey", "l_linenumber"])
+    split = cut_lineage(activity_split(fat, "raw_o_custkey", ["l_shipdate", "l_orderkey", "l_linenumber"], valid=0.1))
+    feats = ["seg_id", "acctbal_z", "brand_id", "price_z"]
+    model = M.classifier(split.where(F.col("split") == "train"), "target", feats)
+    scored = M.probability(model.transform(split))
+    a_tr = auc(scored.where(F.col("split") == "train"), "target", "prob").withColumnRenamed("auc", "auc_train")
+    a_vl = auc(scored.where(F.col("split") == "valid"), "target", "prob").withColumnRenamed("auc", "auc_valid")
+    return _rounded(_one_row_merge(a_tr, a_vl), [])
+
+
 def als_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5: ALS user/item factors, their product stacked with profile features."""
     from featurelane.plans import models as M
@@ -917,6 +938,7 @@ QUERIES = {
     "gbt_sales": gbt_sales,
     "wide_linear": wide_linear,
     "score_batch": score_batch,
+    "classifier": classifier,
     "als_hybrid": als_hybrid,
     "model_search": model_search,
     "vocab_sizes": vocab_sizes,
