@@ -46,6 +46,25 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spill-aware sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least 3 waves of the cluster's cores) and AQE coalesces the small
+    ones at run time, so a 100 TB job gets about 400k partitions of about 256 MB
+    each and a small one is not split into thousands of tiny tasks.  Input
+    splits use the same target size.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
