@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+from html.entities import html5 as _html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Named HTML entities decoded by html_unescape, with the text they
-# stand for.  The first five also decode without the trailing semicolon, as
-# browsers (and Python's html.unescape) do for these legacy names.
+# stand for.
 NAMED_ENTITIES = {
     "amp": "&", "lt": "<", "gt": ">", "quot": '"', "copy": "©",
-    "apos": "'", "nbsp": " ", "reg": "®", "middot": "·", "hellip": "…",
+    "apos": "'", "nbsp": "\u00a0", "reg": "®", "middot": "·", "hellip": "…",
     "mdash": "—", "ndash": "–", "lsquo": "‘", "rsquo": "’",
     "ldquo": "“", "rdquo": "”", "trade": "™", "euro": "€",
     "laquo": "«", "raquo": "»", "deg": "°", "times": "×",
 }
-LEGACY_NO_SEMICOLON = ("amp", "lt", "gt", "quot", "copy")
+# Names that HTML5 also decodes without the trailing ';' (and as the longest
+# prefix of an unknown name, '&ampx' -> '&x'), taken from the HTML5 table in
+# Python's standard library.
+LEGACY_NO_SEMICOLON = tuple(n for n in NAMED_ENTITIES if n in _html5)
 
-ENTITY_PATTERN = r"&(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;?)"
+# One character reference: decimal, hex, or a name (HTML5 tokeniser classes).
+ENTITY_PATTERN = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
 def _entity_map() -> Column:
@@ -30,24 +35,42 @@ def _entity_map() -> Column:
 
 
 def _numeric_entity(e: Column) -> Column:
-    """``&#39;`` / ``&#x27;`` -> the character (UTF-32 code unit decoded)."""
-    body = F.regexp_extract(e, r"^&#([xX]?)([0-9a-fA-F]+);$", 2)
-    is_hex = F.regexp_extract(e, r"^&#([xX]?)", 1) != ""
-    hexval = F.when(is_hex, body).otherwise(F.conv(body, 10, 16))
-    return F.when(body != "", F.decode(F.unhex(F.lpad(hexval, 8, "0")), "UTF-32"))
+    """``&#39;`` / ``&#x27`` -> the character; 0, surrogates and values past
+    U+10FFFF -> U+FFFD."""
+    body = F.regexp_extract(e, r"^&#[xX]?([0-9a-fA-F]+);?$", 1)
+    is_hex = e.rlike(r"^&#[xX]")
+    num = F.when(is_hex, F.conv(body, 16, 10)).otherwise(body).try_cast("long")
+    ok = num.between(1, 0x10FFFF) & ~num.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.conv(num.cast("string"), 10, 16), 8, "0")), "UTF-32")
+    return F.when(body != "", F.when(ok, char).otherwise(F.lit("\ufffd")))
 
 
 def html_unescape(col: str | Column) -> Column:
-    """one left-to-right pass over entities (no double unescape of ``&amp;lt;``)."""
+    """one left-to-right pass over character references (no double unescape
+    of ``&amp;lt;``), the HTML5 rules for the listed names."""
     x = F.col(col) if isinstance(col, str) else col
     parts = F.split(x, ENTITY_PATTERN, -1)
     ents = F.regexp_extract_all(x, F.lit(ENTITY_PATTERN), 0)
     m = _entity_map()
-    decoded = F.transform(ents, lambda e: F.coalesce(F.try_element_at(m, e), _numeric_entity(e), e))
+
+    def decode_one(e: Column) -> Column:
+        named = F.when(~e.startswith("&#"), F.coalesce(F.try_element_at(m, e), _prefix(e)))
+        return F.coalesce(named, _numeric_entity(e), e)
+
+    decoded = F.transform(ents, decode_one)
     glued = F.zip_with(parts, F.concat(decoded, F.array(F.lit(""))), lambda p, d: F.concat(p, F.coalesce(d, F.lit(""))))
     return F.when(x.isNull(), x).when(~x.contains("&"), x).otherwise(F.array_join(glued, ""))
 
 
+def _prefix(e: Column) -> Column:
+    out = None
+    for name in sorted(LEGACY_NO_SEMICOLON, key=len, reverse=True):
+        hit = F.substring(e, 2, len(name)) == F.lit(name)
+        val = F.concat(F.lit(NAMED_ENTITIES[name]), F.substring(e, len(name) + 2, 1 << 30))
+        out = F.when(hit, val) if out is None else out.when(hit, val)
+    return out
+
+
 # A "word" character is a Unicode letter, number or underscore (Python's \w for str).
 NON_WORD = r"[^.\p{L}\p{N}_|]+"
 

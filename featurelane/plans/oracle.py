@@ -171,16 +171,31 @@ SELECT p_partkey, ROUND((p_retailprice - m1) / s1, 6) AS price_z, ROUND((p_size
 FROM part, s
 """
 
-# Named entities (semicolon forms), '&amp;' last so nothing is unescaped twice.
+# HTML unescape as one left-to-right pass (same rules as the Spark side):
+# split around character references, decode each, glue back.
+_ENTITY = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _decode_case() -> str:
+    from featurelane.functions.text import LEGACY_NO_SEMICOLON, NAMED_ENTITIES
+    q = lambda t: t.replace("'", "''")
+    whens = [f"WHEN e = '&{n};' THEN '{q(t)}'" for n, t in NAMED_ENTITIES.items()]
+    whens += [f"WHEN e = '&{n}' THEN '{q(NAMED_ENTITIES[n])}'" for n in LEGACY_NO_SEMICOLON]
+    dec = "TRY_CAST(regexp_extract(e, '^&#([0-9]+);?$', 1) AS BIGINT)"
+    hexv = "TRY_CAST('0x' || regexp_extract(e, '^&#[xX]([0-9a-fA-F]+);?$', 1) AS BIGINT)"
+    for v, pat in ((dec, "^&#[0-9]+;?$"), (hexv, "^&#[xX][0-9a-fA-F]+;?$")):
+        whens.append(f"WHEN regexp_matches(e, '{pat}') THEN CASE WHEN {v} BETWEEN 1 AND 1114111 "
+                     f"AND NOT ({v} BETWEEN 55296 AND 57343) THEN chr(CAST({v} AS INTEGER)) ELSE '\ufffd' END")
+    for n in sorted(LEGACY_NO_SEMICOLON, key=len, reverse=True):
+        whens.append(f"WHEN substr(e, 2, {len(n)}) = '{n}' THEN '{q(NAMED_ENTITIES[n])}' || substr(e, {len(n) + 2})")
+    return "CASE " + " ".join(whens) + " ELSE e END"
+
+
 def _unescape(expr: str) -> str:
-    out = expr
-    for name, text in [("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("apos", "''"),
-                       ("nbsp", " "), ("reg", "®"), ("middot", "·"), ("hellip", "…"),
-                       ("mdash", "—"), ("ndash", "–"), ("lsquo", "‘"), ("rsquo", "’"),
-                       ("ldquo", "“"), ("rdquo", "”"), ("trade", "™"), ("euro", "€"),
-                       ("laquo", "«"), ("raquo", "»"), ("deg", "°"), ("times", "×"), ("amp", "&")]:
-        out = f"replace({out}, '&{name};', '{text}')"
-    return out
+    parts = f"regexp_split_to_array({expr}, '{_ENTITY}')"
+    ents = f"list_transform(regexp_extract_all({expr}, '{_ENTITY}'), lambda e: {_decode_case()})"
+    glued = f"list_transform(list_zip({parts}, list_concat({ents}, [''])), lambda z: z[1] || COALESCE(z[2], ''))"
+    return f"CASE WHEN {expr} IS NULL THEN NULL WHEN NOT contains({expr}, '&') THEN {expr} ELSE array_to_string({glued}, '') END"
 
 
 def _clean(expr: str) -> str:
@@ -197,26 +212,8 @@ SELECT doc_id, CAST(len(vals) AS INTEGER) AS n_vals,
 FROM d
 """
 
-# Single left-to-right pass, as on the Spark side: split around entity matches,
-# decode each match (named, legacy names without ';', decimal), glue back.
-_ENTITY = r"&(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;?)"
-_NAMED = [("amp", "&"), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("apos", "''"),
-          ("nbsp", " "), ("reg", "®"), ("middot", "·"), ("hellip", "…"), ("mdash", "—"), ("ndash", "–"),
-          ("lsquo", "‘"), ("rsquo", "’"), ("ldquo", "“"), ("rdquo", "”"), ("trade", "™"), ("euro", "€"),
-          ("laquo", "«"), ("raquo", "»"), ("deg", "°"), ("times", "×")]
-_LEGACY = ("amp", "lt", "gt", "quot", "copy")
-_CASES = " ".join([f"WHEN e = '&{n};' THEN '{t}'" for n, t in _NAMED] +
-                  [f"WHEN e = '&{n}' THEN '{t}'" for n, t in _NAMED if n in _LEGACY])
-
 ORACLE["entity_unescape"] = f"""
-WITH p AS (SELECT page_id, regexp_split_to_array(html, '{_ENTITY}') AS parts,
-                  regexp_extract_all(html, '{_ENTITY}') AS ents FROM pages),
-d AS (SELECT page_id, parts,
-             list_transform(ents, lambda e: CASE {_CASES}
-                 WHEN regexp_matches(e, '^&#[0-9]+;$') THEN chr(CAST(substr(e, 3, length(e) - 3) AS INTEGER))
-                 ELSE e END) AS dec FROM p),
-u AS (SELECT page_id, array_to_string(list_transform(list_zip(parts, list_concat(dec, [''])),
-                                                     lambda z: z[1] || COALESCE(z[2], '')), '') AS u FROM d)
+WITH u AS (SELECT page_id, {_unescape('html')} AS u FROM pages)
 SELECT page_id, CAST(length(u) AS INTEGER) AS n_chars, md5(u) AS md5 FROM u
 """
 
