@@ -42,14 +42,18 @@ def year_month_days(year: str | Column, month: str | Column) -> Column:
         F.unix_date(F.make_date(y, m, F.lit(1)))
 
 
-def year_week_days(year: str | Column, week: str | Column | None = None) -> Column:
-    """Jan 1 of ``year`` in epoch days, plus ``7 * week`` when a week is given."""
+def year_week_days(year: str | Column, week: str | Column | None = None, add_week: bool = True) -> Column:
+    """Jan 1 of ``year`` in epoch days (+ ``7 * week`` with ``add_week``).
+
+    When a week column is given the result is null unless both parts are
+    present, even if the week is not added (the trainer's rule).
+    """
     y = _c(year).try_cast("double").try_cast("int")
     base = F.unix_date(F.make_date(y, F.lit(1), F.lit(1)))
     if week is None:
         return base
     w = _c(week).try_cast("double").try_cast("int")
-    return F.when(w.isNotNull(), base + w * 7)
+    return F.when(w.isNotNull(), base + w * 7 if add_week else base)
 
 
 def log1p_target(col: str | Column) -> Column:

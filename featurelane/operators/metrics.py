@@ -8,10 +8,17 @@ from pyspark.sql import functions as F
 from featurelane.operators.ordered import running_sums
 
 
-def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """M7/M8: RMSPE over ``y > 0`` (M7 evaluates positive targets only), RMSE, MAE."""
-    err = F.col(y) - F.col(pred)
-    return df.agg(F.sqrt(F.avg(F.when(F.col(y) > 0, (err / F.col(y)) ** 2))).alias("rmspe"),
+def regression_metrics(df: DataFrame, y: str, pred: str, log_target: bool = False) -> DataFrame:
+    """M7/M8: RMSPE over ``y > 0`` (positive targets only, P7), RMSE, MAE.
+
+    With ``log_target`` the columns hold ``log1p`` values: RMSPE is taken on
+    the ``expm1`` scale, RMSE and MAE on the log scale, as the original
+    evaluation does.
+    """
+    yv, pv = F.col(y), F.col(pred)
+    err = yv - pv
+    ye, pe = (F.expm1(yv), F.expm1(pv)) if log_target else (yv, pv)
+    return df.agg(F.sqrt(F.avg(F.when(ye > 0, ((ye - pe) / ye) ** 2))).alias("rmspe"),
                   F.sqrt(F.avg(err ** 2)).alias("rmse"), F.avg(F.abs(err)).alias("mae"))
 
 

@@ -109,8 +109,7 @@ def select_best(candidates: list[tuple[dict, PipelineModel]], valid: DataFrame,
         if metric == "auc":
             value = -probability(pred).transform(lambda d: auc(d, label, "prob")).first()["auc"]
         else:
-            value = regression_metrics(pred.withColumn("_y", F.expm1(label)).withColumn("_p", F.expm1("prediction")),
-                                       "_y", "_p").first()[metric]
+            value = regression_metrics(pred, label, "prediction", log_target=True).first()[metric]
         if best is None or value <= best[2]:
             best = (params, model, value)
     return best[0], best[1], abs(best[2])

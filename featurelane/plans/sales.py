@@ -56,8 +56,8 @@ def prepare_store(store: DataFrame, states: DataFrame, spec: SalesSpec) -> DataF
     """F10/F11 with median fill, '' for the raw parts, state join."""
     s = store.withColumn("competition_open_since",
                          year_month_days("competition_open_since_year", "competition_open_since_month").cast("double"))
-    week = "promo2since_week" if spec.use_week else None
-    s = s.withColumn("promo2since", year_week_days("promo2since_year", week).cast("double"))
+    s = s.withColumn("promo2since", year_week_days("promo2since_year", "promo2since_week",
+                                                   add_week=spec.use_week).cast("double"))
     s = fill_median(s, ["competition_open_since", "promo2since"])
     s = s.na.fill("", ["competition_open_since_year", "competition_open_since_month",
                        "promo2since_year", "promo2since_week"])

@@ -149,3 +149,18 @@ def test_range_median(spark):
     df = spark.createDataFrame([(1.0,), (20.0,), (30.0,), (90.0,), (None,)], "bd double")
     got = sorted(r[0] for r in range_median(df, "bd", 6, 80).collect())
     assert got == [20.0, 25.0, 25.0, 25.0, 30.0]
+
+
+def test_year_week_rule(spark):
+    from featurelane.functions.dates import year_week_days
+    df = spark.createDataFrame([("2010", "2"), ("2010", None)], "y string, w string")
+    got = [tuple(r) for r in df.select(year_week_days("y", "w"), year_week_days("y", "w", add_week=False)).collect()]
+    assert got == [(14610 + 14, 14610), (None, None)]
+
+
+def test_log_target_metrics(spark):
+    from featurelane.operators.metrics import regression_metrics
+    df = spark.createDataFrame([(math.log1p(100.0), math.log1p(90.0))], "y double, p double")
+    r = regression_metrics(df, "y", "p", log_target=True).first()
+    assert math.isclose(r["rmspe"], 0.1, rel_tol=1e-9)
+    assert math.isclose(r["rmse"], math.log1p(100.0) - math.log1p(90.0), rel_tol=1e-9)
