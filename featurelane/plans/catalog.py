@@ -49,7 +49,7 @@ def history_user_item(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_log(t: Tables) -> DataFrame:
     """lineitem as a log: user = o_custkey, item = l_partkey, target = returned."""
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_shipdate",
+    li = spread(t.lineitem).select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_shipdate",
                            (F.col("l_returnflag") == "R").cast("int").alias("target"))
     od = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     return li.join(od, li.l_orderkey == od.o_orderkey, "inner").drop("o_orderkey")
