@@ -22,7 +22,7 @@ def fill_constant(df: DataFrame, value, cols: Sequence[str]) -> DataFrame:
 
 
 def column_quantiles(df: DataFrame, cols: Sequence[str], prob: float = 0.5,
-                     where: dict[str, Column] | None = None) -> dict[str, float | None]:
+                     where: dict[str, Column] | None = None, group_rows: int | None = None) -> dict[str, float | None]:
     """Exact quantile of each column, all columns in one distributed pass.
 
     Columns are stacked to ``(name, value)`` and numbered per name, so the work
@@ -37,7 +37,7 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], prob: float = 0.5,
             v = F.when(where[c], v)
         exprs.append(F.struct(F.lit(c).alias("_c"), v.alias("_x")))
     stacked = df.select(F.explode(F.array(*exprs)).alias("_s")).select("_s._c", "_s._x")
-    q = exact_quantiles(stacked, ["_c"], "_x", [prob], ["_q"])
+    q = exact_quantiles(stacked, ["_c"], "_x", [prob], ["_q"], group_rows=group_rows)
     found = {r["_c"]: r["_q"] for r in q.collect()}  # one row per column
     return {c: found.get(c) for c in cols}
 

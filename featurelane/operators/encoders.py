@@ -178,8 +178,10 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], ddof: int = 0, fill_median: b
     """E6 (``ddof=0``, population std) / E7 (``ddof=1``, sample std), on non-null values."""
     std = F.stddev_pop if ddof == 0 else F.stddev_samp
     row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(cols)],
-                 *[std(F.col(c).cast("double")).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
-    med = column_quantiles(df, cols)
+                 *[std(F.col(c).cast("double")).alias(f"s_{i}") for i, c in enumerate(cols)],
+                 F.greatest(*[F.count(F.col(c)) for c in cols], F.lit(0)).alias("n_max")).first()
+    # the same pass counted each column, which bounds the median's groups
+    med = column_quantiles(df, cols, group_rows=int(row["n_max"]))
     stats = {}
     for i, c in enumerate(cols):
         s = row[f"s_{i}"]

@@ -89,21 +89,26 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return int(row["m"] or 0)
 
 
-def _fits_one_task(df: DataFrame, keys: list[str], max_group_rows: int | None) -> bool:
+def _fits_one_task(df: DataFrame, keys: list[str], max_group_rows: int | None,
+                   group_rows: int | None = None) -> bool:
+    """``group_rows``: the largest group's size when the caller already knows it
+    (e.g. from an aggregate it computed anyway), which saves the check job."""
     limit = _max_group_rows(df, max_group_rows)
-    return limit > 0 and largest_group(df, keys) <= limit
+    if limit <= 0:
+        return False
+    return (group_rows if group_rows is not None else largest_group(df, keys)) <= limit
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                   name: str = "pos", num_partitions: int | None = None,
-                  max_group_rows: int | None = None) -> DataFrame:
+                  max_group_rows: int | None = None, group_rows: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based ``row_number() over (partition by keys order by order)``.
 
     Skew-safe: a key larger than the group limit is cut into ordered slices.
     ``keys`` may be empty (global numbering).
     """
     keys = list(keys)
-    if _fits_one_task(df, keys, max_group_rows):
+    if _fits_one_task(df, keys, max_group_rows, group_rows):
         w = Window.partitionBy(*keys).orderBy(*_cols(order))
         return df.withColumn(name, F.row_number().over(w).cast("long"))
     t = _sliced(df, keys, _cols(order), num_partitions)
@@ -154,7 +159,8 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, max_group_rows: int | None = None,
+                    group_rows: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``).
 
     One row per key group with one column per probability.  Nulls are skipped.
@@ -166,13 +172,18 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
     vcol = value if isinstance(value, Column) else F.col(value)
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    numbered = number_within(base, keys, [F.col("_v")], "_pos", num_partitions, max_group_rows)
-    if keys:
-        counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        j = _key_join(numbered, counts, keys, [])
+    if _fits_one_task(base, keys, max_group_rows, group_rows):
+        # one window pass gives both the position and the group size
+        j = (base.withColumn("_pos", F.row_number().over(Window.partitionBy(*keys).orderBy("_v")).cast("long"))
+                 .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
     else:
-        # a global quantile needs one scalar: the number of non-null values
-        j = numbered.withColumn("_n", F.lit(numbered.count()).cast("long"))
+        numbered = number_within(base, keys, [F.col("_v")], "_pos", num_partitions, max_group_rows=0)
+        if keys:
+            counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            j = _key_join(numbered, counts, keys, [])
+        else:
+            # a global quantile needs one scalar: the number of non-null values
+            j = numbered.withColumn("_n", F.lit(numbered.count()).cast("long"))
     cuts = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
