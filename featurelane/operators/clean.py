@@ -103,3 +103,26 @@ def project(df: DataFrame, header: Sequence[str], raw_keys: dict[str, str] | Non
     """Ordered projection to a declared header, optional raw key copies first."""
     raw_keys = raw_keys or {}
     return df.select(*[F.col(src).alias(dst) for dst, src in raw_keys.items()], *header)
+
+
+def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Drop columns (absent names are ignored)."""
+    return df.drop(*cols)
+
+
+def filter_equals(df: DataFrame, col: str, value) -> DataFrame:
+    """Equality filter for a sub-analysis (one gender, one language, one target)."""
+    return df.where(F.col(col) == F.lit(value))
+
+
+def feature_columns(df: DataFrame, label: str, exclude: Sequence[str] = ()) -> list[str]:
+    """The feature columns of a prepared table -- everything but the label
+    and the excluded keys.  Features and label stay in one DataFrame (rows are
+    never split apart and re-aligned)."""
+    return [c for c in df.columns if c != label and c not in set(exclude)]
+
+
+def sort_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """Rows sorted by key, then by date within the key.  A global sort is
+    range-partitioned on the full sort key, so a hot key spreads over tasks."""
+    return df.orderBy(*keys, *order)

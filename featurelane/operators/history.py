@@ -68,7 +68,11 @@ def history_long(log: DataFrame, entity: str | Sequence[str], value: str, target
 
 def history_arrays(log: DataFrame, entity: str, value: str, target: str, prefix: str,
                    stats: Sequence[str] = ("count", "mean"), multivalent: bool = False) -> DataFrame:
-    """Array form: ``{prefix}_hist``, ``{prefix}_count``, ``{prefix}_mean`` aligned by value."""
+    """Array form: ``{prefix}_hist``, ``{prefix}_count``, ``{prefix}_mean`` aligned by value.
+
+    R3 (records -> columns): one sorted ``array<struct>`` per entity, then a
+    field access per column (``_h.v``, ``_h.cnt`` ...) yields the aligned arrays.
+    """
     if multivalent:
         log = unnest(log.select(entity, value, target), value)
     agg = value_stats(log, entity, value, target, stats)

@@ -711,6 +711,18 @@ def wide_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(o).select("o_orderkey", _r(F.col("prediction")).alias("prediction"))
 
 
+
+def wide_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E15 + M2/M3: wide (hashed, crossed) linear part plus boosted deep part on its residual."""
+    from featurelane.plans import models as M
+    o = _orders_features(Tables(spark, sf_dir)).withColumn(
+        "prio_x_status", F.concat_ws("_", "o_orderpriority", "o_orderstatus"))
+    cols = {"days": "dense", "month": "dense", "o_orderpriority": "indicator",
+            "o_orderstatus": "hashed", "prio_x_status": "cross"}
+    model = M.wide_and_deep(o, "y", cols)
+    return model.transform(o).select("o_orderkey", _r(F.col("prediction")).alias("prediction"))
+
+
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary classifier fitted on the fat table, every row scored."""
     from featurelane.plans import models as M
@@ -937,6 +949,7 @@ QUERIES = {
     "ridge": ridge,
     "gbt_sales": gbt_sales,
     "wide_linear": wide_linear,
+    "wide_deep": wide_deep,
     "score_batch": score_batch,
     "classifier": classifier,
     "als_hybrid": als_hybrid,
