@@ -13,7 +13,7 @@ def _c(col):
 
 
 def code_norm(col: str | Column) -> Column:
-    """``str(int(float(x)))``; null or unparsable -> ''."""
+    """``str(int(float(x)))`` with ``try_cast``; null or unparsable -> ''."""
     return F.coalesce(_c(col).try_cast("double").try_cast("bigint").cast("string"), F.lit(""))
 
 

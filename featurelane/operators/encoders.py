@@ -61,6 +61,16 @@ def sorted_vocab(df: DataFrame, col: str | Column, multivalent: bool = False, ou
     return number_within(counts, [], [F.col("label")], "idx")
 
 
+def save_vocab(vocab: DataFrame, path: str) -> None:
+    """Persist a vocabulary ``(label, freq, idx)`` as Parquet."""
+    vocab.select("label", "freq", "idx").write.mode("overwrite").parquet(path)
+
+
+def load_vocab(spark, path: str) -> DataFrame:
+    """Read a persisted vocabulary back (the serving side)."""
+    return spark.read.schema("label string, freq long, idx long").parquet(path)
+
+
 def encode(df: DataFrame, col: str, vocab: DataFrame, out: str | None = None) -> DataFrame:
     """Label -> id (unknown, null, outlier -> 0)."""
     out = out or col

@@ -146,3 +146,24 @@ def numeric_tick_order(df: DataFrame, col: str, name: str = "tick") -> DataFrame
     """Order string codes numerically ('2' before '10'); non-numbers last, by text."""
     from featurelane.operators.ordered import number_within
     return number_within(df, [], [F.col(col).try_cast("bigint").asc_nulls_last(), F.col(col)], name)
+
+
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of a log (``unique``), e.g. the base list of J5."""
+    return df.select(*keys).distinct()
+
+
+def longest_elements(df: DataFrame, col: str, k: int = 10) -> DataFrame:
+    """The ``k`` longest elements of a multivalent column (ties by text)."""
+    el = df.select(F.explode_outer(F.col(col)).alias("val")).where(F.col("val").isNotNull())
+    return top_k(el.withColumn("n_chars", F.length("val")), [F.col("n_chars").desc(), F.col("val")], k)
+
+
+def union_series(history: DataFrame, predictions: DataFrame, key: str, order: Sequence[str],
+                 actual: str = "actual", pred: str = "pred") -> DataFrame:
+    """History rows (no prediction) and predicted rows unioned, one
+    position per key in time order; ``is_history`` is the null test on ``pred``."""
+    from featurelane.operators.ordered import number_within
+    h = history.withColumn(pred, F.lit(None).cast("double"))
+    series = h.unionByName(predictions.select(*h.columns))
+    return number_within(series, [key], list(order), "pos").withColumn("is_history", F.col(pred).isNull())

@@ -26,7 +26,7 @@ from featurelane.operators.ordered import number_within
 
 
 def unnest(df: DataFrame, col: str, keep: Sequence[str] | None = None, pos: str | None = None) -> DataFrame:
-    """Flatten a multivalent column: one row per element; null array -> one '' row.
+    """Flatten a multivalent column: one row per element; null array -> one '' row.
 
     Uses the ``_outer`` generator and drops the empty-array row afterwards:
     a plain ``explode`` makes Catalyst infer ``size(arr) > 0`` and push it

@@ -222,7 +222,7 @@ def longest_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """code normaliser, fixed-position parts, two-digit year + median fill."""
+    """code normaliser, fixed-position parts, two-digit year + median fill."""
     from featurelane.functions.codes import code_norm, code_parts, two_digit_year
     from featurelane.operators.clean import fill_median
     t = Tables(spark, sf_dir)
@@ -284,7 +284,7 @@ def _customer_gaps(t: Tables) -> DataFrame:
 
 
 def fill_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schema defaults -- '' for categoricals, median for numerics, 0 for ids."""
+    """Schema defaults -- '' for categoricals, median for numerics, 0 for ids."""
     from featurelane.operators.clean import fill_defaults as fill
     t = Tables(spark, sf_dir)
     out = fill(_customer_gaps(t), {"seg": "", "bal": "median", "nat": 0})
@@ -361,7 +361,7 @@ def _part_counts(t: Tables) -> DataFrame:
 
 
 def semi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitems of the 20 most frequent parts (semi-join to a computed key list)."""
+    """Lineitems of the 20 most frequent parts (semi-join to a computed top-k key list)."""
     from featurelane.operators.explore import top_k
     from featurelane.operators.joins import semi_join
     t = Tables(spark, sf_dir)
@@ -551,7 +551,7 @@ def vector_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -------------------------------------------------------------------- metrics
 
 def metrics_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7/M8: price predicted by the part's mean price -- RMSPE, RMSE, MAE."""
+    """Price predicted by the part's mean price -- RMSPE (positive targets), RMSE, MAE."""
     from featurelane.operators.joins import group_stat_rows
     from featurelane.operators.metrics import regression_metrics
     t = Tables(spark, sf_dir)
@@ -585,9 +585,9 @@ def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------- series
 
 def series_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily order value per nation; last 30% of days predicted by the
+    """Daily order value per nation; last 30% of days predicted by the
     nation's training mean; history and predictions unioned in date order."""
-    from featurelane.operators.ordered import number_within
+    from featurelane.operators.explore import union_series
     from featurelane.operators.split import chrono_split
     t = Tables(spark, sf_dir)
     od = t.orders.select("o_custkey", "o_totalprice", F.unix_date(F.to_date("o_orderdate")).alias("day"))
@@ -597,19 +597,19 @@ def series_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = chrono_split(daily, "nation", ["day"], valid=0.3)
     train = split.where(F.col("split") == "train")
     mean = train.groupBy("nation").agg(F.avg("actual").alias("pred"))
-    hist = train.select("nation", "day", "actual", F.lit(None).cast("double").alias("pred"))
     pred = split.where(F.col("split") == "valid").join(mean, "nation", "left").select("nation", "day", "actual", "pred")
-    series = number_within(hist.unionByName(pred), ["nation"], ["day"], "pos")
+    series = union_series(train.select("nation", "day", "actual"), pred, "nation", ["day"])
     return series.select("nation", "pos", "day", _r(F.col("actual")).alias("actual"), _r(F.col("pred")).alias("pred"),
-                         F.col("pred").isNull().alias("is_history"))
+                         "is_history")
 
 
 
 # ------------------------------------------------------------------ sources
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write customers as CSV (header, no index), read back with a declared
-    schema and per-column defaults for the fields left empty."""
+    """Write customers as CSV (header, no index), read back with a
+    declared schema and per-column defaults for empty fields, persist that as a
+    stage table and read the stage table back."""
     from featurelane.sources import io
     from featurelane.streaming.serve import work_dir
     t = Tables(spark, sf_dir)
@@ -617,7 +617,11 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _customer_gaps(t)
     io.write_csv(cust, path)
     schema = {"c_custkey": "bigint", "seg": "string", "bal": "double", "nat": "int"}
-    return io.read_csv(spark, path, schema, defaults={"seg": "", "bal": 0.0, "nat": 0})
+    back = io.read_csv(spark, path, schema, defaults={"seg": "", "bal": 0.0, "nat": 0})
+    assert io.preview(spark, path, 3).count() <= 3
+    stage = io.resolve(work_dir(spark, "stage"), "customer")
+    io.write_table(back, stage)
+    return io.read_table(spark, stage)
 
 
 # ---------------------------------------------------------------- streaming
@@ -793,7 +797,8 @@ def vocab_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct users of the log (the base list histories are aligned to)."""
-    return lineitem_log(Tables(spark, sf_dir)).select("o_custkey").distinct()
+    from featurelane.operators.explore import distinct_keys
+    return distinct_keys(lineitem_log(Tables(spark, sf_dir)), ["o_custkey"])
 
 
 def tick_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -814,7 +819,10 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ end-to-end flows (A, B)
 
 def interaction_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pipeline A on the lineitem log: split, prepare, fit, transform the validation part."""
+    """Pipeline A on the lineitem log: split, prepare, fit, transform the validation part.
+
+    Exercises N1, W1, A1-A5, N2, N4, R1, R3, E2, E3, E6, E8, E16, R6, J3, J4, N5, P2, P3, P4.
+    """
     from featurelane.plans import interaction as A
     t = Tables(spark, sf_dir)
     spec = A.InteractionSpec(user="o_custkey", item="l_partkey", target="target",
@@ -874,7 +882,10 @@ def _sales_inputs(t: Tables):
 
 
 def sales_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pipeline B: clean, prepare, fit, transform, split, ridge, predictions for the validation days."""
+    """Pipeline B: clean, prepare, fit, transform, split, ridge, predictions for the validation days.
+
+    Exercises P1, N1, N2, F9-F12, J1, J2, J9, R4, R5, P5, P9, A7, A8, S6, S7, W2, E7, E14, M1, M13.
+    """
     from featurelane.plans import models as M
     from featurelane.plans import sales as B
     t = Tables(spark, sf_dir)
@@ -882,7 +893,8 @@ def sales_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, store, states = B.clean(*_sales_inputs(t), spec)
     store_p = B.prepare_store(store, states, spec)
     prepared = B.prepare(log, store_p, spec)
-    train, valid = B.split(B.transform(prepared, spec), spec)
+    from featurelane.streaming.serve import work_dir
+    train, valid = B.split(B.transform(prepared, spec), spec, dates_path=work_dir(spark, "dates"))
     stats, _means = B.fit(train, spec)
     train, valid = B.standardize(train, stats), B.standardize(valid, stats)
     model = M.ridge(train, "sales", ["competition_distance", "competition_open_since", "promo2since", "sales_mean"],

@@ -65,8 +65,9 @@ def prepare_store(store: DataFrame, states: DataFrame, spec: SalesSpec) -> DataF
 
 
 def prepare(log: DataFrame, store: DataFrame, spec: SalesSpec, sales_mean: DataFrame | None = None) -> DataFrame:
-    """Training (``sales_mean`` None: computed here, before the filter) or serving
-    (saved store -> mean table joined, no filter)."""
+    """F9, J2, R4, J9 then P5: training (``sales_mean`` None: computed here,
+    before the ``open = '1' and sales > 0`` filter) or serving (J10, X2: the
+    saved store -> mean table joined, no filter)."""
     df = log.select("*", *date_parts(F.to_date(spec.date)))
     df = df.join(store, spec.store, "left")
     df = df.withColumn("promo2", interval_flag("promo2", "month", "promo_interval")).drop("promo_interval")
@@ -78,7 +79,7 @@ def prepare(log: DataFrame, store: DataFrame, spec: SalesSpec, sales_mean: DataF
 
 
 def fit(prepared: DataFrame, spec: SalesSpec) -> tuple[dict, DataFrame]:
-    """``{feature: {mean, stdv, median}}`` and the store -> mean table."""
+    """``{feature: {mean, stdv, median}}`` and the store -> mean table."""
     cols = [c for c in spec.numeric if c in prepared.columns]
     row = prepared.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
     med = column_quantiles(prepared, cols)
@@ -93,9 +94,13 @@ def transform(prepared: DataFrame, spec: SalesSpec, training: bool = True) -> Da
     return out.na.fill("", [c for c in spec.categorical if c in out.columns])
 
 
-def split(prepared: DataFrame, spec: SalesSpec) -> tuple[DataFrame, DataFrame]:
-    """W2 per store by date."""
+def split(prepared: DataFrame, spec: SalesSpec, dates_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """W2 per store by date; with ``dates_path`` the (store, date, split) series
+    is also written as JSON for the actual-vs-predicted view (S6)."""
+    from featurelane.sources.io import write_series
     s = cut_lineage(chrono_split(prepared, spec.store, [spec.date], valid=spec.valid))  # stage end
+    if dates_path:
+        write_series(s, dates_path, [spec.store, spec.date, "split"])
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "valid").drop("split")
 
 
