@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     # Broadcast joins are chosen by Spark from measured sizes (AQE runtime
     # statistics) below this bound; above it the plan stays a shuffle join.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # slice and stage checkpoints are deleted once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
