@@ -45,6 +45,8 @@ def _one_row_merge(a: DataFrame, b: DataFrame) -> DataFrame:
 def activity_bounds(df: DataFrame, key: str, lo_q: float = 0.25, hi_q: float = 0.75) -> tuple[int, int]:
     """int() of the lower / upper quantile of rows per key (two scalars)."""
     q = exact_quantiles(group_sizes(df, key), [], "n", [lo_q, hi_q], ["lo", "hi"]).first()
+    if q["lo"] is None:  # empty log: nothing to keep
+        return 1, 0
     return int(q["lo"]), int(q["hi"])
 
 
