@@ -86,3 +86,37 @@ def json_records(stream: DataFrame, schema: StructType, payload: str = "payload"
 def to_json_payload(df: DataFrame, cols: list[str], name: str = "payload") -> DataFrame:
     """Serialise rows (e.g. predictions) back to JSON records."""
     return df.select(F.to_json(F.struct(*cols)).alias(name))
+
+
+def vocab_merge_stream(stream: DataFrame, col: str, spark: SparkSession, name: str = "vocab-merge",
+                       base: str | None = None) -> DataFrame:
+    """E4 / X3 without a state store: each micro-batch's label counts are merged
+    into the stored count table (``partial_fit``) and written as a new version
+    keyed by the batch id.  A replayed batch rewrites the same version, and a
+    restarted query (same ``base``) finds the latest earlier version by reading
+    the versioned table, so counts survive driver and executor loss."""
+    from featurelane.operators.encoders import label_counts, merge_counts
+    base = base or work_dir(spark, name)
+    versions = f"{base}/counts"
+
+    def previous(epoch: int) -> str | None:
+        try:
+            row = spark.read.parquet(versions).where(F.col("v") < epoch).agg(F.max("v").alias("m")).first()
+        except Exception:  # no version written yet
+            return None
+        return None if row["m"] is None else f"{versions}/v={row['m']}"
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        counts = label_counts(batch, col)
+        prev = previous(epoch)
+        if prev is not None:
+            counts = merge_counts(spark.read.parquet(prev), counts)
+        counts.write.mode("overwrite").parquet(f"{versions}/v={epoch}")
+
+    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    latest = previous(1 << 62)
+    if latest is None:
+        return spark.createDataFrame([], "label string, freq long")
+    return spark.read.parquet(latest)
