@@ -11,8 +11,9 @@ over a small per-slice table, or join; nothing collects a group.
 Size check with a fallback: slicing costs a checkpoint write, so each call
 first measures the largest group (a partial aggregation -- cheap, and it never
 moves a group).  When no group exceeds ``spark.featurelane.maxGroupRows``
-(default 1,000,000 rows) a plain window is safe and is used; otherwise the
-sliced path runs.  A hot key therefore always takes the sliced path.
+(default 1,000,000 rows) a plain window (or, for quantiles, Spark's exact
+``percentile`` aggregate) is safe and is used; otherwise the sliced path runs.
+A hot key therefore always takes the sliced path.
 
 Determinism: the slice id must be identical for the per-slice totals and for
 the rows they are added back to.  Two reads of a range exchange are not
@@ -173,9 +174,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     vcol = value if isinstance(value, Column) else F.col(value)
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if _fits_one_task(base, keys, max_group_rows, group_rows):
-        # one window pass gives both the position and the group size
-        j = (base.withColumn("_pos", F.row_number().over(Window.partitionBy(*keys).orderBy("_v")).cast("long"))
-                 .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
+        # every group is bounded: Spark's exact ``percentile`` (a partial
+        # aggregate of value counts, linear interpolation) is safe and needs
+        # no sort; its per-group buffer is at most the group-size limit
+        agg = base.groupBy(*keys).agg(F.percentile("_v", [float(p) for p in probs]).alias("_q"))
+        return agg.select(*keys, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
     else:
         numbered = number_within(base, keys, [F.col("_v")], "_pos", num_partitions, max_group_rows=0)
         if keys:
