@@ -63,7 +63,17 @@ def history_long(log: DataFrame, entity: str | Sequence[str], value: str, target
     if multivalent:
         log = unnest(log.select(*ents, value, target), value)
     agg = value_stats(log, ents, value, target, stats)
-    return number_within(agg, ents, [F.col(value)], "pos")
+    return number_within(agg, ents, [F.col(value)], "pos", group_rows=_cheap_bound(log, ents))
+
+
+def _cheap_bound(log: DataFrame, ents: Sequence[str]) -> int | None:
+    """Rows per entity in the log bound its distinct values from above, and
+    counting them reads only the key columns (no value aggregation).  Returned
+    only when that bound already proves the groups small; otherwise ``None``,
+    and the numbering measures the aggregate itself."""
+    from featurelane.operators.ordered import _max_group_rows, largest_group
+    bound = largest_group(log.select(*ents), ents)
+    return bound if bound <= _max_group_rows(log, None) else None
 
 
 def history_arrays(log: DataFrame, entity: str, value: str, target: str, prefix: str,
@@ -150,4 +160,4 @@ def unpivot_history(log: DataFrame, entity: str, features: Sequence[str], target
     pairs = ", ".join(f"'{f}', cast(`{f}` as string)" for f in features)
     stacked = log.select(entity, target, F.expr(f"stack({len(features)}, {pairs}) as (feature, value)"))
     agg = value_stats(stacked, [entity, "feature"], "value", target)
-    return number_within(agg, [entity, "feature"], [F.col("value")], "pos")
+    return number_within(agg, [entity, "feature"], [F.col("value")], "pos", group_rows=_cheap_bound(log, [entity]))
