@@ -604,6 +604,20 @@ def series_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+
+def union_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chronological split's two parts unioned back (union all), each row
+    tagged with its part and its position in the customer's history."""
+    from featurelane.operators.ordered import number_within
+    from featurelane.operators.split import chrono_split
+    t = Tables(spark, sf_dir)
+    s = chrono_split(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey",
+                     ["o_orderdate", "o_orderkey"], valid=0.3)
+    both = s.where(F.col("split") == "train").unionByName(s.where(F.col("split") == "valid"))
+    out = number_within(both, ["o_custkey"], ["o_orderdate", "o_orderkey"], "pos")
+    return out.select("o_orderkey", "o_custkey", "split", "pos")
+
+
 # ------------------------------------------------------------------ sources
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -954,6 +968,7 @@ QUERIES = {
     "roc_auc": roc_auc,
     "roc_curve": roc_curve,
     "series_compare": series_compare,
+    "union_history": union_history,
     "csv_roundtrip": csv_roundtrip,
     "stream_score": stream_score,
     "stream_vocab": stream_vocab,

@@ -571,6 +571,17 @@ SELECT code, cnt, row_number() OVER (ORDER BY TRY_CAST(code AS BIGINT) NULLS LAS
 """
 
 
+ORACLE["union_history"] = """
+WITH r AS (SELECT o_orderkey, o_custkey, o_orderdate,
+                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS ra,
+                  count(*) OVER (PARTITION BY o_custkey) AS n FROM orders),
+s AS (SELECT *, CASE WHEN ra <= n - floor(n * CAST(0.3 AS DOUBLE)) THEN 'train' ELSE 'valid' END AS split FROM r),
+u AS (SELECT * FROM s WHERE split = 'train' UNION ALL SELECT * FROM s WHERE split = 'valid')
+SELECT o_orderkey, o_custkey, split,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS pos FROM u
+"""
+
+
 def _stable_round(sql: str) -> str:
     """Rewrite every ``ROUND(expr, 6)`` as decimal rounding (same rule as the Spark side)."""
     out, i, key = [], 0, "ROUND("
