@@ -216,3 +216,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
 def exact_median(df: DataFrame, value: str | Column, keys: Sequence[str] = (), name: str = "median") -> DataFrame:
     """Exact median (one row, or one row per key group)."""
     return exact_quantiles(df, keys, value, [0.5], [name])
+
+
+def approx_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, probs: Sequence[float],
+                     names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
+    """Opt-in approximate quantiles (``percentile_approx``: a mergeable sketch per
+    group, relative rank error about ``1 / accuracy``), one pass, no sort."""
+    keys = list(keys)
+    names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
+    vcol = (value if isinstance(value, Column) else F.col(value)).cast("double")
+    agg = df.groupBy(*keys).agg(F.percentile_approx(vcol, [float(p) for p in probs], accuracy).alias("_q"))
+    return agg.select(*keys, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])

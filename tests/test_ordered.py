@@ -94,3 +94,12 @@ def test_padded_lengths_equal_per_batch(spark):
     out = pad_in_batch(batches(df, ["id"], 8), "a")
     lens = out.groupBy("batch_id").agg(F.countDistinct(F.size("a")).alias("n")).collect()
     assert all(r["n"] == 1 for r in lens) and len(lens) == 7
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from featurelane.operators.ordered import approx_quantiles
+    df = _skewed(spark).withColumn("x", F.col("v") / 3.0)
+    ex = {r["k"]: r["m"] for r in exact_quantiles(df, ["k"], "x", [0.5], ["m"]).collect()}
+    ap = {r["k"]: r["m"] for r in approx_quantiles(df, ["k"], "x", [0.5], ["m"]).collect()}
+    assert ex.keys() == ap.keys()
+    assert abs(ex[0] - ap[0]) <= 2.0   # the 1,040-row group: values span 0..333, dense
