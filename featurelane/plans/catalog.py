@@ -895,6 +895,29 @@ def _sales_inputs(t: Tables):
     return log, store, states
 
 
+
+def sales_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Serving-time preparation of new daily records with the saved
+    store table and the saved store -> mean table (no refit, no filter)."""
+    from featurelane.plans import sales as B
+    from featurelane.sources import io
+    from featurelane.streaming.serve import work_dir
+    t = Tables(spark, sf_dir)
+    spec = B.SalesSpec()
+    log, store, states = B.clean(*_sales_inputs(t), spec)
+    store_p = B.prepare_store(store, states, spec)
+    train, valid = B.split(B.prepare(log, store_p, spec), spec)
+    _stats, means = B.fit(train, spec)
+    saved = work_dir(spark, "serving")
+    io.write_table(means, io.resolve(saved, "sales_mean"))
+    io.write_table(store_p, io.resolve(saved, "store"))
+    served = B.prepare(valid.select("store", "day_of_week", "date", "open", "promo", "state_holiday", "school_holiday"),
+                       io.read_table(spark, io.resolve(saved, "store")), spec,
+                       sales_mean=io.read_table(spark, io.resolve(saved, "sales_mean")))
+    served = B.transform(served, spec, training=False)
+    return served.select("store", "date", "promo2", _r(F.col("sales_mean")).alias("sales_mean"))
+
+
 def sales_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipeline B: clean, prepare, fit, transform, split, ridge, predictions for the validation days.
 
@@ -987,4 +1010,5 @@ QUERIES = {
     "sample_rows": sample_rows,
     "interaction_flow": interaction_flow,
     "sales_flow": sales_flow,
+    "sales_serving": sales_serving,
 }
