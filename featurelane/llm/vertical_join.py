@@ -16,7 +16,8 @@ Two texts link when the sets of their k-word shingles have Jaccard similarity of
    node is first paired with one hub only.  Links found merge nodes into components.  In later
    rounds only nodes outside the hub's component are left, with a hub of their own; when a
    round finds no more links, every remaining pair of different components that shares a prefix
-   n-gram is counted.  A pair inside one component needs no test: it changes no component.
+   n-gram is counted.  A pair inside one component needs no test: it changes no component.  (As soon as those remaining pairs are few
+   against the input, they are counted at once.)
    So a group of a million near copies costs about a million tests, no link between
    components is lost, and nothing is capped.
 
@@ -168,9 +169,9 @@ class VerticalJoin:
         place, k, fragments, wanted = self.place, self.k, self.fragments, bitmap(members, "id")
 
         def run(batches):
-            for batch, w in row_blocks(batches, "text", True):
+            for batch, w in row_blocks(batches, "text", True, only=lambda b: wanted.has(b.column(1).to_numpy())):
                 node, frag, segment = [], [], []
-                for r in np.flatnonzero(wanted.has(batch.column(1).to_numpy())):
+                for r in range(batch.num_rows):
                     s = shingle_set(w.of(r), k)
                     if not len(s):
                         continue
@@ -214,10 +215,9 @@ class VerticalJoin:
         return f"{self.threshold} * (n_a + n_b)"
 
     def _star(self, lists: DataFrame) -> DataFrame:
-        """Each node of a list with the list's hub (its least node)."""
-        hubs = lists.groupBy("hash").agg(F.min(F.struct("node", "n", "place")).alias("hub"))
+        """Each node of a list with the list's hub (its least node); ``lists`` has the hub in a struct."""
         t = 100 + self.threshold
-        return (lists.join(hubs, "hash").where("node <> hub.node")
+        return (lists.where("node <> hub.node")
                 .select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b"),
                         F.col("place").alias("i"), F.col("hub.place").alias("j"))
                 .where(self._size_ok())
@@ -244,44 +244,87 @@ class VerticalJoin:
             F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("hashes").alias("hashes"),
             F.first("places").alias("places"))
 
+    def _labelled(self, nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """The nodes with their component so far."""
+        if roots is None:
+            return nodes.withColumn("comp", F.col("node"))
+        return nodes.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+
+    def _lists(self, labelled: DataFrame, part: int = 1) -> DataFrame:
+        """The postings (hash, node, n, place, comp) of n-grams whose nodes lie in several components, with the hub.
+
+        Open n-grams are found by an aggregate of (hash, component) alone; only their postings are moved.
+        ``part``: of the n-grams, those whose hash divides by it.
+        """
+        grams = labelled.select("comp", F.explode("hashes").alias("hash")).where(F.col("hash") % part == 0)
+        still = (grams.groupBy("hash").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("hash"))
+        still = stage(still, "open")
+        marked = bitmap(still, "hash")
+        posted = (labelled.select("node", "n", "comp", F.explode(F.arrays_zip("hashes", "places")).alias("p"))
+                  .select(F.col("p.hashes").alias("hash"), "node", "n", F.col("p.places").alias("place"), "comp")
+                  .where(F.col("hash") % part == 0).where(marked.column(F.col("hash"))))
+        posted = stage(posted.join(still, "hash", "left_semi"), "postings")
+        return self._with_hub(posted)
+
+    @staticmethod
+    def _with_hub(posted: DataFrame) -> DataFrame:
+        hubs = posted.groupBy("hash").agg(F.min(F.struct("node", "n", "place", "comp")).alias("hub"))
+        return posted.join(hubs, "hash")
+
+    @staticmethod
+    def _cross_pairs(lists: DataFrame) -> int:
+        """At most so many pairs of a node outside its hub's component with any node of the list."""
+        per = lists.groupBy("hash").agg(F.count(F.lit(1)).alias("k"), F.sum((F.col("comp") != F.col("hub.comp")).cast("long")).alias("out"))
+        return per.agg(F.sum(F.col("k") * F.col("out"))).first()[0] or 0
+
+    def _test(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The links among pairs: the texts of their nodes' first documents are read again."""
+        members = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+        return stage(self._linked(pairs, self._segments(members.select(id_hash("doc_id").alias("id")))), "linked")
+
     def links(self, profile: DataFrame) -> DataFrame | None:
         """Links (u, v, overlap) between nodes that give the components; None if there are none."""
         nodes = stage(self.classes(profile), "classes")
-        posted = nodes.select("node", "n", "doc_id", F.explode(F.arrays_zip("hashes", "places")).alias("p")).select(
-            "node", "n", "doc_id", F.col("p.hashes").alias("hash"), F.col("p.places").alias("place"))
-        shared = posted.groupBy("hash").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("hash")
-        lists = stage(posted.join(shared, "hash"), "lists")
-        if lists.isEmpty():
-            return None
-        segments = self._segments(lists.select(id_hash("doc_id").alias("id")).distinct())
-        lists = lists.select("hash", "node", "n", "place")
-        found, tested, minors, comp = None, None, lists, None
+        found, tested, roots, part, size = None, None, None, 8, nodes.count()
+        # first with an eighth of the n-grams, which joins most of each group, then with all that are still open
+        lists = self._lists(self._labelled(nodes, roots), part)
         while True:
-            pairs = stage(self._star(minors), "pairs")
-            new = stage(self._linked(pairs, segments), "linked")
-            any_new = not new.isEmpty()
-            tested = pairs if tested is None else tested.union(pairs)
-            found = new if found is None else found.union(new)
-            if any_new:
-                labelled = lists.join(components(found), "node", "left").withColumn("comp", F.coalesce("root", "node"))
-                comp = stage(labelled.select("hash", "node", "n", "place", "comp"), "labelled")
-            elif comp is None:
-                comp = lists.withColumn("comp", F.col("node"))
-            # the nodes of each list outside the component of the list's hub in this round
-            minors = stage(self._outside(minors.select("hash", "node").join(comp, ["hash", "node"])), "minors")
-            if not any_new or minors.isEmpty():
+            pairs = stage(self._star(lists), "pairs")
+            some = not pairs.isEmpty()
+            if some:
+                new = self._test(pairs, nodes)
+                tested = pairs if tested is None else tested.union(pairs)
+                some = not new.isEmpty()
+            if some:
+                found = new if found is None else found.union(new)
+                roots = components(found)
+            if part > 1:
+                part = 1
+                all_lists = lists = stage(self._lists(self._labelled(nodes, roots)), "lists")
+                continue
+            if not some:
+                break
+            relabelled = self._labelled(all_lists.select("hash", "node", "n", "place"), roots)
+            all_lists = stage(self._with_hub(relabelled), "lists")
+            # the nodes of each list outside the component of its hub meet a hub of their own next
+            outside = self._labelled(lists.select("hash", "node", "n", "place", "hub"), roots).where("node <> hub.node")
+            hub = roots.select(F.col("node").alias("_h"), F.col("root").alias("_r"))
+            outside = (outside.join(hub, F.col("hub.node") == F.col("_h"), "left")
+                       .where("comp <> coalesce(_r, hub.node)").select("hash", "node", "n", "place", "comp"))
+            lists = stage(self._with_hub(outside), "outside")
+            if self._cross_pairs(all_lists) <= 4 * size:
                 break
-        outside = stage(self._outside(comp), "outside")
+        # few are left, or no star finds another link: now all pairs across components, none tested twice
+        outside = all_lists.where("comp <> hub.comp").drop("hub")
         if outside.isEmpty():
             return found
-        flat = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        rest = stage(self._rest(comp, outside, flat), "rest")
-        return found.union(stage(self._linked(rest, segments), "linked"))
-
-    @staticmethod
-    def _outside(labelled: DataFrame) -> DataFrame:
-        hubs = labelled.groupBy("hash").agg(F.min(F.struct("node", "comp")).alias("hub"))
-        return labelled.join(hubs, "hash").where("comp <> hub.comp").drop("hub")
+        flat = pairs.limit(0) if tested is None else tested
+        flat = flat.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        rest = stage(self._rest(all_lists.drop("hub"), outside, flat), "rest")
+        if rest.isEmpty():
+            return found
+        new = self._test(rest, nodes)
+        return new if found is None else found.union(new)
 
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row of the documents."""

@@ -13,7 +13,7 @@ lost executor.  Two different words or windows collide with a chance of about
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -142,10 +142,15 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
     return np.unique(windows(words, k))
 
 
-def row_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", lower: bool = False,
-               limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, Words]]:
-    """Slices of the Arrow batches with the words of their texts, about ``limit`` bytes at a time."""
+def row_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", lower: bool = False, limit: int = 1 << 20,
+               only: Callable[[pa.RecordBatch], np.ndarray] | None = None) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Slices of the Arrow batches with the words of their texts, about ``limit`` bytes at a time.
+
+    ``only`` gives a mask of the rows to take; the others' words are not looked for.
+    """
     for batch in batches:
+        if only is not None:
+            batch = batch.filter(pa.array(only(batch)))
         data, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
         for i, j in spans(offsets, limit):
             yield batch.slice(i, j - i), Words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], lower)
