@@ -48,6 +48,8 @@ K = 5
 THRESHOLD = 80
 LOG2_COUNTERS = 20
 FRAGMENTS = 8
+#: Remaining pairs (before the filters) per different text that are counted at once.
+DIRECT = 16
 _SLICE = 14  # 2**14 counters a slice
 
 
@@ -215,7 +217,11 @@ class VerticalJoin:
         return f"{self.threshold} * (n_a + n_b)"
 
     def _star(self, lists: DataFrame) -> DataFrame:
-        """Each node of a list with the list's hub (its least node); ``lists`` has the hub in a struct."""
+        """Each node of a list with the list's hub; ``lists`` has it in a struct.
+
+        The hub is the node with the fewest rarer n-grams before this one: of a text and its edited
+        copies that is the text itself, which is nearer to them than they are to each other.
+        """
         t = 100 + self.threshold
         return (lists.where("node <> hub.node")
                 .select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b"),
@@ -268,7 +274,7 @@ class VerticalJoin:
 
     @staticmethod
     def _with_hub(posted: DataFrame) -> DataFrame:
-        hubs = posted.groupBy("hash").agg(F.min(F.struct("node", "n", "place", "comp")).alias("hub"))
+        hubs = posted.groupBy("hash").agg(F.min(F.struct("place", "node", "n", "comp")).alias("hub"))
         return posted.join(hubs, "hash")
 
     @staticmethod
@@ -301,6 +307,8 @@ class VerticalJoin:
             if part > 1:
                 part = 1
                 all_lists = lists = stage(self._lists(self._labelled(nodes, roots)), "lists")
+                if self._cross_pairs(all_lists) <= DIRECT * size:
+                    break
                 continue
             if not some:
                 break
@@ -312,7 +320,7 @@ class VerticalJoin:
             outside = (outside.join(hub, F.col("hub.node") == F.col("_h"), "left")
                        .where("comp <> coalesce(_r, hub.node)").select("hash", "node", "n", "place", "comp"))
             lists = stage(self._with_hub(outside), "outside")
-            if self._cross_pairs(all_lists) <= 4 * size:
+            if self._cross_pairs(all_lists) <= DIRECT * size:
                 break
         # few are left, or no star finds another link: now all pairs across components, none tested twice
         outside = all_lists.where("comp <> hub.comp").drop("hub")
