@@ -15,7 +15,7 @@ Two texts link when the sets of their k-word shingles have Jaccard similarity of
 5. *Candidates without all pairs.*  In the list of nodes that share a prefix n-gram, every
    node is first paired with one hub only.  Links found merge nodes into components.  In later
    rounds only nodes outside the hub's component are left, with a hub of their own; when a
-   round finds no more links, every remaining pair of different components that shares a prefix
+   round finds no more links or no longer halves what is left, every remaining pair of different components that shares a prefix
    n-gram is counted.  A pair inside one component needs no test: it changes no component.  (As soon as those remaining pairs are few
    against the input, they are counted at once.)
    So a group of a million near copies costs about a million tests, no link between
@@ -49,7 +49,7 @@ THRESHOLD = 80
 LOG2_COUNTERS = 20
 FRAGMENTS = 8
 #: Remaining pairs (before the filters) per different text that are counted at once.
-DIRECT = 16
+DIRECT = 64
 _SLICE = 14  # 2**14 counters a slice
 
 
@@ -307,7 +307,8 @@ class VerticalJoin:
             if part > 1:
                 part = 1
                 all_lists = lists = stage(self._lists(self._labelled(nodes, roots)), "lists")
-                if self._cross_pairs(all_lists) <= DIRECT * size:
+                cross = self._cross_pairs(all_lists)
+                if cross <= DIRECT * size:
                     break
                 continue
             if not some:
@@ -320,7 +321,8 @@ class VerticalJoin:
             outside = (outside.join(hub, F.col("hub.node") == F.col("_h"), "left")
                        .where("comp <> coalesce(_r, hub.node)").select("hash", "node", "n", "place", "comp"))
             lists = stage(self._with_hub(outside), "outside")
-            if self._cross_pairs(all_lists) <= DIRECT * size:
+            cross, before = self._cross_pairs(all_lists), cross
+            if cross <= DIRECT * size or 2 * cross > before:
                 break
         # few are left, or no star finds another link: now all pairs across components, none tested twice
         outside = all_lists.where("comp <> hub.comp").drop("hub")
