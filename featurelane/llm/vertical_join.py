@@ -167,7 +167,10 @@ class VerticalJoin:
                      "profile")
 
     def _segments(self, members: DataFrame) -> DataFrame:
-        """(node, frag, segment): the sets of the documents in ``members`` (id column), cut by fragment, staged."""
+        """(node, frag, segment): the sets of the documents in ``members`` (id column), cut by fragment, staged.
+
+        A node may come more than once (another document with the same set).
+        """
         place, k, fragments, wanted = self.place, self.k, self.fragments, bitmap(members, "id")
 
         def run(batches):
@@ -189,23 +192,24 @@ class VerticalJoin:
                 yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(frag, pa.int32()),
                                                   pa.array(segment, pa.binary())], names=["node", "frag", "segment"])
 
-        return stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, frag int, segment binary")
-                     .dropDuplicates(["node", "frag"]), "segments")
+        return stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, frag int, segment binary"),
+                     "segments")
 
     def _linked(self, pairs: DataFrame, segments: DataFrame) -> DataFrame:
         """The pairs (a, b, n_a, n_b) that link: partial overlaps by fragment, summed per pair."""
         def overlap(batches):
             for batch in batches:
                 n = [len(np.intersect1d(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U), True))
-                     for x, y in zip(batch.column(4), batch.column(5))]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(n, pa.int64())],
-                                                 names=["a", "b", "n_a", "n_b", "part"])
+                     for x, y in zip(batch.column(5), batch.column(6))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(n, pa.int64())],
+                                                 names=["a", "b", "n_a", "n_b", "frag", "part"])
 
         left = segments.select(F.col("node").alias("a"), "frag", F.col("segment").alias("sa"))
         right = segments.select(F.col("node").alias("b"), "frag", F.col("segment").alias("sb"))
-        both = (pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "n_a", "n_b", "sa", "sb")
-                .mapInArrow(overlap, "a long, b long, n_a long, n_b long, part long"))
-        summed = both.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("overlap"))
+        both = (pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "n_a", "n_b", "frag", "sa", "sb")
+                .mapInArrow(overlap, "a long, b long, n_a long, n_b long, frag int, part long"))
+        once = both.groupBy("a", "b", "n_a", "n_b", "frag").agg(F.max("part").alias("part"))
+        summed = once.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("overlap"))
         return summed.where(f"100 * overlap >= {self.threshold} * (n_a + n_b - overlap)").select(
             F.col("a").alias("u"), F.col("b").alias("v"), "overlap")
 
@@ -232,14 +236,17 @@ class VerticalJoin:
 
     def _rest(self, lists: DataFrame, minors: DataFrame, tested: DataFrame) -> DataFrame:
         """All pairs of different components that share a prefix n-gram and were not tested."""
+        t = 100 + self.threshold
         x = minors.select("hash", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("place").alias("p_x"), F.col("comp").alias("c_x"))
         y = lists.select("hash", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("place").alias("p_y"), F.col("comp").alias("c_y"))
         met = (x.join(y, (x["hash"] == y["hash"]) & (x["c_x"] != y["c_y"])
-                      & (100 * y["n_y"] >= self.threshold * x["n_x"]) & (100 * x["n_x"] >= self.threshold * y["n_y"]))
+                      & (100 * y["n_y"] >= self.threshold * x["n_x"]) & (100 * x["n_x"] >= self.threshold * y["n_y"])
+                      # a common n-gram at these places leaves too few others: such a pair cannot link
+                      & (t * (F.least("p_x", "p_y") + 1 + F.least(x["n_x"] - 1 - x["p_x"], y["n_y"] - 1 - y["p_y"]))
+                         >= self.threshold * (x["n_x"] + y["n_y"])))
                .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), x["hash"].alias("hash"),
                        F.expr("if(x > y, n_x, n_y)").alias("n_a"), F.expr("if(x > y, n_y, n_x)").alias("n_b"),
                        F.expr("if(x > y, p_x, p_y)").alias("i"), F.expr("if(x > y, p_y, p_x)").alias("j")).distinct())
-        t = 100 + self.threshold
         near = (met.groupBy("a", "b", "n_a", "n_b").agg(F.count("hash").alias("c"), F.max("i").alias("i"), F.max("j").alias("j"))
                 .where(f"{t} * (c + least(n_a - 1 - i, n_b - 1 - j)) >= {self._needed()}").select("a", "b", "n_a", "n_b"))
         return near.join(tested, ["a", "b"], "left_anti")
@@ -263,25 +270,25 @@ class VerticalJoin:
         ``part``: of the n-grams, those whose hash divides by it.
         """
         grams = labelled.select("comp", F.explode("hashes").alias("hash")).where(F.col("hash") % part == 0)
-        still = (grams.groupBy("hash").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("hash"))
-        still = stage(still, "open")
+        still = grams.groupBy("hash").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("hash")
         marked = bitmap(still, "hash")
         posted = (labelled.select("node", "n", "comp", F.explode(F.arrays_zip("hashes", "places")).alias("p"))
                   .select(F.col("p.hashes").alias("hash"), "node", "n", F.col("p.places").alias("place"), "comp")
                   .where(F.col("hash") % part == 0).where(marked.column(F.col("hash"))))
-        posted = stage(posted.join(still, "hash", "left_semi"), "postings")
-        return self._with_hub(posted)
+        return self._with_hub(stage(posted, "postings"))
 
     @staticmethod
     def _with_hub(posted: DataFrame) -> DataFrame:
-        hubs = posted.groupBy("hash").agg(F.min(F.struct("place", "node", "n", "comp")).alias("hub"))
+        """Postings of the n-grams that several components share, with the hub and the list's length k."""
+        hubs = posted.groupBy("hash").agg(
+            F.min(F.struct("place", "node", "n", "comp")).alias("hub"), F.count(F.lit(1)).alias("k"),
+            F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").drop("_lo", "_hi")
         return posted.join(hubs, "hash")
 
     @staticmethod
     def _cross_pairs(lists: DataFrame) -> int:
         """At most so many pairs of a node outside its hub's component with any node of the list."""
-        per = lists.groupBy("hash").agg(F.count(F.lit(1)).alias("k"), F.sum((F.col("comp") != F.col("hub.comp")).cast("long")).alias("out"))
-        return per.agg(F.sum(F.col("k") * F.col("out"))).first()[0] or 0
+        return lists.where("comp <> hub.comp").agg(F.sum("k")).first()[0] or 0
 
     def _test(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The links among pairs: the texts of their nodes' first documents are read again."""
@@ -325,12 +332,12 @@ class VerticalJoin:
             if cross <= DIRECT * size or 2 * cross > before:
                 break
         # few are left, or no star finds another link: now all pairs across components, none tested twice
-        outside = all_lists.where("comp <> hub.comp").drop("hub")
+        outside = all_lists.where("comp <> hub.comp").drop("hub", "k")
         if outside.isEmpty():
             return found
         flat = pairs.limit(0) if tested is None else tested
         flat = flat.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        rest = stage(self._rest(all_lists.drop("hub"), outside, flat), "rest")
+        rest = stage(self._rest(all_lists.drop("hub", "k"), outside, flat), "rest")
         if rest.isEmpty():
             return found
         new = self._test(rest, nodes)
