@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelane.llm import attribution, binary_packing, chaining, compression, mixing, ship, vertical_join
+from featurelane.llm import (attribution, binary_packing, chaining, compression, iblt, mixing, perspectives, ppm, pu_quality, ship,
+                             vertical_join)
 from featurelane.sources.tables import table
 
 
@@ -34,12 +35,41 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_columns(documents(spark, sf_dir))
 
 
+def op4_invertible_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against its edited text's and the next document's."""
+    return iblt.compare_next(documents(spark, sf_dir))
+
+
 def op5_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's power-of-two pieces."""
     pieces = binary_packing.pack_documents(documents(spark, sf_dir))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def _remainder(key: str, n: int) -> Column:
+    """crc32 of the key as text, modulo n."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+
+
+def op6_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by shortest code length."""
+    docs = documents(spark, sf_dir)
+    found = ppm.identify(docs, _remainder("doc_id", 4) != 2)
+    return found.select("doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+def op7_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the point of view of each participant."""
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
+def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    docs = documents(spark, sf_dir)
+    scored = pu_quality.score(docs, table(spark, sf_dir, "labels"), _remainder("doc_id", 3) != 1)
+    return scored.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_vertical_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of n-gram Jaccard links."""
     return vertical_join.VerticalJoin(documents(spark, sf_dir)).components()
@@ -51,7 +81,8 @@ def op10_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_attribution, op2_pivotal_mixing, op3_compression_bands, op5_binary_packing,
-                            op9_vertical_join, op10_collinear_chaining)
+    f.__name__: f for f in (op1_token_attribution, op2_pivotal_mixing, op3_compression_bands, op4_invertible_sketch, op5_binary_packing,
+                            op6_ppm_language, op7_perspective_rotation, op8_pu_quality, op9_vertical_join, op10_collinear_chaining)
 }
-ORACLE: dict[str, str] = {}
+#: Only the perspective rotation is plain SQL; the others are tested against brute force, round trips or held-out accuracy.
+ORACLE: dict[str, str] = {"op7_perspective_rotation": perspectives.ORACLE}
