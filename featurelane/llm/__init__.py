@@ -12,13 +12,21 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+#: Texts go to the Python workers in batches of bounded size, unless the session sets its own.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this library's Python files to the executors (once per context).
+    """Send this library's Python files to the executors (once per context) and bound the Arrow batches.
 
     Tasks import the modules by name; where the package is installed on every node, or given with
     ``--py-files``, this only repeats it.
     """
     sc = spark.sparkContext
+    given = sc.getConf()
+    for name, value in ARROW.items():
+        if not given.contains(name):
+            spark.conf.set(name, value)
     if getattr(sc, "_featurelane_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -225,7 +225,7 @@ def compare_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             data, off = text_bytes(batch.column(1))
             r, halo = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             last = batch.num_rows - 1
-            for i, j in spans(off[:last + 1], 1 << 20) if last else ():
+            for i, j in spans(off[:last + 1], 1 << 18) if last else ():
                 # runs of rows of one range, each with the row after it
                 rows = np.arange(i, j)
                 rows = rows[(halo[rows] == 0) & (r[rows] == r[rows + 1])]

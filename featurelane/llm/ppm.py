@@ -67,7 +67,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist(), object)
         data, off = text_bytes(batch.column(1))
-        for i, j in spans(off, 1 << 20):
+        for i, j in spans(off, 1 << 18):
             x, at = padded(_FOLD[data[off[i]:off[j]]], off[i:j + 1] - off[i], 32)
             code = (x[at - 3] << 24) | (x[at - 2] << 16) | (x[at - 1] << 8) | x[at]
             owner = np.repeat(langs[i:j], np.diff(off[i:j + 1]))
@@ -167,7 +167,7 @@ def identify(docs: DataFrame, training: Column, key: str = "doc_id", text: str =
         m = shared.value
         for batch in batches:
             data, off = text_bytes(batch.column(1))
-            for i, j in spans(off, 1 << 19):
+            for i, j in spans(off, 1 << 18):
                 part, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
                 known = has_letter(part, o) if m else np.zeros(j - i, bool)
                 pred, score, per_byte = np.full(j - i, "und", object), np.zeros(j - i), np.full(j - i, np.nan)

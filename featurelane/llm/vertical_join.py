@@ -234,21 +234,29 @@ class VerticalJoin:
                 .where(f"{t} * (least(i, j) + 1 + least(n_a - 1 - i, n_b - 1 - j)) >= {self._needed()}")
                 .select("a", "b", "n_a", "n_b").distinct())
 
+    def _meetings(self, lists: DataFrame, minors: DataFrame) -> DataFrame:
+        """Every prefix n-gram that two nodes of different components share and that leaves room for a link.
+
+        A pair that links shares an n-gram within the first ``n - ceil(2 t n / (1 + t)) + 1`` of the smaller set, and no
+        common n-gram lies at places that leave too few others.
+        """
+        t, sides = self.threshold, ("node", "n", "place", "comp")
+        x = minors.select("hash", *[F.col(c).alias(f"{c}_x") for c in sides])
+        y = lists.select("hash", *[F.col(c).alias(f"{c}_y") for c in sides])
+        fits = F.expr(f"comp_x <> comp_y and 100 * n_y >= {t} * n_x and 100 * n_x >= {t} * n_y"
+                      f" and {100 + t} * (least(place_x, place_y) + 1 + least(n_x - 1 - place_x, n_y - 1 - place_y)) >= {t} * (n_x + n_y)"
+                      f" and {100 + t} * (least(n_x, n_y) - if(n_x <= n_y, place_x, place_y)) >= {2 * t} * least(n_x, n_y)")
+        return x.withColumnRenamed("hash", "_h").join(y, (F.col("_h") == F.col("hash")) & fits).drop("_h")
+
     def _rest(self, lists: DataFrame, minors: DataFrame, tested: DataFrame) -> DataFrame:
-        """All pairs of different components that share a prefix n-gram and were not tested."""
-        t = 100 + self.threshold
-        x = minors.select("hash", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("place").alias("p_x"), F.col("comp").alias("c_x"))
-        y = lists.select("hash", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("place").alias("p_y"), F.col("comp").alias("c_y"))
-        met = (x.join(y, (x["hash"] == y["hash"]) & (x["c_x"] != y["c_y"])
-                      & (100 * y["n_y"] >= self.threshold * x["n_x"]) & (100 * x["n_x"] >= self.threshold * y["n_y"])
-                      # a common n-gram at these places leaves too few others: such a pair cannot link
-                      & (t * (F.least("p_x", "p_y") + 1 + F.least(x["n_x"] - 1 - x["p_x"], y["n_y"] - 1 - y["p_y"]))
-                         >= self.threshold * (x["n_x"] + y["n_y"])))
-               .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), x["hash"].alias("hash"),
-                       F.expr("if(x > y, n_x, n_y)").alias("n_a"), F.expr("if(x > y, n_y, n_x)").alias("n_b"),
-                       F.expr("if(x > y, p_x, p_y)").alias("i"), F.expr("if(x > y, p_y, p_x)").alias("j")).distinct())
+        """All pairs of different components that share a prefix n-gram, can link and were not tested."""
+        swap = "node_x < node_y"
+        met = self._meetings(lists, minors).select(
+            "hash", F.greatest("node_x", "node_y").alias("a"), F.least("node_x", "node_y").alias("b"),
+            *[F.expr(f"if({swap}, {c}_y, {c}_x)").alias(a) for c, a in (("n", "n_a"), ("place", "i"))],
+            *[F.expr(f"if({swap}, {c}_x, {c}_y)").alias(b) for c, b in (("n", "n_b"), ("place", "j"))]).distinct()
         near = (met.groupBy("a", "b", "n_a", "n_b").agg(F.count("hash").alias("c"), F.max("i").alias("i"), F.max("j").alias("j"))
-                .where(f"{t} * (c + least(n_a - 1 - i, n_b - 1 - j)) >= {self._needed()}").select("a", "b", "n_a", "n_b"))
+                .where(f"{100 + self.threshold} * (c + least(n_a - 1 - i, n_b - 1 - j)) >= {self._needed()}").select("a", "b", "n_a", "n_b"))
         return near.join(tested, ["a", "b"], "left_anti")
 
     def classes(self, profile: DataFrame) -> DataFrame:

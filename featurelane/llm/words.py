@@ -62,7 +62,7 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[lo:offsets[-1]] if len(offsets) else data, offsets - lo
 
 
-def spans(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def spans(offsets: np.ndarray, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts hold about ``limit`` bytes together (one row at least)."""
     i, n = 0, len(offsets) - 1
     while i < n:
@@ -142,7 +142,7 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
     return np.unique(windows(words, k))
 
 
-def row_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", lower: bool = False, limit: int = 1 << 20,
+def row_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", lower: bool = False, limit: int = 1 << 18,
                only: Callable[[pa.RecordBatch], np.ndarray] | None = None) -> Iterator[tuple[pa.RecordBatch, Words]]:
     """Slices of the Arrow batches with the words of their texts, about ``limit`` bytes at a time.
 
