@@ -46,12 +46,12 @@ class Encoder:
         spec = json.loads(vocabulary)
         special = {t["id"] for t in spec.get("added_tokens", [])}
         vocab = spec["model"]["vocab"]
-        self.ranks = {bytes(letters[c] for c in s): i for s, i in vocab.items() if i not in special}
+        ranks = {bytes(letters[c] for c in s): i for s, i in vocab.items() if i not in special}
         self.size = max(vocab.values()) + 1
         self.lengths = np.zeros(self.size, np.int64)
-        for s, i in self.ranks.items():
+        for s, i in ranks.items():
             self.lengths[i] = len(s)
-        self._fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks,
+        self._fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                        special_tokens={})
         self._vocabulary, self._exact = vocabulary, None
 
@@ -70,7 +70,7 @@ class Encoder:
         return np.asarray(self._exact.encode(text, add_special_tokens=False).ids, np.int64)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(vocabulary: str) -> Encoder:
     """One encoder for each Python worker and vocabulary."""
     return Encoder(vocabulary)

@@ -204,11 +204,13 @@ class VerticalJoin:
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(n, pa.int64())],
                                                  names=["a", "b", "n_a", "n_b", "frag", "part"])
 
-        left = segments.select(F.col("node").alias("a"), "frag", F.col("segment").alias("sa"))
-        right = segments.select(F.col("node").alias("b"), "frag", F.col("segment").alias("sb"))
-        both = (pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "n_a", "n_b", "frag", "sa", "sb")
+        # the segments move once to the pairs of their node, and once more with the pair
+        ends = pairs.select("a", "b", "n_a", "n_b", F.explode(F.array("a", "b")).alias("node"))
+        dealt = ends.join(segments, "node").groupBy("a", "b", "n_a", "n_b", "frag").agg(
+            F.max(F.when(F.col("node") == F.col("a"), F.col("segment"))).alias("sa"),
+            F.max(F.when(F.col("node") == F.col("b"), F.col("segment"))).alias("sb"))
+        once = (dealt.where("sa is not null and sb is not null").select("a", "b", "n_a", "n_b", "frag", "sa", "sb")
                 .mapInArrow(overlap, "a long, b long, n_a long, n_b long, frag int, part long"))
-        once = both.groupBy("a", "b", "n_a", "n_b", "frag").agg(F.max("part").alias("part"))
         summed = once.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("overlap"))
         return summed.where(f"100 * overlap >= {self.threshold} * (n_a + n_b - overlap)").select(
             F.col("a").alias("u"), F.col("b").alias("v"), "overlap")
@@ -232,6 +234,7 @@ class VerticalJoin:
                         F.col("place").alias("i"), F.col("hub.place").alias("j"))
                 .where(self._size_ok())
                 .where(f"{t} * (least(i, j) + 1 + least(n_a - 1 - i, n_b - 1 - j)) >= {self._needed()}")
+                .where(f"{t} * (least(n_a, n_b) - if(n_a <= n_b, i, j)) >= {2 * self.threshold} * least(n_a, n_b)")
                 .select("a", "b", "n_a", "n_b").distinct())
 
     def _meetings(self, lists: DataFrame, minors: DataFrame) -> DataFrame:

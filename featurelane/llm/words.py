@@ -154,3 +154,4 @@ def row_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", lower: boo
         data, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
         for i, j in spans(offsets, limit):
             yield batch.slice(i, j - i), Words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], lower)
+    pa.default_memory_pool().release_unused()  # a worker that is used again keeps no more than it needs
