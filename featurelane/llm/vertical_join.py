@@ -379,11 +379,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     plain = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)], id_hash(key).alias("_id"))
     k = f"_{names.index(key)}"
     per = comps.groupBy(F.col("doc_id").alias("_key")).agg(
-        F.count(F.lit(1)).alias("_n"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("_stay"))
-    change = stage(per.where("_n > 1 or coalesce(_stay, 0) = 0").withColumn("_id2", id_hash("_key")), "leaving")
+        F.count(F.lit(1)).alias("_n"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int")).alias("_stay"))
+    change = stage(per.where("_n > 1 or _stay = 0").withColumn("_id2", id_hash("_key")), "leaving")
     marked = bitmap(change, "_id2")
     hit = marked.column(F.col("_id"))
-    judged = plain.where(hit).join(change, plain[k].eqNullSafe(change["_key"]), "left").where("_n is null or coalesce(_stay, 1) = 1")
+    judged = plain.where(hit).join(change, plain[k].eqNullSafe(change["_key"]), "left").where("_n is null or _stay = 1")
     once = judged.where("_n > 1").drop("_n", "_stay", "_key", "_id2").dropDuplicates()
     many = judged.where("_n is null").drop("_n", "_stay", "_key", "_id2")
     kept = plain.where(~hit).unionByName(many).unionByName(once)
