@@ -16,14 +16,21 @@ from pyspark.sql import functions as F
 from featurelane.operators.ordered import _key_join, exact_quantiles
 
 
+def _with_keys(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Rows whose group keys are all there: a null is no group."""
+    for k in keys:
+        df = df.where((k if isinstance(k, Column) else F.col(k)).isNotNull())
+    return df
+
+
 def value_counts(df: DataFrame, col: str | Column, name: str = "cnt") -> DataFrame:
     """Occurrences per value (order by ``cnt desc`` when reporting)."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias(name))
+    return _with_keys(df, [col]).groupBy(col).agg(F.count(F.lit(1)).alias(name))
 
 
 def having_count(df: DataFrame, keys: Sequence[str], min_count: int, name: str = "cnt") -> DataFrame:
     """Groups with at least ``min_count`` rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) >= min_count)
+    return _with_keys(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) >= min_count)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int, offset: int = 0) -> DataFrame:
@@ -114,15 +121,16 @@ def pivot_mean_count(df: DataFrame, row: str, col: str, target: str, ticks: Sequ
 
     With ``ticks`` the column set is fixed (no extra job to find the values).
     """
-    g = df.groupBy(*facet, row).pivot(col, list(ticks) if ticks is not None else None)
+    g = _with_keys(df, (*facet, row, col)).groupBy(*facet, row).pivot(col, list(ticks) if ticks is not None else None)
     out = g.agg(F.avg(target).alias("mean"), F.count(F.lit(1)).alias("count"))
-    return out.na.fill(0)
+    return out.na.fill(0, [c for c in out.columns if c not in (*facet, row)])
 
 
 def pivot_count(df: DataFrame, row: str, col: str, ticks: Sequence[str] | None = None,
                 facet: Sequence[str] = ()) -> DataFrame:
     """``size().pivot`` -- row counts per cell, empty -> 0."""
-    return df.groupBy(*facet, row).pivot(col, list(ticks) if ticks is not None else None).count().na.fill(0)
+    out = _with_keys(df, (*facet, row, col)).groupBy(*facet, row).pivot(col, list(ticks) if ticks is not None else None).count()
+    return out.na.fill(0, [c for c in out.columns if c not in (*facet, row)])
 
 
 def vocabulary_sizes(df: DataFrame, cols: Sequence[str], multivalent: Sequence[str] = (),

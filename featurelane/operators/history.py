@@ -129,7 +129,8 @@ def polarity_items(log: DataFrame, entity: str, item: str, target: str,
     Long form ``(entity, polarity, pos, item, weight=1.0)``; ``order`` must be a
     total order (e.g. ``ts, event_id``).
     """
-    tagged = log.select(entity, item, *[c for c in order if isinstance(c, str)],
+    # a null target is neither: only 1 and 0 are selected
+    tagged = log.where(F.col(target).isin(0, 1) & F.col(entity).isNotNull()).select(entity, item, *[c for c in order if isinstance(c, str)],
                         F.when(F.col(target) == 1, F.lit("pos")).otherwise(F.lit("neg")).alias("polarity"))
     numbered = number_within(tagged, [entity, "polarity"], order, "pos")
     return numbered.select(entity, "polarity", "pos", item, F.lit(1.0).alias("weight"))
@@ -146,7 +147,7 @@ def polarity_defaults(base: DataFrame, lists: DataFrame, entity: str, item: str)
 
 def entity_popularity(log: DataFrame, entity: str, target: str, prefix: str) -> DataFrame:
     """A5: ``{prefix}_clicks`` = count, ``{prefix}_pplrty`` = mean target."""
-    return log.groupBy(entity).agg(F.count(target).cast("double").alias(f"{prefix}_clicks"),
+    return log.where(F.col(entity).isNotNull()).groupBy(entity).agg(F.count(target).cast("double").alias(f"{prefix}_clicks"),
                                    F.avg(target).alias(f"{prefix}_pplrty"))
 
 

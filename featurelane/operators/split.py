@@ -21,6 +21,8 @@ def _desc(order: Sequence[str | Column]) -> list[Column]:
 
 def group_sizes(df: DataFrame, key: str | Sequence[str], name: str = "n") -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
+    for k in keys:  # a null is no group
+        df = df.where(F.col(k).isNotNull())
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 

@@ -1,8 +1,8 @@
 """Session construction and lineage cutting.
 
 The checkpoint folder always comes from the session (``spark.checkpoint.dir``,
-set by the cluster).  Only when it is unset -- local tests -- do we fall back to
-a scratch folder, so no job ever writes to a machine-local folder on a cluster.
+set by the cluster).  Only on a local master may it be unset (tests): a scratch folder
+is used then.  On a cluster an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        checkpoint_dir(spark)
     return spark
 
 
@@ -70,8 +71,8 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    Reads ``spark.checkpoint.dir`` (or the context's directory).  Only if both
-    are unset -- as in tests -- a fresh scratch folder is created and set.
+    Reads ``spark.checkpoint.dir`` (or the context's directory).  If both are
+    unset, a local master gets a fresh scratch folder, any other an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,6 +80,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="featurelane-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: Values may hold newlines and quotes (a quote is doubled); a row that does not fit the schema is an error.
+CSV = {"multiLine": True, "quote": '"', "escape": '"'}
+
+
 def schema_of(fields: dict[str, str] | Sequence[tuple[str, str]]) -> T.StructType:
     """``{'store': 'int', 'date': 'string', ...}`` -> ``StructType`` (DDL types)."""
     items = fields.items() if isinstance(fields, dict) else fields
@@ -26,13 +30,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     """CSV (file, folder or glob) with declared types; empty fields -> defaults."""
     if isinstance(schema, dict):
         schema = schema_of(schema)
-    df = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
+    df = spark.read.schema(schema).option("header", header).options(**CSV).option("mode", "FAILFAST").csv(path)
     return df.na.fill(defaults) if defaults else df
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV sink with a header row, no index column."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**CSV).csv(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
@@ -60,6 +64,12 @@ def read_series(spark: SparkSession, path: str, schema: T.StructType | dict[str,
     return spark.read.schema(schema).json(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever store its URI names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def save_stats(spark: SparkSession, stats: dict, path: str) -> None:
     """Fitted statistics (a small dict) as one JSON document."""
     spark.createDataFrame([(json.dumps(stats),)], "doc string").coalesce(1).write.mode("overwrite").text(path)
@@ -67,10 +77,9 @@ def save_stats(spark: SparkSession, stats: dict, path: str) -> None:
 
 def load_stats(spark: SparkSession, path: str) -> dict | None:
     """Fitted statistics, or ``None`` when absent (callers then skip scaling)."""
-    try:
-        rows = spark.read.text(path).take(1)
-    except Exception:  # missing path: no statistics
+    if not path_exists(spark, path):
         return None
+    rows = spark.read.text(path).take(1)  # unreadable statistics raise
     return json.loads(rows[0][0]) if rows else None
 
 

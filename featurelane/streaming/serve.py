@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from featurelane.sources.io import path_exists
 from featurelane.session import checkpoint_dir
 
 
@@ -100,10 +101,9 @@ def vocab_merge_stream(stream: DataFrame, col: str, spark: SparkSession, name: s
     versions = f"{base}/counts"
 
     def previous(epoch: int) -> str | None:
-        try:
-            row = spark.read.parquet(versions).where(F.col("v") < epoch).agg(F.max("v").alias("m")).first()
-        except Exception:  # no version written yet
+        if not path_exists(spark, versions):  # no version written yet; a damaged one raises
             return None
+        row = spark.read.parquet(versions).where(F.col("v") < epoch).agg(F.max("v").alias("m")).first()
         return None if row["m"] is None else f"{versions}/v={row['m']}"
 
     def merge(batch: DataFrame, epoch: int) -> None:
