@@ -11,7 +11,9 @@ Two texts link when the sets of their k-word shingles have Jaccard similarity of
 3. *Representatives.*  Equal sets are one node, whatever their number.
 4. *Vertical partitioning.*  The global order is cut into ``FRAGMENTS`` ranges of equal mass and every
    set that may link is cut accordingly.  A candidate pair's overlap is counted
-   in each fragment separately and summed per pair; the exact test follows.
+   in each fragment separately and summed per pair; the exact test follows.  Pairs whose signatures
+   (a bitmap of each set, a sixteenth of its size or so) already show too many n-grams that the other set lacks
+   are dropped before; that bound never drops a link.
 5. *Candidates without all pairs.*  In the list of nodes that share a prefix n-gram, every
    node is first paired with one hub only.  Links found merge nodes into components.  In later
    rounds only nodes outside the hub's component are left, with a hub of their own; when a
@@ -110,6 +112,22 @@ def _node(shingles: np.ndarray) -> np.int64:
     return mix(np.array([total], U)).view(np.int64)[0]
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """Bitmap of a set's n-grams by their low bits, four to eight bits for each n-gram."""
+    m = max(8, 1 << int(4 * len(shingles) - 1).bit_length())
+    bits = np.zeros(m, bool)
+    bits[(shingles & U(m - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def overlap_bound(x: np.ndarray, y: np.ndarray, n_x: int, n_y: int) -> int:
+    """The most that two sets can share: a bit of one alone stands for an n-gram that the other lacks."""
+    bits_x, bits_y = (np.unpackbits(b).astype(bool) for b in (x, y))
+    m = min(len(bits_x), len(bits_y))  # powers of two: the longer bitmap folds onto the shorter
+    bits_x, bits_y = (b.reshape(-1, m).any(axis=0) for b in (bits_x, bits_y))
+    return min(n_x - int((bits_x & ~bits_y).sum()), n_y - int((bits_y & ~bits_x).sum()))
+
+
 def prefix_length(n: int, threshold: int) -> int:
     """First n-grams of a set of n, of which linked sets share one at least."""
     return n - -(-n * threshold // 100) + 1
@@ -166,6 +184,22 @@ class VerticalJoin:
         return stage(self.docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, hashes array<long>, places array<int>"),
                      "profile")
 
+    def _signatures(self, members: DataFrame) -> DataFrame:
+        """(node, segment): the signatures of the sets of the documents in ``members`` (id column), staged.
+
+        A node may come more than once (another document with the same set).
+        """
+        k, wanted = self.k, bitmap(members, "id")
+
+        def run(batches):
+            for batch, w in row_blocks(batches, "text", True, only=lambda b: wanted.has(b.column(1).to_numpy())):
+                sets = [s for r in range(batch.num_rows) if len(s := shingle_set(w.of(r), k))]
+                yield pa.RecordBatch.from_arrays([pa.array([int(_node(s)) for s in sets], pa.int64()),
+                                                  pa.array([signature(s) for s in sets], pa.binary())], names=["node", "segment"])
+
+        return stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, segment binary"),
+                     "signatures")
+
     def _segments(self, members: DataFrame) -> DataFrame:
         """(node, frag, segment): the sets of the documents in ``members`` (id column), cut by fragment, staged.
 
@@ -195,6 +229,33 @@ class VerticalJoin:
         return stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, frag int, segment binary"),
                      "segments")
 
+    @staticmethod
+    def _dealt(pairs: DataFrame, segments: DataFrame, *by: str) -> DataFrame:
+        """The pairs (a, b, n_a, n_b) with both sides' segments (sa, sb), a row for each of ``by`` that both have.
+
+        The segments move once to the pairs of their node, and once more with the pair.
+        """
+        group = ("a", "b", "n_a", "n_b", *by)
+        ends = pairs.select("a", "b", "n_a", "n_b", F.explode(F.array("a", "b")).alias("node"))
+        dealt = ends.join(segments, "node").groupBy(*group).agg(
+            F.max(F.when(F.col("node") == F.col("a"), F.col("segment"))).alias("sa"),
+            F.max(F.when(F.col("node") == F.col("b"), F.col("segment"))).alias("sb"))
+        return dealt.where("sa is not null and sb is not null").select(*group, "sa", "sb")
+
+    def _near(self, pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+        """The pairs that can link by their signatures, staged; no linked pair is missing."""
+        threshold = self.threshold
+
+        def fits(batches):
+            for batch in batches:
+                n_a, n_b = (batch.column(i).to_pylist() for i in (2, 3))
+                most = [overlap_bound(*(np.frombuffer(z.as_buffer(), np.uint8) for z in (x, y)), n, m)
+                        for x, y, n, m in zip(batch.column(4), batch.column(5), n_a, n_b)]
+                keep = [100 * c >= threshold * (n + m - c) for c, n, m in zip(most, n_a, n_b)]
+                yield batch.select([0, 1, 2, 3]).filter(pa.array(keep, pa.bool_()))
+
+        return stage(self._dealt(pairs, signatures).mapInArrow(fits, "a long, b long, n_a long, n_b long"), "near")
+
     def _linked(self, pairs: DataFrame, segments: DataFrame) -> DataFrame:
         """The pairs (a, b, n_a, n_b) that link: partial overlaps by fragment, summed per pair."""
         def overlap(batches):
@@ -204,13 +265,7 @@ class VerticalJoin:
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(n, pa.int64())],
                                                  names=["a", "b", "n_a", "n_b", "frag", "part"])
 
-        # the segments move once to the pairs of their node, and once more with the pair
-        ends = pairs.select("a", "b", "n_a", "n_b", F.explode(F.array("a", "b")).alias("node"))
-        dealt = ends.join(segments, "node").groupBy("a", "b", "n_a", "n_b", "frag").agg(
-            F.max(F.when(F.col("node") == F.col("a"), F.col("segment"))).alias("sa"),
-            F.max(F.when(F.col("node") == F.col("b"), F.col("segment"))).alias("sb"))
-        once = (dealt.where("sa is not null and sb is not null").select("a", "b", "n_a", "n_b", "frag", "sa", "sb")
-                .mapInArrow(overlap, "a long, b long, n_a long, n_b long, frag int, part long"))
+        once = self._dealt(pairs, segments, "frag").mapInArrow(overlap, "a long, b long, n_a long, n_b long, frag int, part long")
         summed = once.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("overlap"))
         return summed.where(f"100 * overlap >= {self.threshold} * (n_a + n_b - overlap)").select(
             F.col("a").alias("u"), F.col("b").alias("v"), "overlap")
@@ -302,9 +357,13 @@ class VerticalJoin:
         return lists.where("comp <> hub.comp").agg(F.sum("k")).first()[0] or 0
 
     def _test(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The links among pairs: the texts of their nodes' first documents are read again."""
-        members = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-        return stage(self._linked(pairs, self._segments(members.select(id_hash("doc_id").alias("id")))), "linked")
+        """The links among pairs: their nodes' first documents are read again, for the signatures and, where needed, whole sets."""
+        def members(chosen: DataFrame) -> DataFrame:
+            ends = chosen.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            return ends.join(nodes, "node").select(id_hash("doc_id").alias("id"))
+
+        near = self._near(pairs, self._signatures(members(pairs)))
+        return stage(self._linked(near, self._segments(members(near))), "linked")
 
     def links(self, profile: DataFrame) -> DataFrame | None:
         """Links (u, v, overlap) between nodes that give the components; None if there are none."""
