@@ -207,6 +207,23 @@ def test_vertical_join_edited_group(spark, monkeypatch):
         assert {x.doc_id: (x.n_shingles, x.component_id) for x in vertical_join.VerticalJoin(table).components().collect()} == want
 
 
+def test_signatures_never_drop_a_link():
+    """The bound is never below the overlap, also where the bitmaps differ in size, and drops most of what does not link."""
+    r = np.random.default_rng(9)
+    dropped = 0
+    for n in [1, 2, 3, 15, 16, 17, 31, 60, 64, 65, 500, 1024, 1025, 5000] * 6:
+        x = r.integers(0, 2**64, n, dtype=np.uint64)
+        gone = int(r.integers(0, n + 1))
+        y = np.concatenate([x[gone:], r.integers(0, 2**64, int(r.integers(0, n // 4 + 2)), dtype=np.uint64)])
+        if not len(y):
+            continue
+        sides = [np.frombuffer(vertical_join.signature(z), np.uint8) for z in (x, y)]
+        bound, real = vertical_join.overlap_bound(*sides, len(x), len(y)), len(np.intersect1d(x, y))
+        assert real <= bound <= min(len(x), len(y))
+        dropped += 100 * bound < 80 * (len(x) + len(y) - bound)
+    assert dropped > 40
+
+
 def test_passages(spark, odd):
     ship(spark)
     r = np.random.default_rng(3)
