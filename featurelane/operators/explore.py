@@ -42,14 +42,21 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int, offset: int = 0) -> Da
     return out.limit(k)
 
 
-def random_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """T4: n rows without replacement, reproducible (top-n of a seeded random key)."""
-    return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+def _draw(df: DataFrame, seed: int, key: Sequence[str]) -> list[Column]:
+    """A seeded random order: md5 of seed and row key, then the key itself; the same for every partitioning."""
+    key = list(key) or df.columns
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
+    return [F.md5(F.concat_ws("|", F.lit(str(seed)), *text)), *[F.col(c) for c in key]]
 
 
-def shuffle_rows(df: DataFrame, seed: int = 42) -> DataFrame:
-    """T5: full shuffle before training export."""
-    return df.orderBy(F.rand(seed))
+def random_sample(df: DataFrame, n: int, seed: int = 42, key: Sequence[str] = ()) -> DataFrame:
+    """T4: n rows without replacement; the draw depends on the seed and the row key (all columns by default) alone."""
+    return df.orderBy(*_draw(df, seed, key)).limit(n)
+
+
+def shuffle_rows(df: DataFrame, seed: int = 42, key: Sequence[str] = ()) -> DataFrame:
+    """T5: full shuffle before training export, repeatable like :func:`random_sample`."""
+    return df.orderBy(*_draw(df, seed, key))
 
 
 def describe(df: DataFrame, value: str | Column, keys: Sequence[str] = ()) -> DataFrame:

@@ -827,7 +827,8 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: 100 lineitems drawn without replacement with a fixed seed (sampling is the feature)."""
     from featurelane.operators.explore import random_sample
     t = Tables(spark, sf_dir)
-    return random_sample(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice"), 100, seed=42)
+    return random_sample(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice"), 100, seed=42,
+                         key=["l_orderkey", "l_linenumber"])
 
 
 # ------------------------------------------------------------ end-to-end flows (A, B)

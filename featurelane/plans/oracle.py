@@ -398,6 +398,12 @@ ORACLE["describe_groups"] = f"SELECT l_returnflag, {_describe('l_quantity')} FRO
 
 ORACLE["describe_global"] = f"SELECT {_describe('o_totalprice')} FROM orders"
 
+ORACLE["sample_rows"] = """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY md5('42|' || coalesce(CAST(l_orderkey AS VARCHAR), '') || '|' || coalesce(CAST(l_linenumber AS VARCHAR), '')),
+         l_orderkey, l_linenumber LIMIT 100
+"""
+
 ORACLE["box_stats"] = """
 WITH q AS (SELECT l_returnflag, l_linestatus, quantile_cont(l_extendedprice, 0.25) AS q1,
                   quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.75) AS q3

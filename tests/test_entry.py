@@ -14,7 +14,7 @@ def test_oracle_keys_subset():
     from featurelane.plans import catalog
     rows_only = set(catalog.QUERIES) - set(E.oracle_sql())
     assert rows_only <= {"hash_cross", "ridge", "gbt_sales", "wide_linear", "score_batch", "als_hybrid",
-                         "model_search", "interaction_flow", "sales_flow", "sample_rows", "classifier", "wide_deep", "sales_serving"}
+                         "model_search", "interaction_flow", "sales_flow", "classifier", "wide_deep", "sales_serving"}
 
 
 def test_registered_queries_same_on_sliced_path(spark):

@@ -54,3 +54,15 @@ def test_csv_newlines_and_quotes(spark, tmp_path):
 
 def test_checkpoint_dir_is_set(spark):
     assert checkpoint_dir(spark)
+
+
+def test_sample_does_not_depend_on_partitions(spark):
+    from featurelane.operators.explore import random_sample, shuffle_rows
+    df = spark.range(500).selectExpr("if(id % 50 = 0, null, id) as k", "id % 7 as v")
+    few, many = df.repartition(3), df.repartition(9)
+    a = [tuple(r) for r in random_sample(few, 60, 7).collect()]
+    assert a == [tuple(r) for r in random_sample(many, 60, 7).collect()] and len(a) == 60
+    assert a != [tuple(r) for r in random_sample(few, 60, 8).collect()]
+    b = [tuple(r) for r in shuffle_rows(many, 7).collect()]
+    assert b[:60] == a and len(b) == 500
+    assert random_sample(df.limit(0), 5).count() == 0
