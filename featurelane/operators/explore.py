@@ -77,12 +77,20 @@ def describe(df: DataFrame, value: str | Column, keys: Sequence[str] = ()) -> Da
     return _one_row_merge(mom, qs)
 
 
+def _with_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with their group's statistics; without keys these are one row, applied as literals."""
+    if keys:
+        return _key_join(df, stats, keys, [])
+    row = stats.first()
+    return df.select("*", *[F.lit(row[f.name] if row else None).cast(f.dataType).alias(f.name) for f in stats.schema])
+
+
 def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Quartiles, mean and 1.5 IQR whiskers (extreme values inside the fences)."""
+    """Quartiles, mean and 1.5 IQR whiskers (extreme values inside the fences), over all rows without keys."""
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     qs = exact_quantiles(base, keys, "_x", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    j = _key_join(base, qs, keys, [])
+    j = _with_stats(base, qs, keys)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     return j.groupBy(*keys).agg(
@@ -94,11 +102,12 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, facet: Sequence[str], value: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins between each facet's min and max; the max falls in the last bin."""
+    """Equal-width bins between each facet's min and max; the max falls in the last bin.
+    No facet: one range for all rows."""
     facet = list(facet)
     base = df.select(*facet, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     rng = base.groupBy(*facet).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    j = _key_join(base, rng, facet, [])
+    j = _with_stats(base, rng, facet)
     width = F.col("_hi") - F.col("_lo")
     b = F.when(width == 0, 0).otherwise(
         F.least(F.floor((F.col("_x") - F.col("_lo")) / width * bins), F.lit(bins - 1))).cast("int")

@@ -66,3 +66,13 @@ def test_sample_does_not_depend_on_partitions(spark):
     b = [tuple(r) for r in shuffle_rows(many, 7).collect()]
     assert b[:60] == a and len(b) == 500
     assert random_sample(df.limit(0), 5).count() == 0
+
+
+def test_no_facet(spark):
+    from featurelane.operators.explore import box_stats, histogram
+    df = spark.range(1, 10).selectExpr("if(id = 9, null, cast(id as double)) as x", "1 as g")
+    assert [tuple(r)[1:] for r in box_stats(df, ["g"], "x").collect()] == [tuple(r) for r in box_stats(df, [], "x").collect()]
+    both = [sorted(map(tuple, histogram(df, f, "x", 4).collect())) for f in (["g"], [])]
+    assert [r[1:] for r in both[0]] == both[1] and sum(r[1] for r in both[1]) == 8
+    assert histogram(df.where("x > 99"), [], "x").count() == 0
+    assert [r.q1 for r in box_stats(df.where("x > 99"), [], "x").collect()] == [None]
