@@ -19,6 +19,15 @@ def vectors_long(emb: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                       F.posexplode(vec_col).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
 
 
+def _with_vectors(items: DataFrame, item: str, emb_long: DataFrame) -> DataFrame:
+    """Each item with the rows ``(dim, x)`` of its vector; an unknown or null id has the zero vector."""
+    last = emb_long.agg(F.max("dim")).first()[0]  # the embedding's width, one number
+    dims = F.sequence(F.lit(0), F.lit(last)) if last is not None else F.array().cast("array<int>")
+    j = items.join(emb_long.withColumnRenamed("dim", "_d"), F.col(item).cast("long") == F.col("_eid"), "left")
+    return (j.withColumn("dim", F.explode(F.when(F.col("_d").isNull(), dims).otherwise(F.array("_d"))))
+            .withColumn("x", F.coalesce("x", F.lit(0.0))).drop("_d"))
+
+
 def weighted_pool(items: DataFrame, row_key: Sequence[str], item: str, weight: str,
                   emb_long: DataFrame) -> DataFrame:
     """``sum_i emb[id_i] * w_i / ||w||_2`` per row (weights of one row L2-normalised).
@@ -28,7 +37,7 @@ def weighted_pool(items: DataFrame, row_key: Sequence[str], item: str, weight: s
     keys = list(row_key)
     norm = items.groupBy(*keys).agg(F.sqrt(F.sum(F.col(weight).cast("double") ** 2)).alias("_norm"))
     w = items.join(norm, keys, "left").withColumn("_w", F.col(weight) / F.col("_norm"))
-    j = w.join(emb_long, F.col(item).cast("long") == F.col("_eid"), "inner")
+    j = _with_vectors(w, item, emb_long)
     return j.groupBy(*keys, "dim").agg(F.sum(F.col("x") * F.col("_w")).alias("x"))
 
 
@@ -36,7 +45,7 @@ def mean_sqrt_pool(items: DataFrame, row_key: Sequence[str], item: str, emb_long
     """``sum_i emb[id_i] / sqrt(len)`` (unit weights, L2-normalised)."""
     keys = list(row_key)
     lens = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_len"))
-    j = items.join(emb_long, F.col(item).cast("long") == F.col("_eid"), "inner")
+    j = _with_vectors(items, item, emb_long)
     s = j.groupBy(*keys, "dim").agg(F.sum("x").alias("_s"))
     return s.join(lens, keys, "left").select(*keys, "dim", (F.col("_s") / F.sqrt("_len")).alias("x"))
 

@@ -76,3 +76,14 @@ def test_no_facet(spark):
     assert [r[1:] for r in both[0]] == both[1] and sum(r[1] for r in both[1]) == 8
     assert histogram(df.where("x > 99"), [], "x").count() == 0
     assert [r.q1 for r in box_stats(df.where("x > 99"), [], "x").collect()] == [None]
+
+
+def test_pooling_keeps_rows_of_unknown_items(spark):
+    from featurelane.operators.pooling import mean_sqrt_pool, vectors_long, weighted_pool
+    emb = vectors_long(spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 4.0])], "id long, v array<double>"), "id", "v")
+    items = spark.createDataFrame([("a", 1, 3.0), ("a", 9, 4.0), ("b", 9, 1.0), ("c", None, 1.0)], "u string, i long, w double")
+    pooled = {(r.u, r.dim): round(r.x, 6) for r in weighted_pool(items, ["u"], "i", "w", emb).collect()}
+    assert pooled == {("a", 0): 0.6, ("a", 1): 1.2, ("b", 0): 0.0, ("b", 1): 0.0, ("c", 0): 0.0, ("c", 1): 0.0}
+    mean = {(r.u, r.dim): round(r.x, 6) for r in mean_sqrt_pool(items, ["u"], "i", emb).collect()}
+    assert mean[("a", 1)] == round(2 / 2 ** 0.5, 6) and mean[("b", 0)] == 0.0 and len(mean) == 6
+    assert weighted_pool(items, ["u"], "i", "w", emb.limit(0)).count() == 0
