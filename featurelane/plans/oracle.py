@@ -460,16 +460,19 @@ FROM g LEFT JOIN e ON g.conv_id = e.conv_id AND g.turn = e.turn AND g.pos = e.po
 _EMB = """
 e AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim,
              CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+dm AS (SELECT CAST(unnest(range(0, max(dim) + 1)) AS INTEGER) AS dim FROM e),
 log AS (SELECT user_id, json_extract_string(props, '$.k') AS item,
                CAST(event_type = 'purchase' AS INTEGER) AS target FROM events),
 h AS (SELECT user_id, item, CAST(count(target) AS DOUBLE) AS w FROM log WHERE item IS NOT NULL GROUP BY user_id, item),
 n AS (SELECT user_id, sqrt(sum(w * w)) AS norm FROM h GROUP BY user_id),
-pw AS (SELECT h.user_id, e.dim, sum(e.x * (h.w / n.norm)) AS x
-       FROM h JOIN n ON h.user_id = n.user_id JOIN e ON CAST(h.item AS BIGINT) = e.vec_id GROUP BY h.user_id, e.dim),
+pw AS (SELECT h.user_id, dm.dim, sum(COALESCE(e.x, 0.0) * (h.w / n.norm)) AS x
+       FROM h JOIN n ON h.user_id = n.user_id CROSS JOIN dm
+       LEFT JOIN e ON CAST(h.item AS BIGINT) = e.vec_id AND e.dim = dm.dim GROUP BY h.user_id, dm.dim),
 ln AS (SELECT user_id, count(*) AS len FROM log WHERE target = 1 GROUP BY user_id),
 pp AS (SELECT s.user_id, s.dim, s.x / sqrt(ln.len) AS x FROM
-         (SELECT l.user_id, e.dim, sum(e.x) AS x FROM log l JOIN e ON CAST(l.item AS BIGINT) = e.vec_id
-          WHERE l.target = 1 GROUP BY l.user_id, e.dim) s JOIN ln ON s.user_id = ln.user_id)
+         (SELECT l.user_id, dm.dim, sum(COALESCE(e.x, 0.0)) AS x FROM log l CROSS JOIN dm
+          LEFT JOIN e ON CAST(l.item AS BIGINT) = e.vec_id AND e.dim = dm.dim
+          WHERE l.target = 1 GROUP BY l.user_id, dm.dim) s JOIN ln ON s.user_id = ln.user_id)
 """
 
 ORACLE["pooling_weighted"] = f"WITH {_EMB} SELECT user_id, dim, ROUND(x, 6) AS x FROM pw"
