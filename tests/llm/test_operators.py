@@ -265,6 +265,26 @@ def test_chain_is_best():
         assert score == pytest.approx(max(best))
 
 
+def test_stretches_are_all_maximal_ranges():
+    """The ranges equal those of a quadratic search."""
+    def brute(aligned, least, share):
+        n = len(aligned)
+        good = [(i, j) for i in range(n) for j in range(i + least, n + 1)
+                if aligned[i] and aligned[j - 1] and sum(aligned[i:j]) * 100 >= share * (j - i)]
+        return [(i, j) for i, j in good if not any(a <= i and j <= b and (a, b) != (i, j) for a, b in good)]
+
+    def runs(*lengths):
+        return np.concatenate([np.full(n, i % 2 == 0) for i, n in enumerate(lengths)])
+
+    assert chaining.stretches(runs(45, 12, 45)) == [(0, 102)] and chaining.stretches(runs(49, 1, 3)) == [(0, 53)]
+    assert chaining.stretches(runs(0, 4, 70, 9)) == [(4, 74)] and chaining.stretches(runs(3, 10, 50, 10, 3)) == [(0, 63), (13, 76)]
+    assert chaining.stretches(np.zeros(90, bool)) == [] == chaining.stretches(runs(49, 1)) == chaining.stretches(runs(0))
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        aligned = r.random(int(r.integers(1, 60))) < r.choice([0.5, 0.75, 0.8, 0.9])
+        assert chaining.stretches(aligned, 10, 0.8) == brute(aligned.tolist(), 10, 80)
+
+
 def test_fingerprints(spark, docs, texts, odd):
     def pieces(t):
         return Counter(tuple(w[i:i + 8]) for line in t.split("\n") for w in [words(line)] for i in range(0, len(w), 8))
