@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -285,6 +286,99 @@ def test_stretches_are_all_maximal_ranges():
         assert chaining.stretches(aligned, 10, 0.8) == brute(aligned.tolist(), 10, 80)
 
 
+def planted(share, n, seed):
+    """Copies of ``n`` fresh passages of 100 words in which the share of words stays, by the way in which the others change."""
+    r, rows, wanted = np.random.default_rng(seed), [], {}
+
+    def fresh(k):
+        return [f"w{v}" for v in r.integers(0, 10**9, k)]
+
+    for way in ("every", "random", "gaps"):
+        for i in range(n):
+            first, copy = 2 * len(wanted), 2 * len(wanted) + 1
+            passage, edits = fresh(100), round(100 * (1 - share))
+            at = np.linspace(0, 100, edits, endpoint=False).astype(int) + 2 if way == "every" else r.choice(np.arange(3, 97), edits, replace=False)
+            edited = {int(a): [] if way == "gaps" and a % 2 else fresh(2 if way == "gaps" else 1) for a in at}
+            text = [v for j, w in enumerate(passage) for v in edited.get(j, [w])]
+            rows += [(first, " ".join(fresh(30) + passage + fresh(30))), (copy, " ".join(fresh(40) + text + fresh(20)))]
+            wanted[copy] = (way, first, 40, len(text))
+    return rows, wanted
+
+
+def recall(table, wanted):
+    """The share of passages of which half of the words or more are found, by way."""
+    hit = defaultdict(set)
+    for x in chaining.passages(table).collect():
+        if x.doc_id in wanted and x.other_id == wanted[x.doc_id][1]:
+            assert x.n_words >= 50 and x.n_equal >= 0.8 * x.n_words
+            hit[x.doc_id] |= set(range(x.start, x.start + x.n_words))
+    got = defaultdict(list)
+    for d, (way, _, start, n) in wanted.items():
+        got[way].append(len(hit[d] & set(range(start, start + n))) >= n / 2)
+    return {way: float(np.mean(v)) for way, v in got.items()}
+
+
+@pytest.mark.parametrize("share, least", [(0.82, 0.5), (0.875, 0.95), (0.95, 1.0)])
+def test_fuzzy_passages_are_found(spark, share, least):
+    """Evenly changed words are always found; else the share found is as good as the identity is above the limit."""
+    ship(spark)
+    rows, wanted = planted(share, 20, 7)
+    got = recall(spark.createDataFrame(rows, "doc_id long, text string"), wanted)
+    assert got["every"] == 1.0 and got["random"] >= least, got
+
+
+def test_no_exact_passage_is_missed(spark):
+    """On a table of shared lines, all runs of 50 words that an earlier document holds lie in passages."""
+    ship(spark)
+    r = np.random.default_rng(11)
+    lines = [[f"l{i}x{j}" for j in range(30)] for i in range(12)] + [["same"] * 40]
+    a, b = lines[0], lines[1]
+    rows = [(1, a + ["p"] * 9), (2, ["q"] * 9 + b), (3, a + b), (4, a + b)]
+    rows += [(5 + i, [w for k in r.choice(13, int(r.integers(1, 6))) for w in lines[k][int(r.integers(0, 2)):]]) for i in range(200)]
+    found = defaultdict(set)
+    for x in chaining.passages(spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string")).collect():
+        found[x.doc_id] |= set(range(x.start, x.start + x.n_words))
+    held, n = {}, 0
+    for d, t in rows:
+        for i in range(len(t) - 49):
+            if held.setdefault(tuple(t[i:i + 50]), d) < d:
+                n += 1
+                assert found[d] >= set(range(i, i + 50)), (d, i)
+    assert n > 500 and found[4] == set(range(60))
+
+
+def test_holders_across_batches():
+    """Cutting the sorted seeds into batches changes no match."""
+    r = np.random.default_rng(5)
+    rows = sorted({(int(s), int(d), int(p)) for s, d, p in zip(r.integers(0, 9, 300), r.integers(0, 12, 300), r.integers(0, 50, 300))})
+    first, last, wanted = {}, defaultdict(dict), Counter()
+    for s, d, p in rows:
+        hub = first.setdefault(s, (d, p))
+        if hub[0] != d:
+            wanted[(d, *hub[:1], p, hub[1], bool(s & 1))] += 1
+            before = max(e for e in last[s] if e < d)
+            if before != hub[0] and not s & 1:
+                wanted[(d, before, p, last[s][before], False)] += 1
+        last[s][d] = p
+    table = pa.table({"seed": pa.array([x[0] for x in rows]), "doc_id": pa.array([x[1] for x in rows]),
+                      "pos": pa.array([x[2] for x in rows], pa.int32())})
+    for size in (1, 2, 7, 1000):
+        got = pa.Table.from_batches(chaining.holders(iter(table.to_batches(size))))
+        assert Counter(tuple(x.values()) for x in got.to_pylist()) == wanted
+
+
+def test_common_words_between_blocks():
+    r = np.random.default_rng(6)
+    for _ in range(60):
+        a, b = r.integers(0, 4, int(r.integers(0, 9))), r.integers(0, 4, int(r.integers(0, 9)))
+        got = chaining.common(a, b)
+        assert all(a[i] == b[j] for i, j in got) and all(p < q and s < t for (p, s), (q, t) in zip(got, got[1:]))
+        best = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, j in np.ndindex(len(a), len(b)):
+            best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + (a[i] == b[j]))
+        assert len(got) == (best[-1, -1] if len(a) != len(b) else (a == b).sum())
+
+
 def test_fingerprints(spark, docs, texts, odd):
     def pieces(t):
         return Counter(tuple(w[i:i + 8]) for line in t.split("\n") for w in [words(line)] for i in range(0, len(w), 8))
