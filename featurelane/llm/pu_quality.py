@@ -9,13 +9,18 @@ the second part is the negatives' risk, estimated from the unlabelled less the p
 falls below 0 (which only over-fitting can do) its gradient is followed backwards, as in the non-negative estimator of Kiryo et al.
 
 Texts are described by ``FEATURES`` numbers each: shape, characters, repetition and compression.  The model is a logistic regression on
-the standardised features and their squares.  Features of the sample and of all texts come from the same distributed
-pass; the fit itself sees about ``SAMPLE`` documents, a documented bound, chosen by a hash of the key.  The prior is the share
-of label 1 among all labels that may be learnt from.
+the standardised features and their squares.  The fit sees two samples of about ``SAMPLE`` documents each, a documented
+bound, both chosen by hashes of the key: one of the documents with a trusted positive label, however few of all they are,
+and one of all documents, which is the unlabelled text.
+
+The prior is estimated from both samples' scores, so trusted positives alone are enough.  A logistic regression of positives against
+unlabelled text, fitted on one half, scores the other.  Where only positives score, the unlabelled text's share
+above a threshold is ``pi`` times the positives' share; the ratio is taken at the threshold at which its upper confidence bound is least
+(best bin estimation of Garg et al.).
 
 Results by case: a null text is empty, and is scored; labels that are null or of unknown documents are left out; a
-document with several labels is positive if one is 1; without any positive all scores are the prior (0.5 without labels); an
-empty table gives no rows.
+document with several labels is positive if one is 1; without any positive document all scores are 0 (0.5 without
+labels); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -91,8 +96,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.design(x) @ self.weights, -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = ROUNDS, rate: float = 0.05, decay: float = 1e-3) -> Model:
-    """Minimise the non-negative risk by full-batch Adam."""
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, rounds: int = ROUNDS, rate: float = 0.05, decay: float = 1e-3) -> Model:
+    """Minimise the non-negative risk by full-batch Adam; without a prior, the risk of positives against unlabelled text."""
     both = np.concatenate([positive, unlabelled])
     model = Model(both.mean(0), np.maximum(both.std(0), 1e-3), np.zeros(2 * both.shape[1] + 1))
     p, u = model.design(positive), model.design(unlabelled)
@@ -102,30 +107,67 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
         # gradients of the mean logistic losses: l(+) = -log s, l(-) = -log(1 - s)
         up = p.T @ (sp - 1) / len(p)
         down_p, down_u = p.T @ sp / len(p), u.T @ su / len(u)
-        negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
-        g = prior * up + down_u - prior * down_p if negative >= 0 else prior * down_p - down_u
+        if prior is None:
+            g = up + down_u
+        else:
+            negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
+            g = prior * up + down_u - prior * down_p if negative >= 0 else prior * down_p - down_u
         g = g + decay * np.append(model.weights[:-1], 0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         model.weights = model.weights - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return model
 
 
+def best_bin(positive: np.ndarray, unlabelled: np.ndarray, doubt: float = 0.1, margin: float = 0.01) -> float:
+    """The share of positives in the unlabelled text, from the scores of both."""
+    at = np.unique(np.concatenate([positive, unlabelled]))
+    p, u = (1 - np.searchsorted(np.sort(v), at, "left") / len(v) for v in (positive, unlabelled))
+    at, p, u = at[p > 0], p[p > 0], u[p > 0]
+    slack = sum(np.sqrt(np.log(4 / doubt) / 2 / len(v)) for v in (positive, unlabelled))
+    best = int(np.argmin((u + (1 + margin) * slack) / p))
+    return float(np.clip(u[best] / p[best], 1 / (len(unlabelled) + 1), 1.0))
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives in the unlabelled text: each half's scores come from a fit on the other half."""
+    halves = [(v[::2], v[1::2]) if len(v) > 1 else (v, v) for v in (positive, unlabelled)]
+    found = []
+    for i in (0, 1):
+        model = fit(halves[0][i], halves[1][i], None)
+        found.append(best_bin(model.score(halves[0][1 - i]), model.score(halves[1][1 - i])))
+    return float(np.mean(found))
+
+
+def _share(key: str, seed: int, n: int, sample: int) -> Column:
+    """Whether a hash of the key is among the share that gives ``sample`` of ``n`` rows."""
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < int(min(1.0, sample / max(1, n)) * (1 << 30))
+
+
 def train(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_id", text: str = "text", label: str = "quality",
           sample: int = SAMPLE) -> tuple[Model | None, float]:
     """The model and the prior, from the rows of ``docs`` and ``labels`` where ``training`` (on the key) holds."""
-    known = labels.where(training).where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
-        (F.max(F.col(label).cast("int")) >= 1).cast("int").alias("y"))
-    prior = known.agg(F.avg("y")).first()[0]
-    if not prior:
-        return None, 0.5 if prior is None else 0.0
+    known = labels.where(training).where(F.col(label).isNotNull() & F.col(key).isNotNull())
     rows = docs.where(training).where(F.col(key).isNotNull())
-    rate = min(1.0, sample / max(1, rows.count()))
-    picked = rows.where(F.pmod(F.xxhash64(key, F.lit(8)), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    got = feature_table(picked, key, text).join(known, F.col("key") == F.col("_k"), "left").select("x", "y").toPandas()  # about ``sample`` rows
-    if not (got["y"] == 1).any():
-        return None, float(prior)
-    x, y = np.stack(got["x"].to_numpy()).astype(float), got["y"].to_numpy()
-    return fit(x[y == 1], x, float(prior)), float(prior)  # the whole sample is the unlabelled text: its share of positives is the prior
+    trusted = (known.where(F.col(label).cast("int") >= 1).select(F.col(key).alias("_k")).distinct()
+               .join(rows.select(F.col(key).alias("_d")), F.col("_k") == F.col("_d"), "left_semi"))
+    n = trusted.count()
+    if not n:
+        return None, 0.0 if known.take(1) else 0.5
+    trusted = F.broadcast(trusted.where(_share("_k", 9, n, sample)).withColumn("p", F.lit(True)))  # about ``sample`` rows
+    # the sample of all documents stands for the unlabelled text: its share of positives is the prior
+    unlabelled = _share(key, 8, rows.count(), sample)
+    met = rows.join(trusted, rows[key] == F.col("_k"), "left")
+    picked = met.where(F.col("p") | unlabelled).select(key, text)
+    features_of = feature_table(picked, key, text).withColumnRenamed("key", key)
+    got = (features_of.join(trusted, features_of[key] == F.col("_k"), "left").select(F.col(key).alias("k"), "x", F.coalesce("p", F.lit(False)).alias("p"), unlabelled.alias("u"))
+           .orderBy("k", "x").toPandas())  # twice ``sample`` rows at most, about
+    x, p, u = np.stack(got["x"].to_numpy()).astype(float), got["p"].to_numpy(bool), got["u"].to_numpy(bool)
+    if not u.any():  # a sample of a few rows can be empty
+        u = ~u
+    if not p.any():
+        return None, 0.5
+    prior = estimate_prior(x[p], x[u])
+    return fit(x[p], x[u], prior), prior
 
 
 def score(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

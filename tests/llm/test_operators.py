@@ -456,6 +456,28 @@ def test_pu_quality(spark, odd):
     assert pu_quality.score(empty(spark), some, F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.85])
+def test_prior_is_estimated_from_the_scores(share):
+    r = np.random.default_rng(4)
+    positive, n = r.normal(0, 1, (3000, 18)), int(3000 * share)
+    unlabelled = r.permutation(np.concatenate([r.normal(0, 1, (n, 18)), r.normal(1.5, 1, (3000 - n, 18))]))
+    assert abs(pu_quality.estimate_prior(positive, unlabelled) - share) < 0.08
+
+
+def test_few_positives_reach_the_fit(spark):
+    """Trusted positives only, on 1 of 100 documents, with a sample of all that holds hardly one of them."""
+    ship(spark)
+    r = np.random.default_rng(9)
+    good = [" ".join(f"word{v}" for v in r.integers(0, 3000, int(r.integers(60, 200)))) + "." for _ in range(1000)]
+    bad = ["# | 12 ## <> 99 " * int(r.integers(5, 40)) for _ in range(1000)]
+    table = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string").repartition(4)
+    some = spark.createDataFrame([(50 * i, 1) for i in range(20)] + [(10**6 + i, 1) for i in range(4000)], "doc_id long, quality int")
+    model, prior = pu_quality.train(table, some, F.lit(True), sample=60)
+    assert model is not None and 0.3 < prior < 0.75
+    got = {x.doc_id: x.score for x in pu_quality.score(table, some, F.lit(True), sample=60).collect()}
+    assert np.mean([got[i] >= 0.5 for i in range(1000)]) > 0.9 and np.mean([got[i] < 0.5 for i in range(1000, 2000)]) > 0.9
+
+
 def test_pipeline(spark, docs, texts):
     """Every stage against what it says of its own input."""
     kept = {i for i, t in texts.items() if (c := base_counts(t))[0] >= 10 and 100 * c[4] <= 20 * c[0]}
