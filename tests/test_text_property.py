@@ -28,3 +28,17 @@ def test_multivalue_clean_matches_python(spark, texts):
     for i, t in enumerate(texts):
         assert got[i][1] == html.unescape(t), t
         assert got[i][0] == py_clean(t), t
+
+
+def test_all_names_and_numbers_of_html5(spark):
+    """All 2,231 names, with and without a rest behind them, and the numbers that HTML5 takes for others or drops."""
+    from html.entities import html5
+
+    texts = [f"caf&{n}x &{n}" for n in html5] + ["caf&eacute; &alpha; &frac12; &pound;5", "&notanentity; &notit; &ampx; &NotEqualTilde; &; &x; &zz"]
+    numbers = [*range(0, 0x180), 0xD7FF, 0xD800, 0xDFFF, 0xFDCF, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0xFFFF, 0x1FFFE, 0x1F600, 0x10FFFD, 0x10FFFF, 0x110000, 10**30]
+    texts += [f"a&#{n};b&#x{n:x}c;&#X{n:X};" for n in numbers] + ["&#00150; &#x0080 &#150"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    got = {r["i"]: r["u"] for r in df.select("i", html_unescape("s").alias("u")).collect()}
+    assert len(html5) == 2231
+    for i, t in enumerate(texts):
+        assert got[i] == html.unescape(t), t
