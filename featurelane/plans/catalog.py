@@ -689,7 +689,7 @@ def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("event_id", _r(F.col("user_pplrty")).alias("user_pplrty"))
 
 
-# --------------------------------------------------------------- models
+# --------------------------------------------------------------- models
 
 def _orders_features(t: Tables) -> DataFrame:
     from featurelane.operators.encoders import fit_scaler
@@ -742,7 +742,7 @@ def wide_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binary classifier fitted on the fat table, every row scored."""
+    """M4: binary classifier fitted on the fat table, every row scored."""
     from featurelane.plans import models as M
     from featurelane.session import cut_lineage
     fat = cut_lineage(fat_table(spark, sf_dir))  # stage end: fit and scoring read it once each
@@ -898,7 +898,7 @@ def _sales_inputs(t: Tables):
 
 
 def sales_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Serving-time preparation of new daily records with the saved
+    """Serving-time preparation of new daily records with the saved
     store table and the saved store -> mean table (no refit, no filter)."""
     from featurelane.plans import sales as B
     from featurelane.sources import io

@@ -1,4 +1,4 @@
-"""spark.ml estimators on the prepared feature tables.
+"""spark.ml estimators on the prepared feature tables.
 
 The neural estimators of the original flows have no spark.ml twin; they are
 re-aimed at the closest distributed estimators (linear / GBT / logistic / ALS)

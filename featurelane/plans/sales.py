@@ -12,7 +12,7 @@ store -> state table become one prepared table:
   (A7, A8, S7); transform: ``log1p`` target (F12) and '' refill (N1);
 * split: last 30 % of each store's days (W2); train: ridge (M1), predict with
   closed days -> 0 (M13).  Serving reuses the saved store table and the saved
-  store -> mean table (J10, X2).
+  store -> mean table (J10).
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def prepare_store(store: DataFrame, states: DataFrame, spec: SalesSpec) -> DataF
 
 def prepare(log: DataFrame, store: DataFrame, spec: SalesSpec, sales_mean: DataFrame | None = None) -> DataFrame:
     """F9, J2, R4, J9 then P5: training (``sales_mean`` None: computed here,
-    before the ``open = '1' and sales > 0`` filter) or serving (J10, X2: the
+    before the ``open = '1' and sales > 0`` filter) or serving (J10: the
     saved store -> mean table joined, no filter)."""
     df = log.select("*", *date_parts(F.to_date(spec.date)))
     df = df.join(store, spec.store, "left")

@@ -1,6 +1,6 @@
 """Streaming re-aims of the serving path.
 
-* X1/X2 ``score_stream``: new records -> stream-static left joins with saved
+* X1 ``score_stream``: new records -> stream-static left joins with saved
   profile / statistics tables -> schema defaults -> score.  Stateless: the
   static side is re-read per micro-batch, so nothing accumulates.
 * X3 ``vocab_counts_stream``: running label counts (state bounded by the
@@ -45,7 +45,7 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 
 def score_stream(records: DataFrame, profiles: list[tuple[DataFrame, str | list[str]]],
                  defaults: dict[str, object], score: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Enrich each record with saved profiles (left stream-static joins),
+    """Enrich each record with saved profiles (left stream-static joins),
     fill defaults for unseen keys, then apply the scoring transform."""
     out = records
     for table, key in profiles:
