@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelane.llm import (attribution, binary_packing, chaining, compression, iblt, mixing, perspectives, ppm, pu_quality, ship,
-                             vertical_join)
+from featurelane.llm import (attribution, binary_packing, chaining, compression, iblt, lexical, merkle, mixing, perspectives, ppm, pu_quality,
+                             ship, sum_of_squares, vertical_join)
 from featurelane.sources.tables import table
 
 
@@ -80,9 +80,29 @@ def op10_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.passages(documents(spark, sf_dir))
 
 
+def op11_blocked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item's ten best documents."""
+    return lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op12_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in the packed sequences."""
+    pieces = sum_of_squares.encode_pieces(documents(spark, sf_dir))
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return sum_of_squares.pack_pieces(digests)
+
+
+def op13_sibling_shift_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and folded root; in every seventh by the remainder, n_chars is read as one more."""
+    found = merkle.manifest(documents(spark, sf_dir), altered={"n_chars": F.col("n_chars").cast("long") + 1}, where=_remainder("doc_id", 7) == 0)
+    return found.drop("path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_attribution, op2_pivotal_mixing, op3_compression_bands, op4_invertible_sketch, op5_binary_packing,
-                            op6_ppm_language, op7_perspective_rotation, op8_pu_quality, op9_vertical_join, op10_collinear_chaining)
+                            op6_ppm_language, op7_perspective_rotation, op8_pu_quality, op9_vertical_join, op10_collinear_chaining,
+                            op11_blocked_search, op12_sum_of_squares, op13_sibling_shift_manifest)
 }
-#: Only the perspective rotation is plain SQL; the others are tested against brute force, round trips or held-out accuracy.
-ORACLE: dict[str, str] = {"op7_perspective_rotation": perspectives.ORACLE}
+#: The others are not SQL and are tested against brute force, round trips or held-out accuracy.
+ORACLE: dict[str, str] = {"op7_perspective_rotation": perspectives.ORACLE, "op11_blocked_search": lexical.ORACLE,
+                          "op13_sibling_shift_manifest": merkle.ORACLE}
