@@ -201,16 +201,24 @@ def fit_scaler(df: DataFrame, cols: Sequence[str], ddof: int = 0, fill_median: b
 
 # --------------------------------------------------------- hashing and crosses
 
+def _md5_bucket(key: Column, buckets: int) -> Column:
+    """The first 60 bits of the MD5, modulo the number of buckets: the same in every engine."""
+    return F.pmod(F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+
+
 def hash_bucket(col: str | Column, buckets: int) -> Column:
-    """Stable hash bucket in ``[0, buckets)``."""
+    """Stable hash bucket in ``[0, buckets)``; null as the empty text."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.pmod(F.xxhash64(c.cast("string")), F.lit(buckets)).cast("int")
+    return _md5_bucket(F.coalesce(c.cast("string"), F.lit("")), buckets)
 
 
 def hashed_cross(cols: Sequence[str | Column], buckets: int) -> Column:
-    """Feature cross of several columns hashed into ``buckets``."""
-    cs = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
-    return F.pmod(F.xxhash64(*cs), F.lit(buckets)).cast("int")
+    """Feature cross of several columns hashed into ``buckets``; null as the empty text.
+
+    Each value is written with its length, so that ('a', 'bc') and ('ab', 'c') are different keys.
+    """
+    texts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols]
+    return _md5_bucket(F.concat(*[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]), buckets)
 
 
 def one_hot_fixed(col: str | Column, vocabulary: Sequence[str], prefix: str) -> list[Column]:

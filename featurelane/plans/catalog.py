@@ -12,32 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelane.operators import history as H
+from featurelane.plans import flows
+from featurelane.plans.common import _r, event_log, lineitem_log
 from featurelane.sources.tables import Tables, spread
 
-R = 6  # decimals kept in float outputs
-
-
-def _r(c):
-    """Round a float output to ``R`` decimals, the same way in every engine.
-
-    Sums of doubles differ in their last bits with the summation order, and a
-    mean such as x.xxxxxx5 then rounds up in one engine and down in another.
-    Snapping to 9 decimals as a DECIMAL first absorbs that noise; the final
-    rounding is then decimal HALF_UP, which SQL engines agree on.
-    """
-    return F.round(c.try_cast("decimal(38,9)"), R).cast("double")
-
 
 # ---------------------------------------------------------------- history (A1-A5)
 
-def event_log(t: Tables) -> DataFrame:
-    """events as an interaction log: item = props.k, target = purchase."""
-    return t.events.select(
-        "user_id", "event_id", "ts",
-        F.get_json_object("props", "$.k").alias("item"),
-        (F.col("event_type") == "purchase").cast("int").alias("target"))
-
-
 def history_user_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + J5 + N4: per customer, items met with count and mean target."""
     t = Tables(spark, sf_dir)
@@ -47,14 +28,6 @@ def history_user_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "c_mktsegment", "pos", "item", "cnt", _r(F.col("mean")).alias("mean_target"))
 
 
-def lineitem_log(t: Tables) -> DataFrame:
-    """lineitem as a log: user = o_custkey, item = l_partkey, target = returned."""
-    li = spread(t.lineitem).select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_shipdate",
-                           (F.col("l_returnflag") == "R").cast("int").alias("target"))
-    od = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    return li.join(od, li.l_orderkey == od.o_orderkey, "inner").drop("o_orderkey")
-
-
 def history_user_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: multivalent history -- part-name tokens per customer (unnest then A1)."""
     t = Tables(spark, sf_dir)
@@ -831,116 +804,6 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                          key=["l_orderkey", "l_linenumber"])
 
 
-# ------------------------------------------------------------ end-to-end flows (A, B)
-
-def interaction_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pipeline A on the lineitem log: split, prepare, fit, transform the validation part.
-
-    Exercises N1, W1, A1-A5, N2, N4, R1, R3, E2, E3, E6, E8, E16, R6, J3, J4, N5, P2, P3, P4.
-    """
-    from featurelane.plans import interaction as A
-    t = Tables(spark, sf_dir)
-    spec = A.InteractionSpec(user="o_custkey", item="l_partkey", target="target",
-                             order=["l_shipdate", "l_orderkey", "l_linenumber"],
-                             context=["l_linestatus", "o_orderstatus", "o_orderpriority"],
-                             user_catg=["c_nation", "c_mktsegment"], user_numeric=["c_acctbal"],
-                             item_catg=["p_brand", "p_type"], item_multi=["tokens"],
-                             item_numeric=["p_size", "p_retailprice"])
-    log = A.clean(lineitem_log(t).select("o_custkey", "l_partkey", "target", *spec.order, *spec.context), spec)
-    users = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("string").alias("c_nation"),
-                              "c_mktsegment", "c_acctbal")
-    items = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type",
-                          F.split("p_name", " ").alias("tokens"), F.col("p_size").cast("double").alias("p_size"),
-                          "p_retailprice")
-    train, valid = A.split(log, spec)
-    users_p = A.prepare_users(train, users, items, spec)
-    items_p = A.prepare_items(train, users_p, items, spec)
-    model = A.fit(train, users_p, items_p, spec)
-    fat = A.transform(valid, model)
-    return fat.select("raw_o_custkey", "raw_l_partkey", "l_orderkey", "l_linenumber", "target",
-                      "o_custkey", "l_partkey", "o_orderpriority", "c_mktsegment", "p_brand",
-                      F.size("user_p_brand_hist").alias("n_brand_hist"), F.size("tokens").alias("n_tokens"),
-                      F.size("user_pos_query_hist").alias("n_pos"), _r(F.col("c_acctbal")).alias("c_acctbal"),
-                      _r(F.col("item_pplrty")).alias("item_pplrty"))
-
-
-def _sales_inputs(t: Tables):
-    """Daily supplier sales as a store log, suppliers as stores, nations as states."""
-    li = t.lineitem.select("l_suppkey", "l_orderkey", "l_discount",
-                           (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"),
-                           F.to_date("l_shipdate").alias("d"))
-    daily = li.groupBy("l_suppkey", "d").agg(F.sum("rev").alias("rev"), F.count_distinct("l_orderkey").alias("n"),
-                                             F.avg("l_discount").alias("disc"))
-    closed = F.dayofweek("d") == 1
-    log = daily.select(F.col("l_suppkey").cast("int").alias("Store"), F.dayofweek("d").cast("string").alias("DayOfWeek"),
-                       F.date_format("d", "yyyy-MM-dd").alias("Date"),
-                       F.when(closed, 0.0).otherwise(F.col("rev")).alias("Sales"),
-                       F.when(closed, 0.0).otherwise(F.col("n").cast("double")).alias("Customers"),
-                       F.when(closed, "0").otherwise("1").alias("Open"),
-                       F.when(F.col("disc") > 0.05, "1").otherwise("0").alias("Promo"),
-                       F.lit("0").alias("StateHoliday"), F.lit("0").alias("SchoolHoliday"))
-    intervals = F.array(F.lit("Jan,Apr,Jul,Oct"), F.lit("Feb,May,Aug,Nov"), F.lit("Mar,Jun,Sept,Dec"))
-    su = t.supplier
-    store = su.select(F.col("s_suppkey").cast("int").alias("Store"),
-                      F.element_at(F.array(*[F.lit(x) for x in "abcd"]), F.pmod("s_nationkey", F.lit(4)) + 1).alias("StoreType"),
-                      F.element_at(F.array(*[F.lit(x) for x in "abc"]), F.pmod("s_suppkey", F.lit(3)).cast("int") + 1).alias("Assortment"),
-                      F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("CompetitionDistance"),
-                      F.when(F.col("s_acctbal") >= 0, (F.pmod("s_suppkey", F.lit(12)) + 1).cast("string")).alias("CompetitionOpenSinceMonth"),
-                      F.when(F.col("s_acctbal") >= 0, (F.pmod("s_nationkey", F.lit(10)) + 2000).cast("string")).alias("CompetitionOpenSinceYear"),
-                      F.when(F.pmod("s_nationkey", F.lit(2)) == 0, "1").otherwise("0").alias("Promo2"),
-                      (F.pmod("s_suppkey", F.lit(52)) + 1).cast("string").alias("Promo2SinceWeek"),
-                      F.lit("2005").alias("Promo2SinceYear"),
-                      F.element_at(intervals, F.pmod("s_nationkey", F.lit(3)) + 1).alias("PromoInterval"))
-    states = su.join(t.nation.withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey").select(
-        F.col("s_suppkey").cast("int").alias("Store"), F.col("n_name").alias("State"))
-    return log, store, states
-
-
-
-def sales_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Serving-time preparation of new daily records with the saved
-    store table and the saved store -> mean table (no refit, no filter)."""
-    from featurelane.plans import sales as B
-    from featurelane.sources import io
-    from featurelane.streaming.serve import work_dir
-    t = Tables(spark, sf_dir)
-    spec = B.SalesSpec()
-    log, store, states = B.clean(*_sales_inputs(t), spec)
-    store_p = B.prepare_store(store, states, spec)
-    train, valid = B.split(B.prepare(log, store_p, spec), spec)
-    _stats, means = B.fit(train, spec)
-    saved = work_dir(spark, "serving")
-    io.write_table(means, io.resolve(saved, "sales_mean"))
-    io.write_table(store_p, io.resolve(saved, "store"))
-    served = B.prepare(valid.select("store", "day_of_week", "date", "open", "promo", "state_holiday", "school_holiday"),
-                       io.read_table(spark, io.resolve(saved, "store")), spec,
-                       sales_mean=io.read_table(spark, io.resolve(saved, "sales_mean")))
-    served = B.transform(served, spec, training=False)
-    return served.select("store", "date", "promo2", _r(F.col("sales_mean")).alias("sales_mean"))
-
-
-def sales_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pipeline B: clean, prepare, fit, transform, split, ridge, predictions for the validation days.
-
-    Exercises P1, N1, N2, F9-F12, J1, J2, J9, R4, R5, P5, P9, A7, A8, S6, S7, W2, E7, E14, M1, M13.
-    """
-    from featurelane.plans import models as M
-    from featurelane.plans import sales as B
-    t = Tables(spark, sf_dir)
-    spec = B.SalesSpec()
-    log, store, states = B.clean(*_sales_inputs(t), spec)
-    store_p = B.prepare_store(store, states, spec)
-    prepared = B.prepare(log, store_p, spec)
-    from featurelane.streaming.serve import work_dir
-    train, valid = B.split(B.transform(prepared, spec), spec, dates_path=work_dir(spark, "dates"))
-    stats, _means = B.fit(train, spec)
-    train, valid = B.standardize(train, stats), B.standardize(valid, stats)
-    model = M.ridge(train, "sales", ["competition_distance", "competition_open_since", "promo2since", "sales_mean"],
-                    ["store_type", "assortment", "promo", "promo2", "day_of_week", "month", "state"])
-    pred = M.predict_sales(model, valid, "open")
-    return pred.select("store", "date", F.round(F.expm1("sales"), 2).alias("actual"), "pred")
-
-
 QUERIES = {
     "history_user_item": history_user_item,
     "history_user_token": history_user_token,
@@ -1009,7 +872,6 @@ QUERIES = {
     "distinct_users": distinct_users,
     "tick_order": tick_order,
     "sample_rows": sample_rows,
-    "interaction_flow": interaction_flow,
-    "sales_flow": sales_flow,
-    "sales_serving": sales_serving,
 }
+
+QUERIES |= flows.QUERIES

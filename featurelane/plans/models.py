@@ -36,13 +36,13 @@ def ridge(train: DataFrame, label: str, numeric: Sequence[str], categorical: Seq
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep").fit(source.select(c))
            for c in categorical]
     indexed = PipelineModel(stages=idx).transform(train)
-    ohe = OneHotEncoder(inputCols=[f"{c}__i" for c in categorical], outputCols=[f"{c}__v" for c in categorical],
-                        dropLast=False, handleInvalid="keep")
+    ohe = [OneHotEncoder(inputCols=[f"{c}__i" for c in categorical], outputCols=[f"{c}__v" for c in categorical],
+                         dropLast=False, handleInvalid="keep")] if categorical else []
     vec = VectorAssembler(inputCols=list(numeric) + [f"{c}__v" for c in categorical], outputCol="features",
                           handleInvalid="keep")
     lr = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=0.0, regParam=reg,
                           standardization=False, solver="normal")
-    rest = Pipeline(stages=[ohe, vec, lr]).fit(indexed)
+    rest = Pipeline(stages=[*ohe, vec, lr]).fit(indexed)
     return PipelineModel(stages=[*idx, *rest.stages])
 
 

@@ -591,6 +591,11 @@ SELECT o_orderkey, o_custkey, split,
 """
 
 
+from featurelane.plans.oracle_flows import FLOWS  # noqa: E402
+
+ORACLE |= FLOWS
+
+
 def _stable_round(sql: str) -> str:
     """Rewrite every ``ROUND(expr, 6)`` as decimal rounding (same rule as the Spark side)."""
     out, i, key = [], 0, "ROUND("
@@ -607,7 +612,8 @@ def _stable_round(sql: str) -> str:
         inner = sql[j + len(key):k - 1]
         head, sep, digits = inner.rpartition(",")
         if sep and digits.strip() == "6":
-            out.append(f"CAST(ROUND(TRY_CAST({_stable_round(head)} AS DECIMAL(38,9)), 6) AS DOUBLE)")
+            value = _stable_round(head)
+            out.append(f"COALESCE(CAST(ROUND(TRY_CAST({value} AS DECIMAL(38,9)), 6) AS DOUBLE), {value})")
         else:
             out.append(key + _stable_round(inner) + ")")
         i = k
