@@ -61,6 +61,39 @@ def sorted_vocab(df: DataFrame, col: str | Column, multivalent: bool = False, ou
     return number_within(counts, [], [F.col("label")], "idx")
 
 
+def vocabulary_table(df: DataFrame, columns: Sequence[str], multi: Sequence[str] = (), outlier: str = "",
+                     min_freq: int = 0) -> DataFrame:
+    """E2 / E3 for many columns in one pass: ``(column, label, freq, idx)``, numbered within each column."""
+    def pairs(c: str) -> Column:
+        values = F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>")) if c in multi else F.array(F.col(c).cast("string"))
+        return F.transform(values, lambda v: F.struct(F.lit(c).alias("column"), v.alias("label")))
+
+    long = df.select(F.explode(F.flatten(F.array(*[pairs(c) for c in [*columns, *multi]]))).alias("_p")).select("_p.column", "_p.label")
+    counts = long.where(F.col("label").isNotNull() & (F.col("label") != outlier)).groupBy("column", "label").agg(F.count(F.lit(1)).alias("freq"))
+    return number_within(counts.where(F.col("freq") >= min_freq), ["column"], [F.col("freq").desc(), F.col("label")], "idx")
+
+
+def encode_columns(df: DataFrame, key: str, vocabs: dict[str, str], table: DataFrame) -> DataFrame:
+    """Label columns (plain or arrays) as ids, each by the named vocabulary of a ``vocabulary_table``.
+
+    All columns go in one pass: (key, column, position, label) joins the table once and is gathered per key, so order and
+    length stay.  Unknown and null labels are 0, a null array is ``[0]``, an empty one stays empty.  ``key`` names a row; what is gathered is a row's own elements.
+    """
+    arrays = {c for c, t in df.dtypes if t.startswith("array") and c in vocabs}
+
+    def cells(c: str) -> Column:
+        values = F.coalesce(F.col(c).cast("array<string>"), F.array(F.lit(""))) if c in arrays else F.array(F.col(c).cast("string"))
+        return F.transform(values, lambda v, k: F.struct(F.lit(c).alias("_c"), F.lit(vocabs[c]).alias("column"), k.alias("_k"), v.alias("label")))
+
+    long = df.select(F.col(key).alias("_key"), F.explode(F.flatten(F.array(*[cells(c) for c in vocabs]))).alias("_p")).select("_key", "_p.*")
+    found = long.join(table.select("column", "label", "idx"), ["column", "label"], "left")
+    cell = F.struct("_k", F.coalesce("idx", F.lit(0)).cast("int").alias("_i"))
+    wide = found.groupBy("_key").agg(*[F.sort_array(F.collect_list(F.when(F.col("_c") == c, cell))).alias(f"_e{n}") for n, c in enumerate(vocabs)])
+    out = df.join(wide, df[key].eqNullSafe(wide["_key"]), "left")
+    done = {c: F.col(f"_e{n}._i") if c in arrays else F.coalesce(F.try_element_at(F.col(f"_e{n}._i"), F.lit(1)), F.lit(0)) for n, c in enumerate(vocabs)}
+    return out.select(*[done[c].alias(c) if c in done else F.col(c) for c in df.columns])
+
+
 def save_vocab(vocab: DataFrame, path: str) -> None:
     """Persist a vocabulary ``(label, freq, idx)`` as Parquet."""
     vocab.select("label", "freq", "idx").write.mode("overwrite").parquet(path)

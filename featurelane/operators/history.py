@@ -96,6 +96,44 @@ def history_arrays(log: DataFrame, entity: str, value: str, target: str, prefix:
     return nested.select(*cols)
 
 
+def history_matrix(log: DataFrame, entity: str, features: dict[str, Sequence[str]], target: str, prefix: str,
+                   multi: Sequence[str] = ()) -> DataFrame:
+    """A1-A3 and R3 for many features of one entity in one pass: ``{prefix}_{feature}_hist`` and its statistics.
+
+    Every row becomes one ``(feature, value)`` row per feature, or per element of a multivalent one; one
+    grouped aggregation gives count and mean of the target, a second gathers each feature's distinct values, sorted, in arrays.
+    Null values form no group, a null array counts as ``['']``.  What is gathered is one entity's distinct values.
+    """
+    def pairs(c: str) -> Column:
+        values = F.coalesce(F.col(c).cast("array<string>"), F.array(F.lit(""))) if c in multi else F.array(F.col(c).cast("string"))
+        return F.transform(values, lambda v: F.struct(F.lit(c).alias("f"), v.alias("v")))
+
+    long = log.where(F.col(entity).isNotNull()).select(entity, F.col(target).alias("_t"), F.explode(F.flatten(F.array(*[pairs(c) for c in features]))).alias("_p"))
+    long = long.select(entity, "_t", "_p.f", "_p.v").where(F.col("v").isNotNull())
+    agg = long.groupBy(entity, "f", "v").agg(F.count("_t").cast("double").alias("count"), F.avg("_t").alias("mean"))
+    lists = {c: F.sort_array(F.collect_list(F.when(F.col("f") == c, F.struct("v", "count", "mean")))) for c in features}
+    nested = agg.groupBy(entity).agg(*[x.alias(f"_h{k}") for k, x in enumerate(lists.values())])
+    out = [F.col(entity)]
+    for k, (c, stats) in enumerate(features.items()):
+        out += [F.col(f"_h{k}.v").alias(f"{prefix}_{c}_hist"), *[F.col(f"_h{k}.{s}").alias(f"{prefix}_{c}_{s}") for s in stats]]
+    return nested.select(*out)
+
+
+def polarity_arrays(log: DataFrame, entity: str, item: str, target: str, order: Sequence[str], prefix: str) -> DataFrame:
+    """A4 as arrays: an entity's items with target 1 and with target 0 in log order, each with weights 1.0.
+
+    Gathers an entity's rows: for logs whose rows per entity are bounded, as after the activity split.
+    """
+    out = [F.col(entity)]
+    lists = []
+    for way, flag in (("pos", 1), ("neg", 0)):
+        row = F.struct(*[F.col(c) for c in order], F.col(item).cast("string").alias("_item"))
+        lists.append(F.sort_array(F.collect_list(F.when(F.col(target) == flag, row))).alias(f"_{way}"))
+        out += [F.col(f"_{way}._item").alias(f"{prefix}_{way}_query_hist"),
+                F.transform(f"_{way}", lambda _: F.lit(1.0)).alias(f"{prefix}_{way}_query_count")]
+    return log.where(F.col(entity).isNotNull()).groupBy(entity).agg(*lists).select(*out)
+
+
 def fill_history_defaults(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null or empty arrays -> ``['']`` for ``*_hist``, ``[0.0]`` for counts/means."""
     out = df

@@ -2,14 +2,111 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurelane.functions.arrays import array_len
+from featurelane.functions.codes import age_buckets, bucket_labels, code_norm, code_parts, two_digit_year
+from featurelane.functions.dates import days_between, yyyymmdd_to_days
+from featurelane.functions.text import multivalue_clean
+from featurelane.operators.clean import drop_columns, fill_median, range_median
+from featurelane.plans import interaction as A
 from featurelane.plans import sales as B
-from featurelane.plans.common import _r
+from featurelane.plans.common import _r, lineitem_log
 from featurelane.sources.tables import Tables
 from featurelane.streaming.serve import VersionedServing, read_stream, work_dir
 
+# ----------------------------------------------------------------- interaction log (A)
+
+ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]  # total
+
+
+def interaction_spec() -> A.InteractionSpec:
+    return A.InteractionSpec(
+        user="o_custkey", item="l_partkey", target="target", order=ORDER, context=["l_linestatus", "o_orderstatus", "o_orderpriority"],
+        user_catg=["city", "c_mktsegment", "age_catg"], user_numeric=["age_num", "registered", "expires", "tenure"],
+        item_catg=["p_brand", "language", "cc", "xxx"], item_multi=["genres"], item_numeric=["p_retailprice", "yy"], item_plain=["n_genres"],
+        user_hist={"l_linestatus": A.COUNT, "o_orderstatus": A.COUNT, "o_orderpriority": A.COUNT, "p_brand": A.BOTH, "language": A.BOTH, "genres": A.BOTH},
+        item_hist={"l_linestatus": A.COUNT, "o_orderstatus": A.COUNT, "o_orderpriority": A.COUNT, "city": A.COUNT, "c_mktsegment": A.BOTH, "age_catg": A.BOTH})
+
+
+def interaction_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The lineitem log, and both profiles as raw text: dates as yyyymmdd, codes, pipe-separated values, an age out of range here and there."""
+    spec = interaction_spec()
+    day = F.date_add(F.lit("1992-01-01").cast("date"), F.pmod("c_custkey", F.lit(1000)).cast("int"))
+    users = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.concat(F.col("c_nationkey").cast("string"), F.lit(".0")).alias("city"), "c_mktsegment",
+                              F.floor(F.col("c_acctbal") / 100).cast("int").alias("age"), F.date_format(day, "yyyyMMdd").alias("registered"),
+                              F.date_format(F.date_add(day, F.pmod(F.col("c_custkey") * 7, F.lit(900)).cast("int")), "yyyyMMdd").alias("expires"))
+    items = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", F.concat(F.col("p_size").cast("string"), F.lit(".0")).alias("language"),
+                          F.concat(F.lit(" "), F.col("p_type"), F.lit(" | "), F.translate("p_name", " ", "|"), F.lit("|")).alias("genres"),
+                          F.concat(F.lit("US"), F.substring("p_type", 1, 3), F.lpad(F.col("p_size").cast("string"), 2, "0")).alias("code"), "p_retailprice")
+    return lineitem_log(t).select("o_custkey", "target", *spec.order, *spec.context), users, items
+
+
+def interaction_features(users: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both raw profiles with their own features."""
+    bins, labels = age_buckets()
+    users = range_median(users.withColumns({"city": code_norm("city"), "age_catg": bucket_labels("age", bins, labels)}), "age", 6, 80, "age_num")
+    users = users.withColumns({"registered": yyyymmdd_to_days("registered"), "expires": yyyymmdd_to_days("expires")})
+    users = users.withColumns({"tenure": days_between("expires", "registered"), "age_num": F.col("age_num").cast("double")})
+    items = items.select("*", *code_parts("code", {"cc": (1, 2), "xxx": (3, 3), "_yy": (6, 2)}))
+    items = fill_median(items.withColumns({"language": code_norm("language"), "genres": multivalue_clean("genres"), "yy": two_digit_year("_yy").cast("double")}), ["yy"])
+    items = items.withColumns({"yy": F.col("yy") - 1900, "n_genres": array_len("genres")})
+    return drop_columns(users, ["age"]), drop_columns(items, ["code", "_yy"])
+
+
+def _interaction(spark: SparkSession, sf_dir: str) -> tuple[A.InteractionModel, DataFrame, DataFrame]:
+    """The model, saved and loaded again, and both parts of the log."""
+    spec = interaction_spec()
+    log, users, items = interaction_inputs(Tables(spark, sf_dir))
+    users, items = interaction_features(users, items)
+    train, valid = A.split(A.clean(log, spec), spec)
+    base = work_dir(spark, "interaction")
+    A.fit(A.prepare(train, users, items, spec), spec).save(spark, base)
+    return A.InteractionModel.load(spark, base), train, valid
+
+
+def interaction_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipeline A on the lineitem log: both parts encoded by the saved and reloaded state, arrays as text.
+
+    Exercises N1-N5, W1, A1-A5, F1-F8, F13, R1-R3, R6, E2, E3, E6, E8, E9, E16, J1, J3, P2-P4.
+    """
+    model, train, valid = _interaction(spark, sf_dir)
+    both = train.withColumn("split", F.lit("train")).unionByName(valid.withColumn("split", F.lit("valid")))
+    fat = model.transform(both)
+    kinds = {f.name: f.kind for f in A.features(model.spec)}
+    shown = {"ids": lambda c: F.array_join(F.col(c).cast("array<string>"), ","), "number": lambda c: _r(F.col(c)), "weights": F.size}
+    return fat.select(*[shown.get(kinds.get(c), F.col)(c).alias(c) for c in fat.columns if c != "l_shipdate"])
+
+
+def interaction_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipeline A's encoded profiles, every array element with its weights: (owner, key, feature, pos, id, cnt, mean)."""
+    model, _train, _valid = _interaction(spark, sf_dir)
+    parts = []
+
+    def elements(owner: str, c: str, mean: bool) -> Column:
+        weights = F.col(f"{owner}_{c}_mean") if mean else F.array().cast("array<double>")
+        zipped = F.arrays_zip(F.col(f"{owner}_{c}_hist").alias("id"), F.col(f"{owner}_{c}_count").alias("cnt"), weights.alias("mean"))
+        return F.transform(zipped, lambda x, k: F.struct(F.lit(c).alias("feature"), (k + 1).alias("pos"), x["id"].alias("id"),
+                                                         x["cnt"].alias("cnt"), x["mean"].alias("mean")))
+
+    queries = {"pos_query": A.COUNT, "neg_query": A.COUNT}
+    for owner, frame, key, of in (("user", model.users, "raw_o_custkey", model.spec.user_hist | queries), ("item", model.items, "raw_l_partkey", model.spec.item_hist)):
+        rows = F.flatten(F.array(*[elements(owner, c, "mean" in s) for c, s in of.items()]))
+        parts.append(frame.select(F.lit(owner).alias("owner"), F.col(key).alias("key"), F.explode(rows).alias("x")).select("owner", "key", "x.*"))
+    return parts[0].unionByName(parts[1]).withColumn("mean", _r(F.col("mean")))
+
+
+def score_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of both parts scored by the saved classifier, in padded batches of at most 1,000 rows."""
+    model, train, valid = _interaction(spark, sf_dir)
+    base = work_dir(spark, "classifier")
+    A.fit_classifier(model, train).save(spark, base)
+    both = train.withColumn("split", F.lit("train")).unionByName(valid.withColumn("split", F.lit("valid")))
+    scored = A.InteractionModel.load(spark, base).predict_padded(both)
+    return scored.select("l_orderkey", "l_linenumber", "split", "target", _r(F.col("prob")).alias("prob"))
+
+
 # --------------------------------------------------------------------- daily sales (B)
 
 def sales_inputs(t: Tables):
@@ -105,4 +202,4 @@ def sales_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("pred", F.col("pred") + 0.0)
 
 
-QUERIES = {f.__name__: f for f in (sales_prepared, sales_crosses, sales_flow, sales_serving, sales_stream)}
+QUERIES = {f.__name__: f for f in (interaction_flow, interaction_profiles, score_padded, sales_prepared, sales_crosses, sales_flow, sales_serving, sales_stream)}

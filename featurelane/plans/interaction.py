@@ -1,38 +1,48 @@
-"""Interaction-log flow: clean -> split -> prepare -> fit -> transform (pipeline A).
-
-A log ``(user, item, context..., target)`` plus a user profile and an item
-profile become one encoded fat table:
-
-* split first (W1, no leakage), on the training part only:
-* users get history triples over the log context, over item attributes and
-  over multivalent item attributes (A1, A3), and positive / negative item lists
-  (A4); items get popularity (A5) and histories over user attributes (A2).
-  Items are prepared from the *enriched* users, as in the original order.
-* fit: frequency vocabularies per categorical (E2, E3) and population scalers
-  per numeric, each on its own table (E6, E8).
-* transform: scalar ids, array ids through the base vocabulary (E16, R6),
-  standardised numerics, fat left joins with raw keys (J3, P4), schema
-  defaults (N5) and an ordered header (P3).
-
-Every stage is a lazy DataFrame; ``persist_to`` writes stage tables (S5) so a
-long flow can restart from the last stage.
+"""Interaction-log flow: clean -> split -> prepare -> fit -> transform -> predict (pipeline A).
+
+A log ``(user, item, context..., target)`` plus a user profile and an item profile become one encoded fat table:
+
+* split first (W1, no leakage); everything below sees the training part alone;
+* ``prepare``: one staged join of the log with the categorical attributes of both sides feeds all history triples of
+  users and of items, each in one unpivoted pass (A1-A3), the users' positive and negative item lists (A4) and the items' popularity
+  (A5, N2);
+* ``fit``: one vocabulary table for all columns (E2, E3), ranked per column, and population scalers per numeric, each on its
+  own table (E6, E8); both profiles are encoded once (R6);
+* ``InteractionModel.transform``: context ids, fat left joins with raw keys (J3, P4), defaults (N5), a declared header (P3).
+  It is the same for training rows and for new records;
+* ``InteractionModel.save`` / ``load``: the encoded profiles, the vocabulary, the scalers and the classifier as one versioned bundle.
+
+Which vocabulary encodes a column, and which default a missing value gets, is declared: ``features(spec)`` is a typed
+table of the header's columns (E16), not a guess from their names.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Sequence
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelane.operators import encoders as E
 from featurelane.operators import history as H
+from featurelane.operators.clean import fill_median
+from featurelane.operators.joins import join_dim
+from featurelane.operators.padded import check_batch, padded, slices
 from featurelane.operators.split import activity_split
 from featurelane.session import cut_lineage
+from featurelane.sources.bundle import open_bundle, save_bundle
+
+BOTH, COUNT = ["count", "mean"], ["count"]
 
 
 @dataclass
 class InteractionSpec:
+    """Columns by role.  ``user_hist`` and ``item_hist``: the columns whose values an entity's history counts (and averages)."""
+
     user: str
     item: str
     target: str
@@ -43,16 +53,53 @@ class InteractionSpec:
     item_catg: list[str]
     item_multi: list[str]
     item_numeric: list[str]
+    item_plain: list[str] = field(default_factory=list)
+    user_hist: dict[str, list[str]] = field(default_factory=dict)
+    item_hist: dict[str, list[str]] = field(default_factory=dict)
     valid: float = 0.1
 
+    def __post_init__(self):
+        self.user_hist = self.user_hist or {c: COUNT for c in self.context} | {c: BOTH for c in [*self.item_catg, *self.item_multi]}
+        self.item_hist = self.item_hist or {c: COUNT for c in self.context} | {c: BOTH for c in self.user_catg}
+
+
+@dataclass(frozen=True)
+class Feature:
+    """One column of the header.
+
+    ``kind``: ``id`` (a label's number), ``ids`` (an array of them), ``weights`` (an array aligned to ``ids``),
+    ``number`` (scaled) or ``plain``.  ``vocab``: the column whose vocabulary encodes it.  ``owner``: log, user or item.
+    """
+
+    name: str
+    kind: str
+    owner: str
+    vocab: str | None = None
 
-@dataclass
-class InteractionModel:
-    spec: InteractionSpec
-    vocabs: dict[str, DataFrame] = field(default_factory=dict)
-    scalers: dict[str, E.ScalerModel] = field(default_factory=dict)
-    users: DataFrame | None = None
-    items: DataFrame | None = None
+
+def _history(owner: str, of: dict[str, list[str]]) -> Iterator[Feature]:
+    for c, stats in of.items():
+        yield Feature(f"{owner}_{c}_hist", "ids", owner, c)
+        for s in stats:
+            yield Feature(f"{owner}_{c}_{s}", "weights", owner)
+
+
+def features(spec: InteractionSpec) -> list[Feature]:
+    """The header in order, every column with its kind, its vocabulary and its owner."""
+    out = [Feature(spec.user, "id", "user", spec.user), *[Feature(c, "id", "user", c) for c in spec.user_catg],
+           *[Feature(c, "number", "user") for c in spec.user_numeric]]
+    for way in ("pos", "neg"):
+        out += [Feature(f"user_{way}_query_hist", "ids", "user", spec.item), Feature(f"user_{way}_query_count", "weights", "user")]
+    out += _history("user", spec.user_hist)
+    out += [Feature(spec.item, "id", "item", spec.item), *[Feature(c, "id", "item", c) for c in spec.item_catg],
+            *[Feature(c, "ids", "item", c) for c in spec.item_multi], *[Feature(c, "number", "item") for c in spec.item_numeric],
+            *[Feature(c, "plain", "item") for c in spec.item_plain], Feature("item_clicks", "number", "item"), Feature("item_pplrty", "number", "item")]
+    out += _history("item", spec.item_hist)
+    out += [Feature(c, "id", "log", c) for c in spec.context]
+    names = [f.name for f in out]
+    if len(set(names)) != len(names):
+        raise ValueError(f"columns with two roles: {sorted({n for n in names if names.count(n) > 1})}")
+    return out
 
 
 def clean(log: DataFrame, spec: InteractionSpec) -> DataFrame:
@@ -66,113 +113,174 @@ def split(log: DataFrame, spec: InteractionSpec) -> tuple[DataFrame, DataFrame]:
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "valid").drop("split")
 
 
-def _hist_block(log: DataFrame, entity: str, col: str, target: str, prefix: str, stats, multi=False) -> DataFrame:
-    return H.history_arrays(log, entity, col, target, f"{prefix}_{col}", stats, multivalent=multi)
+def _with_defaults(df: DataFrame, found: Sequence[Feature]) -> DataFrame:
+    """Entities without history get [''] and [0.0]."""
+    empty = {"ids": F.array(F.lit("")), "weights": F.array(F.lit(0.0))}
+    return df.withColumns({f.name: F.when(F.size(f.name) > 0, F.col(f.name)).otherwise(empty[f.kind]) for f in found if f.kind in empty})
+
+
+@dataclass
+class Prepared:
+    """The training log with categorical attributes, and both profiles with histories (labels, not yet numbers)."""
 
+    fat: DataFrame
+    users: DataFrame
+    items: DataFrame
 
-def prepare_users(train: DataFrame, users: DataFrame, items: DataFrame, spec: InteractionSpec) -> DataFrame:
-    """A1/A3/A4 per user, left-joined to the user profile, N4 defaults.
 
-    The arrays gathered per user come from the split's training part, which W1
-    has already cut to at most int(q75) rows per user -- a bound that holds
-    however hot a user is in the raw log.
+def prepare(train: DataFrame, users: DataFrame, items: DataFrame, spec: InteractionSpec) -> Prepared:
+    """A1-A5 over one staged join of the training log with both sides' categorical attributes.
+
+    A user's lists are bounded by the split, which leaves at most int(q75) rows of a user; an item's
+    hold distinct values of user attributes and contexts, however many rows it has.
     """
-    log = train.join(items, spec.item, "left")
-    u, t = spec.user, spec.target
-    out = users
-    hist_cols = []
-    blocks = [(c, ("count",), False) for c in spec.context]
-    blocks += [(c, ("count", "mean"), False) for c in spec.item_catg]
-    blocks += [(c, ("count", "mean"), True) for c in spec.item_multi]
-    for col, stats, multi in blocks:
-        b = _hist_block(log, u, col, t, "user", stats, multi)
-        out = out.join(b, u, "left")
-        hist_cols += [c for c in b.columns if c != u]
-    for key, flag in (("pos", 1), ("neg", 0)):
-        rows = log.where(F.col(t) == flag).select(u, F.struct(*[F.col(c) for c in spec.order],
-                                                              F.col(spec.item).cast("string").alias("v")).alias("s"))
-        lists = rows.groupBy(u).agg(F.sort_array(F.collect_list("s")).alias("_l"))
-        lists = lists.select(u, F.col("_l.v").alias(f"user_{key}_query_hist"),
-                             F.transform("_l", lambda _: F.lit(1.0)).alias(f"user_{key}_query_count"))
-        out = out.join(lists, u, "left")
-        hist_cols += [f"user_{key}_query_hist", f"user_{key}_query_count"]
-    return cut_lineage(H.fill_history_defaults(out, hist_cols))  # stage end
-
-
-def prepare_items(train: DataFrame, users: DataFrame, items: DataFrame, spec: InteractionSpec) -> DataFrame:
-    """A2/A5 per item from the enriched users; N2 median fill of popularity."""
-    from featurelane.operators.clean import fill_median
-    log = train.join(users.select(spec.user, *spec.user_catg), spec.user, "left")
-    i, t = spec.item, spec.target
-    out = items.join(H.entity_popularity(train, i, t, "item"), i, "left")
-    hist_cols = []
-    for col in spec.user_catg:
-        b = _hist_block(log, i, col, t, "item", ("count", "mean"))
-        out = out.join(b, i, "left")
-        hist_cols += [c for c in b.columns if c != i]
-    out = fill_median(cut_lineage(out), ["item_clicks", "item_pplrty"])
-    return cut_lineage(H.fill_history_defaults(out, hist_cols))  # stage end
-
-
-def fit(train: DataFrame, users: DataFrame, items: DataFrame, spec: InteractionSpec) -> InteractionModel:
-    """Vocabularies over the fat training table, scalers per owner table."""
-    fat = cut_lineage(train.join(users, spec.user, "left").join(items, spec.item, "left"))
-    m = InteractionModel(spec, users=users, items=items)
-    for c in [spec.user, spec.item, *spec.context, *spec.user_catg, *spec.item_catg]:
-        m.vocabs[c] = E.frequency_vocab(fat, c)
-    for c in spec.item_multi:
-        m.vocabs[c] = E.frequency_vocab(fat, c, multivalent=True)
-    m.scalers["users"] = E.fit_scaler(users, spec.user_numeric, ddof=0)
-    m.scalers["items"] = E.fit_scaler(items, spec.item_numeric, ddof=0)
-    m.scalers["log"] = E.fit_scaler(fat, ["item_clicks", "item_pplrty"], ddof=0)
-    return m
-
-
-def _base_vocab(col: str, spec: InteractionSpec) -> str | None:
-    """History columns borrow the vocabulary of the column they summarise."""
-    if col.endswith("_query_hist"):
-        return spec.item
-    for base in [*spec.context, *spec.user_catg, *spec.item_catg, *spec.item_multi]:
-        if col.endswith(f"_{base}_hist"):
-            return base
-    return None
-
-
-def _encode_profile(df: DataFrame, key: str, m: InteractionModel, catg, numeric, scaler) -> DataFrame:
-    out = df.withColumn(f"raw_{key}", F.col(key))
-    out = E.encode(out, key, m.vocabs[key], key)
-    for c in catg:
-        out = E.encode(out, c, m.vocabs[c], c)
-    arrays = {}
-    for c in [c for c in out.columns if c.endswith("_hist") or c in m.spec.item_multi]:
-        base = _base_vocab(c, m.spec) or (c if c in m.vocabs else None)
-        if base:
-            arrays[c] = m.vocabs[base]
-    if arrays:
-        out = E.encode_arrays(out, [f"raw_{key}"], arrays)
-    return m.scalers[scaler].transform(out, numeric)
-
-
-def transform(log: DataFrame, m: InteractionModel) -> DataFrame:
-    """Encoded fat table (training or serving: no target needed)."""
-    s = m.spec
-    users = _encode_profile(m.users, s.user, m, s.user_catg, s.user_numeric, "users")
-    items = _encode_profile(m.items, s.item, m, s.item_catg, s.item_numeric, "items")
-    items = m.scalers["log"].transform(items, ["item_clicks", "item_pplrty"])
-    out = log.withColumnRenamed(s.user, f"raw_{s.user}").withColumnRenamed(s.item, f"raw_{s.item}")
-    for c in s.context:
-        out = E.encode(out, c, m.vocabs[c], c)
-    out = out.join(users, f"raw_{s.user}", "left").join(items, f"raw_{s.item}", "left")
-    defaults = {s.user: 0, s.item: 0}
-    for c in s.user_catg + s.item_catg:
-        defaults[c] = 0
-    for name, sc in m.scalers.items():
-        for c, st in sc.stats.items():
-            defaults[c] = (st["median"] - st["mean"]) / st["std"] if st["median"] is not None else 0.0
-    out = out.na.fill(defaults)
-    for c in out.columns:
-        if c.endswith("_hist") or c in s.item_multi:
-            out = out.withColumn(c, F.coalesce(c, F.array(F.lit(0))))
-        elif c.endswith("_count") or c.endswith("_mean"):
-            out = out.withColumn(c, F.coalesce(c, F.array(F.lit(0.0))))
+    u, i, t = spec.user, spec.item, spec.target
+    fat = train.join(users.select(u, *spec.user_catg), u, "left").join(items.select(i, *spec.item_catg, *spec.item_multi), i, "left")
+    fat = cut_lineage(fat)  # stage end
+    known = features(spec)
+    lists = H.polarity_arrays(fat, u, i, t, spec.order, "user")
+    per_user = H.history_matrix(fat, u, spec.user_hist, t, "user", spec.item_multi).join(lists, u, "full")
+    users_p = _with_defaults(join_dim(users, per_user, u), [f for f in known if f.owner == "user"])
+    per_item = H.history_matrix(fat, i, spec.item_hist, t, "item", spec.item_multi).join(H.entity_popularity(fat, i, t, "item"), i, "full")
+    items_p = _with_defaults(join_dim(items, per_item, i), [f for f in known if f.owner == "item" and f.name not in spec.item_multi])
+    return Prepared(fat, cut_lineage(users_p), cut_lineage(fill_median(cut_lineage(items_p), ["item_clicks", "item_pplrty"])))
+
+
+@dataclass
+class InteractionModel:
+    """Fitted state: encoded profiles, one vocabulary table, scalers and, once fitted, the classifier."""
+
+    spec: InteractionSpec
+    users: DataFrame
+    items: DataFrame
+    vocab: DataFrame
+    scalers: dict[str, E.ScalerModel]
+    model: PipelineModel | None = None
+    version: int | None = None
+
+    def save(self, spark: SparkSession, base: str) -> int:
+        """Write the next version below ``base``."""
+        return save_bundle(spark, base, {"users": self.users, "items": self.items, "vocab": self.vocab},
+                           {"spec": asdict(self.spec), "scalers": {k: s.stats for k, s in self.scalers.items()}},
+                           {"model": self.model} if self.model else {})
+
+    @classmethod
+    def load(cls, spark: SparkSession, base: str, version: int | None = None) -> "InteractionModel":
+        b = open_bundle(spark, base, version)
+        return cls(InteractionSpec(**b.doc("spec")), b.frame("users"), b.frame("items"), b.frame("vocab"),
+                   {k: E.ScalerModel(s) for k, s in b.doc("scalers").items()}, b.model("model") if "model" in b.parts else None, b.version)
+
+    def _default(self, f: Feature) -> Column:
+        if f.kind == "number":
+            s = next((x.stats[f.name] for x in self.scalers.values() if f.name in x.stats), None)
+            return F.lit((s["median"] - s["mean"]) / s["std"] if s and s["median"] is not None else 0.0)
+        return {"id": F.lit(0), "ids": F.array(F.lit(0)), "weights": F.array(F.lit(0.0)), "plain": F.lit(0)}[f.kind]
+
+    def transform(self, log: DataFrame) -> DataFrame:
+        """Log rows as raw keys, the log's other columns, and the header (training and new rows alike)."""
+        s = self.spec
+        out = log.withColumnsRenamed({s.user: f"raw_{s.user}", s.item: f"raw_{s.item}"})
+        for c in s.context:
+            out = E.encode(out, c, self.vocab.where(F.col("column") == c), c)
+        out = join_dim(join_dim(out, self.users, f"raw_{s.user}"), self.items, f"raw_{s.item}")
+        known = features(s)
+        keep = [f"raw_{s.user}", f"raw_{s.item}", *[c for c in log.columns if c not in (s.user, s.item, *s.context)]]
+        return out.select(*keep, *[F.coalesce(F.col(f.name), self._default(f)).alias(f.name) for f in known])
+
+    def predict(self, log: DataFrame, name: str = "prob") -> DataFrame:
+        """M4: the probability of a positive target for every log row."""
+        from featurelane.plans.models import probability
+        return probability(self.model.transform(pooled(self.transform(log), self.spec)), name)
+
+    def predict_padded(self, log: DataFrame, name: str = "prob", batch: int = 1000) -> DataFrame:
+        """As ``predict``, in batches of at most 1,000 rows whose arrays are padded to the longest of the batch."""
+        return _predict_padded(self.transform(log), self.spec, self.model, name, batch)
+
+
+def fit(p: Prepared, spec: InteractionSpec) -> InteractionModel:
+    """The vocabularies over the training log, scalers per owner table, encoded profiles."""
+    known = features(spec)
+    vocab = cut_lineage(E.vocabulary_table(p.fat, [spec.user, spec.item, *spec.context, *spec.user_catg, *spec.item_catg], spec.item_multi))
+    log = p.fat.select(spec.item).join(p.items.select(spec.item, "item_clicks", "item_pplrty"), spec.item, "left")
+    scalers = {"users": E.fit_scaler(p.users, spec.user_numeric, ddof=0), "items": E.fit_scaler(p.items, spec.item_numeric, ddof=0),
+               "log": E.fit_scaler(log, ["item_clicks", "item_pplrty"], ddof=0)}
+
+    def profile(df: DataFrame, owner: str, key: str, own: list[E.ScalerModel]) -> DataFrame:
+        mine = [f for f in known if f.owner == owner]
+        coded = {f.name: f.vocab for f in mine if f.vocab}
+        out = E.encode_columns(df.withColumn(f"raw_{key}", F.col(key)), f"raw_{key}", coded, vocab)
+        for scaler in own:
+            out = scaler.transform(out)
+        return cut_lineage(out.select(f"raw_{key}", *[f.name for f in mine]))  # stage end
+
+    return InteractionModel(spec, profile(p.users, "user", spec.user, [scalers["users"]]),
+                            profile(p.items, "item", spec.item, [scalers["items"], scalers["log"]]), vocab, scalers)
+
+
+# ------------------------------------------------------------------ classifier over the encoded table
+
+def _pools(spec: InteractionSpec) -> list[tuple[str, str, str]]:
+    """(name, ids, weights) of the mean-weighted histories; the id looked for is the log row's own value where it has one."""
+    return [(f"pool_{o}_{c}", f"{o}_{c}_hist", f"{o}_{c}_mean") for o, of in (("user", spec.user_hist), ("item", spec.item_hist))
+            for c, stats in of.items() if "mean" in stats]
+
+
+def _numbers(spec: InteractionSpec) -> list[str]:
+    return [f.name for f in features(spec) if f.kind == "number"]
+
+
+def pooled(encoded: DataFrame, spec: InteractionSpec) -> DataFrame:
+    """Every history's mean weight, and its weight at the row's own value (0 if not met), beside the scaled numbers."""
+    cols, kinds = {}, {f.name: f.kind for f in features(spec)}
+    for name, ids, weights in _pools(spec):
+        cols[name] = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x) / F.size(weights)
+        base = ids[ids.index("_") + 1:-len("_hist")]
+        if kinds.get(base) == "id":
+            cols[f"{name}_own"] = F.coalesce(F.aggregate(
+                F.zip_with(ids, weights, lambda i, w: F.when(i == F.col(base), w).otherwise(F.lit(0.0))), F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
+    return encoded.withColumns(cols)
+
+
+def pooled_names(spec: InteractionSpec) -> list[str]:
+    kinds = {f.name: f.kind for f in features(spec)}
+    out = []
+    for name, ids, _ in _pools(spec):
+        out += [name] + ([f"{name}_own"] if kinds.get(ids[ids.index("_") + 1:-len("_hist")]) == "id" else [])
     return out
+
+
+def fit_classifier(model: InteractionModel, train: DataFrame) -> InteractionModel:
+    """M4: a logistic regression over pooled histories and scaled numbers; the input is staged once for all iterations."""
+    from featurelane.plans.models import classifier
+    s = model.spec
+    names = [*pooled_names(s), *_numbers(s)]
+    rows = cut_lineage(pooled(model.transform(train), s).select(s.target, *names))
+    model.model = classifier(rows, s.target, names)
+    return model
+
+
+def _predict_padded(encoded: DataFrame, spec: InteractionSpec, model: PipelineModel, name: str, batch: int) -> DataFrame:
+    check_batch(batch)
+    fitted = model.stages[-1]
+    weights, bias = fitted.coefficients.toArray(), float(fitted.intercept)
+    pools, numbers, wanted = _pools(spec), _numbers(spec), pooled_names(spec)
+    arrays = sorted({c for _, a, b in pools for c in (a, b)})
+    own = {n[:-len("_own")]: True for n in wanted if n.endswith("_own")}
+    bases = {n: ids[ids.index("_") + 1:-len("_hist")] for n, ids, _ in pools if n in own}
+    schema = encoded.drop(*arrays).schema.add(name, "double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, batch):
+            full = {c: padded(part.column(part.schema.get_field_index(c))) for c in arrays}
+            x = []
+            for n, ids, w in pools:
+                x.append(full[w][0].sum(1) / full[w][1])
+                if n in own:
+                    value = part.column(part.schema.get_field_index(bases[n])).to_numpy(False)
+                    x.append(np.where((full[ids][0] == value[:, None]) & full[ids][2], full[w][0], 0.0).sum(1))
+            x += [part.column(part.schema.get_field_index(c)).to_numpy(False) for c in numbers]
+            z = np.column_stack(x) @ weights + bias
+            kept = [part.column(part.schema.get_field_index(f.name)) for f in schema.fields[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-z)))], names=schema.names)
+
+    return encoded.mapInArrow(run, schema)

@@ -112,35 +112,3 @@ def test_partial_fit_accumulates(spark):
     vocab = {r["label"]: r["idx"] for r in E.rank_counts(E.merge_counts(a, b)).collect()}
     assert vocab == {"y": 1, "x": 2, "z": 3}
     assert {r["label"] for r in E.rank_counts(E.merge_counts(a, b), min_freq=2).collect()} == {"y"}
-
-
-def test_interaction_flow_invariants(spark):
-    """Pipeline A on the smallest tables: aligned history arrays, ids in range, no nulls."""
-    from featurelane.plans import catalog as C
-    from featurelane.plans import interaction as A
-    from featurelane.sources.tables import Tables
-    t = Tables(spark, SF)
-    spec = A.InteractionSpec(user="o_custkey", item="l_partkey", target="target",
-                             order=["l_shipdate", "l_orderkey", "l_linenumber"],
-                             context=["l_linestatus", "o_orderstatus", "o_orderpriority"],
-                             user_catg=["c_mktsegment"], user_numeric=["c_acctbal"],
-                             item_catg=["p_brand"], item_multi=["tokens"], item_numeric=["p_retailprice"])
-    log = A.clean(C.lineitem_log(t).select("o_custkey", "l_partkey", "target", *spec.order, *spec.context), spec)
-    users = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_acctbal")
-    items = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", F.split("p_name", " ").alias("tokens"),
-                          "p_retailprice")
-    train, valid = A.split(log, spec)
-    assert train.count() + valid.count() <= log.count()
-    users_p = A.prepare_users(train, users, items, spec)
-    items_p = A.prepare_items(train, users_p, items, spec)
-    fat = A.transform(valid, A.fit(train, users_p, items_p, spec))
-    rows = fat.collect()
-    assert len(rows) == valid.count()
-    for prefix in ("user_p_brand", "user_tokens", "item_c_mktsegment"):
-        for r in rows:
-            n = len(r[f"{prefix}_hist"])
-            assert n == len(r[f"{prefix}_count"]) == len(r[f"{prefix}_mean"]) >= 1
-    n_brands = items.select("p_brand").distinct().count()
-    assert all(0 <= r["p_brand"] <= n_brands for r in rows)
-    assert all(r[c] is not None for r in rows for c in ("o_custkey", "l_partkey", "c_acctbal", "item_pplrty"))
-    assert all(len(r["user_pos_query_hist"]) == len(r["user_pos_query_count"]) for r in rows)
