@@ -6,14 +6,8 @@ The primitives here range-partition on ``(k, o)`` instead, so a hot key's rows
 are cut into many ordered slices (Spark's range partitioner samples the
 composite key), then number or sum each slice locally and add the totals of
 the earlier slices of the same key.  Every step is a built-in aggregate, window
-over a small per-slice table, or join; nothing collects a group.
-
-Size check with a fallback: slicing costs a checkpoint write, so each call
-first measures the largest group (a partial aggregation -- cheap, and it never
-moves a group).  When no group exceeds ``spark.featurelane.maxGroupRows``
-(default 1,000,000 rows) a plain window (or, for quantiles, Spark's exact
-``percentile`` aggregate) is safe and is used; otherwise the sliced path runs.
-A hot key therefore always takes the sliced path.
+over a small per-slice table, or join; nothing collects a group.  This is the only
+way, whatever the size: no counting job, no threshold, no window over everything.
 
 Determinism: the slice id must be identical for the per-slice totals and for
 the rows they are added back to.  Two reads of a range exchange are not
@@ -73,45 +67,14 @@ def _sliced(df: DataFrame, keys: list[str], order_cols: list[Column],
     return cut_lineage(t)
 
 
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-
-
-def _max_group_rows(df: DataFrame, override: int | None) -> int:
-    if override is not None:
-        return int(override)
-    return int(df.sparkSession.conf.get("spark.featurelane.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the biggest key group (partial aggregation; 0 for an empty frame)."""
-    if not keys:
-        return df.count()
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def _fits_one_task(df: DataFrame, keys: list[str], max_group_rows: int | None,
-                   group_rows: int | None = None) -> bool:
-    """``group_rows``: the largest group's size when the caller already knows it
-    (e.g. from an aggregate it computed anyway), which saves the check job."""
-    limit = _max_group_rows(df, max_group_rows)
-    if limit <= 0:
-        return False
-    return (group_rows if group_rows is not None else largest_group(df, keys)) <= limit
-
-
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  name: str = "pos", num_partitions: int | None = None,
-                  max_group_rows: int | None = None, group_rows: int | None = None) -> DataFrame:
+                  name: str = "pos", num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based ``row_number() over (partition by keys order by order)``.
 
-    Skew-safe: a key larger than the group limit is cut into ordered slices.
+    Skew-safe: a key may be cut into any number of ordered slices.
     ``keys`` may be empty (global numbering).
     """
     keys = list(keys)
-    if _fits_one_task(df, keys, max_group_rows, group_rows):
-        w = Window.partitionBy(*keys).orderBy(*_cols(order))
-        return df.withColumn(name, F.row_number().over(w).cast("long"))
     t = _sliced(df, keys, _cols(order), num_partitions)
     blocks = t.groupBy("_blk", *keys).agg(F.min("_mid").alias("_first"),
                                           F.count(F.lit(1)).alias("_cnt"))
@@ -124,8 +87,7 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                 values: dict[str, Column], num_partitions: int | None = None,
-                 max_group_rows: int | None = None) -> DataFrame:
+                 values: dict[str, Column], num_partitions: int | None = None) -> DataFrame:
     """Add cumulative sums (rows unbounded preceding .. current) of ``values``.
 
     Same slicing as :func:`number_within`; the local running sum is a window over
@@ -133,12 +95,6 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     """
     keys = list(keys)
     order_cols = _cols(order)
-    if _fits_one_task(df, keys, max_group_rows):
-        w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df
-        for name, expr in values.items():
-            out = out.withColumn(name, F.sum(expr).over(w))
-        return out
     base = df
     for name, expr in values.items():
         base = base.withColumn(f"_v_{name}", expr)
@@ -160,56 +116,39 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    num_partitions: int | None = None, max_group_rows: int | None = None,
-                    group_rows: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``).
 
     One row per key group with one column per probability.  Nulls are skipped.
-    Unlike ``percentile``/``median`` no task ever holds a group's values: rows
-    are numbered by value (skew-safe), only the two neighbours of each cut are
-    kept, and the interpolation is a small aggregate.
+    Unlike ``percentile``/``median`` no task ever holds a group's values: the
+    values are sliced in order, the slices' totals say in which slice and at which
+    row the two neighbours of each cut are, and only those rows are picked.
     """
     keys = list(keys)
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
     vcol = value if isinstance(value, Column) else F.col(value)
     base = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if _fits_one_task(base, keys, max_group_rows, group_rows):
-        # every group is bounded: Spark's exact ``percentile`` (a partial
-        # aggregate of value counts, linear interpolation) is safe and needs
-        # no sort; its per-group buffer is at most the group-size limit
-        agg = base.groupBy(*keys).agg(F.percentile("_v", [float(p) for p in probs]).alias("_q"))
-        return agg.select(*keys, *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
-    else:
-        numbered = number_within(base, keys, [F.col("_v")], "_pos", num_partitions, max_group_rows=0)
-        if keys:
-            counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            j = _key_join(numbered, counts, keys, [])
-        else:
-            # a global quantile needs one scalar: the number of non-null values
-            j = numbered.withColumn("_n", F.lit(numbered.count()).cast("long"))
-    cuts = []
+    t = _sliced(base, keys, [F.col("_v")], num_partitions)
+    blocks = t.groupBy("_blk", *keys).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumns({"_before": F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)), "_n": F.sum("_cnt").over(group)})
+    wanted = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        j = (j.withColumn(f"_lo{i}", F.floor(h).cast("long") + 1)
-              .withColumn(f"_hi{i}", F.ceil(h).cast("long") + 1)
-              .withColumn(f"_fr{i}", h - F.floor(h)))
-        cuts += [F.col("_pos") == F.col(f"_lo{i}"), F.col("_pos") == F.col(f"_hi{i}")]
-    keep = cuts[0]
-    for c in cuts[1:]:
-        keep = keep | c
-    picked = j.where(keep)
+        for side, at in (("a", F.floor(h)), ("b", F.ceil(h))):
+            wanted.append(F.struct(F.lit(f"{side}{i}").alias("_cut"), at.cast("long").alias("_at"), (h - F.floor(h)).alias("_fr")))
+    cuts = blocks.select(*keys, "_first", "_before", "_cnt", F.explode(F.array(*wanted)).alias("_w")).select(
+        *keys, (F.col("_first") + F.col("_w._at") - F.col("_before")).alias("_row"), "_w._cut", "_w._fr",
+        F.col("_w._at").between(F.col("_before"), F.col("_before") + F.col("_cnt") - 1).alias("_here")).where("_here")
+    picked = cuts.join(t.select("_mid", "_v"), F.col("_row") == F.col("_mid"))
     aggs = []
     for i, _ in enumerate(probs):
-        aggs += [F.max(F.when(F.col("_pos") == F.col(f"_lo{i}"), F.col("_v"))).alias(f"_a{i}"),
-                 F.max(F.when(F.col("_pos") == F.col(f"_hi{i}"), F.col("_v"))).alias(f"_b{i}"),
-                 F.max(f"_fr{i}").alias(f"_f{i}")]
+        aggs += [F.max(F.when(F.col("_cut") == f"{side}{i}", F.col(of))).alias(f"_{name}{i}") for side, of, name in
+                 (("a", "_v", "a"), ("b", "_v", "b"), ("a", "_fr", "f"))]
     res = picked.groupBy(*keys).agg(*aggs)
     out = res.select(*keys, *[(F.col(f"_a{i}") + F.col(f"_f{i}") * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(nm)
                               for i, nm in enumerate(names)])
-    if not keys:
-        # a global quantile of an empty column is one row of nulls, like SQL
-        empty = df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(nm) for nm in names])
-        out = out.unionByName(empty).agg(*[F.max(nm).alias(nm) for nm in names])
     return out
 
 

@@ -14,7 +14,7 @@ def _skewed(spark):
 
 def test_number_within_equals_row_number(spark):
     df = _skewed(spark)
-    got = number_within(df, ["k"], ["v", "id"], "pos", num_partitions=7, max_group_rows=0)
+    got = number_within(df, ["k"], ["v", "id"], "pos", num_partitions=7)
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")))
     assert got.select("id", "pos").exceptAll(want.select("id", F.col("pos").cast("long"))).count() == 0
     assert got.count() == df.count()
@@ -22,13 +22,13 @@ def test_number_within_equals_row_number(spark):
 
 def test_global_numbering_desc(spark):
     df = spark.range(100)
-    got = number_within(df, [], [F.col("id").desc()], "rn", num_partitions=5, max_group_rows=0)
+    got = number_within(df, [], [F.col("id").desc()], "rn", num_partitions=5)
     assert all(r["rn"] == 100 - r["id"] for r in got.collect())
 
 
 def test_running_sums(spark):
     df = _skewed(spark)
-    got = running_sums(df, ["k"], ["v", "id"], {"cs": F.col("v")}, num_partitions=6, max_group_rows=0)
+    got = running_sums(df, ["k"], ["v", "id"], {"cs": F.col("v")}, num_partitions=6)
     w = Window.partitionBy("k").orderBy("v", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("cs", F.sum("v").over(w))
     assert got.select("id", "cs").exceptAll(want.select("id", "cs")).count() == 0
@@ -36,7 +36,7 @@ def test_running_sums(spark):
 
 def test_exact_quantiles_match_percentile(spark):
     df = _skewed(spark).withColumn("x", F.col("v") / 3.0)
-    got = {r["k"]: (r["a"], r["b"]) for r in exact_quantiles(df, ["k"], "x", [0.25, 0.75], ["a", "b"], max_group_rows=0).collect()}
+    got = {r["k"]: (r["a"], r["b"]) for r in exact_quantiles(df, ["k"], "x", [0.25, 0.75], ["a", "b"]).collect()}
     want = df.groupBy("k").agg(F.percentile("x", 0.25).alias("a"), F.percentile("x", 0.75).alias("b"))
     for r in want.collect():
         assert abs(got[r["k"]][0] - r["a"]) < 1e-9 and abs(got[r["k"]][1] - r["b"]) < 1e-9
@@ -48,16 +48,14 @@ def test_global_quantile_empty(spark):
     assert len(r) == 1 and r[0]["m"] is None
 
 
-def test_small_groups_take_the_window_path(spark):
+def test_no_task_holds_everything(spark):
+    """Neither a numbering, a running sum nor a quantile plans a single partition over the rows."""
     df = _skewed(spark)
-    a = number_within(df, ["k"], ["v", "id"], "pos")                      # window path
-    b = number_within(df, ["k"], ["v", "id"], "pos", max_group_rows=0)    # sliced path
-    assert a.select("id", "pos").exceptAll(b.select("id", "pos")).count() == 0
-
-
-def test_hot_key_detected(spark):
-    from featurelane.operators.ordered import largest_group
-    assert largest_group(_skewed(spark), ["k"]) == 1040  # a third of the rows plus k = 0 from id % 50
+    for out in (number_within(df, [], ["v", "id"], "pos", num_partitions=6), running_sums(df, ["k"], ["v", "id"], {"s": F.col("v")}, num_partitions=6)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan or "Join" in plan
+        per_task = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert max(per_task) < 3000
 
 
 def test_hot_key_is_cut_into_slices(spark):
