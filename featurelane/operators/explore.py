@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurelane.operators.ordered import _key_join, exact_quantiles
@@ -59,6 +59,20 @@ def shuffle_rows(df: DataFrame, seed: int = 42, key: Sequence[str] = ()) -> Data
     return df.orderBy(*_draw(df, seed, key))
 
 
+def buffered_shuffle(df: DataFrame, key: Sequence[str], seed: int = 42, buffers: int = 64) -> DataFrame:
+    """T5: rows in a seeded random order, ``buffer`` by ``buffer``, with their place ``pos`` in it.
+
+    A row's buffer and place follow from the MD5 of the seed and its key alone, so the order is the same for any
+    number of partitions and after a lost executor.  Rows move once, to their buffer; there is no global sort.  Buffers are
+    even (the key names a row), so one holds about a ``1 / buffers`` part: take more of them for more rows.
+    """
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
+    out = df.withColumn("_md5", F.md5(F.concat_ws("|", F.lit(str(seed)), *text).cast("binary")))
+    out = out.withColumn("buffer", F.pmod(F.conv(F.substring("_md5", 1, 8), 16, 10).cast("long"), F.lit(buffers)).cast("int"))
+    place = F.row_number().over(Window.partitionBy("buffer").orderBy("_md5", *key))
+    return out.withColumn("pos", place.cast("long")).drop("_md5")
+
+
 def describe(df: DataFrame, value: str | Column, keys: Sequence[str] = ()) -> DataFrame:
     """Count, mean, std (sample), min, quartiles, max, sum = count * mean."""
     keys = list(keys)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featurelane.operators.ordered import running_sums
@@ -22,6 +22,22 @@ def regression_metrics(df: DataFrame, y: str, pred: str, log_target: bool = Fals
                   F.sqrt(F.avg(err ** 2)).alias("rmse"), F.avg(F.abs(err)).alias("mae"))
 
 
+def rmspe(y: str, pred: str, log_target: bool = False) -> Column:
+    """M7 as one aggregate, so that many predictions are judged in one pass."""
+    ye, pe = (F.expm1(y), F.expm1(pred)) if log_target else (F.col(y), F.col(pred))
+    return F.sqrt(F.avg(F.when(ye > 0, ((ye - pe) / ye) ** 2)))
+
+
+def auc_by(df: DataFrame, key: str, label: str, score: str) -> DataFrame:
+    """M9 for every value of ``key`` at once; null where a group has one class only."""
+    st = df.groupBy(key, F.col(score).cast("double").alias("score")).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg"))
+    cum = running_sums(st, [key], [F.col("score")], {"below": F.col("neg")})
+    agg = cum.groupBy(key).agg(F.sum(F.col("pos") * (F.col("below") - F.col("neg") / 2)).alias("_hit"),
+                               (F.sum("pos").cast("double") * F.sum("neg")).alias("_pairs"))
+    return agg.select(key, F.when(F.col("_pairs") > 0, F.col("_hit") / F.col("_pairs")).alias("auc"))
+
+
 def _score_table(df: DataFrame, label: str, score: str) -> DataFrame:
     return df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),

@@ -685,33 +685,38 @@ def ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.predict_sales(model, o, "open").select("o_orderkey", "split", "pred")
 
 
+def _orders_split(t: Tables) -> DataFrame:
+    """Order features with the chronological split, staged once for all passes of a fit."""
+    from featurelane.operators.split import chrono_split
+    from featurelane.session import cut_lineage
+    crossed = _orders_features(t).withColumn("prio_x_status", F.concat_ws("_", "o_orderpriority", "o_orderstatus"))
+    return cut_lineage(chrono_split(crossed, "o_custkey", ["o_orderdate", "o_orderkey"], valid=0.3))
+
+
 def gbt_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3: gradient-boosted trees on the dense order features."""
+    """M3: gradient-boosted trees on the dense order features of the training part; both parts predicted."""
     from featurelane.plans import models as M
-    o = _orders_features(Tables(spark, sf_dir))
-    model = M.gbt_regressor(o, "y", ["days", "month"], max_iter=10)
-    return model.transform(o).select("o_orderkey", _r(F.col("prediction")).alias("prediction"))
+    o = _orders_split(Tables(spark, sf_dir))
+    model = M.gbt_regressor(o.where(F.col("split") == "train"), "y", ["days", "month"], max_iter=10)
+    return model.transform(o).select("o_orderkey", "split", _r(F.col("prediction")).alias("prediction"))
 
 
 def wide_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Linear model over hashed categoricals and a hashed cross."""
+    """Linear model over hashed categoricals and a hashed cross of the training part; both parts predicted."""
     from featurelane.plans import models as M
-    o = _orders_features(Tables(spark, sf_dir)).withColumn(
-        "prio_x_status", F.concat_ws("_", "o_orderpriority", "o_orderstatus"))
-    model = M.wide_linear(o, "y", ["o_orderpriority", "o_orderstatus"], ["prio_x_status"], 10000)
-    return model.transform(o).select("o_orderkey", _r(F.col("prediction")).alias("prediction"))
-
+    o = _orders_split(Tables(spark, sf_dir))
+    model = M.wide_linear(o.where(F.col("split") == "train"), "y", ["o_orderpriority", "o_orderstatus"], ["prio_x_status"], 10000)
+    return model.transform(o).select("o_orderkey", "split", _r(F.col("prediction")).alias("prediction"))
 
 
 def wide_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E15 + M2/M3: wide (hashed, crossed) linear part plus boosted deep part on its residual."""
+    """E15 + M2/M3: wide (hashed, crossed) linear part plus boosted deep part on its residual; fitted on the training part."""
     from featurelane.plans import models as M
-    o = _orders_features(Tables(spark, sf_dir)).withColumn(
-        "prio_x_status", F.concat_ws("_", "o_orderpriority", "o_orderstatus"))
+    o = _orders_split(Tables(spark, sf_dir))
     cols = {"days": "dense", "month": "dense", "o_orderpriority": "indicator",
             "o_orderstatus": "hashed", "prio_x_status": "cross"}
-    model = M.wide_and_deep(o, "y", cols)
-    return model.transform(o).select("o_orderkey", _r(F.col("prediction")).alias("prediction"))
+    model = M.wide_and_deep(o.where(F.col("split") == "train"), "y", cols)
+    return model.transform(o).select("o_orderkey", "split", _r(F.col("prediction")).alias("prediction"))
 
 
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -719,7 +724,7 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from featurelane.plans import models as M
     from featurelane.session import cut_lineage
     fat = cut_lineage(fat_table(spark, sf_dir))  # stage end: fit and scoring read it once each
-    model = M.classifier(fat, "target", ["seg_id", "acctbal_z", "brand_id", "price_z"])
+    model = M.classifier(fat, "target", ["acctbal_z", "price_z"], ids=["seg_id", "brand_id"])
     return M.probability(model.transform(fat)).select("l_orderkey", "l_linenumber", _r(F.col("prob")).alias("prob"))
 
 
@@ -736,8 +741,7 @@ def classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
     fat = fat.join(order, ["l_orderkey", "l_linenumber"])
     split = cut_lineage(activity_split(fat, "raw_o_custkey", ["l_shipdate", "l_orderkey", "l_linenumber"], valid=0.1))
-    feats = ["seg_id", "acctbal_z", "brand_id", "price_z"]
-    model = M.classifier(split.where(F.col("split") == "train"), "target", feats)
+    model = M.classifier(split.where(F.col("split") == "train"), "target", ["acctbal_z", "price_z"], ids=["seg_id", "brand_id"])
     scored = M.probability(model.transform(split))
     a_tr = auc(scored.where(F.col("split") == "train"), "target", "prob").withColumnRenamed("auc", "auc_train")
     a_vl = auc(scored.where(F.col("split") == "valid"), "target", "prob").withColumnRenamed("auc", "auc_valid")
@@ -745,32 +749,35 @@ def classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5: ALS user/item factors, their product stacked with profile features."""
+    """M5: ALS factors over vocabulary ids, out of fold on the training part, with the user's mean; both parts scored."""
+    from featurelane.operators.split import chrono_split
     from featurelane.plans import models as M
-    t = Tables(spark, sf_dir)
-    log = event_log(t).withColumn("item_id", F.col("item").cast("int"))
-    inter = log.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).cast("float").alias("n"))
-    uf, itf = M.als_factors(inter.withColumn("user_id", F.col("user_id").cast("int")), "user_id", "item_id", "n", 8)
-    users, _ = _profiles(t)
-    feats = M.hybrid_features(log.withColumn("user_id", F.col("user_id").cast("int")), uf, itf, "user_id", "item_id", 8)
-    feats = feats.join(users.withColumn("user_id", F.col("user_id").cast("int")), "user_id", "left")
-    model = M.classifier(feats, "target", [f"mf_{i}" for i in range(8)] + ["user_pplrty"])
-    return M.probability(model.transform(feats)).select("event_id", _r(F.col("prob")).alias("prob"))
+    from featurelane.plans.factors import out_of_fold_factors
+    log = chrono_split(event_log(Tables(spark, sf_dir)), "user_id", ["ts", "event_id"], valid=0.3)
+    train, valid = out_of_fold_factors(log.where(F.col("split") == "train"), log.where(F.col("split") == "valid"), "user_id", "item", "target", ["event_id"])
+    model = M.classifier(train, "target", [f"mf_{i}" for i in range(8)] + ["user_mean"])
+    return M.probability(model.transform(train.unionByName(valid))).select("event_id", "split", _r(F.col("prob")).alias("prob"))
 
 
 def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampled ridge strengths on the fixed chronological split; best by RMSPE."""
-    from featurelane.operators.split import chrono_split
+    """30 sampled strengths of an elastic net on the fixed chronological split, least RMSPE; the best model is saved and loaded."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+    from pyspark.ml.regression import LinearRegression
+
     from featurelane.plans import models as M
-    t = Tables(spark, sf_dir)
-    o = chrono_split(_orders_features(t), "o_custkey", ["o_orderdate", "o_orderkey"], valid=0.3)
+    from featurelane.plans.search import Search, search
+    from featurelane.streaming.serve import work_dir
+    o = _orders_split(Tables(spark, sf_dir))
+    ids = [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep") for c in ("o_orderpriority", "o_orderstatus")]
     train, valid = o.where(F.col("split") == "train"), o.where(F.col("split") == "valid")
-    cands = [(p, M.ridge(train, "y", ["days", "month"], ["o_orderpriority", "o_orderstatus"], p["alpha"]))
-             for p in M.sample_params({"alpha": ("log", 0.01, 10.0)}, 3)]
-    best, _model, value = M.select_best(cands, valid, "y", "rmspe")
-    return spark.createDataFrame([(float(best["alpha"]), float(value))], "alpha double, rmspe double")
-
-
+    prepared = Pipeline(stages=[*ids, *M.vectors(["days", "month"], [i.getOutputCol() for i in ids])]).fit(train)
+    found = search(train, valid, "y", prepared, LinearRegression(labelCol="y"), {"regParam": ("log", 1e-4, 10.0), "elasticNetParam": ("linear", 0.0, 1.0)})
+    base = work_dir(spark, "search")
+    found.save(spark, base)
+    best = Search.load(spark, base).best
+    rows = [(i, t["params"]["regParam"], t["params"]["elasticNetParam"], t["value"], t == best) for i, t in enumerate(found.trials)]
+    return spark.createDataFrame(rows, "trial int, reg double, mix double, rmspe double, best boolean")
 
 
 def vocab_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -804,6 +811,12 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                          key=["l_orderkey", "l_linenumber"])
 
 
+def shuffle_buffers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: all orders in a seeded order, in 16 buffers, without a global sort."""
+    from featurelane.operators.explore import buffered_shuffle
+    return buffered_shuffle(Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey"), ["o_orderkey"], seed=42, buffers=16)
+
+
 QUERIES = {
     "history_user_item": history_user_item,
     "history_user_token": history_user_token,
@@ -872,6 +885,7 @@ QUERIES = {
     "distinct_users": distinct_users,
     "tick_order": tick_order,
     "sample_rows": sample_rows,
+    "shuffle_buffers": shuffle_buffers,
 }
 
 QUERIES |= flows.QUERIES

@@ -18,8 +18,6 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelane.operators.metrics import auc, regression_metrics
-
 
 def ridge(train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str],
           alpha: float = 0.5, categories: DataFrame | None = None) -> PipelineModel:
@@ -61,11 +59,16 @@ def gbt_regressor(train: DataFrame, label: str, features: Sequence[str], max_ite
     return Pipeline(stages=[vec, gbt]).fit(train)
 
 
-def classifier(train: DataFrame, label: str, features: Sequence[str], reg: float = 0.0) -> PipelineModel:
-    """M4: binary classifier over the fat table."""
-    vec = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+def classifier(train: DataFrame, label: str, features: Sequence[str], reg: float = 0.0, ids: Sequence[str] = ()) -> PipelineModel:
+    """M4: binary classifier over the fat table; ``ids`` (vocabulary numbers) as sparse indicators (E10), not as quantities."""
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=reg, maxIter=50)
-    return Pipeline(stages=[vec, lr]).fit(train)
+    return Pipeline(stages=[*vectors(features, ids), lr]).fit(train)
+
+
+def vectors(numeric: Sequence[str], ids: Sequence[str] = ()) -> list:
+    """Stages that make ``features`` of numbers and of sparse indicators of vocabulary ids; ids not seen in fitting are all zeros."""
+    ohe = [OneHotEncoder(inputCols=list(ids), outputCols=[f"{c}__v" for c in ids], handleInvalid="keep")] if ids else []
+    return [*ohe, VectorAssembler(inputCols=[*numeric, *[f"{c}__v" for c in ids]], outputCol="features", handleInvalid="keep")]
 
 
 def als_factors(interactions: DataFrame, user: str, item: str, rating: str, rank: int = 8):
@@ -99,22 +102,6 @@ def predict_sales(model: PipelineModel, df: DataFrame, open_col: str, name: str
     return p.withColumn(name, F.when(F.col(open_col) == "1", F.bround(F.expm1("prediction"), 0)).otherwise(F.lit(0.0)))
 
 
-def select_best(candidates: list[tuple[dict, PipelineModel]], valid: DataFrame, label: str,
-                metric: str = "rmspe") -> tuple[dict, PipelineModel, float]:
-    """Keep the model with the best validation metric (lower RMSPE / higher AUC;
-    a tie replaces the earlier best, as ``<=`` does)."""
-    best = None
-    for params, model in candidates:
-        pred = model.transform(valid)
-        if metric == "auc":
-            value = -probability(pred).transform(lambda d: auc(d, label, "prob")).first()["auc"]
-        else:
-            value = regression_metrics(pred, label, "prediction", log_target=True).first()[metric]
-        if best is None or value <= best[2]:
-            best = (params, model, value)
-    return best[0], best[1], abs(best[2])
-
-
 def sample_params(space: dict, trials: int, seed: int = 42) -> list[dict]:
     """Draw parameter maps -- ``('log', lo, hi)``, ``('linear', lo, hi)``,
     ``('discrete', [..])`` -- deterministically from ``seed``."""

@@ -24,6 +24,12 @@ SELECT o_orderkey, {_bucket("o_custkey::VARCHAR", 2000)} AS cust_bucket,
 FROM orders
 """
 
+FLOWS["shuffle_buffers"] = """
+SELECT o_orderkey, o_custkey, CAST(('0x' || substr(md5('42|' || o_orderkey), 1, 8))::BIGINT % 16 AS INTEGER) AS buffer,
+       row_number() OVER (PARTITION BY ('0x' || substr(md5('42|' || o_orderkey), 1, 8))::BIGINT % 16 ORDER BY md5('42|' || o_orderkey), o_orderkey) AS pos
+FROM orders
+"""
+
 # ---------------------------------------------------------------- daily sales (B)
 
 _SALES = """
