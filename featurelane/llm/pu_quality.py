@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_
           sample: int = SAMPLE) -> tuple[Model | None, float]:
     """The model and the prior, from the rows of ``docs`` and ``labels`` where ``training`` (on the key) holds."""
     known = labels.where(training).where(F.col(label).isNotNull() & F.col(key).isNotNull())
-    rows = docs.where(training).where(F.col(key).isNotNull())
+    rows = docs.where(training).where(F.col(key).isNotNull()).select(key, text)  # other columns may have any names
     trusted = (known.where(F.col(label).cast("int") >= 1).select(F.col(key).alias("_k")).distinct()
                .join(rows.select(F.col(key).alias("_d")), F.col("_k") == F.col("_d"), "left_semi"))
     n = trusted.count()

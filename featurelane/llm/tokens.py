@@ -2,11 +2,12 @@
 
 The vocabulary is read once on the driver (its path is a parameter) and sent to the tasks in a
 broadcast of fixed size: the file, 1.5 MB.  ``Encoder`` gives the ids of the ``tokenizers``
-library without special tokens.  That library encodes about 2 MB a second and core, so
+library with ``add_special_tokens=False`` and its defaults otherwise: an added token's string in a text
+is that token.  That library encodes about 2 MB a second and core, so
 texts whose characters all lie below U+0240 go through ``tiktoken`` with the same vocabulary
 (in byte-level BPE a token's id is its merge rank), which gives the same ids five times as
 fast; in that range both splitting patterns see the same letters, digits and spaces.  All other
-texts take ``tokenizers`` itself, whose Unicode tables may differ for later scripts.
+texts, and those that hold an added token's string, take ``tokenizers`` itself, whose Unicode tables may differ for later scripts.
 """
 
 from __future__ import annotations
@@ -44,13 +45,14 @@ class Encoder:
 
         letters = byte_alphabet()
         spec = json.loads(vocabulary)
-        special = {t["id"] for t in spec.get("added_tokens", [])}
+        added = {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
         vocab = spec["model"]["vocab"]
-        ranks = {bytes(letters[c] for c in s): i for s, i in vocab.items() if i not in special}
-        self.size = max(vocab.values()) + 1
+        ranks = {bytes(letters[c] for c in s): i for s, i in vocab.items() if i not in added}
+        self.size = max([*vocab.values(), *added]) + 1
         self.lengths = np.zeros(self.size, np.int64)
-        for s, i in ranks.items():
+        for s, i in [*ranks.items(), *((text, i) for i, text in added.items())]:
             self.lengths[i] = len(s)
+        self._added = list(added.values())
         self._fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                        special_tokens={})
         self._vocabulary, self._exact = vocabulary, None
@@ -59,15 +61,14 @@ class Encoder:
         """Token ids of one text, given as its UTF-8 bytes."""
         if not len(raw):
             return np.zeros(0, np.int64)
-        text = raw.tobytes().decode()
-        if raw.max() < _LIMIT:
-            return np.asarray(self._fast.encode_ordinary(text), np.int64)
+        data = raw.tobytes()
+        if raw.max() < _LIMIT and not any(x in data for x in self._added):
+            return np.asarray(self._fast.encode_ordinary(data.decode()), np.int64)
         if self._exact is None:
             from tokenizers import Tokenizer
 
             self._exact = Tokenizer.from_str(self._vocabulary)
-            self._exact.encode_special_tokens = True  # their strings are ordinary text
-        return np.asarray(self._exact.encode(text, add_special_tokens=False).ids, np.int64)
+        return np.asarray(self._exact.encode(data.decode(), add_special_tokens=False).ids, np.int64)
 
 
 @lru_cache(maxsize=1)

@@ -20,7 +20,7 @@ LONG = " ".join(f"w{i}" for i in range(9000))
 SCHEMA = "doc_id long, text string, source string, lang string, n_chars long, rank string, score string, h int, idx int, piece string, length string, _row int"
 ODD = [(1, None, "a", "x", 3), (2, "", None, None, None), (3, "  \n\t", "a", "", 0), (4, "one two", "b", "x", 7), (5, "one two", "b", "x", 7),
        (6, " x 你好 \U0001f600 naïve ÀB", None, None, 1), (7, LONG, "a", "x", 2**40), (7, LONG, "a", "x", 2**40), (7, "other two", "a", "x", 9),
-       (None, "no key here at all two", "c", "x", 1), (9, "x" * 70000, "a", "z", 70000), (10, "1 2 3 ### !! One", "a", "z", 5)]
+       (8, "a <|endoftext|> two", "a", "z", 1), (None, "no key here at all two", "c", "x", 1), (9, "x" * 70000, "a", "z", 70000), (10, "1 2 3 ### !! One", "a", "z", 5)]
 ITEMS = [(1, "one two THREE"), (1, "one two THREE"), (2, None), (3, ""), (4, "zzz nowhere"), (None, "two naïve你好"), (5, "à"), (6, LONG), (7, "##")]
 
 

@@ -77,8 +77,7 @@ def test_compression(spark, docs, odd):
 
 
 def test_packing_round_trip(spark, docs, odd):
-    exact = Tokenizer.from_file(BYTE_BPE)
-    exact.encode_special_tokens = True
+    exact = Tokenizer.from_file(BYTE_BPE)  # as it is: an added token's string is that token
     for table in (docs, odd):
         rows = binary_packing.pack_documents(table).collect()
         assert len({r.sequence_id for r in rows}) == len(rows) and all(r.offset == 0 and r.length == 1 << r.bucket <= 2048 for r in rows)
@@ -92,6 +91,29 @@ def test_packing_round_trip(spark, docs, odd):
     assert [binary_packing.piece_lengths(n) for n in (1, 6, 2048, 5000)] == [[1], [4, 2], [2048], [2048, 2048, 512, 256, 128, 8]]
 
 
+def test_added_tokens_are_as_the_library_gives_them(spark):
+    ship(spark)
+    exact = Tokenizer.from_file(BYTE_BPE)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "你<|endoftext|><|endoftext|> x", "<|endoftext", "no such token"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: b"" for r in docs.collect()}
+    for r in sorted(binary_packing.pack_documents(docs).collect(), key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id] += r.ids
+    assert got == {i: np.array(exact.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes() for i, t in enumerate(texts)}
+    for rule in attribution.RULES:
+        per = attribution.attribute_tokens(docs, rule=rule).groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()
+        assert {r.doc_id: round(r.n) for r in per} == {i: len(exact.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_quality_takes_any_other_columns(spark):
+    ship(spark)
+    rows = [(i, ("good words here and there " if i % 2 else "### !! $$ ") * 5, True, i, 0.5) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, p boolean, _k long, x double")
+    labels = spark.createDataFrame([(i, i % 2, "c") for i in range(40)], "doc_id long, quality int, p string")
+    plain = {r.doc_id: r.score for r in pu_quality.score(docs.select("doc_id", "text"), labels.drop("p"), F.lit(True)).collect()}
+    assert {r.doc_id: r.score for r in pu_quality.score(docs, labels, F.lit(True)).collect()} == plain and len(plain) == 40
+
+
 @pytest.mark.parametrize("rule", attribution.RULES)
 def test_attribution(spark, docs, odd, rule):
     exact = Tokenizer.from_file(BYTE_BPE)
