@@ -16,11 +16,6 @@ from pyspark.sql import functions as F
 from featurelane.operators.ordered import exact_quantiles
 
 
-def fill_constant(df: DataFrame, value, cols: Sequence[str]) -> DataFrame:
-    """``na.fill`` of a constant ('' for categoricals, 0, ...)."""
-    return df.na.fill(value, subset=list(cols))
-
-
 def column_quantiles(df: DataFrame, cols: Sequence[str], prob: float = 0.5,
                      where: dict[str, Column] | None = None) -> dict[str, float | None]:
     """Exact quantile of each column, all columns in one distributed pass.

@@ -94,16 +94,6 @@ def encode_columns(df: DataFrame, key: str, vocabs: dict[str, str], table: DataF
     return out.select(*[done[c].alias(c) if c in done else F.col(c) for c in df.columns])
 
 
-def save_vocab(vocab: DataFrame, path: str) -> None:
-    """Persist a vocabulary ``(label, freq, idx)`` as Parquet."""
-    vocab.select("label", "freq", "idx").write.mode("overwrite").parquet(path)
-
-
-def load_vocab(spark, path: str) -> DataFrame:
-    """Read a persisted vocabulary back (the serving side)."""
-    return spark.read.schema("label string, freq long, idx long").parquet(path)
-
-
 def encode(df: DataFrame, col: str, vocab: DataFrame, out: str | None = None) -> DataFrame:
     """Label -> id (unknown, null, outlier -> 0)."""
     out = out or col
@@ -172,12 +162,6 @@ def encode_arrays(df: DataFrame, row_key: Sequence[str], vocabs: dict[str, DataF
     return res.drop(*[f"_enc_{c}" for c in cols if out_names.get(c, c) != f"_enc_{c}"])
 
 
-def encode_array_small(col: Column, vocab_labels: Sequence[str]) -> Column:
-    """R6 for a fixed small vocabulary: map literal + ``transform`` (stays in codegen)."""
-    m = F.create_map(*[x for i, lab in enumerate(vocab_labels) for x in (F.lit(lab), F.lit(i + 1))])
-    return F.transform(col, lambda e: F.coalesce(F.try_element_at(m, e), F.lit(0)))
-
-
 # ------------------------------------------------------------------ scalers
 
 @dataclass
@@ -205,17 +189,6 @@ class ScalerModel:
             out = out.withColumn(c, F.col(c) * F.lit(s["std"]) + F.lit(s["mean"]))
         return out
 
-    def to_frame(self, spark) -> DataFrame:
-        """The fitted statistics as a table (one row per feature)."""
-        rows = [(c, s["mean"], s["std"], s["median"]) for c, s in self.stats.items()]
-        return spark.createDataFrame(rows, "feature string, mean double, stdv double, median double")
-
-    @classmethod
-    def from_frame(cls, frame: DataFrame, fill_median: bool = True) -> "ScalerModel":
-        stats = {r["feature"]: {"mean": r["mean"], "std": r["stdv"], "median": r["median"]}
-                 for r in frame.collect()}  # one row per feature
-        return cls(stats, fill_median)
-
 
 def fit_scaler(df: DataFrame, cols: Sequence[str], ddof: int = 0, fill_median: bool = True) -> ScalerModel:
     """E6 (``ddof=0``, population std) / E7 (``ddof=1``, sample std), on non-null values."""

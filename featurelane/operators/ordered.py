@@ -152,11 +152,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     return out
 
 
-def exact_median(df: DataFrame, value: str | Column, keys: Sequence[str] = (), name: str = "median") -> DataFrame:
-    """Exact median (one row, or one row per key group)."""
-    return exact_quantiles(df, keys, value, [0.5], [name])
-
-
 def approx_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, probs: Sequence[float],
                      names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
     """Opt-in approximate quantiles (``percentile_approx``: a mergeable sketch per

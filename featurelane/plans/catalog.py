@@ -811,6 +811,23 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                          key=["l_orderkey", "l_linenumber"])
 
 
+def split_separator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A literal separator with white space around it, one row per part."""
+    from featurelane.functions.text import split_multi
+    o = Tables(spark, sf_dir).orders
+    parts = split_multi(F.concat_ws(" - ", "o_orderpriority", "o_orderstatus"), "-")
+    return o.select("o_orderkey", F.posexplode(parts).alias("pos", "part"))
+
+
+def concat_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's numbers and their products as one vector, one row per element."""
+    from featurelane.functions.arrays import concat_vectors, elementwise_product
+    users, _ = _profiles(Tables(spark, sf_dir))
+    own, turned = F.array("user_clicks", "user_pplrty"), F.array("user_pplrty", "user_clicks")
+    vector = concat_vectors([own, elementwise_product(own, turned)])
+    return users.select("user_id", F.posexplode(vector).alias("pos", "x")).withColumn("x", _r(F.col("x")))
+
+
 def shuffle_buffers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: all orders in a seeded order, in 16 buffers, without a global sort."""
     from featurelane.operators.explore import buffered_shuffle
@@ -886,6 +903,8 @@ QUERIES = {
     "tick_order": tick_order,
     "sample_rows": sample_rows,
     "shuffle_buffers": shuffle_buffers,
+    "split_separator": split_separator,
+    "concat_features": concat_features,
 }
 
 QUERIES |= flows.QUERIES

@@ -177,17 +177,25 @@ _ENTITY = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
 def _decode_case() -> str:
-    from featurelane.functions.text import LEGACY_NO_SEMICOLON, NAMED_ENTITIES
-    q = lambda t: t.replace("'", "''")
-    whens = [f"WHEN e = '&{n};' THEN '{q(t)}'" for n, t in NAMED_ENTITIES.items()]
-    whens += [f"WHEN e = '&{n}' THEN '{q(NAMED_ENTITIES[n])}'" for n in LEGACY_NO_SEMICOLON]
+    """One reference ``e`` by the tables of Python's standard library (the library under test is not imported)."""
+    from html import _invalid_charrefs, _invalid_codepoints
+    from html.entities import html5
+    q = lambda t: "'" + t.replace("'", "''") + "'"
+    table = "MAP([" + ", ".join(q(n) for n in html5) + "], [" + ", ".join(q(t) for t in html5.values()) + "])"
+    bare = "[" + ", ".join(q(n) for n in sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + "]"
+    special = {n: t for n, t in _invalid_charrefs.items() if n}  # chr(0) is no DuckDB text; 0 gives U+FFFD below
+    remap = "MAP([" + ", ".join(map(str, special)) + "], [" + ", ".join(f"chr({ord(t)})" for t in special.values()) + "])"
+    none = ", ".join(map(str, sorted(_invalid_codepoints)))
     dec = "TRY_CAST(regexp_extract(e, '^&#([0-9]+);?$', 1) AS BIGINT)"
     hexv = "TRY_CAST('0x' || regexp_extract(e, '^&#[xX]([0-9a-fA-F]+);?$', 1) AS BIGINT)"
+    whens = []
     for v, pat in ((dec, "^&#[0-9]+;?$"), (hexv, "^&#[xX][0-9a-fA-F]+;?$")):
-        whens.append(f"WHEN regexp_matches(e, '{pat}') THEN CASE WHEN {v} BETWEEN 1 AND 1114111 "
-                     f"AND NOT ({v} BETWEEN 55296 AND 57343) THEN chr(CAST({v} AS INTEGER)) ELSE '\ufffd' END")
-    for n in sorted(LEGACY_NO_SEMICOLON, key=len, reverse=True):
-        whens.append(f"WHEN substr(e, 2, {len(n)}) = '{n}' THEN '{q(NAMED_ENTITIES[n])}' || substr(e, {len(n) + 2})")
+        whens.append(f"WHEN regexp_matches(e, '{pat}') THEN CASE WHEN map_contains({remap}, {v}::INTEGER) THEN {remap}[{v}::INTEGER] "
+                     f"WHEN {v} IS NULL OR {v} = 0 OR {v} > 1114111 OR {v} BETWEEN 55296 AND 57343 THEN '\ufffd' "
+                     f"WHEN {v} IN ({none}) THEN '' ELSE chr(CAST({v} AS INTEGER)) END".replace(f"map_contains({remap}, {v}::INTEGER)", f"{v} < 256 AND map_contains({remap}, {v}::INTEGER)"))
+    prefix = f"list_filter({bare}, lambda n: length(n) < length(e) - 1 AND starts_with(e[2:], n))"
+    whens.append(f"WHEN map_contains({table}, e[2:]) THEN {table}[e[2:]]")
+    whens.append(f"WHEN len({prefix}) > 0 THEN {table}[{prefix}[1]] || substr(e, 2 + length({prefix}[1]))")
     return "CASE " + " ".join(whens) + " ELSE e END"
 
 

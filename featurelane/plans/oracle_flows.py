@@ -30,6 +30,16 @@ SELECT o_orderkey, o_custkey, CAST(('0x' || substr(md5('42|' || o_orderkey), 1,
 FROM orders
 """
 
+FLOWS["split_separator"] = """
+SELECT o_orderkey, (unnest(range(len(p))))::INTEGER AS pos, unnest(p) AS part
+FROM (SELECT o_orderkey, list_transform(string_split(o_orderpriority || ' - ' || o_orderstatus, '-'), lambda x: trim(x)) AS p FROM orders)
+"""
+
+FLOWS["concat_features"] = """
+SELECT user_id, unnest([0, 1, 2, 3]) AS pos, ROUND(unnest([n, m, n * m, m * n]), 6) AS x
+FROM (SELECT user_id, count(*)::DOUBLE AS n, avg((event_type = 'purchase')::INTEGER) AS m FROM events WHERE user_id IS NOT NULL GROUP BY user_id)
+"""
+
 # ---------------------------------------------------------------- daily sales (B)
 
 _SALES = """

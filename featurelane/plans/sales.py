@@ -87,20 +87,6 @@ def prepare_store(store: DataFrame, states: DataFrame, spec: SalesSpec) -> DataF
     return cut_lineage(s.join(states, spec.store, "left"))  # stage end (small store table)
 
 
-def prepare(log: DataFrame, store: DataFrame, spec: SalesSpec, sales_mean: DataFrame | None = None) -> DataFrame:
-    """F9, J2, R4, J9 then P5: training (``sales_mean`` None: computed here,
-    before the ``open = '1' and sales > 0`` filter) or serving (J10: the
-    saved store -> mean table joined, no filter)."""
-    df = log.select("*", *date_parts(F.col(spec.date).try_cast("date")))
-    df = df.join(store, spec.store, "left")
-    df = df.withColumn("promo2", interval_flag("promo2", "month", "promo_interval")).drop("promo_interval")
-    if sales_mean is None:
-        means = df.groupBy(spec.store).agg(F.avg(spec.target).alias("sales_mean"))
-        df = df.join(means, spec.store, "left")
-        return df.where((F.col(spec.open_col) == "1") & (F.col(spec.target) > 0))
-    return df.join(sales_mean, spec.store, "left")
-
-
 def fit(prepared: DataFrame, spec: SalesSpec) -> tuple[dict, DataFrame]:
     """``{feature: {mean, stdv, median}}`` and the store -> mean table."""
     cols = [c for c in spec.numeric if c in prepared.columns]
@@ -111,12 +97,6 @@ def fit(prepared: DataFrame, spec: SalesSpec) -> tuple[dict, DataFrame]:
     return stats, means
 
 
-def transform(prepared: DataFrame, spec: SalesSpec, training: bool = True) -> DataFrame:
-    """F12 + N1: log1p target, '' for categoricals."""
-    out = prepared.withColumn(spec.target, F.log1p(spec.target)) if training else prepared
-    return out.na.fill("", [c for c in spec.categorical if c in out.columns])
-
-
 def split(prepared: DataFrame, spec: SalesSpec, dates_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """W2 per store by date; with ``dates_path`` the (store, date, split) series
     is also written as JSON for the actual-vs-predicted view (S6)."""

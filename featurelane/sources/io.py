@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-#: Values may hold newlines and quotes (a quote is doubled); a row that does not fit the schema is an error.
-CSV = {"multiLine": True, "quote": '"', "escape": '"'}
+#: A quote within a value is doubled; a row that does not fit the schema is an error.
+CSV = {"quote": '"', "escape": '"'}
 
 
 def schema_of(fields: dict[str, str] | Sequence[tuple[str, str]]) -> T.StructType:
@@ -26,11 +26,14 @@ def schema_of(fields: dict[str, str] | Sequence[tuple[str, str]]) -> T.StructTyp
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | dict[str, str],
-             header: bool = True, defaults: dict[str, object] | None = None) -> DataFrame:
-    """CSV (file, folder or glob) with declared types; empty fields -> defaults."""
+             header: bool = True, defaults: dict[str, object] | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV (file, folder or glob) with declared types; empty fields -> defaults.
+
+    ``multi_line`` is for values that hold newlines: such a file cannot be split, so one file is one task.
+    """
     if isinstance(schema, dict):
         schema = schema_of(schema)
-    df = spark.read.schema(schema).option("header", header).options(**CSV).option("mode", "FAILFAST").csv(path)
+    df = spark.read.schema(schema).option("header", header).options(**CSV).option("multiLine", multi_line).option("mode", "FAILFAST").csv(path)
     return df.na.fill(defaults) if defaults else df
 
 

@@ -49,7 +49,7 @@ def test_csv_newlines_and_quotes(spark, tmp_path):
     rows = [(1, 'two\nlines, "quoted"'), (2, "plain"), (3, 'ends with \\')]
     df = spark.createDataFrame(rows, "k int, v string")
     write_csv(df, str(tmp_path / "c"))
-    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "c"), {"k": "int", "v": "string"}).collect())) == rows
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "c"), {"k": "int", "v": "string"}, multi_line=True).collect())) == rows
 
 
 def test_checkpoint_dir_is_set(spark):

@@ -42,3 +42,22 @@ def test_all_names_and_numbers_of_html5(spark):
     assert len(html5) == 2231
     for i, t in enumerate(texts):
         assert got[i] == html.unescape(t), t
+
+
+def test_sql_twin_decodes_as_the_standard_library():
+    """The DuckDB twin of the unescaping, built from the standard library's tables, on every name and the special numbers."""
+    import html
+    from html.entities import html5
+
+    import duckdb
+
+    from featurelane.plans.oracle import _unescape
+    texts = [f"a&{n}b" for n in html5] + [f"&{n.rstrip(';')}x;" for n in list(html5)[::40]]
+    texts += [f"&#{n};" for n in (0, 9, 11, 38, 128, 150, 159, 255, 55296, 64976, 65534, 1114111, 1114112, 99999999999999999999)]
+    texts += ["&#x80;z", "&#X41", "&#xD800;", "&#xFFFFFFFFFFFFFFFFFF;", "&", "&&amp;amp;", "&notit;", "&nosuch;", "plain"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k INTEGER, x VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
+    got = [r[0] for r in con.execute(f"SELECT {_unescape('x')} FROM t ORDER BY k").fetchall()]
+    wrong = [(t, g, html.unescape(t)) for t, g in zip(texts, got) if g != html.unescape(t)]
+    assert not wrong, wrong[:5]
