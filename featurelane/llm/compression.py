@@ -8,8 +8,8 @@ length: ``BANDS`` lists (bytes up to, lowest ratio, highest ratio).
 
 Two verdicts are combined: the ratio of the whole text against the band of its
 length, and the ratios of fixed chunks of ``CHUNK`` bytes, each compressed on
-its own against the band of a chunk's length.  A text is rejected if its whole
-ratio is outside, or if more than ``BAD_CHUNKS`` percent of its full chunks are
+its own against the band of its length (the last one is shorter).  A text is rejected if its whole
+ratio is outside, or if more than ``BAD_CHUNKS`` percent of its bytes are in chunks that are
 outside (a local table or code block alone does not reject it).
 
 Results by case: a null or empty text has no words, ratio null, fails the base
@@ -85,11 +85,11 @@ def bands(raw: bytes, compressor: zstandard.ZstdCompressor) -> tuple:
         return None, 0, 0, None, None, False
     ratio = len(compressor.compress(raw)) / n
     lo, hi = band(n)
-    chunks = [len(compressor.compress(raw[i:i + CHUNK])) / CHUNK for i in range(0, n - CHUNK + 1, CHUNK)]
-    c_lo, c_hi = band(CHUNK)
-    bad = sum(not c_lo <= c <= c_hi for c in chunks)
-    ok = lo <= ratio <= hi and 100 * bad <= BAD_CHUNKS * len(chunks)
-    return ratio, len(chunks), bad, min(chunks, default=None), max(chunks, default=None), ok
+    sizes = [min(CHUNK, n - i) for i in range(0, n, CHUNK)]
+    chunks = [len(compressor.compress(raw[i * CHUNK:(i + 1) * CHUNK])) / size for i, size in enumerate(sizes)]
+    bad = [size for c, size in zip(chunks, sizes) if not band(size)[0] <= c <= band(size)[1]]
+    ok = lo <= ratio <= hi and 100 * sum(bad) <= BAD_CHUNKS * n
+    return ratio, len(chunks), len(bad), min(chunks), max(chunks), ok
 
 
 def _measure(text: str, schema: pa.Schema, names: list[str]):
