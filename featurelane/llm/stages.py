@@ -55,6 +55,10 @@ class Bitmap:
         words = self.shared.value
         return (words[(slot >> U(6)).astype(np.int64)] >> (slot & U(63)) & U(1)).astype(bool)
 
+    def free(self) -> None:
+        """Give the broadcast bits back, once all that tests them is staged."""
+        self.shared.destroy()
+
     def column(self, values: Column) -> Column:
         """Boolean column: may ``values`` (longs) be marked?"""
         @F.pandas_udf("boolean")

@@ -18,8 +18,8 @@ Two texts link when the sets of their k-word shingles have Jaccard similarity of
    node is first paired with one hub only.  Links found merge nodes into components.  In later
    rounds only nodes outside the hub's component are left, with a hub of their own; when a
    round finds no more links or no longer halves what is left, every remaining pair of different components that shares a prefix
-   n-gram is counted.  A pair inside one component needs no test: it changes no component.  (As soon as those remaining pairs are few
-   against the input, they are counted at once.)
+   n-gram is counted, with one row for each run of n-grams that both have one after the other and not for each n-gram.
+   A pair inside one component needs no test: it changes no component.
    So a group of a million near copies costs about a million tests, no link between
    components is lost, and nothing is capped.
 
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurelane.llm.components import components
@@ -50,8 +50,6 @@ K = 5
 THRESHOLD = 80
 LOG2_COUNTERS = 20
 FRAGMENTS = 8
-#: Remaining pairs (before the filters) per different text that are counted at once.
-DIRECT = 64
 _SLICE = 14  # 2**14 counters a slice
 
 
@@ -140,6 +138,7 @@ class VerticalJoin:
                  log2_counters: int = LOG2_COUNTERS, fragments: int = FRAGMENTS):
         self.k, self.threshold, self.fragments = k, threshold, fragments
         self.docs = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+        self.docs = self.docs.withColumn("row", id_hash("text"))
         self.place = docs.sparkSession.sparkContext.broadcast(order_of(self.docs, k, log2_counters))  # 8 MB
 
     def _repeated_prefix_ngrams(self) -> Bitmap:
@@ -158,7 +157,7 @@ class VerticalJoin:
         return bitmap(twice, "hash")
 
     def profile(self) -> DataFrame:
-        """doc_id, n_shingles, node (null without shingles) and the prefix n-grams that may be shared, staged."""
+        """doc_id, row (hash of the text), n_shingles, node (null without shingles) and the prefix n-grams that may be shared, staged."""
         place, k, threshold, repeated = self.place, self.k, self.threshold, self._repeated_prefix_ngrams()
 
         def run(batches):
@@ -175,14 +174,16 @@ class VerticalJoin:
                     count.append(count[-1] + len(hit))
                 offsets = pa.array(count, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
+                    [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
                      pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(hashes), pa.int64())),
                      pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(places), pa.int32()))],
-                    names=["doc_id", "n_shingles", "node", "hashes", "places"])
+                    names=["doc_id", "row", "n_shingles", "node", "hashes", "places"])
 
         kind = self.docs.schema["doc_id"].dataType.simpleString()
-        return stage(self.docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, hashes array<long>, places array<int>"),
-                     "profile")
+        found = stage(self.docs.mapInArrow(run, f"doc_id {kind}, row long, n_shingles long, node long, hashes array<long>, places array<int>"),
+                      "profile")
+        repeated.free()
+        return found
 
     def _signatures(self, members: DataFrame) -> DataFrame:
         """(node, segment): the signatures of the sets of the documents in ``members`` (id column), staged.
@@ -197,8 +198,10 @@ class VerticalJoin:
                 yield pa.RecordBatch.from_arrays([pa.array([int(_node(s)) for s in sets], pa.int64()),
                                                   pa.array([signature(s) for s in sets], pa.binary())], names=["node", "segment"])
 
-        return stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, segment binary"),
-                     "signatures")
+        found = stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, segment binary"),
+                      "signatures")
+        wanted.free()
+        return found
 
     def _segments(self, members: DataFrame) -> DataFrame:
         """(node, frag, segment): the sets of the documents in ``members`` (id column), cut by fragment, staged.
@@ -226,8 +229,10 @@ class VerticalJoin:
                 yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(frag, pa.int32()),
                                                   pa.array(segment, pa.binary())], names=["node", "frag", "segment"])
 
-        return stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, frag int, segment binary"),
-                     "segments")
+        found = stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, frag int, segment binary"),
+                      "segments")
+        wanted.free()
+        return found
 
     @staticmethod
     def _dealt(pairs: DataFrame, segments: DataFrame, *by: str) -> DataFrame:
@@ -292,29 +297,42 @@ class VerticalJoin:
                 .where(f"{t} * (least(n_a, n_b) - if(n_a <= n_b, i, j)) >= {2 * self.threshold} * least(n_a, n_b)")
                 .select("a", "b", "n_a", "n_b").distinct())
 
+    @staticmethod
+    def _placed(lists: DataFrame) -> DataFrame:
+        """The open postings with their number among the node's open n-grams in the global order, and the one before.
+
+        A node's window holds the prefix n-grams of one text.
+        """
+        w = Window.partitionBy("node").orderBy("place", "hash")
+        return lists.withColumns({"q": F.row_number().over(w) - 1, "prev": F.lag("hash").over(w)})
+
     def _meetings(self, lists: DataFrame, minors: DataFrame) -> DataFrame:
-        """Every prefix n-gram that two nodes of different components share and that leaves room for a link.
+        """The runs of prefix n-grams that two nodes of different components share, by their first n-gram, as far as it leaves room for a link.
 
-        A pair that links shares an n-gram within the first ``n - ceil(2 t n / (1 + t)) + 1`` of the smaller set, and no
-        common n-gram lies at places that leave too few others.
+        Of n-grams that follow each other among both nodes' open ones only the first makes a row, so the first common one
+        always does.  That one lies within the first ``n - ceil(2 t n / (1 + t)) + 1`` of the smaller set if the pair links, and of the
+        n-grams before any common one only the open ones can be common.
         """
-        t, sides = self.threshold, ("node", "n", "place", "comp")
+        t, sides = self.threshold, ("node", "n", "place", "comp", "q", "prev")
         x = minors.select("hash", *[F.col(c).alias(f"{c}_x") for c in sides])
         y = lists.select("hash", *[F.col(c).alias(f"{c}_y") for c in sides])
         fits = F.expr(f"comp_x <> comp_y and 100 * n_y >= {t} * n_x and 100 * n_x >= {t} * n_y"
-                      f" and {100 + t} * (least(place_x, place_y) + 1 + least(n_x - 1 - place_x, n_y - 1 - place_y)) >= {t} * (n_x + n_y)"
+                      f" and coalesce(prev_x <> prev_y, true)"
+                      f" and {100 + t} * (least(q_x, q_y) + 1 + least(n_x - 1 - place_x, n_y - 1 - place_y)) >= {t} * (n_x + n_y)"
                       f" and {100 + t} * (least(n_x, n_y) - if(n_x <= n_y, place_x, place_y)) >= {2 * t} * least(n_x, n_y)")
         return x.withColumnRenamed("hash", "_h").join(y, (F.col("_h") == F.col("hash")) & fits).drop("_h")
 
-    def _rest(self, lists: DataFrame, minors: DataFrame, tested: DataFrame) -> DataFrame:
-        """All pairs of different components that share a prefix n-gram, can link and were not tested."""
+    def _rest(self, lists: DataFrame, tested: DataFrame) -> DataFrame:
+        """All pairs of different components that share a prefix n-gram, can link and were not tested; ``lists`` has the hubs."""
+        placed = stage(self._placed(lists), "placed")
         swap = "node_x < node_y"
-        met = self._meetings(lists, minors).select(
-            "hash", F.greatest("node_x", "node_y").alias("a"), F.least("node_x", "node_y").alias("b"),
+        met = self._meetings(placed, placed.where("comp <> hub.comp")).select(
+            F.greatest("node_x", "node_y").alias("a"), F.least("node_x", "node_y").alias("b"),
             *[F.expr(f"if({swap}, {c}_y, {c}_x)").alias(a) for c, a in (("n", "n_a"), ("place", "i"))],
-            *[F.expr(f"if({swap}, {c}_x, {c}_y)").alias(b) for c, b in (("n", "n_b"), ("place", "j"))]).distinct()
-        near = (met.groupBy("a", "b", "n_a", "n_b").agg(F.count("hash").alias("c"), F.max("i").alias("i"), F.max("j").alias("j"))
-                .where(f"{100 + self.threshold} * (c + least(n_a - 1 - i, n_b - 1 - j)) >= {self._needed()}").select("a", "b", "n_a", "n_b"))
+            *[F.expr(f"if({swap}, {c}_x, {c}_y)").alias(b) for c, b in (("n", "n_b"), ("place", "j"))])
+        # nothing is common before the first common n-gram
+        near = (met.groupBy("a", "b", "n_a", "n_b").agg(F.min("i").alias("i"), F.min("j").alias("j"))
+                .where(f"{100 + self.threshold} * (1 + least(n_a - 1 - i, n_b - 1 - j)) >= {self._needed()}").select("a", "b", "n_a", "n_b"))
         return near.join(tested, ["a", "b"], "left_anti")
 
     def classes(self, profile: DataFrame) -> DataFrame:
@@ -368,7 +386,7 @@ class VerticalJoin:
     def links(self, profile: DataFrame) -> DataFrame | None:
         """Links (u, v, overlap) between nodes that give the components; None if there are none."""
         nodes = stage(self.classes(profile), "classes")
-        found, tested, roots, part, size = None, None, None, 8, nodes.count()
+        found, tested, roots, part = None, None, None, 8
         # first with an eighth of the n-grams, which joins most of each group, then with all that are still open
         lists = self._lists(self._labelled(nodes, roots), part)
         while True:
@@ -385,7 +403,7 @@ class VerticalJoin:
                 part = 1
                 all_lists = lists = stage(self._lists(self._labelled(nodes, roots)), "lists")
                 cross = self._cross_pairs(all_lists)
-                if cross <= DIRECT * size:
+                if not cross:
                     break
                 continue
             if not some:
@@ -399,51 +417,65 @@ class VerticalJoin:
                        .where("comp <> coalesce(_r, hub.node)").select("hash", "node", "n", "place", "comp"))
             lists = stage(self._with_hub(outside), "outside")
             cross, before = self._cross_pairs(all_lists), cross
-            if cross <= DIRECT * size or 2 * cross > before:
+            if not cross or 2 * cross > before:
                 break
-        # few are left, or no star finds another link: now all pairs across components, none tested twice
-        outside = all_lists.where("comp <> hub.comp").drop("hub", "k")
-        if outside.isEmpty():
+        # no star finds another link, or stars gain little: now all pairs across components, none tested twice
+        if all_lists.where("comp <> hub.comp").isEmpty():
             return found
         flat = pairs.limit(0) if tested is None else tested
         flat = flat.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        rest = stage(self._rest(all_lists.drop("hub", "k"), outside, flat), "rest")
+        rest = stage(self._rest(all_lists, flat), "rest")
         if rest.isEmpty():
             return found
         new = self._test(rest, nodes)
         return new if found is None else found.union(new)
 
-    def components(self) -> DataFrame:
-        """doc_id, n_shingles, component_id of every row of the documents."""
+    def members(self) -> DataFrame:
+        """doc_id, row, n_shingles, root (one for each component; null without shingles) and component_id of every row."""
         profile = self.profile()
         links = self.links(profile)
+        self.place.destroy()  # all that used it is staged
         least = profile.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"))
         if links is not None and not links.isEmpty():
             roots = components(links)
             joined = least.join(roots, "node")
             of_root = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
-            moved = roots.join(of_root, "root").select("node", "component_id")
-            least = least.join(moved, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("least_id"))
-        return profile.select("doc_id", "n_shingles", "node").join(least, "node", "left").select(
-            "doc_id", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id"))
+            moved = roots.join(of_root, "root").select("node", "root", "component_id")
+            least = least.join(moved, "node", "left").select("node", F.coalesce("root", "node").alias("root"),
+                                                             F.coalesce("component_id", "least_id").alias("least_id"))
+        else:
+            least = least.withColumn("root", F.col("node"))
+        return profile.select("doc_id", "row", "n_shingles", "node").join(least, "node", "left").select(
+            "doc_id", "row", "n_shingles", "root", F.coalesce("least_id", "doc_id").alias("component_id"))
+
+    def components(self) -> DataFrame:
+        """doc_id, n_shingles, component_id of every row of the documents."""
+        return self.members().select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: that of its least key; of equal rows one stays.
+    """``docs`` with one row of each component: that of its least key (null last), of several texts with this key the one of least hash.
 
-    Only rows that may go (a bitmap test on the key) meet the exact join; all others pass straight through.
+    Of rows with equal key and text one stays, also where they have no shingles; which one depends on the rows' contents alone.
+    Only rows that may go (a bitmap test on key and text) meet the exact join; all others pass straight through.
     """
-    comps = stage(VerticalJoin(docs, key, text, **options).components(), "components")
+    rows = stage(VerticalJoin(docs, key, text, **options).members(), "members")
     names = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)], id_hash(key).alias("_id"))
-    k = f"_{names.index(key)}"
-    per = comps.groupBy(F.col("doc_id").alias("_key")).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int")).alias("_stay"))
-    change = stage(per.where("_n > 1 or _stay = 0").withColumn("_id2", id_hash("_key")), "leaving")
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)])
+    k, t = (f"_{names.index(c)}" for c in (key, text))
+    plain = plain.withColumns({"_row": F.xxhash64(F.col(t).cast("string")), "_id": F.xxhash64(k, F.xxhash64(F.col(t).cast("string")))})
+    first = rows.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    per = rows.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("_n"), F.max("root").alias("root")).join(first, "root", "left")
+    stays = F.col("root").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("row").eqNullSafe(F.col("first.row")))
+    change = stage(per.select(F.col("doc_id").alias("_key"), F.col("row").alias("_row2"), "_n", stays.alias("_stay"),
+                              F.xxhash64("doc_id", "row").alias("_id2")).where("_n > 1 or not _stay"), "leaving")
     marked = bitmap(change, "_id2")
     hit = marked.column(F.col("_id"))
-    judged = plain.where(hit).join(change, plain[k].eqNullSafe(change["_key"]), "left").where("_n is null or _stay = 1")
-    once = judged.where("_n > 1").drop("_n", "_stay", "_key", "_id2").dropDuplicates()
-    many = judged.where("_n is null").drop("_n", "_stay", "_key", "_id2")
-    kept = plain.where(~hit).unionByName(many).unionByName(once)
-    return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)])
+    met = F.col(k).eqNullSafe(F.col("_key")) & (F.col("_row") == F.col("_row2"))
+    judged = plain.where(hit).join(change, met, "left").where("_n is null or _stay")
+    kept = [f"_{i}" for i in range(len(names))]
+    whole = F.struct(*kept)
+    once = (judged.where("_n > 1").groupBy("_key", "_row2").agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("r"))
+            .select(*[F.col(f"r.{c}").alias(c) for c in kept]))
+    out = plain.where(~hit).select(*kept).unionByName(judged.where("_n is null").select(*kept)).unionByName(once)
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)])

@@ -76,6 +76,31 @@ def test_compression(spark, docs, odd):
     assert compression.compression_columns(empty(spark)).count() == 0
 
 
+def test_chunk_verdicts(spark, docs):
+    """Ratios, chunks up to the last byte and verdicts against a plain computation over whole texts."""
+    r = np.random.default_rng(2)
+    prose = " ".join(t.text for t in docs.where("lang = 'en' and n_chars between 500 and 3000").orderBy("doc_id").limit(20).collect())
+    noise = "".join(map(chr, r.integers(33, 123, 20000)))
+    made = [prose[:4096] + noise[:3000], prose[:5000], prose[:4096] + "z" * 3900, noise[:4096] + prose[:100], noise[:4096] + prose[:4096], prose[:4097],
+            prose[:9000] + noise[:9300], "", prose[:8192]]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(made)], "doc_id long, text string"))
+    packed = compression.zstandard.ZstdCompressor(level=compression.LEVEL, write_content_size=False, write_checksum=False).compress
+
+    def fits(part):
+        limits = [(lo, hi) for most, lo, hi in compression.BANDS if most is None or len(part) <= most][0]
+        return limits[0] <= len(packed(part)) / len(part) <= limits[1]
+
+    want = {}
+    for d in table.collect():
+        raw, parts = d.text.encode(), []
+        while sum(map(len, parts)) < len(raw):
+            parts.append(raw[sum(map(len, parts)):][:4096])
+        bad = [p for p in parts if not fits(p)]
+        want[d.doc_id] = (len(parts), len(bad), bool(raw) and fits(raw) and sum(map(len, bad)) * 2 <= len(raw))
+    got = {r.doc_id: (r.n_chunks, r.n_bad_chunks, r.band_ok) for r in compression.compression_columns(table).collect()}
+    assert got == want and got[-1][:2] == (2, 1) and got[-4] == (2, 1, False)
+
+
 def test_packing_round_trip(spark, docs, odd):
     exact = Tokenizer.from_file(BYTE_BPE)  # as it is: an added token's string is that token
     for table in (docs, odd):
@@ -200,7 +225,7 @@ def jaccard_components(texts):
     return {i: (len(sets[i]), find(i)) for i in texts}
 
 
-def test_vertical_join(spark, docs, texts, odd, monkeypatch):
+def test_vertical_join(spark, docs, texts, odd):
     want = jaccard_components(texts)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in vertical_join.VerticalJoin(docs).components().collect()}
     assert got == want
@@ -212,8 +237,8 @@ def test_vertical_join(spark, docs, texts, odd, monkeypatch):
     assert vertical_join.keep_one(odd).count() == len(ODD) - 2
 
 
-def test_vertical_join_edited_group(spark, monkeypatch):
-    """A group of edited copies round the threshold, with every way to finish forced."""
+def test_vertical_join_edited_group(spark):
+    """A group of edited copies round the threshold."""
     ship(spark)
     r = np.random.default_rng(5)
     base = [f"b{i}" for i in range(120)]
@@ -225,9 +250,39 @@ def test_vertical_join_edited_group(spark, monkeypatch):
         rows[d] = " ".join(w)
     table = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     want = jaccard_components(rows)
-    for direct in (0, 64):
-        monkeypatch.setattr(vertical_join, "DIRECT", direct)
-        assert {x.doc_id: (x.n_shingles, x.component_id) for x in vertical_join.VerticalJoin(table).components().collect()} == want
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in vertical_join.VerticalJoin(table).components().collect()} == want
+
+
+def test_vertical_join_many_groups(spark):
+    """Families whose members share n-grams in all degrees, so that runs of common n-grams of many pairs are left for the last step."""
+    ship(spark)
+    r = np.random.default_rng(11)
+    rows = {}
+    for family in range(12):
+        base = [f"f{family}w{i}" for i in range(int(r.integers(20, 150)))]
+        for _ in range(25):
+            w = list(base)
+            for p in r.integers(0, len(w), int(len(w) * r.uniform(0, 0.12))):
+                w[p] = f"e{int(r.integers(0, 40))}"
+            rows[len(rows)] = " ".join(w[int(r.integers(0, 4)):])
+    table = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(5)
+    want = jaccard_components(rows)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in vertical_join.VerticalJoin(table).components().collect()} == want
+    assert 20 < len({c for _, c in want.values()}) < len(rows) - 20
+
+
+def test_keep_one_with_repeated_ids(spark):
+    """Near copies under one doc_id leave one row, other texts under it stay; columns may be maps."""
+    ship(spark)
+    base = [f"k{i}" for i in range(80)]
+    near, other = " ".join([*base[:79], "changed"]), " ".join(f"o{i}" for i in range(60))
+    rows = [(1, " ".join(base), {"a": 1}), (1, near, {"a": 2}), (1, other, {"b": 3}), (2, other, {"b": 4}), (2, " ".join(base), None),
+            (3, "", {}), (3, "", {}), (4, None, {}), (None, near, {}), (5, "alone", {"x": 1}), (5, "alone", {"x": 2})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>")
+    for parts in (1, 4):
+        got = vertical_join.keep_one(docs.repartition(parts)).collect()
+        assert sorted((r.doc_id, r.text == other) for r in got if r.doc_id in (1, 2)) == [(1, False), (1, True)]
+        assert Counter(r.doc_id for r in got) == {1: 2, 3: 1, 4: 1, 5: 1}
 
 
 def test_signatures_never_drop_a_link():
