@@ -9,11 +9,15 @@ Pivotal rounding pairs two open fractions and moves words from one to the other,
 with unchanged expectations, until one of them is 0 or 1; the other goes on.  The words that a pair takes
 stay the same, so a source's total is off by its last open document at most:
 
-* the documents of a source of up to ``SMALL`` are one block; those of a larger one are grouped by source, size class (eight per octave) and hash into blocks of about
-  ``BLOCK``; each block is one fold, the largest first, and leaves one open document at most;
+* a document of more than 1/``GIANT`` of its source's open words (there are fewer than ``GIANT``) is paired with all smaller
+  ones at once, the largest first: it is decided, and the rest of the source shares what it gives or takes in
+  proportion, so that a large document is made good by many small ones and never left for the end;
+* the others are grouped by source, size class (eight per octave) and hash into blocks of about
+  ``BLOCK``; each block is one fold and leaves one open document at most;
 * those of ``BLOCK`` blocks of a class meet in the next block, and so on up (a tree of logarithmic
-  depth), then those of all classes of a source, largest first, so that a small one is left; it is
-  rounded alone.
+  depth), then those of all classes of a source; the last one, of 1/``GIANT`` of the words at most, is rounded alone.
+
+Sources of any size take the same path.
 
 Words are integers in units of 2**-20, so mass is exact; the draws are hashes of the ids, so reruns
 agree.  A hot source is many blocks; nothing is collected beyond a block.
@@ -35,8 +39,8 @@ from featurelane.llm.stages import stage
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 BLOCK = 64
-#: A source of up to so many documents is one block: its large documents then meet all others.
-SMALL = 1024
+#: A document of more than this part of its source's open words meets all smaller ones at once.
+GIANT = 1024
 SEED = 20240229
 _UNIT = 1 << 20
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -110,27 +114,59 @@ def _level(units: DataFrame, keys: list[str], name: str) -> DataFrame:
     return stage(blocks.select(*keys, _fold(F.col("u")).alias("f")).select(*keys, "f.size", "f.id", "f.mass", "f.done"), name)
 
 
-def copies(units: DataFrame, block: int = BLOCK) -> DataFrame:
+def _against_rest(units: Column, total: Column, mass: Column) -> Column:
+    """Decide an array of (size, id) in order, each against all that follow and the rest of its source.
+
+    ``total`` and ``mass`` are the sums of the source's open sizes and masses; every open unit's mass is size * mass / total.
+    A unit goes up by what it lacks or all that the rest has, down by what it has or all that the rest can take, with chances that
+    keep its expectation; the rest stays proportional, which keeps theirs.  Result: what is left of both sums, and the decided units.
+    """
+    def step(acc: Column, u: Column) -> Column:
+        room = acc["total"] - u["size"]  # the rest's size
+        share = F.round(u["size"] * (acc["mass"] / acc["total"])).cast("long")
+        own = F.least(F.greatest(share, acc["mass"] - room, F.lit(0).cast("long")), u["size"], acc["mass"])
+        up = F.least(u["size"] - own, acc["mass"] - own)
+        down = F.least(own, room - (acc["mass"] - own))
+        new = F.when(_draw(u["id"], F.lit(-2)) * (up + down) < down, own + up).otherwise(own - down)
+        # a unit that is still open has left nothing open in the rest, so it is rounded alone
+        extra = (_draw(u["id"], F.lit(-1)) * u["size"] < new).cast("int")
+        return F.struct(room.alias("total"), (acc["mass"] - new).alias("mass"),
+                        F.concat(acc["done"], F.array(F.struct(u["id"].alias("id"), extra.alias("extra")))).alias("done"))
+
+    start = F.struct(total.alias("total"), mass.alias("mass"), F.array().cast("array<struct<id:bigint,extra:int>>").alias("done"))
+    return F.aggregate(units, start, step)
+
+
+def copies(units: DataFrame, block: int = BLOCK, giant: int = GIANT) -> DataFrame:
     """(id, extra) of units (source, size, id, mass) with 0 < mass < size: extra is 1 if the mass was rounded up to size.
 
-    ``id`` is a long of its own for every unit.
+    ``id`` is a long of its own for every unit; mass / size is the same for all units of a source.
     """
-    small = units.groupBy(F.col("source").alias("_s")).count().where(f"count <= {SMALL}")
-    level = units.join(small, F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        "source", "size", "id", "mass", F.when(F.col("count").isNotNull(), -1).otherwise(F.floor(8 * F.log2("size"))).cast("int").alias("class"))
-    decided, most, depth = None, None, 0
+    sums = units.groupBy(F.col("source").alias("_s")).agg(F.sum("size").alias("total"), F.sum("mass").alias("open"))
+    level = units.join(sums, F.col("source").eqNullSafe(F.col("_s")))
+    large = F.col("size") > F.col("total") / giant
+    # fewer than ``giant`` units a source are larger than its total / giant
+    first = stage(level.where(large).groupBy("source").agg(
+        F.reverse(F.array_sort(F.collect_list(F.struct("size", "id")))).alias("u"), F.first("total").alias("total"), F.first("open").alias("open"))
+        .select("source", _against_rest(F.col("u"), F.col("total"), F.col("open")).alias("f")), "giants")
+    rest = first.select(F.col("source").alias("_r"), F.col("f.total").alias("left"), F.col("f.mass").alias("left_mass"))
+    level = level.where(~large).join(rest, F.col("source").eqNullSafe(F.col("_r")), "left")
+    share = F.round(F.col("size") * (F.col("left_mass") / F.col("left"))).cast("long")
+    level = level.select("source", "size", "id", F.when(F.col("left").isNull(), F.col("mass")).otherwise(F.least(share, "size")).alias("mass"),
+                         F.floor(8 * F.log2("size")).cast("int").alias("class"))
+    decided_by_giants = first.select(F.explode("f.done").alias("d")).select("d.id", "d.extra")
+    decided, most, depth = decided_by_giants, None, 0
     # within the size classes, then across them: one class is left in the second part
     for across in (False, True):
         if across:
             level = level.withColumn("class", F.lit(0))
         while True:
-            blocks = F.when(F.col("class") < 0, F.lit(1)).otherwise(F.ceil(F.count(F.lit(1)) / block))
-            counts = level.groupBy("source", "class").agg(blocks.cast("long").alias("blocks"))
+            counts = level.groupBy("source", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("blocks"))
             salted = (level.alias("l").join(counts.alias("c"), F.col("l.source").eqNullSafe(F.col("c.source")) & (F.col("l.class") == F.col("c.class")))
                       .select("l.*", F.pmod(F.xxhash64(F.lit(SEED + depth), "id"), "blocks").alias("slot")))
             done = _level(salted, ["source", "class", "slot"], "rounding")
             out = done.select(F.explode("done").alias("d")).select("d.id", "d.extra")
-            decided = out if decided is None else decided.unionByName(out)
+            decided = decided.unionByName(out)
             level = done.where("id is not null").select("source", "size", "id", "mass", "class")
             most = done.groupBy("source", "class").count().agg(F.max("count")).first()[0]
             depth += 1

@@ -202,6 +202,21 @@ def test_fold_keeps_expectation(spark):
     assert all(abs(r.p - 0.4) < 0.06 for r in got)
 
 
+def test_mix_small_sources(spark, docs):
+    """Sources of some 50 documents, one of which may hold a quarter of the words, come within 1 % of their targets."""
+    got = mixing.mix_plan(docs).groupBy("source").agg(F.first("target").alias("target"), F.sum(F.expr("size * rows * copies")).alias("taken")).collect()
+    assert all(abs(r.taken - r.target) <= 0.01 * r.target for r in got)
+
+
+def test_large_documents_keep_expectation(spark):
+    """One document of 52 %, one of 10 % and 38 small ones a source: each is taken in proportion to its mass, whatever the limit."""
+    size = "CASE id % 40 WHEN 0 THEN 5200L WHEN 1 THEN 1000L ELSE 100L END"
+    units = spark.range(40 * 400).selectExpr("concat('s', id div 40) source", f"{size} size", "id", f"{size} * 3 div 10 mass")
+    for giant in (8, mixing.GIANT):
+        got = mixing.copies(units, giant=giant).join(units, "id").groupBy("size").agg(F.avg("extra").alias("p"), F.count("extra").alias("n")).collect()
+        assert sum(r.n for r in got) == 40 * 400 and all(abs(r.p - 0.3) < 0.08 for r in got)
+
+
 def jaccard_components(texts):
     sets = {}
     for i, t in texts.items():
