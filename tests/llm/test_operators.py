@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -202,8 +203,9 @@ def test_fold_keeps_expectation(spark):
     assert all(abs(r.p - 0.4) < 0.06 for r in got)
 
 
-def test_mix_small_sources(spark, docs):
-    """Sources of some 50 documents, one of which may hold a quarter of the words, come within 1 % of their targets."""
+def test_mix_small_sources(spark):
+    """Sources of 50 documents, one of which may hold a quarter of the words, come within 1 % of their targets."""
+    docs = spark.read.parquet(SF.replace("sf0.001", "sf0.01") + "/documents.parquet")
     got = mixing.mix_plan(docs).groupBy("source").agg(F.first("target").alias("target"), F.sum(F.expr("size * rows * copies")).alias("taken")).collect()
     assert all(abs(r.taken - r.target) <= 0.01 * r.target for r in got)
 
@@ -341,6 +343,22 @@ def test_passages(spark, odd):
     assert {x.doc_id for x in chaining.passages(odd).collect()} == set()
 
 
+def test_passages_of_unlike_rows(spark):
+    """Rows of one doc_id keep their own passages, and each row loses its own words only."""
+    rng = random.Random(5)
+    def free(n):
+        return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    p, q = free(70), free(60)
+    rows = [(1, free(30) + p + free(9)), (2, free(200) + p + free(20)), (2, free(300)), (2, free(40) + q), (3, q + free(90)), (3, free(100)), (3, free(11) + p)]
+    table = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string").repartition(3)
+    got = chaining.passages(table)
+    assert sorted((x.doc_id, x.start, x.n_words, x.other_id, x.other_start) for x in got.collect()) == [
+        (2, 200, 70, 1, 30), (3, 0, 60, 2, 40), (3, 11, 70, 1, 30)]
+    want = [rows[0], (2, rows[1][1][:200] + rows[1][1][270:]), rows[2], rows[3], (3, rows[4][1][60:]), rows[5], (3, rows[6][1][:11])]
+    left = [(x.doc_id, x.text.split()) for x in chaining.remove_passages(table, got).collect()]
+    assert sorted(left) == sorted(want)
+
+
 def test_chain_is_best():
     """The Fenwick chain equals the quadratic one."""
     r = np.random.default_rng(2)
