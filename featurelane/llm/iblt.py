@@ -1,13 +1,16 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text's paragraphs are its lines, long ones in pieces of ``PIECE`` words; each has a 64-bit digest (the r-th
-repeat of a paragraph has a digest of its own).  The sketch has three parts of ``m`` cells (a power of two); a digest
+A text's paragraphs are its lines, long ones in pieces that end at words chosen by their hash, one in ``PIECE``, so that a word put in or taken
+out changes the pieces next to it alone; each has a 64-bit digest (the r-th repeat of a paragraph has a digest of its own).  The sketch has three parts of ``m`` cells (a power of two); a digest
 goes to one cell of each part, which keeps a count, the xor of its digests and the xor of their checks.
 Sketches are linear: the difference of two holds the digests that only one text has, and peeling (taking digests
 that are alone in a cell, again and again) recovers them.  If cells remain, the sketches were too small:
 both are made again at twice the size until it succeeds.  A sketch of twice the size folds to the smaller one,
 so sketches of different sizes compare at the smaller.
 
+A fingerprint is the sketch itself as text: ``parse`` reads it back, and ``compare`` folds, subtracts and peels two of
+them without their texts, or says that they are too small for what differs.
+
 All pairs of a batch of rows are peeled together, column-wise.
 
 ``compare_next`` compares each document with its edited version and with the next document by key.
@@ -40,6 +43,7 @@ _CHECK = U(0xA24BAED4963EE407)
 _SEEDS = [U(0x9FB21C651E98DF25), U(0xD1342543DE82EF95), U(0xC13FA9A902A6328F)]
 _Q = U(0x9E3779B185EBCA87)
 _LEAST_KEY = -(1 << 63)
+_CELL = np.dtype([("n", "<u2"), ("k", "<u8"), ("c", "<u4")])
 
 
 def paragraphs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,11 +56,11 @@ def paragraphs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     line = np.searchsorted(np.flatnonzero(data == 10), w.start)
     new = np.ones(n, bool)
     new[1:] = (row[1:] != row[:-1]) | (line[1:] != line[:-1])
-    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    at = np.arange(n) - first
-    begin = np.flatnonzero(at % PIECE == 0)
-    power = np.multiply.accumulate(np.full(PIECE, _Q, U))
-    digest = mix(np.add.reduceat(w.hash * power[at % PIECE], begin))
+    new[1:] |= mix(w.hash[:-1]) % U(PIECE) == 0  # the word before ends a piece
+    begin = np.flatnonzero(new)
+    at = np.arange(n) - np.repeat(begin, np.diff(np.append(begin, n)))
+    power = np.multiply.accumulate(np.full(at.max() + 1, _Q, U))
+    digest = mix(np.add.reduceat(w.hash * power[at], begin))
     owner = row[begin]
     # the r-th repeat of a digest in a row gets a digest of its own
     order = np.lexsort((digest, owner))
@@ -81,11 +85,19 @@ def _cells(keys: np.ndarray, base: np.ndarray, m: np.ndarray) -> Iterator[np.nda
         yield base + part * m + (mix(keys ^ seed) & (m - 1).astype(U)).astype(np.int64)
 
 
+def _proof(keys: np.ndarray) -> np.ndarray:
+    return mix(keys ^ _CHECK) >> U(32)
+
+
+def _begins(m: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(PARTS * m)))
+
+
 def sketches(keys: np.ndarray, sign: np.ndarray, owner: np.ndarray, m: np.ndarray):
     """Cells (count, key, check) of all owners one after the other, and where each owner's begin."""
-    base = np.concatenate(([0], np.cumsum(PARTS * m)))
+    base = _begins(m)
     count, key, check = np.zeros(base[-1], np.int64), np.zeros(base[-1], U), np.zeros(base[-1], U)
-    proof = mix(keys ^ _CHECK)
+    proof = _proof(keys)
     for cell in _cells(keys, base[owner], m[owner]):
         np.add.at(count, cell, sign)
         np.bitwise_xor.at(key, cell, keys)
@@ -93,53 +105,74 @@ def sketches(keys: np.ndarray, sign: np.ndarray, owner: np.ndarray, m: np.ndarra
     return count, key, check, base
 
 
-def peel(keys: np.ndarray, sign: np.ndarray, owner: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Subtract and peel: (owners that succeeded, recovered digests, their signs, their owners)."""
-    count, key, check, base = sketches(keys, sign, owner, m)
+def peel(count: np.ndarray, key: np.ndarray, check: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Peel subtracted sketches (which it uses up): (owners that succeeded, recovered digests, their signs, their owners)."""
+    base = _begins(m)
     cell_owner = np.repeat(np.arange(len(m)), PARTS * m)
     found = [(np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64))]
     look = np.arange(len(count))
     for _ in range(10_000):
         pure = look[np.abs(count[look]) == 1]
-        pure = pure[check[pure] == mix(key[pure] ^ _CHECK)]
+        pure = pure[check[pure] == _proof(key[pure])]
         if not len(pure):
             break
         _, one = np.unique(mix(key[pure] + cell_owner[pure].astype(U) * _Q), return_index=True)
         pure = pure[one]
         k, s, o = key[pure].copy(), count[pure].copy(), cell_owner[pure]
         found.append((k, s, o))
-        proof, touched = mix(k ^ _CHECK), []
+        proof, touched = _proof(k), []
         for cell in _cells(k, base[o], m[o]):
             np.subtract.at(count, cell, s)
             np.bitwise_xor.at(key, cell, k)
             np.bitwise_xor.at(check, cell, proof)
             touched.append(cell)
         look = np.unique(np.concatenate(touched))
-    left = np.add.reduceat(((count != 0) | (key != 0)).astype(np.int64), base[:-1]) if len(m) else np.zeros(0, np.int64)
+    left = np.add.reduceat(((count != 0) | (key != 0) | (check != 0)).astype(np.int64), base[:-1]) if len(m) else np.zeros(0, np.int64)
     k, s, o = (np.concatenate(x) for x in zip(*found))
     return left == 0, k, s, o
 
 
-def differences(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Digests that only a has and that only b has, counted for each pair (rows a_at[i]:a_at[i+1], b likewise)."""
-    n = len(a_at) - 1
+def subtract(a, a_m: np.ndarray, b, b_m: np.ndarray):
+    """Cells (count, key, check) of a less b, pair by pair, folded to the smaller of both sizes, and these sizes."""
+    to = np.minimum(a_m, b_m)
+    base = _begins(to)
+    count, key, check = np.zeros(base[-1], np.int64), np.zeros(base[-1], U), np.zeros(base[-1], U)
+    for cells, m, sign in ((a, a_m, 1), (b, b_m, -1)):
+        owner = np.repeat(np.arange(len(m)), PARTS * m)
+        place = np.arange(len(owner)) - _begins(m)[owner]
+        cell = base[owner] + place // m[owner] * to[owner] + (place % m[owner] & (to[owner] - 1))
+        np.add.at(count, cell, sign * cells[0])
+        np.bitwise_xor.at(key, cell, cells[1])
+        np.bitwise_xor.at(check, cell, cells[2])
+    return count, key, check, to
+
+
+def _counts(ok: np.ndarray, sign: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.bincount(owner[sign > 0], minlength=len(ok)), np.bincount(owner[sign < 0], minlength=len(ok))
+
+
+def differences(a, a_m: np.ndarray, b, b_m: np.ndarray, digest: np.ndarray, a_at: np.ndarray, b_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Digests that only a has and that only b has, counted for each pair of sketches.
+
+    Where two sketches are too small for the difference, both are made again, from the digests a_at[i]:a_at[i+1] and b likewise, at twice the size.
+    """
+    count, key, check, m = subtract(a, a_m, b, b_m)
+    ok, _, s, o = peel(count, key, check, m)
+    only_a, only_b = _counts(ok, s, o)
     na, nb = np.diff(a_at), np.diff(b_at)
-    keys = np.concatenate((a[a_at[0]:a_at[-1]], b[b_at[0]:b_at[-1]]))
+    keys = np.concatenate((digest[a_at[0]:a_at[-1]], digest[b_at[0]:b_at[-1]]))
     sign = np.repeat([1, -1], [na.sum(), nb.sum()])
-    owner = np.concatenate((np.repeat(np.arange(n), na), np.repeat(np.arange(n), nb)))
-    m = np.minimum(sketch_size(na), sketch_size(nb))
-    only_a, only_b = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    todo = np.arange(n)
+    owner = np.concatenate((np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)))
+    todo = np.flatnonzero(~ok)
     while len(todo):
-        place = np.full(n, -1)
+        m[todo] *= 2
+        place = np.full(len(m), -1)
         place[todo] = np.arange(len(todo))
         mine = place[owner] >= 0
-        ok, _, s, o = peel(keys[mine], sign[mine], place[owner[mine]], m[todo])
-        good = ok[o]
-        only_a[todo[ok]] = np.bincount(o[good & (s > 0)], minlength=len(todo))[ok]
-        only_b[todo[ok]] = np.bincount(o[good & (s < 0)], minlength=len(todo))[ok]
+        ok, _, s, o = peel(*sketches(keys[mine], sign[mine], place[owner[mine]], m[todo])[:3], m[todo])
+        found_a, found_b = _counts(ok, s, o)
+        only_a[todo[ok]], only_b[todo[ok]] = found_a[ok], found_b[ok]
         todo = todo[~ok]
-        m[todo] *= 2  # too small: again at twice the size
     return only_a, only_b
 
 
@@ -150,15 +183,33 @@ def likeness(na: np.ndarray, nb: np.ndarray, only_a: np.ndarray, only_b: np.ndar
     return np.where(total > 0, both / 2 / np.where(total > 0, total, 1), 1.0)
 
 
-def fingerprints(keys: np.ndarray, at: np.ndarray) -> list[str]:
-    """Each row's sketch as text: its part size, then 12 bytes a cell (count, digest, check) in base 64."""
-    n = np.diff(at)
-    m = sketch_size(n)
-    count, key, check, base = sketches(keys[at[0]:at[-1]], np.ones(at[-1] - at[0], np.int64), np.repeat(np.arange(len(n)), n), m)
-    cells = np.zeros(len(count), [("n", "<u2"), ("k", "<u8"), ("c", "<u2")])
-    cells["n"], cells["k"], cells["c"] = count & 0xFFFF, key, check & U(0xFFFF)
-    raw = cells.tobytes()
-    return [f"{m[i]}:{base64.b64encode(raw[12 * base[i]:12 * base[i + 1]]).decode()}" for i in range(len(n))]
+def fingerprints(cells, m: np.ndarray) -> list[str]:
+    """Each row's sketch as text: its part size, then 14 bytes a cell (count, digest, check) in base 64."""
+    base = 14 * _begins(m)
+    raw = np.zeros(len(cells[0]), _CELL)
+    for name, values in zip(_CELL.names, cells):
+        raw[name] = values
+    raw = raw.tobytes()
+    return [f"{m[i]}:{base64.b64encode(raw[base[i]:base[i + 1]]).decode()}" for i in range(len(m))]
+
+
+def parse(fingerprint: str) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], int]:
+    """The cells (count, key, check) of a fingerprint and its part size."""
+    m, _, cells = fingerprint.partition(":")
+    raw = np.frombuffer(base64.b64decode(cells), _CELL)
+    return (raw["n"].astype(np.int64), raw["k"].astype(U), raw["c"].astype(U)), int(m)
+
+
+def compare(a: str, b: str) -> tuple[float, np.ndarray, np.ndarray] | None:
+    """Likeness of two fingerprints, and the paragraph digests that only a and only b have; None if they are too small to tell."""
+    (ca, ma), (cb, mb) = parse(a), parse(b)
+    count, key, check, m = subtract(ca, np.array([ma]), cb, np.array([mb]))
+    ok, k, s, _ = peel(count, key, check, m)
+    if not ok[0]:
+        return None
+    only = k[s > 0], k[s < 0]
+    n = [np.array([c[0][:size].sum()]) for c, size in ((ca, ma), (cb, mb))]  # each paragraph is once in the first part
+    return float(likeness(*n, *(np.array([len(x)]) for x in only))[0]), *only
 
 
 _OUT = ("n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
@@ -171,15 +222,21 @@ def _compare(keys: pa.Array, texts: list[str], names: list[str]) -> pa.RecordBat
     data, off = text_bytes(pa.array(texts + edited, pa.large_string()))
     digest, at = paragraphs(data, off)
     n = len(edited)
-    own, nxt, new = at[:n + 1], at[1:n + 2], at[n + 1:]
-    gone, come = differences(digest, own, digest, new)
-    a, b = differences(digest, own, digest, nxt)
     size = np.diff(at)
+    m = sketch_size(size)
+    *cells, base = sketches(digest, np.ones(len(digest), np.int64), np.repeat(np.arange(len(size)), size), m)
+
+    def rows(i: int):  # n sketches from the i-th on, their sizes, and where their digests are
+        return [c[base[i]:base[i + n]] for c in cells], m[i:i + n], at[i:i + n + 1]
+
+    (own, own_m, own_at), (nxt, nxt_m, nxt_at), (new, new_m, new_at) = rows(0), rows(1), rows(n + 1)
+    gone, come = differences(own, own_m, new, new_m, digest, own_at, new_at)
+    a, b = differences(own, own_m, nxt, nxt_m, digest, own_at, nxt_at)
     near_edited = likeness(size[:n], size[n + 1:], gone, come)
     near_next = likeness(size[:n], size[1:n + 1], a, b)
     sha = [hashlib.sha256(data[off[n + 1 + i]:off[n + 2 + i]]).hexdigest() for i in range(n)]
-    cols = [pa.array([len(t) for t in texts[:-1]], pa.int64()), pa.array(sha), pa.array(fingerprints(digest, own)),
-            pa.array(fingerprints(digest, new)), pa.array(near_edited), pa.array(near_next), pa.array(gone), pa.array(come)]
+    cols = [pa.array([len(t) for t in texts[:-1]], pa.int64()), pa.array(sha), pa.array(fingerprints(own, own_m)),
+            pa.array(fingerprints(new, new_m)), pa.array(near_edited), pa.array(near_next), pa.array(gone), pa.array(come)]
     return pa.RecordBatch.from_arrays([keys, *cols], names=names)
 
 

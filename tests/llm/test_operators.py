@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -17,6 +18,7 @@ import corpus_pipeline
 from conftest import SF
 from featurelane.llm import attribution, binary_packing, chaining, compression, iblt, mixing, perspectives, ppm, pu_quality, queries, ship, vertical_join
 from featurelane.llm.tokens import BYTE_BPE
+from featurelane.llm.words import Words, mix, text_bytes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -490,8 +492,21 @@ def test_common_words_between_blocks():
 
 
 def test_fingerprints(spark, docs, texts, odd):
+    def ends(word):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        return mix(Words(raw, np.array([0, len(raw)])).hash)[0] % 8 == 0
+
     def pieces(t):
-        return Counter(tuple(w[i:i + 8]) for line in t.split("\n") for w in [words(line)] for i in range(0, len(w), 8))
+        out = Counter()
+        for line in t.split("\n"):
+            piece = []
+            for w in words(line):
+                piece.append(w)
+                if ends(w):
+                    out[tuple(piece)] += 1
+                    piece = []
+            out[tuple(piece)] += bool(piece)
+        return out
 
     def like(a, b):
         a, b = pieces(a), pieces(b)
@@ -504,6 +519,8 @@ def test_fingerprints(spark, docs, texts, odd):
         edited = t[:len(t) - len(t) // 4] + u[:len(t) // 4]
         assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert r.near_edited == pytest.approx(like(t, edited)) and r.near_next == pytest.approx(like(t, u))
+        told = iblt.compare(r.fingerprint, r.edited_fingerprint)
+        assert told is None or (told[0], len(told[1]), len(told[2])) == (pytest.approx(r.near_edited), r.n_removed, r.n_added)
     by_text = defaultdict(set)
     for d in order:
         by_text[texts[d]].add(got[d].fingerprint)
@@ -511,6 +528,32 @@ def test_fingerprints(spark, docs, texts, odd):
     assert iblt.compare_next(odd).count() == len(ODD) and iblt.compare_next(empty(spark)).count() == 0
 
 
+def test_fingerprints_compare_alone():
+    """Stored fingerprints, of different sizes too, give the differing digests without the texts, or say that they cannot."""
+    def sketch(*texts):
+        data, off = text_bytes(pa.array(texts))
+        digest, at = iblt.paragraphs(data, off)
+        m = iblt.sketch_size(np.diff(at))
+        cells = iblt.sketches(digest, np.ones(len(digest), np.int64), np.repeat(np.arange(len(m)), np.diff(at)), m)
+        return iblt.fingerprints(cells[:3], m), [set(digest[i:j].tolist()) for i, j in zip(at, at[1:])]
+
+    line = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(line), " ".join(["new"] + line), " ".join(line[:1990] + ["x", "y"] + line[2000:]), " ".join(line[:3500]),
+             " ".join(line + [f"v{i}" for i in range(200)]), "", " ".join(line[:60]), "other words altogether"]
+    prints, sets = sketch(*texts)
+    told = 0
+    for i, j in itertools.product(range(len(texts)), repeat=2):
+        got = iblt.compare(prints[i], prints[j])
+        if got is not None:
+            told += 1
+            likeness, a, b = got
+            assert set(a.tolist()) == sets[i] - sets[j] and set(b.tolist()) == sets[j] - sets[i]
+            both = sets[i] | sets[j]
+            assert likeness == pytest.approx(len(sets[i] & sets[j]) / len(both) if both else 1.0)
+    assert iblt.compare(prints[0], prints[1])[0] > 0.99 and iblt.compare(prints[0], prints[2])[0] > 0.98  # one word put in front
+    assert iblt.compare(prints[0], prints[5]) is None and told >= len(texts) + 10
+
+
 def test_language(spark, docs, odd):
     got = queries.op6_ppm_language(spark, SF).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got)
