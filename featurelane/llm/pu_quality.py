@@ -8,8 +8,9 @@ in the unlabelled text is an estimated prior ``pi``.  With logistic loss l the r
 the second part is the negatives' risk, estimated from the unlabelled less the positives in them.  Where that estimate
 falls below 0 (which only over-fitting can do) its gradient is followed backwards, as in the non-negative estimator of Kiryo et al.
 
-Texts are described by ``FEATURES`` numbers each: shape, characters, repetition and compression.  The model is a logistic regression on
-the standardised features and their squares.  The fit sees two samples of about ``SAMPLE`` documents each, a documented
+Texts are described by ``FEATURES`` numbers each: shape, characters, repetition and compression (``SHAPE``), and
+the square roots of the shares of their words in ``WORDS`` buckets of a hash.  The model is a logistic regression on the standardised
+features and the squares of the first.  The fit sees two samples of about ``SAMPLE`` documents each, a documented
 bound, both chosen by hashes of the key: one of the documents with a trusted positive label, however few of all they are,
 and one of all documents, which is the unlabelled text.
 
@@ -34,11 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featurelane.llm.compression import dup_lines, repeat_words
-from featurelane.llm.words import row_blocks
+from featurelane.llm.words import U, mix, row_blocks
 
 SAMPLE = 20_000
 ROUNDS = 400
-FEATURES = 18
+SHAPE = 18
+WORDS = 256
+FEATURES = SHAPE + WORDS
 
 
 def _class(chars: bytes) -> np.ndarray:
@@ -51,7 +54,21 @@ _KINDS = [_class(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _class(b"0123456789"), _class(b
           _class(b".,;:?"), _class(bytes(range(128, 256))), _class(b"\n"), _class(b"@/\\_=+~^{}[]()")]
 
 
-def features(w, r: int, compressor: zstandard.ZstdCompressor) -> list[float]:
+def word_shares(w) -> np.ndarray:
+    """Square roots of the shares of each row's words in the buckets, one row of numbers for each row of texts."""
+    n = np.diff(w.first)
+    bucket = (mix(w.hash) >> U(32)).astype(np.int64) % WORDS
+    counts = np.bincount(np.repeat(np.arange(len(n)), n) * WORDS + bucket, minlength=len(n) * WORDS)
+    return np.sqrt(counts.reshape(len(n), WORDS) / np.maximum(n, 1)[:, None])
+
+
+def matrix(w, compressor: zstandard.ZstdCompressor) -> np.ndarray:
+    """The features of all rows of a block of texts."""
+    shape = np.array([shape_features(w, r, compressor) for r in range(len(w.first) - 1)], np.float32).reshape(-1, SHAPE)
+    return np.hstack([shape, word_shares(w).astype(np.float32)])
+
+
+def shape_features(w, r: int, compressor: zstandard.ZstdCompressor) -> list[float]:
     """The numbers that describe row r of a block of texts."""
     raw = w.data[w.offsets[r]:w.offsets[r + 1]]
     words = w.of(r)
@@ -73,7 +90,7 @@ def feature_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     def run(batches):
         compressor = zstandard.ZstdCompressor(level=1)
         for batch, w in row_blocks(batches, "text"):
-            x = np.array([features(w, r, compressor) for r in range(batch.num_rows)], np.float32)
+            x = matrix(w, compressor)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES).cast(pa.list_(pa.float32()))], names=["key", "x"])
 
@@ -90,7 +107,7 @@ class Model:
 
     def design(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.scale, -6, 6)
-        return np.concatenate([z, z * z / 6, np.ones((len(x), 1))], axis=1)
+        return np.concatenate([z, z[:, :SHAPE] ** 2 / 6, np.ones((len(x), 1))], axis=1)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.design(x) @ self.weights, -30, 30)))
@@ -99,7 +116,7 @@ class Model:
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, rounds: int = ROUNDS, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """Minimise the non-negative risk by full-batch Adam; without a prior, the risk of positives against unlabelled text."""
     both = np.concatenate([positive, unlabelled])
-    model = Model(both.mean(0), np.maximum(both.std(0), 1e-3), np.zeros(2 * both.shape[1] + 1))
+    model = Model(both.mean(0), np.maximum(both.std(0), 1e-3), np.zeros(both.shape[1] + min(SHAPE, both.shape[1]) + 1))
     p, u = model.design(positive), model.design(unlabelled)
     m, v = np.zeros_like(model.weights), np.zeros_like(model.weights)
     for t in range(1, rounds + 1):
@@ -175,10 +192,10 @@ def score(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_
     model, prior = train(docs, labels, training, key, text, **options)
 
     def run(batches):
-        for batch in batches:
-            x = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, -1)
-            s = model.score(x) if model else np.full(len(x), prior)
+        compressor = zstandard.ZstdCompressor(level=1)
+        for batch, w in row_blocks(batches, "text"):
+            s = model.score(matrix(w, compressor).astype(float)) if model else np.full(batch.num_rows, prior)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["key", "score"])
 
-    table = feature_table(docs, key, text)
-    return table.mapInArrow(run, f"key {table.schema['key'].dataType.simpleString()}, score double").withColumnRenamed("key", key)
+    src = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    return src.mapInArrow(run, f"key {src.schema['key'].dataType.simpleString()}, score double").withColumnRenamed("key", key)

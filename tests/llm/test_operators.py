@@ -617,6 +617,39 @@ def test_prior_is_estimated_from_the_scores(share):
     assert abs(pu_quality.estimate_prior(positive, unlabelled) - share) < 0.08
 
 
+def test_quality_sees_words(spark):
+    """Two classes of one shape that differ in their words alone."""
+    ship(spark)
+    r = np.random.default_rng(3)
+    good, bad = ([" ".join(f"{kind}{v:03d}" for v in r.integers(0, 60, 80)) for _ in range(400)] for kind in ("abc", "xyz"))
+    table = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string").repartition(4)
+    some = spark.createDataFrame([(i, 1) for i in range(0, 400, 2)], "doc_id long, quality int")
+    got = {x.doc_id: x.score for x in pu_quality.score(table, some, F.lit(True)).collect()}
+    assert min(got[i] for i in range(1, 400, 2)) > max(got[i] for i in range(400, 800))
+
+
+def test_non_negative_risk_and_gradient():
+    """One step of the fit goes along the naive risk's numerical gradient, and backwards where the negatives' risk is below 0."""
+    r = np.random.default_rng(2)
+    p, u = r.normal(0.3, 1, (30, 4)), r.normal(-0.2, 1, (40, 4))
+    model = pu_quality.fit(p, u, 0.5, rounds=0)
+    dp, du = model.design(p), model.design(u)
+
+    def parts(weights, prior):
+        plus = np.mean([np.log1p(np.exp(-(d @ weights))) for d in dp])
+        minus_p, minus_u = (np.mean([np.log1p(np.exp(d @ weights)) for d in rows]) for rows in (dp, du))
+        return prior * plus, minus_u - prior * minus_p
+
+    for prior, clipped in ((0.5, False), (1.5, True)):  # at zero weights the negatives' risk is (1 - prior) * log 2
+        at = np.zeros(len(model.weights))
+        assert (parts(at, prior)[1] < 0) == clipped
+        risk = (lambda w: -parts(w, prior)[1]) if clipped else (lambda w: sum(parts(w, prior)))
+        slope = np.array([(risk(at + h) - risk(at - h)) / 2e-5 for h in 1e-5 * np.eye(len(at))])
+        step = pu_quality.fit(p, u, prior, rounds=1).weights  # Adam's first step is the rate along the gradient's signs
+        sure = np.abs(slope) > 1e-4
+        assert sure.sum() >= 6 and (np.sign(step[sure]) == -np.sign(slope[sure])).all()
+
+
 def test_few_positives_reach_the_fit(spark):
     """Trusted positives only, on 1 of 100 documents, with a sample of all that holds hardly one of them."""
     ship(spark)
