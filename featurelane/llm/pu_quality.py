@@ -84,17 +84,16 @@ def shape_features(w, r: int, compressor: zstandard.ZstdCompressor) -> list[floa
 
 
 def feature_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, x): the features of every row."""
+    """(key, x): the features of every row, as the bytes of float32 numbers."""
     src = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(batches):
         compressor = zstandard.ZstdCompressor(level=1)
         for batch, w in row_blocks(batches, "text"):
             x = matrix(w, compressor)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES).cast(pa.list_(pa.float32()))], names=["key", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([row.tobytes() for row in x], pa.binary())], names=["key", "x"])
 
-    return src.mapInArrow(run, f"key {src.schema['key'].dataType.simpleString()}, x array<float>")
+    return src.mapInArrow(run, f"key {src.schema['key'].dataType.simpleString()}, x binary")
 
 
 @dataclass
@@ -106,24 +105,36 @@ class Model:
     weights: np.ndarray
 
     def design(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -6, 6)
-        return np.concatenate([z, z[:, :SHAPE] ** 2 / 6, np.ones((len(x), 1))], axis=1)
+        n = x.shape[1]
+        squares = min(SHAPE, n)
+        out = np.ones((len(x), n + squares + 1), np.float32)
+        z = out[:, :n]
+        np.subtract(x, self.mean, out=z, casting="unsafe")
+        z /= self.scale.astype(np.float32)
+        np.clip(z, -6, 6, out=z)
+        out[:, n:-1] = z[:, :squares] ** 2 / 6
+        return out
+
+    def chance(self, design: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip((design @ self.weights.astype(np.float32)).astype(float), -30, 30)))
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.design(x) @ self.weights, -30, 30)))
+        return self.chance(self.design(x))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, rounds: int = ROUNDS, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """Minimise the non-negative risk by full-batch Adam; without a prior, the risk of positives against unlabelled text."""
-    both = np.concatenate([positive, unlabelled])
-    model = Model(both.mean(0), np.maximum(both.std(0), 1e-3), np.zeros(both.shape[1] + min(SHAPE, both.shape[1]) + 1))
+    n, width = len(positive) + len(unlabelled), positive.shape[1]
+    mean = sum(v.sum(0, dtype=float) for v in (positive, unlabelled)) / n
+    spread = np.sqrt(sum(((v - mean.astype(np.float32)) ** 2).sum(0, dtype=float) for v in (positive, unlabelled)) / n)
+    model = Model(mean, np.maximum(spread, 1e-3), np.zeros(width + min(SHAPE, width) + 1))
     p, u = model.design(positive), model.design(unlabelled)
     m, v = np.zeros_like(model.weights), np.zeros_like(model.weights)
     for t in range(1, rounds + 1):
-        sp, su = (1 / (1 + np.exp(-np.clip(d @ model.weights, -30, 30))) for d in (p, u))
+        sp, su = model.chance(p), model.chance(u)
         # gradients of the mean logistic losses: l(+) = -log s, l(-) = -log(1 - s)
-        up = p.T @ (sp - 1) / len(p)
-        down_p, down_u = p.T @ sp / len(p), u.T @ su / len(u)
+        up = p.T @ (sp - 1).astype(np.float32) / len(p)
+        down_p, down_u = p.T @ sp.astype(np.float32) / len(p), u.T @ su.astype(np.float32) / len(u)
         if prior is None:
             g = up + down_u
         else:
@@ -178,7 +189,8 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_
     features_of = feature_table(picked, key, text).withColumnRenamed("key", key)
     got = (features_of.join(trusted, features_of[key] == F.col("_k"), "left").select(F.col(key).alias("k"), "x", F.coalesce("p", F.lit(False)).alias("p"), unlabelled.alias("u"))
            .orderBy("k", "x").toPandas())  # twice ``sample`` rows at most, about
-    x, p, u = np.stack(got["x"].to_numpy()).astype(float), got["p"].to_numpy(bool), got["u"].to_numpy(bool)
+    p, u = got["p"].to_numpy(bool), got["u"].to_numpy(bool)
+    x = np.frombuffer(b"".join(got.pop("x")), np.float32).reshape(-1, FEATURES)
     if not u.any():  # a sample of a few rows can be empty
         u = ~u
     if not p.any():
@@ -194,7 +206,7 @@ def score(docs: DataFrame, labels: DataFrame, training: Column, key: str = "doc_
     def run(batches):
         compressor = zstandard.ZstdCompressor(level=1)
         for batch, w in row_blocks(batches, "text"):
-            s = model.score(matrix(w, compressor).astype(float)) if model else np.full(batch.num_rows, prior)
+            s = model.score(matrix(w, compressor)) if model else np.full(batch.num_rows, prior)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["key", "score"])
 
     src = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
