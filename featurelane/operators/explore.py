@@ -167,17 +167,16 @@ def vocabulary_sizes(df: DataFrame, cols: Sequence[str], multivalent: Sequence[s
                      outlier: str | None = "") -> DataFrame:
     """Distinct labels per categorical column (arrays counted by element),
     null and the outlier excluded; one stacked pass, long form ``(feature, n_unique)``."""
-    parts = []
-    for c in list(cols) + list(multivalent):
-        v = F.explode_outer(F.col(c).cast("array<string>")) if c in multivalent else F.col(c).cast("string")
-        parts.append(df.select(F.lit(c).alias("feature"), v.alias("label")))
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
+    def pairs(c: str) -> Column:
+        values = F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>")) if c in multivalent else F.array(F.col(c).cast("string"))
+        return F.transform(values, lambda v: F.struct(F.lit(c).alias("feature"), v.alias("label")))
+
+    # one read of ``df`` for all columns; only distinct labels are moved
+    stacked = df.select(F.explode(F.flatten(F.array(*[pairs(c) for c in [*cols, *multivalent]]))).alias("_p")).select("_p.feature", "_p.label")
     stacked = stacked.where(F.col("label").isNotNull())
     if outlier is not None:
         stacked = stacked.where(F.col("label") != F.lit(outlier))
-    return stacked.groupBy("feature").agg(F.count_distinct("label").alias("n_unique"))
+    return stacked.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"))
 
 
 def numeric_tick_order(df: DataFrame, col: str, name: str = "tick") -> DataFrame:

@@ -172,9 +172,10 @@ def train(log: DataFrame, store: DataFrame, states: DataFrame, spec: SalesSpec,
     open_days = filter_equals(log, spec.open_col, "1").where(F.col(spec.target) > 0)
     first, last = split(open_days, spec, dates_path)
     means = cut_lineage(first.groupBy(spec.store).agg(F.avg(spec.target).alias("sales_mean")))
-    parts = [attach(p, store_p, means, spec, target=True).withColumn(spec.target, log1p_target(spec.target)) for p in (first, last)]
+    # staged before the statistics, whose passes then read the numbers alone; scaling is a projection
+    parts = [cut_lineage(attach(p, store_p, means, spec, target=True).withColumn(spec.target, log1p_target(spec.target))) for p in (first, last)]
     stats = fit(parts[0], spec)[0]
-    parts = [cut_lineage(standardize(p, stats)) for p in parts]
+    parts = [standardize(p, stats) for p in parts]
     known = set(feature_columns(parts[0], spec.target, [spec.date]))
     if not known.issuperset([*numeric, *categorical]):
         raise ValueError(f"not features of the prepared table: {sorted({*numeric, *categorical} - known)}")
