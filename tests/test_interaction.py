@@ -170,6 +170,8 @@ def test_short_vocabularies_move_no_row(spark, monkeypatch):
     near = E.encode_columns(df, "k", {"c": "c", "h": "h"}, table)
     assert "Exchange" not in near._jdf.queryExecution().executedPlan().toString()
     got = sorted(map(str, near.collect()))
+    twice = E.encode_columns(df.unionAll(df.where("k = 1")), "k", {"c": "c", "h": "h"}, table)
+    assert sorted((r["k"], r["c"], tuple(r["h"])) for r in twice.collect() if r["k"] == 1) == [(1, 2, (1, 1, 0, 0, 0, 0))] * 2
     monkeypatch.setattr(E, "FEW_LABELS", 0)
     assert got == sorted(map(str, E.encode_columns(df, "k", {"c": "c", "h": "h"}, table).collect()))
 
