@@ -18,7 +18,7 @@ def _large(edges: DataFrame) -> DataFrame:
     least = (both.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m"))
              .select("n", F.least("n", "m").alias("m")))
     return (both.join(least, both["u"] == least["n"]).where("v > u and v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small(edges: DataFrame) -> DataFrame:
@@ -28,16 +28,19 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.union(least.select(F.col("n").alias("u"), F.col("m").alias("v"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node is below two others, or below one and above another."""
+    ends = edges.select(F.col("u").alias("n"), F.col("v").alias("m")).union(edges.select(F.col("v").alias("n"), F.lit(None).cast("long").alias("m")))
+    per = ends.groupBy("n").agg(F.min("m").alias("lo"), F.max("m").alias("hi"), F.max(F.col("m").isNull()).alias("above"))
+    return not per.where("lo <> hi or (above and lo is not null)").agg(F.count(F.lit(1))).first()[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (u, v longs): root is the least node reachable."""
-    edges = stage(links.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v"))
-                  .where("u <> v").distinct(), "links")
-    before = None
+    edges = links.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v")
     while True:
         edges = stage(_small(_large(edges)), "stars")
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
+        if _settled(edges):
             break
-        before = mark
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurelane.llm.components import components
@@ -186,40 +186,38 @@ class VerticalJoin:
         return found
 
     def _signatures(self, members: DataFrame) -> DataFrame:
-        """(node, segment): the signatures of the sets of the documents in ``members`` (id column), staged.
+        """(node, segment): the signatures of the sets of the nodes in ``members`` (node column, may repeat), staged.
 
-        A node may come more than once (another document with the same set).
+        A node may come more than once (another row with the same key and text).
         """
-        k, wanted = self.k, bitmap(members, "id")
+        k, wanted = self.k, bitmap(members, "node")
 
         def run(batches):
             for batch, w in row_blocks(batches, "text", True, only=lambda b: wanted.has(b.column(1).to_numpy())):
-                sets = [s for r in range(batch.num_rows) if len(s := shingle_set(w.of(r), k))]
-                yield pa.RecordBatch.from_arrays([pa.array([int(_node(s)) for s in sets], pa.int64()),
-                                                  pa.array([signature(s) for s in sets], pa.binary())], names=["node", "segment"])
+                sets = [signature(shingle_set(w.of(r), k)) for r in range(batch.num_rows)]
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sets, pa.binary())], names=["node", "segment"])
 
-        found = stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, segment binary"),
+        found = stage(self.docs.select("text", F.xxhash64("doc_id", "row").alias("node")).mapInArrow(run, "node long, segment binary"),
                       "signatures")
         wanted.free()
         return found
 
     def _segments(self, members: DataFrame) -> DataFrame:
-        """(node, frag, segment): the sets of the documents in ``members`` (id column), cut by fragment, staged.
+        """(node, frag, segment): the sets of the nodes in ``members`` (node column, may repeat), cut by fragment, staged.
 
-        A node may come more than once (another document with the same set).
+        A node may come more than once (another row with the same key and text).
         """
-        place, k, fragments, wanted = self.place, self.k, self.fragments, bitmap(members, "id")
+        place, k, fragments, wanted = self.place, self.k, self.fragments, bitmap(members, "node")
 
         def run(batches):
             for batch, w in row_blocks(batches, "text", True, only=lambda b: wanted.has(b.column(1).to_numpy())):
                 node, frag, segment = [], [], []
-                for r in range(batch.num_rows):
+                for r, name in enumerate(batch.column(1).to_pylist()):
                     s = shingle_set(w.of(r), k)
                     if not len(s):
                         continue
                     s, at = _ordered(s, place.value)
                     part = at * fragments // max(1, int(place.value[-1]))
-                    name = int(_node(s))
                     cut = np.searchsorted(part, np.arange(fragments + 1))
                     for f in range(fragments):
                         if cut[f] < cut[f + 1]:
@@ -229,7 +227,7 @@ class VerticalJoin:
                 yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(frag, pa.int32()),
                                                   pa.array(segment, pa.binary())], names=["node", "frag", "segment"])
 
-        found = stage(self.docs.select("text", id_hash("doc_id").alias("id")).mapInArrow(run, "node long, frag int, segment binary"),
+        found = stage(self.docs.select("text", F.xxhash64("doc_id", "row").alias("node")).mapInArrow(run, "node long, frag int, segment binary"),
                       "segments")
         wanted.free()
         return found
@@ -335,11 +333,17 @@ class VerticalJoin:
                 .where(f"{100 + self.threshold} * (1 + least(n_a - 1 - i, n_b - 1 - j)) >= {self._needed()}").select("a", "b", "n_a", "n_b"))
         return near.join(tested, ["a", "b"], "left_anti")
 
+    @staticmethod
+    def _first() -> list[Column]:
+        """Of a class of equal sets: its least doc_id (null last, the least text hash of that) and, by these, its node's name among the links."""
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+        return [first.getField("doc_id").alias("least_id"), F.xxhash64(first.getField("doc_id"), first.getField("row")).alias("name")]
+
     def classes(self, profile: DataFrame) -> DataFrame:
-        """One row per distinct set: node, its least doc_id, size and shared prefix n-grams."""
-        return profile.where("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("hashes").alias("hashes"),
-            F.first("places").alias("places"))
+        """One row per distinct set: node (the name of its first document, by which that is found again), size and shared prefix n-grams."""
+        return profile.where("node is not null").groupBy(F.col("node").alias("set")).agg(
+            *self._first(), F.first("n_shingles").alias("n"), F.first("hashes").alias("hashes"),
+            F.first("places").alias("places")).select(F.col("name").alias("node"), "n", "hashes", "places")
 
     def _labelled(self, nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
         """The nodes with their component so far."""
@@ -374,17 +378,16 @@ class VerticalJoin:
         """At most so many pairs of a node outside its hub's component with any node of the list."""
         return lists.where("comp <> hub.comp").agg(F.sum("k")).first()[0] or 0
 
-    def _test(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    def _test(self, pairs: DataFrame) -> DataFrame:
         """The links among pairs: their nodes' first documents are read again, for the signatures and, where needed, whole sets."""
         def members(chosen: DataFrame) -> DataFrame:
-            ends = chosen.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            return ends.join(nodes, "node").select(id_hash("doc_id").alias("id"))
+            return chosen.select(F.explode(F.array("a", "b")).alias("node"))
 
         near = self._near(pairs, self._signatures(members(pairs)))
         return stage(self._linked(near, self._segments(members(near))), "linked")
 
-    def links(self, profile: DataFrame) -> DataFrame | None:
-        """Links (u, v, overlap) between nodes that give the components; None if there are none."""
+    def links(self, profile: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+        """Links (u, v, overlap) between nodes that give the components, and these (node, root); None if there are none."""
         nodes = stage(self.classes(profile), "classes")
         found, tested, roots, part = None, None, None, 8
         # first with an eighth of the n-grams, which joins most of each group, then with all that are still open
@@ -393,7 +396,7 @@ class VerticalJoin:
             pairs = stage(self._star(lists), "pairs")
             some = not pairs.isEmpty()
             if some:
-                new = self._test(pairs, nodes)
+                new = self._test(pairs)
                 tested = pairs if tested is None else tested.union(pairs)
                 some = not new.isEmpty()
             if some:
@@ -421,30 +424,32 @@ class VerticalJoin:
                 break
         # no star finds another link, or stars gain little: now all pairs across components, none tested twice
         if all_lists.where("comp <> hub.comp").isEmpty():
-            return found
+            return found, roots
         flat = pairs.limit(0) if tested is None else tested
         flat = flat.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         rest = stage(self._rest(all_lists, flat), "rest")
         if rest.isEmpty():
-            return found
-        new = self._test(rest, nodes)
-        return new if found is None else found.union(new)
+            return found, roots
+        new = self._test(rest)
+        if new.isEmpty():
+            return found, roots
+        found = new if found is None else found.union(new)
+        return found, components(found)
 
     def members(self) -> DataFrame:
         """doc_id, row, n_shingles, root (one for each component; null without shingles) and component_id of every row."""
         profile = self.profile()
-        links = self.links(profile)
+        _, roots = self.links(profile)
         self.place.destroy()  # all that used it is staged
-        least = profile.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"))
-        if links is not None and not links.isEmpty():
-            roots = components(links)
-            joined = least.join(roots, "node")
+        least = profile.where("node is not null").groupBy("node").agg(*self._first())
+        if roots is not None:
+            joined = least.join(roots.withColumnRenamed("node", "name"), "name")
             of_root = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
-            moved = roots.join(of_root, "root").select("node", "root", "component_id")
-            least = least.join(moved, "node", "left").select("node", F.coalesce("root", "node").alias("root"),
+            moved = roots.join(of_root, "root").select(F.col("node").alias("name"), "root", "component_id")
+            least = least.join(moved, "name", "left").select("node", F.coalesce("root", "name").alias("root"),
                                                              F.coalesce("component_id", "least_id").alias("least_id"))
         else:
-            least = least.withColumn("root", F.col("node"))
+            least = least.select("node", F.col("name").alias("root"), "least_id")
         return profile.select("doc_id", "row", "n_shingles", "node").join(least, "node", "left").select(
             "doc_id", "row", "n_shingles", "root", F.coalesce("least_id", "doc_id").alias("component_id"))
 

@@ -16,7 +16,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from conftest import SF
-from featurelane.llm import attribution, binary_packing, chaining, compression, iblt, mixing, perspectives, ppm, pu_quality, queries, ship, vertical_join
+from featurelane.llm import (attribution, binary_packing, chaining, compression, iblt, mixing, perspectives, ppm, pu_quality, queries, ship, stages,
+                             vertical_join)
 from featurelane.llm.tokens import BYTE_BPE
 from featurelane.llm.words import Words, mix, text_bytes
 
@@ -686,3 +687,41 @@ def test_pipeline(spark, docs, texts):
         seen.append(name)
     assert corpus_pipeline.STAGES[-1][1](spark, table, SF).agg(F.sum("length")).first()[0] > 0
     assert seen == ["quality_rules", "ngram_join", "substring_dedup", "mix_sources"]
+
+
+def test_components_take_few_rounds(spark, monkeypatch):
+    """Links that are stars already are one round; repeated links, chains and loops give the least node reachable."""
+    from featurelane.llm import components as module
+    rounds = []
+    monkeypatch.setattr(module, "stage", lambda df, name, old=module.stage: rounds.append(name) or old(df, name))
+    stars = [(10 * h + i, 10 * h) for h in range(3) for i in range(1, 9)]
+    got = {x.node: x.root for x in module.components(spark.createDataFrame(stars + stars[:5], "u long, v long")).collect()}
+    assert got == {n: n // 10 * 10 for s in stars for n in s} and rounds == ["stars"]
+    r = random.Random(3)
+    links = [(r.randrange(60), r.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(100, 140)] + [(7, 7)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    rows = module.components(spark.createDataFrame(links, "u long, v long")).collect()
+    assert {x.node: x.root for x in rows} == {n: find(n) for n in root} and len(rows) == len(root)
+    assert module.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_bitmap_marks_values_and_no_others(spark):
+    """With one shuffle; values may repeat."""
+    ship(spark)
+    marked = np.random.default_rng(4).integers(-2**63, 2**63, 5000)
+    table = spark.createDataFrame([(int(v),) for v in [*marked, *marked[:99]]], "v long").repartition(5)
+    bits = stages.bitmap(table, "v", 26)
+    others = np.random.default_rng(5).integers(-2**63, 2**63, 5000)
+    slots = set((marked & (1 << 26) - 1).tolist())
+    assert bits.has(marked).all() and bits.has(others).tolist() == [x in slots for x in (others & (1 << 26) - 1).tolist()]
+    assert not stages.bitmap(table.where("false"), "v").has(marked).any()
