@@ -480,6 +480,74 @@ def test_holders_across_batches():
         assert Counter(tuple(x.values()) for x in got.to_pylist()) == wanted
 
 
+def test_chains_side_by_side(monkeypatch):
+    """Rows chained side by side give the chains that each gives alone, down to the least number of words."""
+    r = np.random.default_rng(7)
+    row, x, y, n, wanted = [], [], [], [], set()
+    for i in range(120):
+        k = int(r.integers(1, 40))
+        at = np.sort(r.choice(200, k, replace=False))
+        to, size = np.where(r.random(k) < 0.6, at + 5, r.integers(0, 200, k)), r.integers(1, 9, k)
+        for c in chaining.chain(at, to, size):
+            if size[c].sum() >= 20:
+                wanted.add(tuple(len(row) + j for j in c))
+        row, x, y, n = row + [i] * k, [*x, *at], [*y, *to], [*n, *size]
+    row, x, y, n = (np.array(v) for v in (row, x, y, n))
+    for most in (256, 12):
+        monkeypatch.setattr(chaining, "AT_ONCE", most)
+        got = {tuple(c) for c in chaining.long_chains(row, x, y, n, 20) if n[c].sum() >= 20}
+        assert got == wanted and len(got) > 50
+
+
+def test_rows_align_alike_alone_and_together():
+    r = np.random.default_rng(8)
+    a, b, shift = [], [], []
+    for _ in range(60):
+        one = r.integers(0, int(r.choice([6, 40, 5000])), int(r.integers(1, 200))).astype(np.uint64)
+        two = np.delete(one, r.integers(0, len(one), 3))
+        two[r.integers(0, len(two), 4) if len(two) else []] = 9999
+        a.append(one)
+        b.append(np.concatenate([r.integers(0, 6, 7).astype(np.uint64), two]))
+        shift.append(7)
+
+    def aligned(rows):
+        ends = [np.cumsum([0, *(len(side[i]) for i in rows)]) for side in (a, b)]
+        found = chaining.align(np.concatenate([a[i] for i in rows]), ends[0], np.concatenate([b[i] for i in rows]), ends[1],
+                               np.array([shift[i] for i in rows]))
+        return sorted((rows[int(z[0])], *map(int, z[1:])) for z in zip(*found))
+
+    together = aligned(range(60))
+    assert together == sorted(z for i in range(60) for z in aligned([i])) and len({z[0] for z in together}) > 20
+    for i, s, k, t, equal in together:
+        assert 50 <= k and s + k <= len(a[i]) and 0.8 * k <= equal <= np.isin(a[i][s:s + k], b[i]).sum()
+
+
+@pytest.mark.parametrize("tag", [0, 1 << 40])
+def test_matches_of_a_pair_across_batches(monkeypatch, tag):
+    """However the matches are held back and cut into batches, a pair's chains are those of all its matches."""
+    r = np.random.default_rng(9)
+    monkeypatch.setattr(chaining, "HELD_MATCHES", 50)
+    seeds = []
+    for s in range(80):  # a line of 80 words in all documents at different places, and some seeds of MIN_WORDS words
+        seeds += [(2 * s, d, 7 * d + s + tag * (d % 2)) for d in range(6)]
+    for s in range(31):
+        seeds += [(1001 + 2 * s, d, 7 * d + s + tag * (d % 2)) for d in (1, 4)]
+    seeds += [(int(s), int(d), int(p)) for s, d, p in zip(2 * r.integers(100, 130, 300), r.integers(0, 6, 300), r.integers(100, 900, 300))]
+    seeds = sorted(set(seeds))
+    table = pa.table({"seed": [x[0] for x in seeds], "doc_id": [x[1] for x in seeds], "pos": [x[2] for x in seeds]})
+    pairs = defaultdict(list)
+    for x in pa.Table.from_batches(chaining.holders(iter(table.to_batches()))).to_pylist():
+        pairs[x["doc_id"], x["other_id"]].append((x["pos"], x["y"], x["whole"]))
+    wanted = Counter()
+    for (d, o), m in pairs.items():
+        x, y, whole = (np.array(v) for v in zip(*m))
+        wanted.update((d, o, *c) for c in chaining.seed_chains(x, y, whole))
+    held = pa.Table.from_batches(chaining.pairs_held(iter(table.to_batches(40)))).sort_by([("doc_id", "ascending"), ("other_id", "ascending")])
+    for size in (1, 3, 1000):
+        got = pa.Table.from_batches(chaining.chains_in_order(iter(held.to_batches(size))))
+        assert Counter(tuple(x.values()) for x in got.to_pylist()) == wanted and len(wanted) > 5
+
+
 def test_common_words_between_blocks():
     r = np.random.default_rng(6)
     for _ in range(60):
