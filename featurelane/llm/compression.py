@@ -129,8 +129,24 @@ def compression_columns(docs: DataFrame, text: str = "text", keep: tuple[str, ..
 
 
 def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass the base rules and the bands, all columns as they are."""
-    names = docs.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in names])
-    got = compression_columns(docs.select(row.alias("row"), F.col(f"`{text}`").alias("text")), "text", ("row",))
-    return got.where("kept").select(*[F.col(f"row.`{c}`").alias(c) for c in names])
+    """The rows of ``docs`` that pass the base rules and the bands, all columns as they are; each text goes to the task and back once."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StringType, StructType
+
+    columns = docs.columns
+    names = [f"_c{i}" for i in range(len(columns))]
+    src = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)])
+    kind = src.schema
+    read = names[columns.index(text)]
+    if not isinstance(kind[read].dataType, StringType):
+        src, read = src.withColumn("_text", F.col(read).cast("string")), "_text"
+    measure = _measure(read, to_arrow_schema(StructType(list(kind) + list(StructType.fromDDL(_OUT)))), names)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in measure(batches):
+            words, repeated = (batch.column(c).to_numpy() for c in ("n_words", "n_repeat_words"))
+            ok = (words >= 10) & (100 * repeated <= 20 * words) & batch.column("band_ok").to_numpy(zero_copy_only=False).astype(bool)
+            yield batch.select(names).filter(pa.array(ok))
+
+    got = src.mapInArrow(kept, kind)
+    return got.select(*[F.col(n).alias(c) for c, n in zip(columns, names)])
