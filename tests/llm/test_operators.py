@@ -480,6 +480,16 @@ def test_holders_across_batches():
         assert Counter(tuple(x.values()) for x in got.to_pylist()) == wanted
 
 
+def test_bitmap_of_made_values(spark):
+    """Values that a function makes of the batches are marked in one Python step before the shuffle."""
+    def double(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column(0).to_numpy() * 2)], names=["v"])
+
+    bits = stages.bitmap(spark.range(0, 500, 1, 3), "v", 16, double)
+    assert bits.has(np.arange(2000)).tolist() == [v % 2 == 0 and v < 1000 for v in range(2000)]
+
+
 def test_chains_side_by_side(monkeypatch):
     """Rows chained side by side give the chains that each gives alone, down to the least number of words."""
     r = np.random.default_rng(7)
