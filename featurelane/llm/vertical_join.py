@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurelane.llm.components import components
-from featurelane.llm.stages import Bitmap, bitmap, id_hash, stage
+from featurelane.llm.stages import Bitmap, bitmap, few, id_hash, stage
 from featurelane.llm.words import U, mix, row_blocks, shingle_set
 
 K = 5
@@ -51,6 +51,8 @@ THRESHOLD = 80
 LOG2_COUNTERS = 20
 FRAGMENTS = 8
 _SLICE = 14  # 2**14 counters a slice
+#: Pairs that one task tests rather than a shuffle.
+_FEW_PAIRS = 1 << 13
 
 
 def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,10 +86,10 @@ def order_of(docs: DataFrame, k: int, log2_counters: int = LOG2_COUNTERS) -> np.
     schema = "s int, x binary"
     parts = docs.select("text").mapInArrow(count, schema)
     # at most 16 partial sums of a slice reach the second level, whatever the number of tasks
-    first = (parts.withColumn("t", F.spark_partition_id() % 16).repartition("s", "t").drop("t")
+    first = (parts.withColumn("t", F.spark_partition_id() % 16).repartition("s", "t").coalesce(64).drop("t")
              .mapInArrow(_add_slices, schema))
     table = np.zeros(n, np.int64)
-    for s, blob in first.repartition("s").mapInArrow(_add_slices, schema).collect():  # n / width rows: fixed size
+    for s, blob in first.repartition("s").coalesce(16).mapInArrow(_add_slices, schema).collect():  # n / width rows: fixed size
         table[s * width:(s + 1) * width] = np.frombuffer(blob, np.int64)
     order = np.lexsort((np.arange(n), table))
     place = np.empty(n + 1, np.int64)
@@ -363,7 +365,7 @@ class VerticalJoin:
         posted = (labelled.select("node", "n", "comp", F.explode(F.arrays_zip("hashes", "places")).alias("p"))
                   .select(F.col("p.hashes").alias("hash"), "node", "n", F.col("p.places").alias("place"), "comp")
                   .where(F.col("hash") % part == 0).where(marked.column(F.col("hash"))))
-        return self._with_hub(stage(posted, "postings"))
+        return self._with_hub(few(stage(posted, "postings")))
 
     @staticmethod
     def _with_hub(posted: DataFrame) -> DataFrame:
@@ -383,8 +385,8 @@ class VerticalJoin:
         def members(chosen: DataFrame) -> DataFrame:
             return chosen.select(F.explode(F.array("a", "b")).alias("node"))
 
-        near = self._near(pairs, self._signatures(members(pairs)))
-        return stage(self._linked(near, self._segments(members(near))), "linked")
+        near = self._near(few(pairs, _FEW_PAIRS), few(self._signatures(members(pairs)), payload="segment"))
+        return stage(self._linked(few(near, _FEW_PAIRS), few(self._segments(members(near)), payload="segment")), "linked")
 
     def links(self, profile: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
         """Links (u, v, overlap) between nodes that give the components, and these (node, root); None if there are none."""
@@ -404,7 +406,7 @@ class VerticalJoin:
                 roots = components(found)
             if part > 1:
                 part = 1
-                all_lists = lists = stage(self._lists(self._labelled(nodes, roots)), "lists")
+                all_lists = lists = few(stage(self._lists(self._labelled(nodes, roots)), "lists"))
                 cross = self._cross_pairs(all_lists)
                 if not cross:
                     break
@@ -412,13 +414,13 @@ class VerticalJoin:
             if not some:
                 break
             relabelled = self._labelled(all_lists.select("hash", "node", "n", "place"), roots)
-            all_lists = stage(self._with_hub(relabelled), "lists")
+            all_lists = few(stage(self._with_hub(relabelled), "lists"))
             # the nodes of each list outside the component of its hub meet a hub of their own next
             outside = self._labelled(lists.select("hash", "node", "n", "place", "hub"), roots).where("node <> hub.node")
             hub = roots.select(F.col("node").alias("_h"), F.col("root").alias("_r"))
             outside = (outside.join(hub, F.col("hub.node") == F.col("_h"), "left")
                        .where("comp <> coalesce(_r, hub.node)").select("hash", "node", "n", "place", "comp"))
-            lists = stage(self._with_hub(outside), "outside")
+            lists = few(stage(self._with_hub(outside), "outside"))
             cross, before = self._cross_pairs(all_lists), cross
             if not cross or 2 * cross > before:
                 break
@@ -441,7 +443,7 @@ class VerticalJoin:
         profile = self.profile()
         _, roots = self.links(profile)
         self.place.destroy()  # all that used it is staged
-        least = profile.where("node is not null").groupBy("node").agg(*self._first())
+        least = few(stage(profile.where("node is not null").groupBy("node").agg(*self._first()), "least"))
         if roots is not None:
             joined = least.join(roots.withColumnRenamed("node", "name"), "name")
             of_root = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -464,7 +466,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     Of rows with equal key and text one stays, also where they have no shingles; which one depends on the rows' contents alone.
     Only rows that may go (a bitmap test on key and text) meet the exact join; all others pass straight through.
     """
-    rows = stage(VerticalJoin(docs, key, text, **options).members(), "members")
+    rows = few(stage(VerticalJoin(docs, key, text, **options).members(), "members"))
     names = docs.columns
     plain = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)])
     k, t = (f"_{names.index(c)}" for c in (key, text))

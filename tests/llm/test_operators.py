@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from conftest import SF
-from featurelane.llm import (attribution, binary_packing, chaining, compression, iblt, mixing, perspectives, ppm, pu_quality, queries, ship, stages,
+from featurelane.llm import (attribution, binary_packing, chaining, components, compression, iblt, mixing, perspectives, ppm, pu_quality, queries, ship, stages,
                              vertical_join)
 from featurelane.llm.tokens import BYTE_BPE
 from featurelane.llm.words import Words, mix, text_bytes
@@ -273,6 +273,75 @@ def test_vertical_join_edited_group(spark):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in vertical_join.VerticalJoin(table).components().collect()} == want
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles of 24 partitions that are not coalesced."""
+    conf = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_few_links_need_no_shuffle(spark, many_partitions, monkeypatch):
+    """Components of few links are found in single tasks, and are those found with shuffles."""
+    r = np.random.default_rng(2)
+    pairs = [(int(a), int(b)) for a, b in r.integers(0, 400, (260, 2))] + [(1000 + i, 1001 + i) for i in range(12)]
+    links = stages.stage(spark.createDataFrame(pairs, "u long, v long"), "links")
+    root = {x: x for p in pairs for x in p if p[0] != p[1]}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    want = {(x, find(x)) for x in root}
+    sc = spark.sparkContext
+    sc.setJobGroup("few links", "")
+    got = [tuple(x) for x in components.components(links).collect()]
+    jobs = sc.statusTracker().getJobIdsForGroup("few links")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tasks = [i.numTasks for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds if (i := sc.statusTracker().getStageInfo(s))]
+    assert len(got) == len(want) and set(got) == want
+    assert tasks and max(tasks) < 24
+    monkeypatch.setattr(components, "few", lambda staged: staged)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    got = [tuple(x) for x in components.components(links).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_few_is_bounded(spark):
+    """By rows and by the bytes of a payload; null payloads count as nothing."""
+    staged = stages.stage(spark.range(100).repartition(4).select("id", F.when(F.col("id") > 0, F.lit(b"x" * 10)).alias("b")), "few")
+    parts = lambda df: df.select(F.spark_partition_id()).distinct().count()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert parts(staged) > 1 and parts(stages.few(staged, 99)) > 1
+        assert parts(stages.few(staged, 100)) == 1 and parts(stages.few(staged, 100, "b")) == 1
+        stages.FEW_BYTES, held = 989, stages.FEW_BYTES
+        try:
+            assert parts(stages.few(staged, 100, "b")) > 1
+        finally:
+            stages.FEW_BYTES = held
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_vertical_join_with_shuffles(spark, monkeypatch):
+    """What is too large for one task gives the same components."""
+    ship(spark)
+    for module in (components, vertical_join):
+        monkeypatch.setattr(module, "few", lambda staged, *limits, **payload: staged)
+    test_vertical_join_edited_group(spark)
+
+
 def test_vertical_join_many_groups(spark):
     """Families whose members share n-grams in all degrees, so that runs of common n-grams of many pairs are left for the last step."""
     ship(spark)
