@@ -316,6 +316,21 @@ def test_few_links_need_no_shuffle(spark, many_partitions, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
+def test_bitmap_is_gathered_by_few_tasks(spark, many_partitions):
+    """However many shuffle partitions there are, the tasks that gather its 128 packs are bounded; every value is marked."""
+    ship(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    hashes = spark.range(500).select(F.xxhash64("id").alias("hash"))
+    sc = spark.sparkContext
+    sc.setJobGroup("bitmap", "")
+    marked = stages.bitmap(hashes, "hash")
+    jobs = sc.statusTracker().getJobIdsForGroup("bitmap")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tasks = [i.numTasks for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds if (i := sc.statusTracker().getStageInfo(s))]
+    assert tasks and max(tasks) <= 32
+    assert marked.has(np.array([r.hash for r in hashes.collect()])).all()
+
+
 def test_few_is_bounded(spark):
     """By rows and by the bytes of a payload; null payloads count as nothing."""
     staged = stages.stage(spark.range(100).repartition(4).select("id", F.when(F.col("id") > 0, F.lit(b"x" * 10)).alias("b")), "few")
