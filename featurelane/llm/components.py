@@ -44,11 +44,11 @@ def _settled(edges: DataFrame) -> bool:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root), staged, for every node of ``links`` (u, v longs, staged): root is the least node reachable."""
+    """(node, root) for every node of ``links`` (u, v longs, staged): root is the least node reachable."""
     edges = few(links.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v"))
     while True:
         edges = few(stage(_small(_large(edges)), "stars"))
         if _settled(edges):
             break
     roots = _each(edges, _end("u", "v"), _end("v", "v")).distinct()
-    return few(stage(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "roots"))
+    return roots.select(F.col("u").alias("node"), F.col("v").alias("root"))

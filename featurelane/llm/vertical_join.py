@@ -403,7 +403,7 @@ class VerticalJoin:
                 some = not new.isEmpty()
             if some:
                 found = new if found is None else found.union(new)
-                roots = components(found)
+                roots = few(stage(components(found), "roots"))
             if part > 1:
                 part = 1
                 all_lists = lists = few(stage(self._lists(self._labelled(nodes, roots)), "lists"))
@@ -436,7 +436,7 @@ class VerticalJoin:
         if new.isEmpty():
             return found, roots
         found = new if found is None else found.union(new)
-        return found, components(found)
+        return found, few(stage(components(found), "roots"))
 
     def members(self) -> DataFrame:
         """doc_id, row, n_shingles, root (one for each component; null without shingles) and component_id of every row."""
