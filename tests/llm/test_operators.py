@@ -544,6 +544,55 @@ def test_no_exact_passage_is_missed(spark):
     assert n > 500 and found[4] == set(range(60))
 
 
+def test_passages_whose_lines_other_documents_hold(spark):
+    """A fuzzy copy is found however many documents hold its lines before the first one and between the two."""
+    ship(spark)
+    r = np.random.default_rng(13)
+
+    def fresh(k):
+        return [f"w{v}" for v in r.integers(0, 10**9, k)]
+
+    passage = fresh(80)
+    copy = [fresh(1)[0] if i % 10 == 9 else w for i, w in enumerate(passage)]
+    lines = [passage[10 * i:10 * i + 9] for i in range(8)]
+    rows = [(i, fresh(90) + line + fresh(90)) for i, line in enumerate(lines)] + [(8, fresh(20) + passage + fresh(30))]
+    rows += [(9 + i, fresh(90) + line + fresh(90)) for i, line in enumerate(lines)] + [(17, fresh(30) + copy + fresh(20))]
+    got = chaining.passages(spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string")).collect()
+    assert [(x.doc_id, x.start, x.n_words, x.other_id, x.other_start, x.n_equal) for x in got] == [(17, 30, 79, 8, 20, 72)]
+
+
+@pytest.mark.parametrize("hot", [3, 4096])
+def test_every_holder_is_matched(spark, monkeypatch, hot):
+    """The runs between the first and last matches are those of all matches of all pairs of documents, with seeds in one group or dealt into blocks."""
+    ship(spark)
+    monkeypatch.setattr(chaining, "HOT", hot)
+    monkeypatch.setattr(chaining, "CELLS", 50)
+    r = np.random.default_rng(14)
+    lines = [[f"l{i}x{j}" for j in range(int(r.integers(3, 12)))] for i in range(9)] + [["same"] * 9]
+    rows = [(int(d), [w for k in r.choice(10, int(r.integers(1, 7))) for w in lines[k][int(r.integers(0, 2)):]]) for d in range(40)]
+    rows += [(3, lines[2] + lines[4] + ["other"]), (11, lines[9] + lines[0])]  # rows that repeat a doc_id
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string").repartition(3)
+    unlike = chaining._unlike(docs)
+    tags = {(x.doc_id, x.text): x.th if x.doc_id in (3, 11) else 0 for x in chaining._marked(docs).collect()}
+    held = defaultdict(list)
+    for d, t in rows:
+        for i in range(len(t) - 3):
+            held[tuple(t[i:i + 4])].append((d, tags[d, " ".join(t)] << 32 | i))
+    wanted = defaultdict(list)
+    for places in held.values():
+        for d, x in places:
+            for o, y in places:
+                if o < d:
+                    wanted[d, o].append((x, y))
+    wanted = {k: Counter(zip(*(z.tolist() for z in chaining.diagonals(*(np.array(u) for u in zip(*v)))))) for k, v in wanted.items()}
+    got = defaultdict(list)
+    for x in chaining.seed_matches(docs, unlike).collect():
+        m = np.frombuffer(x.m, "<i8" if x.wide else "<u4").astype(np.int64).reshape(-1, 2)
+        got[x.doc_id, x.other_id] += [(a & ~(1 << 31), b, bool(a >> 31 & 1)) for a, b in m.tolist()]
+    runs = {k: chaining.runs_of(np.zeros(len(v), int), *(np.array(u) for u in zip(*v)))[1:] for k, v in got.items()}
+    assert {k: Counter(zip(*(z.tolist() for z in v))) for k, v in runs.items()} == wanted and len(wanted) > 300
+
+
 def test_holders_across_batches():
     """Cutting the sorted seeds into batches changes no match."""
     r = np.random.default_rng(5)
