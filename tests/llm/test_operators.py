@@ -406,6 +406,38 @@ def test_signatures_never_drop_a_link():
     assert dropped > 40
 
 
+def test_pairs_that_no_hub_joins(spark, monkeypatch):
+    """Where groups overlap, the pairs left after the hubs' rounds complete the components of all pairs."""
+    ship(spark)
+    rest, left = vertical_join.VerticalJoin._rest, []
+
+    def counted(self, lists, tested):
+        left.append(rest(self, lists, tested).count())
+        return rest(self, lists, tested)
+
+    monkeypatch.setattr(vertical_join.VerticalJoin, "_rest", counted)
+    rng = random.Random(4)
+    base = [[f"b{i}_{j}" if rng.random() < 0.5 else f"c{rng.randrange(60)}" for j in range(rng.randrange(10, 60))] for i in range(6)]
+    rows = []
+    for i in range(120):
+        t = list(rng.choice(base))
+        if rng.random() < 0.4:
+            t = t[:rng.randrange(1, len(t) + 1)] + rng.choice(base)[rng.randrange(5):]
+        for _ in range(rng.randrange(max(1, len(t) // 6))):
+            t[rng.randrange(len(t))] = f"n{rng.randrange(9)}"
+        rows.append((i, " ".join(t)))
+    sets = [{tuple(w[i:i + 2]) for i in range(len(w) - 1)} if len(w) > 1 else {tuple(w)} for w in (x.split() for _, x in rows)]
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 60 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if v == b else v for v in root]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in vertical_join.VerticalJoin(table, k=2, threshold=60).components().collect()}
+    assert got == dict(enumerate(root)) and sum(left) > 10 and 10 < len(set(root)) < 110
+
+
 def test_passages(spark, odd):
     ship(spark)
     r = np.random.default_rng(3)
