@@ -76,6 +76,30 @@ def test_history_matrix_brute_force(spark, entity):
     assert set(got) == set(want)
 
 
+@pytest.mark.parametrize("together", [1, 1 << 15])
+@pytest.mark.parametrize("entity", ["u", "i"])
+def test_bounded_histories_are_the_same(spark, entity, together):
+    """Rows that are gathered by entity, a few or many entities at once, give the histories of rows that are unpivoted."""
+    import random
+    r = random.Random(3)
+    log = LOG + [(r.choice(["u1", "u7", "u8", None, "é"]), r.choice(["i1", "i9", None]), r.choice(["x", "", None, "ü"]),
+                  r.choice([None, [], ["b", None, "a"], ["a", "a"]]), r.choice([0, 1, None])) for _ in range(300)] + [("only", "only", None, [], 1)]
+    table = spark.createDataFrame(log, LOG_SCHEMA)
+    stats = {"c": ["count"], "m": ["count", "mean"]}
+    want = sorted(map(str, H.history_matrix(table, entity, stats, "t", "h", ["m"]).collect()))
+    assert sorted(map(str, H._bounded_matrix(table, entity, stats, "t", "h", ["m"], together).collect())) == want
+    assert H.history_matrix(table, entity, stats, "t", "h", ["m"], bounded=True).schema.names == H.history_matrix(table, entity, stats, "t", "h", ["m"]).schema.names
+    assert H._bounded_matrix(table.limit(0), entity, stats, "t", "h", ["m"], together).count() == 0
+
+
+def test_vocabulary_of_columns_together(spark):
+    """Counting combinations of columns first changes no frequency and no number."""
+    log = spark.createDataFrame(LOG * 3 + LOG[:2], LOG_SCHEMA)
+    want = sorted(map(str, E.vocabulary_table(log, ["u", "i", "c"], ["m"]).collect()))
+    for together in ([["u", "c"], ["i", "m"]], [["i", "m"]], [["u", "i", "c", "m"]]):
+        assert sorted(map(str, E.vocabulary_table(log, ["u", "i", "c"], ["m"], together=together).collect())) == want and len(want) > 5
+
+
 def test_polarity_arrays(spark):
     log = spark.createDataFrame([("u", "b", 1, 2), ("u", "a", 1, 1), ("u", "c", 0, 3), ("v", "d", None, 4), (None, "e", 1, 5)], "u string, i string, t int, o int")
     got = {r["u"]: r for r in H.polarity_arrays(log, "u", "i", "t", ["o"], "x").collect()}

@@ -78,6 +78,21 @@ def test_split_is_a_partition(spark):
     assert set(r[0] for r in a.select("split").distinct().collect()) <= {"train", "valid"}
 
 
+def test_split_leaves_rows_out_before_they_move(spark):
+    """A user's older rows go before the shuffle, and the rows kept are those of numbering the whole log."""
+    from featurelane.operators.split import activity_split
+    df, limit = _skewed(spark), "spark.sql.optimizer.windowGroupLimitThreshold"
+    limited = activity_split(df, "k", ["v", "id"], valid=0.1)
+    assert "WindowGroupLimit" in limited._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(map(tuple, limited.collect()))
+    given = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "0")
+        assert sorted(map(tuple, activity_split(df, "k", ["v", "id"], valid=0.1).collect())) == got and len(got) > 100
+    finally:
+        spark.conf.set(limit, given)
+
+
 def test_unnest_count_is_sum_of_sizes(spark):
     from featurelane.operators.history import unnest
     df = spark.range(200).select("id", F.sequence(F.lit(0), F.col("id") % 5).alias("a"))
